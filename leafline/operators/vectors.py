@@ -33,9 +33,17 @@ def with_bag(comments: DataFrame, lower: bool = False, tokens: str | None = None
     return comments.withColumn("bag", word_counts(F.coalesce(words, F.array().cast("array<string>"))))
 
 
+def with_key(bags: DataFrame) -> DataFrame:
+    """Add `comment_key`, a digest that stands for the text in later shuffles."""
+    return bags.withColumn("comment_key", F.md5("comment"))
+
+
 def bag_of_words(bags: DataFrame, keys: Sequence[str] = COMMENT_KEYS) -> DataFrame:
-    """One row per comment and word."""
-    return bags.select(*keys, F.inline("bag"))
+    """One row per comment and word.
+
+    `inline` of a computed column would make Spark evaluate that column once more
+    in a filter it infers (size > 0); the outer form leaves that out."""
+    return bags.select(*keys, F.inline_outer("bag")).where(F.col("term").isNotNull())
 
 
 def _marked(bag: Column) -> Column:
@@ -117,7 +125,7 @@ def score_one(
         .withColumn("q_norm", F.sqrt(F.sum(F.col("q") * F.col("q")).over(Window.partitionBy())))
         .select("term", "idf", F.when(F.col("q_norm") > 0, F.col("q") / F.col("q_norm")).otherwise(0.0).alias("q"))
     )
-    words = bags.select(*keys, F.md5("comment").alias("comment_key"), F.inline(_marked(F.col("bag"))))
+    words = with_key(bags).select(*keys, "comment_key", F.inline(_marked(F.col("bag"))))
     w = F.col("n") * F.col("idf")
     sums = (
         words.join(F.broadcast(weights), "term")

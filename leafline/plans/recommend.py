@@ -149,18 +149,17 @@ def similar_comments_batch(
         .join(reviews.select("user_id", F.col("t_id").alias("own_t_id")), "user_id"),
         "review-words",
     )
-    keyed = V.with_bag(comments, lower=True).withColumn("comment_key", F.md5("comment"))
-    counted = keyed.withColumn("bag", V._marked(F.col("bag")))
+    bags = V.with_key(V.with_bag(comments, lower=True))
     marked = vocab.select("term", "idf").unionByName(
         vocab.sparkSession.range(1).select(F.lit(V.SELF).alias("term"), F.lit(0.0).alias("idf"))
     )
-    words = counted.select(*keys, F.inline("bag")).join(F.broadcast(marked), "term")
+    words = bags.select(*keys, F.inline(V._marked(F.col("bag")))).join(F.broadcast(marked), "term")
     raw = words.groupBy(*keys).agg(
         F.collect_set(F.struct("term", (F.col("n") * F.col("idf")).alias("weight"))).alias("raw"),
         F.count(F.when(F.col("term") == V.SELF, 1)).alias("copies"),
     )
     norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda acc, x: acc + x.weight * x.weight))
-    vectors = raw.withColumn("norm", norm).where(F.col("norm") > 0)
+    vectors = raw.withColumn("norm", norm)
 
     best = None
     for words_of_round, small in _rounds(review_words, broadcast_rows):
