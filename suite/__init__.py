@@ -6,5 +6,5 @@ from suite.registry import CASES, case  # noqa: F401
 def load_all() -> None:
     import importlib
 
-    for name in ("sources", "records", "functions", "text", "pages", "recommend", "builds"):
+    for name in ("sources", "records", "functions", "text", "pages", "recommend"):
         importlib.import_module(f"suite.{name}")

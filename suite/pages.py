@@ -1 +1,134 @@
-"""To come."""
+"""Links, fields and lists of stored pages."""
+
+from pyspark.sql import functions as F
+
+from leafline.functions import html as H
+from leafline.operators import lookup as L
+from leafline.operators import pages as P
+from leafline.plans import crawl as C
+from suite.registry import case, table
+
+HOST = "https://titles.example"
+PARAGRAPH = r"(?s)<p>(.*?)</p>"
+FIELDS = {
+    "title": r"(?s)<title>(.*?)</title>",
+    "heading": r"(?s)<h1[^>]*>(.*?)</h1>",
+    "lang": r'<html[^>]*lang="([^"]*)"',
+    "summary": PARAGRAPH,
+}
+
+
+def _text_sql(fragment: str) -> str:
+    text = f"regexp_replace({fragment}, '<[^>]*>', '', 'g')"
+    for entity, char in H.ENTITIES.items():
+        text = f"replace({text}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+    return text
+
+
+def _field_sql(pattern: str) -> str:
+    return f"coalesce({_text_sql(f'''nullif(regexp_extract(html, '{pattern}', 1), '')''')}, '<none>')"
+
+
+@case(f"""SELECT page_id, pos, href, CASE WHEN href LIKE '/%' THEN '{HOST}' || href ELSE href END AS link FROM (
+  SELECT page_id, unnest(h) AS href, generate_subscripts(h, 1) - 1 AS pos
+  FROM (SELECT page_id, regexp_extract_all(html, '<a[^>]*href="([^"]+)"', 1) AS h FROM pages))""")
+def page_links(spark, sf):
+    links = P.page_links(table(spark, sf, "pages"), HOST)
+    return links.select("page_id", F.col("pos").cast("long").alias("pos"), "href", "link")
+
+
+def _listing(spark, sf: str):
+    """A listing page per part: the part, and a neighbour without a rating."""
+    return table(spark, sf, "part").select(
+        F.col("p_partkey").alias("page_id"),
+        F.format_string(
+            '<ul>\n<li><dl><dt><a href="/list?titleId=%d">%s</a></dt><dd><strong>%.1f</strong></dd></dl></li>\n'
+            '<li><dl><dt><a href="/list?titleId=x%d">new</a></dt><dd><strong>none</strong></dd></dl></li></ul>',
+            "p_partkey", "p_name", F.col("p_size") / 5, "p_partkey",
+        ).alias("html"),
+    )
+
+
+@case(f"""SELECT p_partkey AS page_id, 0::BIGINT AS pos, '{HOST}/list?titleId=' || p_partkey AS link,
+  printf('%.1f', p_size / 5.0) AS rating FROM part WHERE round(p_size / 5.0, 1) >= 9.9""")
+def page_links_filtered(spark, sf):
+    return P.rated_links(_listing(spark, sf), HOST).select(
+        "page_id", F.col("pos").cast("long").alias("pos"), "link", "rating"
+    )
+
+
+@case(f"SELECT page_id, url, {', '.join(f'{_field_sql(p)} AS {n}' for n, p in FIELDS.items())} FROM pages")
+def page_fields(spark, sf):
+    read = P.page_fields(table(spark, sf, "pages"), FIELDS)
+    return read.select("page_id", "url", *[F.coalesce(n, F.lit("<none>")).alias(n) for n in FIELDS])
+
+
+_COMMENTS_SQL = f"""list_transform(regexp_extract_all(html, '{PARAGRAPH}', 1), lambda c: replace({_text_sql('c')}, chr(10), ' '))"""
+
+
+@case(f"SELECT page_id, len(c)::BIGINT AS n, array_to_string(c, '|') AS comments FROM (SELECT page_id, {_COMMENTS_SQL} AS c FROM pages)")
+def page_comments(spark, sf):
+    found = table(spark, sf, "pages").select("page_id", P.page_comments(F.col("html"), PARAGRAPH).alias("c"))
+    return found.select("page_id", F.size("c").cast("long").alias("n"), F.array_join("c", "|").alias("comments"))
+
+
+@case("""SELECT page_id, array_to_string(regexp_extract_all(html, '<a href="/([^"]*)"', 1), '|') AS badges FROM pages""")
+def page_attr_list(spark, sf):
+    badges = P.page_attr_list(F.col("html"), '<a href="/([^"]*)"')
+    return table(spark, sf, "pages").select("page_id", F.array_join(badges, "|").alias("badges"))
+
+
+_CODES = "element_at(array('mon','tue','wed','thu','fri','sat','sun'), cast(pmod({n}, 7) + 1 as int))"
+_CODES_SQL = "['mon','tue','wed','thu','fri','sat','sun'][{n} % 7 + 1]"
+
+
+def _by_text_sql(anchors: str) -> str:
+    return f"""SELECT text, array_to_string(list(code ORDER BY pos), '|') AS weekdays
+      FROM (SELECT text, code, min(pos) AS pos FROM ({anchors}) GROUP BY ALL) GROUP BY text"""
+
+
+@case(f"""SELECT t.p_partkey, coalesce(w.weekdays, '') AS weekdays
+  FROM (SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN 'unlisted' ELSE p_name END AS name FROM part) t
+  LEFT JOIN ({_by_text_sql(f'''SELECT p_name AS text, {_CODES_SQL.format(n='p_size')} AS code, p_partkey AS pos
+    FROM part WHERE p_partkey % 5 <> 0''')}) w ON t.name = w.text""")
+def weekday_lookup(spark, sf):
+    part = table(spark, sf, "part")
+    key = F.when(F.col("p_partkey") % 5 == 0, F.lit("day")).otherwise(F.lit("weekday"))
+    anchors = part.select(
+        F.col("p_name").alias("text"),
+        F.format_string("/list?titleId=%d&%s=%s", "p_partkey", key, F.expr(_CODES.format(n="p_size"))).alias("href"),
+        F.col("p_partkey").alias("pos"),
+    )
+    name = F.when(F.col("p_partkey") % 11 == 0, F.lit("unlisted")).otherwise(F.col("p_name"))
+    found = L.weekday_lookup(part.select("p_partkey", name.alias("name")), anchors, "name")
+    return found.select("p_partkey", F.array_join("weekdays", "|").alias("weekdays"))
+
+
+_NAME = r"(?s)<li><a[^>]*>(.*?)</a>"
+_RECORD_FIELDS = {"t_names": _NAME, "t_auth": FIELDS["heading"], "t_age": r'<b class="age">(.*?)</b>', "t_sum": FIELDS["summary"]}
+_TEXTS_SQL = r"""SELECT page_id, unnest(t) AS text, page_id * 1000000 + generate_subscripts(t, 1) - 1 AS pos,
+  ['mon','tue','wed','thu','fri','sat','sun'][page_id % 7 + 1] AS code
+  FROM (SELECT page_id, list_transform(regexp_extract_all(html, '(?s)<a[^>]*href="([^"]+)"[^>]*>(.*?)</a>', 2), lambda c: {c}) AS t FROM pages)
+  """.replace("{c}", _text_sql("c"))
+
+
+@case(f"""SELECT page_id, t_names, t_auth, t_age, t_sum, t_urls, n_comments, coalesce(weekdays, '') AS t_weekdays FROM (
+  SELECT page_id, {_field_sql(_NAME)} AS t_names,
+    coalesce(trim({_text_sql(f'''nullif(regexp_extract(html, '{FIELDS['heading']}', 1), '')''')}), '<none>') AS t_auth,
+    '연령가 없음' AS t_age, {_field_sql(PARAGRAPH)} AS t_sum, url AS t_urls,
+    len(regexp_extract_all(html, '{PARAGRAPH}', 1))::BIGINT AS n_comments FROM pages) p
+  LEFT JOIN ({_by_text_sql(_TEXTS_SQL)}) w ON p.t_names = w.text""")
+def daily_records(spark, sf):
+    pages = table(spark, sf, "pages")
+    # the pages' own links as the listing, each with its page's weekday
+    anchors = P.page_anchors(pages).select(
+        "text",
+        F.format_string("/list?titleId=%d&weekday=%s", "page_id", F.expr(_CODES.format(n="page_id"))).alias("href"),
+        (F.col("page_id") * 1000000 + F.col("pos")).alias("pos"),
+    )
+    records = C.daily_records(pages, anchors, _RECORD_FIELDS, PARAGRAPH, id_param="page")
+    return records.select(
+        "page_id", "t_age", "t_urls", F.size("t_comments").cast("long").alias("n_comments"),
+        *[F.coalesce(c, F.lit("<none>")).alias(c) for c in ("t_names", "t_auth", "t_sum")],
+        F.array_join("t_weekdays", "|").alias("t_weekdays"),
+    )
