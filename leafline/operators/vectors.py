@@ -46,14 +46,14 @@ def bag_of_words(bags: DataFrame, keys: Sequence[str] = COMMENT_KEYS) -> DataFra
     return bags.select(*keys, F.inline_outer("bag")).where(F.col("term").isNotNull())
 
 
-def _marked(bag: Column) -> Column:
+def marked(bag: Column) -> Column:
     return F.concat(F.array(F.struct(F.lit(SELF).alias("term"), F.lit(1).cast("long").alias("n"))), bag)
 
 
 def term_stats(bags: DataFrame) -> DataFrame:
     """(term, tf, df) over the corpus, the `SELF` row included. Partial
     aggregation leaves at most one row per word and task to shuffle."""
-    words = bags.select(F.inline(_marked(F.col("bag"))))
+    words = bags.select(F.inline(marked(F.col("bag"))))
     return words.groupBy("term").agg(F.sum("n").alias("tf"), F.count(F.lit(1)).alias("df"))
 
 
@@ -61,7 +61,7 @@ def smooth_idf(n_docs: Column, df: Column) -> Column:
     return F.log((n_docs + 1) / (df + 1)) + 1
 
 
-def _fit(bags: DataFrame, max_terms: int) -> DataFrame:
+def fit(bags: DataFrame, max_terms: int) -> DataFrame:
     """The vocabulary with its IDF, and the `SELF` row with weight 0: at most
     `max_terms` + 1 rows whatever the corpus, hence safe to broadcast and to
     put into one window."""
@@ -76,7 +76,7 @@ def _fit(bags: DataFrame, max_terms: int) -> DataFrame:
 def vocabulary(bags: DataFrame, max_terms: int = MAX_TERMS) -> DataFrame:
     """The `max_terms` most frequent words (ties in word order) with `tf`, `df`,
     `n_docs` and smooth `idf`."""
-    return _fit(bags, max_terms).where(F.col("term") != SELF)
+    return fit(bags, max_terms).where(F.col("term") != SELF)
 
 
 def restrict_to_vocabulary(words: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -107,11 +107,11 @@ def tfidf(bags: DataFrame, vocab: DataFrame, keys: Sequence[str] = COMMENT_KEYS)
 
 
 def score_one(
-    bags: DataFrame, fit: DataFrame, review_bag: DataFrame, keys: Sequence[str] = COMMENT_KEYS
+    bags: DataFrame, model: DataFrame, review_bag: DataFrame, keys: Sequence[str] = COMMENT_KEYS
 ) -> DataFrame:
     """Cosine of every comment with one review: (keys, comment_key, copies, score).
 
-    `fit` comes from `_fit`, `review_bag` holds the review's (term, n). The review
+    `model` comes from `fit`, `review_bag` holds the review's (term, n). The review
     is weighted against the vocabulary first; that table is bounded by the
     vocabulary and broadcast. Product and length of a comment are then plain sums
     over its words, which partial aggregation folds to one narrow row per comment
@@ -119,13 +119,13 @@ def score_one(
     count of their `SELF` rows, takes them apart again."""
     q = F.coalesce(F.col("r.n"), F.lit(0)) * F.col("f.idf")
     weights = (
-        fit.alias("f")
+        model.alias("f")
         .join(F.broadcast(review_bag).alias("r"), "term", "left")
         .select("term", "idf", q.alias("q"))
         .withColumn("q_norm", F.sqrt(F.sum(F.col("q") * F.col("q")).over(Window.partitionBy())))
         .select("term", "idf", F.when(F.col("q_norm") > 0, F.col("q") / F.col("q_norm")).otherwise(0.0).alias("q"))
     )
-    words = with_key(bags).select(*keys, "comment_key", F.inline(_marked(F.col("bag"))))
+    words = with_key(bags).select(*keys, "comment_key", F.inline(marked(F.col("bag"))))
     w = F.col("n") * F.col("idf")
     sums = (
         words.join(F.broadcast(weights), "term")

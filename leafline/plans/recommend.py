@@ -46,7 +46,7 @@ def cosine_scores(
     if exclude is not None:
         comments = comments.where(F.col("t_id") != exclude)
     bags = V.with_bag(comments, lower=True, tokens=tokens)
-    return V.score_one(bags, V._fit(bags, max_terms), review_bag(comments.sparkSession, review))
+    return V.score_one(bags, V.fit(bags, max_terms), review_bag(comments.sparkSession, review))
 
 
 def _hit_order() -> list[Column]:
@@ -140,6 +140,7 @@ def similar_comments_batch(
     the join with the broadcast review words, the sum per (review, comment), and
     the cut to the best rows per review; pairs are never shuffled."""
     keys = (*V.COMMENT_KEYS, "comment_key")
+    comments = comments.where(F.col("t_id").isNotNull())  # a comment of no title is excluded everywhere
     vocab = materialize(
         V.vocabulary(V.with_bag(comments if fit_on is None else fit_on, lower=True), max_terms), "vocabulary"
     )
@@ -153,7 +154,7 @@ def similar_comments_batch(
     marked = vocab.select("term", "idf").unionByName(
         vocab.sparkSession.range(1).select(F.lit(V.SELF).alias("term"), F.lit(0.0).alias("idf"))
     )
-    words = bags.select(*keys, F.inline(V._marked(F.col("bag")))).join(F.broadcast(marked), "term")
+    words = bags.select(*keys, F.inline(V.marked(F.col("bag")))).join(F.broadcast(marked), "term")
     raw = words.groupBy(*keys).agg(
         F.collect_set(F.struct("term", (F.col("n") * F.col("idf")).alias("weight"))).alias("raw"),
         F.count(F.when(F.col("term") == V.SELF, 1)).alias("copies"),

@@ -18,7 +18,7 @@ FINISHED_OFFSET = 50
 _PATTERNS = {DASHED: (r"\d{4}-\d{2}-\d{2}", "yyyy-MM-dd"), COMPACT: (r"\d{8}", "yyyyMMdd")}
 
 
-def _date_of_path(style: str) -> Column:
+def date_of_path(style: str) -> Column:
     digits, parse = _PATTERNS[style]
     found = F.regexp_extract(F.col("_metadata.file_path"), rf"[/=]({digits})\.json(?:/|$)", 1)
     return F.to_date(F.nullif(found, F.lit("")), parse)
@@ -44,7 +44,7 @@ def read_days(
         if len(paths) == 1 or e.getCondition() != "PATH_NOT_FOUND":
             raise
         raw = reader.json(paths[:1])  # none of the optional days; raises if the anchor is missing
-    return raw.withColumn("snapshot_date", _date_of_path(style))
+    return raw.withColumn("snapshot_date", date_of_path(style))
 
 
 def scan_lookback(

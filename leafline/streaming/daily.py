@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from leafline.sources.snapshots import _date_of_path
+from leafline.sources.snapshots import date_of_path
 
 
 def stream_days(spark: SparkSession, pattern: str, schema: StructType, style: str) -> DataFrame:
     """Snapshot files as a stream, with `snapshot_date` from each file's path.
     `pattern` is a path or glob of the day files."""
-    return spark.readStream.schema(schema).json(pattern).withColumn("snapshot_date", _date_of_path(style))
+    return spark.readStream.schema(schema).json(pattern).withColumn("snapshot_date", date_of_path(style))
 
 
 def run_new_days(days: DataFrame, job: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
