@@ -83,27 +83,37 @@ def restrict_to_vocabulary(words: DataFrame, vocab: DataFrame) -> DataFrame:
     return words.join(F.broadcast(vocab.select("term")), "term", "left_semi")
 
 
-def comment_vectors(bags: DataFrame, vocab: DataFrame, keys: Sequence[str] = COMMENT_KEYS) -> DataFrame:
-    """One row per comment: its unit-length TF-IDF vector `vec` of (term, weight).
-
-    The keys must identify a comment. Words outside the vocabulary are gone
-    before the only shuffle, and a vector is no longer than the vocabulary."""
-    words = bag_of_words(bags, keys).join(F.broadcast(vocab.select("term", "idf")), "term")
-    raw = words.groupBy(*keys).agg(
-        F.collect_set(F.struct("term", (F.col("n") * F.col("idf")).alias("weight"))).alias("raw")
-    )
-    norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda acc, x: acc + x.weight * x.weight))
-    return raw.withColumn("norm", norm).select(
-        *keys,
-        F.transform(
-            "raw", lambda x: F.struct(x.term.alias("term"), (x.weight / F.col("norm")).alias("weight"))
-        ).alias("vec"),
+def tfidf(bags: DataFrame, vocab: DataFrame, keys: Sequence[str] = COMMENT_KEYS) -> DataFrame:
+    """(keys, term, weight) with the weights of a comment at unit length.
+
+    The keys must identify a comment. Bags travel whole, one row per comment, to
+    the one shuffle; the words are unpacked, cut to the vocabulary, weighted and
+    summed where the comment then is."""
+    words = bag_of_words(bags.select(*keys, "bag").repartition(*keys), keys)
+    raw = words.join(F.broadcast(vocab.select("term", "idf")), "term").select(
+        *keys, "term", (F.col("n") * F.col("idf")).alias("raw")
     )
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*keys)))
+    return raw.select(*keys, "term", (F.col("raw") / norm).alias("weight"))
 
 
-def tfidf(bags: DataFrame, vocab: DataFrame, keys: Sequence[str] = COMMENT_KEYS) -> DataFrame:
-    """(keys, term, weight) with the comment's weights at unit length."""
-    return comment_vectors(bags, vocab, keys).select(*keys, F.inline("vec"))
+def tfidf_with_copies(bags: DataFrame, model: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`tfidf` for rows whose keys may repeat: (keys, term, weight, copies).
+
+    Rows alike in all keys fall together. Each brings one `SELF` row, so `copies`
+    counts them, and both the square sum and any later sum of products over
+    such rows are `copies` times those of one comment."""
+    words = bags.select(*keys, "bag").repartition(*keys).select(*keys, F.inline(marked(F.col("bag"))))
+    raw = words.join(F.broadcast(model.select("term", "idf")), "term").select(
+        *keys, "term", (F.col("n") * F.col("idf")).alias("raw")
+    )
+    same = Window.partitionBy(*keys)
+    copies = F.count(F.when(F.col("term") == SELF, 1)).over(same)
+    square = F.sum(F.col("raw") * F.col("raw")).over(same)
+    summed = raw.withColumn("copies", copies).withColumn("square", square)
+    return summed.where(F.col("term") != SELF).select(
+        *keys, "term", (F.col("raw") / F.sqrt(F.col("square") / F.col("copies"))).alias("weight"), "copies"
+    )
 
 
 def score_one(

@@ -141,38 +141,27 @@ def similar_comments_batch(
     the cut to the best rows per review; pairs are never shuffled."""
     keys = (*V.COMMENT_KEYS, "comment_key")
     comments = comments.where(F.col("t_id").isNotNull())  # a comment of no title is excluded everywhere
-    vocab = materialize(
-        V.vocabulary(V.with_bag(comments if fit_on is None else fit_on, lower=True), max_terms), "vocabulary"
+    model = materialize(
+        V.fit(V.with_bag(comments if fit_on is None else fit_on, lower=True), max_terms), "vocabulary"
     )
     review_words = materialize(
-        _review_vectors(reviews, vocab)
+        _review_vectors(reviews, model.where(F.col("term") != V.SELF))
         .withColumnRenamed("weight", "q")
         .join(reviews.select("user_id", F.col("t_id").alias("own_t_id")), "user_id"),
         "review-words",
     )
-    bags = V.with_key(V.with_bag(comments, lower=True))
-    marked = vocab.select("term", "idf").unionByName(
-        vocab.sparkSession.range(1).select(F.lit(V.SELF).alias("term"), F.lit(0.0).alias("idf"))
-    )
-    words = bags.select(*keys, F.inline(V.marked(F.col("bag")))).join(F.broadcast(marked), "term")
-    raw = words.groupBy(*keys).agg(
-        F.collect_set(F.struct("term", (F.col("n") * F.col("idf")).alias("weight"))).alias("raw"),
-        F.count(F.when(F.col("term") == V.SELF, 1)).alias("copies"),
-    )
-    norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda acc, x: acc + x.weight * x.weight))
-    vectors = raw.withColumn("norm", norm)
+    words = V.tfidf_with_copies(V.with_key(V.with_bag(comments, lower=True)), model, keys)
 
     best = None
     for words_of_round, small in _rounds(review_words, broadcast_rows):
         side = F.broadcast(words_of_round) if small else words_of_round
         scores = (
-            vectors.select(*keys, "copies", "norm", F.inline("raw"))
-            .join(side, "term")
+            words.join(side, "term")
             .where(F.col("own_t_id").isNull() | (F.col("t_id") != F.col("own_t_id")))
             .groupBy("user_id", *keys, "copies")
-            .agg(F.sum(F.col("weight") / F.col("norm") * F.col("q")).alias("score"))
-            .where(F.col("score") > 0)
-            .withColumn("score", F.round("score", V.RANK_DIGITS))
+            .agg(F.sum(F.col("weight") * F.col("q")).alias("dot"))
+            .where(F.col("dot") > 0)
+            .select("user_id", *keys, "copies", F.round(F.col("dot") / F.col("copies"), V.RANK_DIGITS).alias("score"))
         )
         part = _take_hits(scores, ["user_id"], skip_top, hits)
         best = part if best is None else best.unionByName(part)

@@ -61,6 +61,15 @@ def scan_offset(
     return read_days(spark, base, schema, [anchor - timedelta(days=offset)], style)
 
 
+def read_table(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
+    """A stored table. `spread` is for heavy work per row, such as splitting text:
+    a scan with fewer tasks than the cluster has cores (few, large row groups)
+    has its rows dealt out evenly; any larger scan is left as it is."""
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
+
+
 def lookback(df: DataFrame, anchor: date, back: int = BACK, on: str = "snapshot_date") -> DataFrame:
     """Rows of the anchor day and the `back` days before it. `on` is a date or a
     timestamp; the plain range on it prunes partitions or row groups."""

@@ -4,6 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leafline.sources.snapshots import read_table
+
 Query = Callable[[SparkSession, str], DataFrame]
 CASES: dict[str, tuple[Query, str | None]] = {}
 
@@ -19,5 +21,8 @@ def case(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+TEXTS = {"documents", "conversations", "pages"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet", spread=name in TEXTS)
