@@ -16,31 +16,39 @@ DOC_KEYS = ("t_id", "comment_key")
 def title_documents(comments: DataFrame, tokens: str | None = None) -> DataFrame:
     """(t_id, comment_key, comment_pos, bag): the distinct comments of each title.
     The same comment seen on several days counts once."""
-    keyed = V.with_key(comments.where(F.col("t_id").isNotNull()))
-    if tokens is None:
-        once = keyed.groupBy("t_id", "comment_key", "comment").agg(F.min("comment_pos").alias("comment_pos"))
-    else:
-        once = keyed.groupBy("t_id", "comment_key", "comment").agg(
-            F.min("comment_pos").alias("comment_pos"), F.min(tokens).alias(tokens)
-        )
-    return V.with_bag(once, tokens=tokens).select(*DOC_KEYS, "comment_pos", "bag")
+    extra = [] if tokens is None else [F.min(tokens).alias(tokens)]
+    once = (
+        comments.where(F.col("t_id").isNotNull())
+        .groupBy("t_id", "comment")
+        .agg(F.min("comment_pos").alias("comment_pos"), *extra)
+    )
+    return V.with_bag(V.with_key(once), tokens=tokens).select(*DOC_KEYS, "comment_pos", "bag")
 
 
-def title_terms(docs: DataFrame, no_below: int = NO_BELOW, no_above: float = NO_ABOVE) -> DataFrame:
-    """(t_id, term, df, n_docs) of the words kept: in at least `no_below` and at
-    most floor(`no_above` x comments) of a title's comments."""
+def _term_df(docs: DataFrame, no_below: int, no_above: float) -> DataFrame:
     n_docs = docs.groupBy("t_id").agg(F.count(F.lit(1)).alias("n_docs"))
     df = V.bag_of_words(docs, ("t_id",)).groupBy("t_id", "term").agg(F.count(F.lit(1)).alias("df"))
     kept = (F.col("df") >= no_below) & (F.col("df") <= F.floor(F.lit(no_above) * F.col("n_docs")))
-    return df.join(n_docs, "t_id").where(kept).select("t_id", "term", "df", "n_docs")
+    return df.join(n_docs, "t_id").select("t_id", "term", "df", "n_docs", kept.alias("kept"))
+
+
+def title_terms(docs: DataFrame, no_below: int = NO_BELOW, no_above: float = NO_ABOVE) -> DataFrame:
+    """(t_id, term, df, n_docs) of the words kept: in at least `no_below` and at
+    most floor(`no_above` x comments) of a title's comments."""
+    return _term_df(docs, no_below, no_above).where("kept").drop("kept")
 
 
-def title_dtm(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(t_id, comment_key, comment_pos, term, n) over the kept words."""
+def dropped_terms(docs: DataFrame, no_below: int = NO_BELOW, no_above: float = NO_ABOVE) -> DataFrame:
+    """(t_id, term) of the other words. At the usual bounds these are few: a title
+    cannot have more words in over 70% of its comments than 1/0.7 times the
+    words of an average comment."""
+    return _term_df(docs, no_below, no_above).where("not kept").select("t_id", "term")
+
+
+def title_dtm(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """(t_id, comment_key, comment_pos, term, n) without the dropped words."""
     words = V.bag_of_words(docs, (*DOC_KEYS, "comment_pos"))
-    return words.join(terms.select("t_id", "term"), ["t_id", "term"], "left_semi").select(
-        *DOC_KEYS, "comment_pos", "term", "n"
-    )
+    return words.join(dropped, ["t_id", "term"], "left_anti").select(*DOC_KEYS, "comment_pos", "term", "n")
 
 
 def skipped_titles(docs: DataFrame, terms: DataFrame) -> DataFrame:

@@ -10,14 +10,12 @@ from pyspark.sql import functions as F
 from leafline.functions.text import tokenize, word_counts
 from leafline.operators import vectors as V
 from leafline.operators.ranking import favourites, genre_boost, max_score_per_title, ranked
-from leafline.session import materialize
+from leafline.session import BROADCAST_ROWS, materialize
 
 SKIP_TOP = 1
 HITS = 20
 TITLES = 5
-# Rows of review words sent to every executor at a time: about 60 bytes each,
-# 30 MB in all. More reviews are scored in several rounds of at most this size.
-BROADCAST_ROWS = 500_000
+# buckets of users that rounds of reviews are packed from
 _BUCKETS = 1024
 
 
@@ -108,8 +106,8 @@ def recommend_titles(
 
 
 def _rounds(review_words: DataFrame, max_rows: int) -> list[tuple[DataFrame, bool]]:
-    """Split the review words by user into rounds of at most `max_rows` rows.
-    The flag says that the size was checked, i.e. that it may be broadcast."""
+    """Split the review words by user into rounds of at most `max_rows` rows,
+    each to be broadcast in turn. The flag says that the size was checked, i.e. that it may be broadcast."""
     bucket = F.pmod(F.xxhash64("user_id"), F.lit(_BUCKETS))
     sizes = review_words.groupBy(bucket.alias("b")).count().orderBy("b").collect()
     rounds: list[tuple[list[int], int]] = []

@@ -11,12 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafline.operators import title_words as T
-from leafline.session import materialize
+from leafline.session import broadcast_if_small, materialize
 
 NUM_TOPICS = 5
 WORDS = 3
 MAX_TERMS = 1 << 18
-ITERATIONS = 20
+MIN_ITERATIONS = 10
 # a title with more (comment, word) counts than this is not given to one task
 LOCAL_ENTRIES = 1_000_000
 CHUNK = 2000
@@ -24,13 +24,15 @@ CHUNK = 2000
 
 def _stored_dtm(comments: DataFrame, tokens: str | None) -> DataFrame:
     docs = materialize(T.title_documents(comments, tokens), "title-documents")
-    return materialize(T.title_dtm(docs, T.title_terms(docs)), "title-words")
+    dropped = broadcast_if_small(materialize(T.dropped_terms(docs), "dropped-words"))
+    return materialize(T.title_dtm(docs, dropped), "title-words")
 
 
-def _fit(dtm: DataFrame, k: int, max_terms: int, iterations: int, seed: int):
+def _fit(dtm: DataFrame, k: int, max_terms: int, iterations: int | None, seed: int):
     """One LDA model over all comments of `dtm`; (per-comment topic shares, term
-    table). Each round of the fit reads about 1/20 of the comments, or CHUNK of
-    them where that is more; the model then scores every comment."""
+    table). A round of the fit draws about 1/20 of the comments, or CHUNK of them
+    where that is more, and by default there are as many rounds as make up one
+    pass (at least MIN_ITERATIONS). The model then scores every comment."""
     words = dtm.groupBy(*T.DOC_KEYS).agg(
         F.flatten(F.collect_list(F.array_repeat("term", F.col("n").cast("int")))).alias("words")
     )
@@ -41,6 +43,7 @@ def _fit(dtm: DataFrame, k: int, max_terms: int, iterations: int, seed: int):
     counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=max_terms).fit(words)
     features = counter.transform(words).drop("words")
     share = min(1.0, max(0.05, CHUNK / n))
+    iterations = iterations or max(MIN_ITERATIONS, round(1 / share))
     model = LDA(
         k=k, maxIter=iterations, seed=seed, optimizer="online", optimizeDocConcentration=True, subsamplingRate=share
     ).fit(features)
@@ -64,7 +67,7 @@ def title_topics(
     num_topics: int = NUM_TOPICS,
     n_words: int = WORDS,
     max_terms: int = MAX_TERMS,
-    iterations: int = ITERATIONS,
+    iterations: int | None = None,
     seed: int = 0,
     tokens: str | None = None,
 ) -> DataFrame:
@@ -98,14 +101,11 @@ def title_topics(
 
 
 def _digamma(x: np.ndarray) -> np.ndarray:
-    """Shift up to x >= 6 by the recurrence, then the asymptotic series."""
-    shift = np.zeros_like(x)
-    for _ in range(6):
-        small = x < 6
-        shift -= np.where(small, 1 / np.where(small, x, 1.0), 0.0)
-        x = np.where(small, x + 1, x)
-    r = 1 / (x * x)
-    return shift + np.log(x) - 0.5 / x - r * (1 / 12 - r * (1 / 120 - r / 252))
+    """The asymptotic series at x + 6, brought back by the recurrence."""
+    y = x + 6
+    r = 1 / (y * y)
+    series = np.log(y) - 0.5 / y - r * (1 / 12 - r * (1 / 120 - r / 252))
+    return series - sum(1 / (x + i) for i in range(6))
 
 
 def _expected_log(p: np.ndarray) -> np.ndarray:
@@ -176,7 +176,7 @@ def title_topics_local(
     n_words: int = WORDS,
     local_entries: int = LOCAL_ENTRIES,
     max_terms: int = MAX_TERMS,
-    iterations: int = ITERATIONS,
+    iterations: int | None = None,
     seed: int = 0,
     tokens: str | None = None,
 ) -> DataFrame:

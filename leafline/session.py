@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -65,3 +66,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# rows of a few short columns, about 60 bytes each: 30 MB per executor
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark `df` for broadcast if it has at most `max_rows` rows, else leave the
+    join to Spark. The count stops at the bound; `df` should be cheap to read."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -16,8 +16,22 @@ CSV_TO_JSON = {"serial": "id", "pic": "picUrl"}
 CSV_LISTS = ("day", "key_words", "best_comments")
 
 
-def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = ("snapshot_date",), mode: str = "error") -> None:
-    df.write.mode(mode).partitionBy(*partition_by).json(path)
+def _by_folder(df: DataFrame, partition_by: Sequence[str], rebalance: bool) -> DataFrame:
+    """Bring a folder's rows together before the write, so that not every task
+    adds a file to every folder; adaptive execution splits a folder that is too
+    large for one task."""
+    return df.hint("rebalance", *partition_by) if rebalance else df
+
+
+def write_json(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = ("snapshot_date",),
+    mode: str = "error",
+    rebalance: bool = True,
+) -> None:
+    """JSON lines in one folder per day."""
+    _by_folder(df, partition_by, rebalance).write.mode(mode).partitionBy(*partition_by).json(path)
 
 
 def write_partitioned(
@@ -27,12 +41,8 @@ def write_partitioned(
     mode: str = "error",
     rebalance: bool = True,
 ) -> None:
-    """Dataset / weekday / day folders of Parquet. Rebalancing brings a folder's
-    rows together before the write, so that each task does not add a file to each
-    folder; adaptive execution splits a folder that is too large for one task."""
-    if rebalance:
-        df = df.hint("rebalance", *partition_by)
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    """Dataset / weekday / day folders of Parquet."""
+    _by_folder(df, partition_by, rebalance).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def lists_as_json(df: DataFrame) -> DataFrame:

@@ -8,16 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafline.operators.ranking import latest_per_key
+from leafline.session import broadcast_if_small
 
 
 def upsert(existing: DataFrame, updates: DataFrame, key: str, order: Sequence[Column | str]) -> DataFrame:
     """`existing` with every item of `updates` put in; columns an update lacks are
     null in the result, as the whole item is replaced. Updates are cut to one
-    row per key (first in `order`). Existing rows only meet the update keys, so
-    they are not shuffled where those are few, and are neither sorted nor
-    windowed in any case."""
+    row per key (first in `order`). Existing rows only meet the update keys: where
+    those are few, as after a usual day, the stored table is not shuffled."""
     new = latest_per_key(updates, key, order)
-    kept = existing.join(new.select(key), key, "left_anti")
+    kept = existing.join(broadcast_if_small(updates.select(key).distinct()), key, "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 
 

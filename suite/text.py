@@ -88,7 +88,7 @@ _BY_ROLE_SQL = "SELECT 'N' || conv_id || role AS t_id, turn AS comment_pos, text
 @case(f"{_DTM.replace("{source}", COMMENTS_SQL)} SELECT t_id, comment_pos, term, n FROM bag SEMI JOIN kept USING (t_id, term)")
 def title_dtm(spark, sf):
     docs = T.title_documents(conversation_comments(spark, sf))
-    return T.title_dtm(docs, T.title_terms(docs)).select("t_id", "comment_pos", "term", "n")
+    return T.title_dtm(docs, T.dropped_terms(docs)).select("t_id", "comment_pos", "term", "n")
 
 
 @case(f"{_DTM.replace("{source}", _BY_ROLE_SQL)} SELECT DISTINCT t_id FROM src ANTI JOIN kept USING (t_id)")
