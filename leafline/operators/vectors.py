@@ -1,8 +1,8 @@
 """Bags of words, vocabulary, inverse document frequency, TF-IDF and cosine.
 
 A *comment row* has key columns (by default `t_id` and `comment_pos`), the text
-`comment` and, from `with_bag` on, `bag`: its words and their counts. The counts
-are made inside the row, so a corpus is never shuffled word by word.
+`comment` and, from `with_bag` on, `words` and `bag`, the words with their counts.
+The counts are made inside the row, so a corpus is never shuffled word by word.
 """
 
 from __future__ import annotations
@@ -27,10 +27,12 @@ SELF = ""
 
 
 def with_bag(comments: DataFrame, lower: bool = False, tokens: str | None = None) -> DataFrame:
-    """Add `bag`. `tokens` names a ready-made array column (say, from a
-    morphological tagger) to use instead of splitting `comment`."""
-    words = F.col(tokens) if tokens else tokenize(F.col("comment"), lower=lower)
-    return comments.withColumn("bag", word_counts(F.coalesce(words, F.array().cast("array<string>"))))
+    """Add `words` and `bag`, its counted form. `tokens` names a ready-made array
+    column (say, from a morphological tagger) to use instead of splitting
+    `comment`."""
+    found = F.col(tokens) if tokens else tokenize(F.col("comment"), lower=lower)
+    words = F.coalesce(found, F.array().cast("array<string>"))
+    return comments.withColumn("words", words).withColumn("bag", word_counts(F.col("words")))
 
 
 def with_key(bags: DataFrame) -> DataFrame:
@@ -51,10 +53,18 @@ def marked(bag: Column) -> Column:
 
 
 def term_stats(bags: DataFrame) -> DataFrame:
-    """(term, tf, df) over the corpus, the `SELF` row included. Partial
+    """(term, tf, df) over the corpus, the `SELF` row included.
+
+    Every word counts towards tf, every distinct word of a comment towards df. The
+    sums need no counts per comment, so those are not made here. Partial
     aggregation leaves at most one row per word and task to shuffle."""
-    words = bags.select(F.inline(marked(F.col("bag"))))
-    return words.groupBy("term").agg(F.sum("n").alias("tf"), F.count(F.lit(1)).alias("df"))
+    once = F.concat(F.array(F.lit(SELF)), F.array_distinct("words"))
+    both = F.array(
+        F.struct(F.col("words").alias("terms"), F.lit(1).cast("long").alias("tf"), F.lit(0).cast("long").alias("df")),
+        F.struct(once.alias("terms"), F.lit(0).cast("long").alias("tf"), F.lit(1).cast("long").alias("df")),
+    )
+    rows = bags.select(F.inline(both)).select(F.explode_outer("terms").alias("term"), "tf", "df")
+    return rows.where(F.col("term").isNotNull()).groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
 def smooth_idf(n_docs: Column, df: Column) -> Column:
@@ -97,45 +107,44 @@ def tfidf(bags: DataFrame, vocab: DataFrame, keys: Sequence[str] = COMMENT_KEYS)
     return raw.select(*keys, "term", (F.col("raw") / norm).alias("weight"))
 
 
-def tfidf_with_copies(bags: DataFrame, model: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """`tfidf` for rows whose keys may repeat: (keys, term, weight, copies).
+def tfidf_with_copies(bags: DataFrame, vocab: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`tfidf` for rows whose keys may repeat: (keys, copies, term, weight).
 
-    Rows alike in all keys fall together. Each brings one `SELF` row, so `copies`
-    counts them, and both the square sum and any later sum of products over
-    such rows are `copies` times those of one comment."""
-    words = bags.select(*keys, "bag").repartition(*keys).select(*keys, F.inline(marked(F.col("bag"))))
-    raw = words.join(F.broadcast(model.select("term", "idf")), "term").select(
-        *keys, "term", (F.col("n") * F.col("idf")).alias("raw")
-    )
-    same = Window.partitionBy(*keys)
-    copies = F.count(F.when(F.col("term") == SELF, 1)).over(same)
-    square = F.sum(F.col("raw") * F.col("raw")).over(same)
-    summed = raw.withColumn("copies", copies).withColumn("square", square)
-    return summed.where(F.col("term") != SELF).select(
-        *keys, "term", (F.col("raw") / F.sqrt(F.col("square") / F.col("copies"))).alias("weight"), "copies"
-    )
+    Rows alike in all keys become one with their number, in the map tasks
+    already, so that any number of copies is one row to shuffle."""
+    once = bags.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), F.first("words").alias("words"))
+    with_copies = (*keys, "copies")
+    words = bag_of_words(once.select(*with_copies, word_counts(F.col("words")).alias("bag")), with_copies)
+    raw = words.join(F.broadcast(vocab.select("term", "idf")), "term").withColumn("raw", F.col("n") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*keys)))
+    return raw.select(*with_copies, "term", (F.col("raw") / norm).alias("weight"))
 
 
 def score_one(
-    bags: DataFrame, model: DataFrame, review_bag: DataFrame, keys: Sequence[str] = COMMENT_KEYS
+    bags: DataFrame, model: DataFrame, review_words: Column, keys: Sequence[str] = COMMENT_KEYS
 ) -> DataFrame:
-    """Cosine of every comment with one review: (keys, comment_key, copies, score).
+    """Positive cosines of comments with one review: (keys, comment_key, copies, score).
 
-    `model` comes from `fit`, `review_bag` holds the review's (term, n). The review
-    is weighted against the vocabulary first; that table is bounded by the
-    vocabulary and broadcast. Product and length of a comment are then plain sums
-    over its words, which partial aggregation folds to one narrow row per comment
+    `model` comes from `fit`, `review_words` is a constant array. The review is
+    weighted against the vocabulary first; that table is bounded by the vocabulary
+    and broadcast. Comments without a word of the review are passed over before
+    their words are counted. Product and length of the others are plain sums over
+    their words, which partial aggregation folds to one narrow row per comment
     before the shuffle. Rows alike in keys and text fall together; `copies`, the
     count of their `SELF` rows, takes them apart again."""
-    q = F.coalesce(F.col("r.n"), F.lit(0)) * F.col("f.idf")
+    review = bags.sparkSession.range(1).select(F.inline(word_counts(review_words)))
+    q = F.coalesce(F.col("r.n"), F.lit(0)) * F.col("m.idf")
     weights = (
-        model.alias("f")
-        .join(F.broadcast(review_bag).alias("r"), "term", "left")
+        model.alias("m")
+        .join(F.broadcast(review).alias("r"), "term", "left")
         .select("term", "idf", q.alias("q"))
         .withColumn("q_norm", F.sqrt(F.sum(F.col("q") * F.col("q")).over(Window.partitionBy())))
         .select("term", "idf", F.when(F.col("q_norm") > 0, F.col("q") / F.col("q_norm")).otherwise(0.0).alias("q"))
     )
-    words = with_key(bags).select(*keys, "comment_key", F.inline(marked(F.col("bag"))))
+    shared = F.arrays_overlap("words", review_words)
+    # counted here and not read from `bag`, so that it is done for these rows only
+    counted = F.when(shared, marked(word_counts(F.col("words")))).otherwise(F.array().cast("array<struct<term:string,n:bigint>>"))
+    words = with_key(bags).select(*keys, "comment_key", F.inline(counted))
     w = F.col("n") * F.col("idf")
     sums = (
         words.join(F.broadcast(weights), "term")

@@ -19,12 +19,6 @@ TITLES = 5
 _BUCKETS = 1024
 
 
-def review_bag(spark, review: str) -> DataFrame:
-    """(term, n) of one review, lower-cased as the comments are."""
-    row = spark.range(1).select(word_counts(tokenize(F.lit(review), lower=True)).alias("bag"))
-    return row.select(F.inline("bag"))
-
-
 def review_tfidf(comments: DataFrame, reviews: DataFrame, max_terms: int = V.MAX_TERMS) -> DataFrame:
     """(user_id, term, weight): reviews in the vocabulary of the comments."""
     vocab = V.vocabulary(V.with_bag(comments, lower=True), max_terms)
@@ -44,7 +38,7 @@ def cosine_scores(
     if exclude is not None:
         comments = comments.where(F.col("t_id") != exclude)
     bags = V.with_bag(comments, lower=True, tokens=tokens)
-    return V.score_one(bags, V.fit(bags, max_terms), review_bag(comments.sparkSession, review))
+    return V.score_one(bags, V.fit(bags, max_terms), tokenize(F.lit(review), lower=True))
 
 
 def _hit_order() -> list[Column]:
@@ -139,16 +133,16 @@ def similar_comments_batch(
     the cut to the best rows per review; pairs are never shuffled."""
     keys = (*V.COMMENT_KEYS, "comment_key")
     comments = comments.where(F.col("t_id").isNotNull())  # a comment of no title is excluded everywhere
-    model = materialize(
-        V.fit(V.with_bag(comments if fit_on is None else fit_on, lower=True), max_terms), "vocabulary"
+    vocab = materialize(
+        V.vocabulary(V.with_bag(comments if fit_on is None else fit_on, lower=True), max_terms), "vocabulary"
     )
     review_words = materialize(
-        _review_vectors(reviews, model.where(F.col("term") != V.SELF))
+        _review_vectors(reviews, vocab)
         .withColumnRenamed("weight", "q")
         .join(reviews.select("user_id", F.col("t_id").alias("own_t_id")), "user_id"),
         "review-words",
     )
-    words = V.tfidf_with_copies(V.with_key(V.with_bag(comments, lower=True)), model, keys)
+    words = V.tfidf_with_copies(V.with_key(V.with_bag(comments, lower=True)), vocab, keys)
 
     best = None
     for words_of_round, small in _rounds(review_words, broadcast_rows):
@@ -157,9 +151,9 @@ def similar_comments_batch(
             words.join(side, "term")
             .where(F.col("own_t_id").isNull() | (F.col("t_id") != F.col("own_t_id")))
             .groupBy("user_id", *keys, "copies")
-            .agg(F.sum(F.col("weight") * F.col("q")).alias("dot"))
-            .where(F.col("dot") > 0)
-            .select("user_id", *keys, "copies", F.round(F.col("dot") / F.col("copies"), V.RANK_DIGITS).alias("score"))
+            .agg(F.sum(F.col("weight") * F.col("q")).alias("score"))
+            .where(F.col("score") > 0)
+            .withColumn("score", F.round("score", V.RANK_DIGITS))
         )
         part = _take_hits(scores, ["user_id"], skip_top, hits)
         best = part if best is None else best.unionByName(part)
