@@ -204,3 +204,8 @@ def title_topics_local(
             best.select(F.lit(t_id).alias("t_id"), _in_topic_order(entries, n_words).alias("t_topics"))
         )
     return topics
+
+
+def topic_items(topics: DataFrame) -> DataFrame:
+    """Topics in the stored table's column names."""
+    return topics.select(F.col("t_id").alias("t_index"), "t_topics")

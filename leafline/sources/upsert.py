@@ -11,14 +11,16 @@ from leafline.operators.ranking import latest_per_key
 from leafline.session import broadcast_if_small
 
 
-def upsert(existing: DataFrame, updates: DataFrame, key: str, order: Sequence[Column | str]) -> DataFrame:
+def upsert(
+    existing: DataFrame, updates: DataFrame, key: str, order: Sequence[Column | str] | None = None
+) -> DataFrame:
     """`existing` with every item of `updates` put in; columns an update lacks are
     null in the result, as the whole item is replaced. Updates are cut to one
-    row per key (first in `order`). Existing rows only meet the update keys: where
+    row per key (first in `order`), or are so already if no order is given. Existing rows only meet the update keys: where
     those are few, as after a usual day, the stored table is not shuffled. An item
     without a key cannot be stored."""
     updates = updates.where(F.col(key).isNotNull())
-    new = latest_per_key(updates, key, order)
+    new = updates if order is None else latest_per_key(updates, key, order)
     kept = existing.join(broadcast_if_small(updates.select(key).distinct()), key, "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 

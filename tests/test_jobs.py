@@ -1,0 +1,52 @@
+import json
+from datetime import date, timedelta
+
+import pytest
+
+from leafline import jobs
+from leafline.sources.upsert import read_version
+
+D = date(2024, 3, 10)
+
+
+@pytest.fixture
+def bases(tmp_path):
+    for name in ("n", "k", "f"):
+        (tmp_path / name).mkdir()
+
+    def n(i, comments, **more):
+        return {"t_IDs": i, "t_names": f"n{i}", "t_genre": "일상, 개그", "t_weekdays": ["mon"], "t_comments": comments, **more}
+
+    def put(folder, key, rows):
+        (tmp_path / folder / f"{key}.json").write_text(json.dumps(rows, ensure_ascii=False), encoding="utf-8")
+
+    put("n", "20240310", [n("1", ["검은 고양이 정말 좋다", "고양이 강아지"]), n("2", ["무서운 이야기 밤에", "이야기 최고"])])
+    put("n", "20240308", [n("1", ["옛날 이야기 고양이"], t_names="old"), n("3", ["검은 고양이 이야기"])])
+    put("k", "2024-03-10", [{"id": 5, "title": "k5", "genre": "일상/판타지", "best_comments": ["검은 고양이 좋다", "밤에 강아지"]}])
+    put("f", (D - timedelta(50)).strftime("%Y%m%d"), [{"t_IDs": "2", "t_names": "ended", "t_genre": "x"}])
+    return {k: f"{tmp_path}/{k}/" for k in ("n", "k", "f")} | {"out": str(tmp_path / "tables")}
+
+
+def test_info_then_finished_titles(spark, bases):
+    table = bases["out"] + "/info"
+    jobs.info_job(spark, bases["n"], bases["k"], D, table, 1)
+    assert {r.t_id: r.title for r in read_version(spark, table, 1).collect()} == {"N1": "n1", "N2": "n2", "N3": "n3", "K5": "k5"}
+    jobs.finished_job(spark, bases["f"], D, table, 2)
+    second = {r.t_id: r for r in read_version(spark, table, 2).collect()}
+    assert second["N2"].title == "ended" and second["N2"].weekdays is None and second["N1"].weekdays == ["mon"]
+    assert len(second) == 4
+
+
+def test_comments_and_topics(spark, bases):
+    jobs.comments_job(spark, bases["n"], bases["k"], D, bases["out"] + "/comments", 1)
+    got = {r.t_id: r.best_comments for r in read_version(spark, bases["out"] + "/comments", 1).collect()}
+    assert got["N1"] == ["검은 고양이 정말 좋다", "고양이 강아지"] and set(got) == {"N1", "N2", "N3", "K5"}
+    jobs.topics_job(spark, bases["n"], D, bases["out"] + "/topics", 1)
+    topics = {r.t_index: r.t_topics for r in read_version(spark, bases["out"] + "/topics", 1).collect()}
+    assert set(topics) == {"N1", "N2"}  # a title with one comment has no words left
+    assert all(1 <= len(t) <= 3 for t in topics.values())
+
+
+def test_recommend(spark, bases):
+    best = jobs.recommend_job(spark, bases["n"], bases["k"], D, D, "N2", ["판타지"], "검은 고양이 강아지").collect()
+    assert best and "N2" not in {r.t_id for r in best} and [r["rank"] for r in best] == list(range(1, len(best) + 1))
