@@ -30,7 +30,7 @@ def with_bag(comments: DataFrame, lower: bool = False, tokens: str | None = None
     """Add `words` and `bag`, its counted form. `tokens` names a ready-made array
     column (say, from a morphological tagger) to use instead of splitting
     `comment`."""
-    found = F.col(tokens) if tokens else tokenize(F.col("comment"), lower=lower)
+    found = F.array_compact(tokens) if tokens else tokenize(F.col("comment"), lower=lower)
     words = F.coalesce(found, F.array().cast("array<string>"))
     return comments.withColumn("words", words).withColumn("bag", word_counts(F.col("words")))
 
@@ -71,22 +71,30 @@ def smooth_idf(n_docs: Column, df: Column) -> Column:
     return F.log((n_docs + 1) / (df + 1)) + 1
 
 
-def fit(bags: DataFrame, max_terms: int) -> DataFrame:
-    """The vocabulary with its IDF, and the `SELF` row with weight 0: at most
-    `max_terms` + 1 rows whatever the corpus, hence safe to broadcast and to
-    put into one window."""
+def model(stats: DataFrame, max_terms: int) -> DataFrame:
+    """The vocabulary of `term_stats` with its IDF, and the `SELF` row with weight
+    0: at most `max_terms` + 1 rows whatever the corpus, hence safe to broadcast
+    and to put into one window."""
     is_self = F.col("term") == SELF
-    top = term_stats(bags).orderBy(is_self.desc(), F.col("tf").desc(), "term").limit(max_terms + 1)
+    top = stats.orderBy(is_self.desc(), F.col("tf").desc(), "term").limit(max_terms + 1)
     n_docs = F.max(F.when(is_self, F.col("df"))).over(Window.partitionBy())
     return top.withColumn("n_docs", n_docs).withColumn(
         "idf", F.when(is_self, F.lit(0.0)).otherwise(smooth_idf(F.col("n_docs"), F.col("df")))
     )
 
 
+def without(stats: DataFrame, part: DataFrame) -> DataFrame:
+    """Statistics of a corpus once a part of it, with statistics `part`, is left out."""
+    left = stats.alias("a").join(part.alias("p"), "term", "left").select(
+        "term", *[(F.col(f"a.{c}") - F.coalesce(f"p.{c}", F.lit(0))).alias(c) for c in ("tf", "df")]
+    )
+    return left.where((F.col("df") > 0) | (F.col("term") == SELF))
+
+
 def vocabulary(bags: DataFrame, max_terms: int = MAX_TERMS) -> DataFrame:
     """The `max_terms` most frequent words (ties in word order) with `tf`, `df`,
     `n_docs` and smooth `idf`."""
-    return fit(bags, max_terms).where(F.col("term") != SELF)
+    return model(term_stats(bags), max_terms).where(F.col("term") != SELF)
 
 
 def restrict_to_vocabulary(words: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -121,11 +129,11 @@ def tfidf_with_copies(bags: DataFrame, vocab: DataFrame, keys: Sequence[str]) ->
 
 
 def score_one(
-    bags: DataFrame, model: DataFrame, review_words: Column, keys: Sequence[str] = COMMENT_KEYS
+    bags: DataFrame, fitted: DataFrame, review_words: Column, keys: Sequence[str] = COMMENT_KEYS
 ) -> DataFrame:
     """Positive cosines of comments with one review: (keys, comment_key, copies, score).
 
-    `model` comes from `fit`, `review_words` is a constant array. The review is
+    `fitted` comes from `model`, `review_words` is a constant array. The review is
     weighted against the vocabulary first; that table is bounded by the vocabulary
     and broadcast. Comments without a word of the review are passed over before
     their words are counted. Product and length of the others are plain sums over
@@ -135,7 +143,7 @@ def score_one(
     review = bags.sparkSession.range(1).select(F.inline(word_counts(review_words)))
     q = F.coalesce(F.col("r.n"), F.lit(0)) * F.col("m.idf")
     weights = (
-        model.alias("m")
+        fitted.alias("m")
         .join(F.broadcast(review).alias("r"), "term", "left")
         .select("term", "idf", q.alias("q"))
         .withColumn("q_norm", F.sqrt(F.sum(F.col("q") * F.col("q")).over(Window.partitionBy())))

@@ -30,15 +30,32 @@ def _review_vectors(reviews: DataFrame, vocab: DataFrame) -> DataFrame:
     return V.tfidf(bags, vocab, keys=("user_id",))
 
 
+def corpus_stats(comments: DataFrame, tokens: str | None = None) -> DataFrame:
+    """Word statistics of all comments. Kept as a table, they spare each single
+    review the pass that fits its model: its own title's words are subtracted."""
+    named = comments.where(F.col("t_id").isNotNull())
+    return V.term_stats(V.with_bag(named, lower=True, tokens=tokens))
+
+
 def cosine_scores(
-    comments: DataFrame, review: str, exclude: str | None = None, max_terms: int = V.MAX_TERMS, tokens: str | None = None
+    comments: DataFrame,
+    review: str,
+    exclude: str | None = None,
+    max_terms: int = V.MAX_TERMS,
+    tokens: str | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """Every comment with a positive cosine to the review. The vocabulary is
-    fitted on the comments that remain once the reviewed title is left out."""
-    if exclude is not None:
-        comments = comments.where(F.col("t_id") != exclude)
-    bags = V.with_bag(comments, lower=True, tokens=tokens)
-    return V.score_one(bags, V.fit(bags, max_terms), tokenize(F.lit(review), lower=True))
+    fitted on the comments that remain once the reviewed title is left out;
+    `stats` are those of all `comments`, if at hand."""
+    others = comments.where(F.col("t_id") != exclude) if exclude is not None else comments.where(F.col("t_id").isNotNull())
+    bags = V.with_bag(others, lower=True, tokens=tokens)
+    if stats is None:
+        stats = V.term_stats(bags)
+    elif exclude is not None:
+        own = V.with_bag(comments.where(F.col("t_id") == exclude), lower=True, tokens=tokens)
+        stats = V.without(stats, V.term_stats(own))
+    return V.score_one(bags, V.model(stats, max_terms), tokenize(F.lit(review), lower=True))
 
 
 def _hit_order() -> list[Column]:
@@ -61,9 +78,10 @@ def similar_comments(
     hits: int = HITS,
     max_terms: int = V.MAX_TERMS,
     tokens: str | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """The comments ranked skip_top+1 .. skip_top+hits by cosine, positive only."""
-    return _take_hits(cosine_scores(comments, review, exclude, max_terms, tokens), [], skip_top, hits)
+    return _take_hits(cosine_scores(comments, review, exclude, max_terms, tokens, stats), [], skip_top, hits)
 
 
 def join_scores(info: DataFrame, scores: DataFrame) -> DataFrame:
@@ -82,12 +100,14 @@ def recommend_titles(
     titles: int = TITLES,
     max_terms: int = V.MAX_TERMS,
     tokens: str | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """(user_t_id, rank, t_id, score): up to `titles` titles for one review.
 
     `info` holds one row per t_id; `comments` one row per comment. A favourite
-    that is neither text nor a list counts as the default genre."""
-    found = similar_comments(comments, review, reviewed, skip_top, hits, max_terms, tokens)
+    that is neither text nor a list counts as the default genre. `stats` from
+    `corpus_stats` of the same comments save a pass over them."""
+    found = similar_comments(comments, review, reviewed, skip_top, hits, max_terms, tokens, stats)
     names = [fav_genres] if isinstance(fav_genres, str) else list(fav_genres or [])
     favs = favourites(F.array(*map(F.lit, names)).cast("array<string>"))
     boosted = join_scores(info.select("t_id", "genre"), max_score_per_title(found)).select(

@@ -58,7 +58,7 @@ def _fit(dtm: DataFrame, k: int, max_terms: int, iterations: int | None, seed: i
 
 def _in_topic_order(entries: list[Column], n_words: int) -> Column:
     """Words of (order, term) structs: sorted, distinct, the first `n_words`."""
-    words = F.transform(F.array_sort(F.array(*entries)), lambda e: e.term)
+    words = F.transform(F.sort_array(F.array(*entries)), lambda e: e.term)
     return F.slice(F.array_distinct(F.filter(words, lambda w: w.isNotNull())), 1, n_words)
 
 

@@ -34,7 +34,8 @@ def _n_text(df):
     )
 
 
-@case(f"SELECT id, title, story_line, array_to_string(best_comments, '|') AS best_comments, snapshot_date::VARCHAR AS day FROM ({RAW_K_SQL})")
+@case(f"""SELECT id, title, story_line, array_to_string(best_comments, '|') AS best_comments,
+  snapshot_date::VARCHAR AS day FROM ({RAW_K_SQL})""")
 def scan_json_dashed(spark, sf):
     # 35 days back: the table holds 30 days, the rest are missing and skipped
     days = S.scan_lookback(spark, _write_days(raw_k(spark, sf), spark, "yyyy-MM-dd"), SC.K_JSON, ANCHOR, DASHED, 35)

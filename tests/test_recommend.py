@@ -162,3 +162,14 @@ def test_offset_and_dedup(spark):
     df = spark.range(10).select(F.col("id").alias("rank"), (F.col("id") % 3).alias("k"))
     assert [r["rank"] for r in R.offset_limit(df, [F.col("rank").desc()], 1, 2).collect()] == [8, 7]
     assert sorted(tuple(r) for r in R.dedup_keep_best(df, ["k"]).collect()) == [(0, 0), (1, 1), (2, 2)]
+
+
+@pytest.mark.parametrize("reviewed", ["N3", "N99", None])
+def test_stored_statistics_give_the_same_model(spark, reviewed):
+    comments = frame(spark, corpus(6) + [(None, 0, "aa bb zz"), ("N3", 9, "only here"), ("N3", 10, "")])
+    stats = P.corpus_stats(comments)
+    for max_terms in (3, 2000):
+        once = P.similar_comments(comments, "aa bb 가나 only", reviewed, max_terms=max_terms)
+        again = P.similar_comments(comments, "aa bb 가나 only", reviewed, max_terms=max_terms, stats=stats)
+        near(plain(again), plain(once))
+    assert once.count() > 0

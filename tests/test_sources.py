@@ -148,3 +148,11 @@ def test_session_helpers(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     conf = object_store_conf("https://store.example")
     assert "spark.hadoop.fs.s3a.access.key" not in conf and len(object_store_conf("e", "a", "b")) == 4
+
+
+def test_first_looks(spark, tmp_path):
+    write_day(tmp_path, ANCHOR, [record("2"), record("1")])
+    assert "t_comments" in S.infer_schema(spark, f"{tmp_path}/20240310.json").names
+    days = S.scan_lookback(spark, f"{tmp_path}/", SC.N_RUNNING, ANCHOR, COMPACT)
+    assert [r.t_IDs for r in S.preview(days, ["t_IDs"], 1).collect()] == ["1"]
+    assert [tuple(r) for r in S.snapshot_counts(days).collect()] == [(ANCHOR, 2)]

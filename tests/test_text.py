@@ -49,7 +49,8 @@ def test_bag_of_empty_and_missing(spark):
 
 
 def test_tokens_column_replaces_splitting(spark):
-    df = spark.createDataFrame([("a", 0, "ignored text", ["명사", "명사"])], "t_id string, comment_pos int, comment string, tok array<string>")
+    row = ("a", 0, "ignored text", [None, "명사", None, "명사"])
+    df = spark.createDataFrame([row], "t_id string, comment_pos int, comment string, tok array<string>")
     rows = V.bag_of_words(V.with_bag(df, tokens="tok")).collect()
     assert [tuple(r) for r in rows] == [("a", 0, "명사", 2)]
 
