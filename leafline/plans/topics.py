@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
@@ -13,6 +16,10 @@ from pyspark.sql import functions as F
 from leafline.operators import title_words as T
 from leafline.session import broadcast_if_small, materialize
 
+# send the model's functions to the tasks themselves, so that executors need
+# numpy and pandas but not this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NUM_TOPICS = 5
 WORDS = 3
 MAX_TERMS = 1 << 18

@@ -1,0 +1,19 @@
+import subprocess
+import sys
+
+from pyspark import cloudpickle
+
+from leafline.plans import topics
+
+
+def test_tasks_do_not_need_the_package(tmp_path):
+    """Executors hold numpy and pandas only: unpickle and run from elsewhere."""
+    (tmp_path / "fn.bin").write_bytes(cloudpickle.dumps(topics._one_title(2, 3, 0)))
+    code = (
+        "import pickle, pandas as pd\n"
+        "run = pickle.load(open('fn.bin', 'rb'))\n"
+        "g = pd.DataFrame({'doc': [1, 1, 2], 'term': ['aa', 'bb', 'cc'], 'n': [1, 2, 1]})\n"
+        "print(len(run(('N1',), g)['t_topics'][0]))\n"
+    )
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert out.stdout.strip() in {"1", "2"}, out.stderr
