@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafline.llm import exact_dedup, lang_id, sharding, url_rules
+from leafline.llm import exact_dedup, lang_id, leaks, mixing, sharding, token_scan, toxicity, url_rules
 from leafline.llm.text import crc_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,31 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row"
     )
+
+
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_of("doc_id") % 3 == 1
+    found = toxicity.score_documents(docs, toxicity.fit(docs.where(~held_out), labels))
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
+
+
+@query(f"SELECT doc_id, len({WORDS_SQL}) AS n_tokens FROM documents")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_scan.document_lengths(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = leaks.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("leaks") > 0).alias("leaked"), F.col("leaks.item_id").alias("item_ids"))
+
+
+@query()
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
