@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafline.llm import exact_dedup, lang_id, leaks, mixing, sharding, token_scan, toxicity, url_rules
+from leafline.llm import exact_dedup, lang_id, leaks, mixing, near_dup, sharding, token_scan, toxicity, url_rules
 from leafline.llm.text import crc_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query(f"SELECT doc_id, len({WORDS_SQL}) AS n_tokens FROM documents")
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_scan.document_lengths(table(spark, sf_dir, "documents"))
