@@ -145,7 +145,8 @@ def copy_numbers(sized: DataFrame, targets: DataFrame, seed: int = 0) -> DataFra
         level = folded.join(broadcast_if_small(left), F.col("source").eqNullSafe(F.col("__s"))).select(
             "source", "c.h", "c.d", "c.s", "c.p", uniform(F.col("c.h"), F.lit(seed), F.lit(salt)).alias("u"), "n"
         )
-    final = uniform(F.col("c.h"), F.lit(seed), F.lit(salt)) < F.col("c.p")
+    # rounded, not drawn: a source misses its target by half of its last row at most
+    final = F.col("c.p") >= 0.5
     out.append(folded.select(F.col("c.d").alias("d"), final.cast("int").alias("k")))
     return reduce(DataFrame.unionByName, out).select("d.*", "k").select(
         "doc_id", "source", "size", "h", "source_size", "target", (F.col("base") + F.col("k")).alias("copies")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafline.llm import exact_dedup, lang_id, leaks, mixing, near_dup, sharding, token_scan, toxicity, url_rules
+from leafline.llm import exact_dedup, lang_id, language_model, leaks, mixing, near_dup, sharding, token_scan, toxicity, url_rules
 from leafline.llm.text import crc_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_of("doc_id") % 5 == 1
+    scored = language_model.score_documents(docs, *language_model.fit(docs.where(~held_out)))
+    return scored.withColumn("held_out", held_out)
+
+
 @query()
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))

@@ -21,7 +21,7 @@ MODEL_WORDS = 20_000
 #: weight of the prior in documents, spread over words as they occur in all labelled text
 PRIOR = 50.0
 #: standard deviations from which a word's log-odds count
-SURE = 4.0
+SURE = 3.0
 #: what a word without sure log-odds takes off a passage
 DRIFT = 0.1
 #: expected number of such passages in a clean text, up to which a passage is reported
