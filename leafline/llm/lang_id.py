@@ -116,6 +116,18 @@ def scores(texts: list[str], model: Model, bits: int = BITS) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
+def predict(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:
+    """(language or undetermined, score) of each text."""
+    live = [i for i, t in enumerate(texts) if model.langs and has_letter(t)]
+    pred, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    if live:
+        p = scores([texts[i] for i in live], model)
+        for i, k in zip(live, p.argmax(axis=1)):
+            pred[i] = model.langs[k]
+        score[live] = p.max(axis=1)
+    return pred, score
+
+
 def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) for every row. A text that is null or has no
     letter is undetermined, with score 0, as is every text if the model knows no
@@ -125,18 +137,22 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages times 2^BITS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for b in chunks(batches, "text"):
-            texts = b.column("text").to_pylist()
-            live = [i for i, t in enumerate(texts) if model.langs and has_letter(t)]
-            pred, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-            if live:
-                p = scores([texts[i] for i in live], model)
-                for i, k in zip(live, p.argmax(axis=1)):
-                    pred[i] = model.langs[k]
-                score[live] = p.max(axis=1)
+            pred, score = predict(b.column("text").to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(pred), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return slim.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+
+
+def keep_determined(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of `docs`, unchanged, whose language `identify` determines."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches, text):
+            pred, _ = predict(b.column(text).to_pylist(), shared.value)
+            yield b.filter(pa.array([p != UNDETERMINED for p in pred]))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -173,7 +173,7 @@ def tree_links(sets: list[np.ndarray], labels: list, percent: int = PERCENT) ->
 
 def _profile(batches: Iterator[pa.RecordBatch], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     """(doc_id, n, sig) of each text; and (token, n) of shingles that many texts of a batch share."""
-    schema = pa.schema([("doc_id", kind), ("n", pa.int64()), ("sig", pa.int64()), ("token", pa.int64())])
+    schema = pa.schema([("doc_id", kind), ("h", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()), ("token", pa.int64())])
     held: list[np.ndarray] = []
 
     def frequent() -> pa.RecordBatch:
@@ -181,12 +181,13 @@ def _profile(batches: Iterator[pa.RecordBatch], kind: pa.DataType) -> Iterator[p
         at = n >= FREQUENT
         held.clear()
         none = pa.nulls(int(at.sum()))
-        return pa.RecordBatch.from_arrays([none.cast(kind), pa.array(n[at], pa.int64()), none.cast(pa.int64()), pa.array(token[at])], schema=schema)
+        return pa.RecordBatch.from_arrays([none.cast(kind), none.cast(pa.int64()), pa.array(n[at], pa.int64()), none.cast(pa.int64()), pa.array(token[at])], schema=schema)
 
     for b in chunks(batches, "text"):
         sets = shingle_sets(b.column("text"))
         n, sig = [len(s) for s in sets], [set_hash(s) for s in sets]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.nulls(len(n), pa.int64())], schema=schema)
+        columns = [b.column("doc_id"), b.column("h"), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.nulls(len(n), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, schema=schema)
         held += sets
         if sum(map(len, held)) > 2 << 20:
             yield frequent()
@@ -257,15 +258,10 @@ def _links(members: DataFrame, sets: DataFrame, percent: int, whole: bool) -> Da
     return rows.applyInArrow(_linker(percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of `docs`. Two texts link
-    when their shingles in common are `percent` of those in either or more, and
-    component_id is the least doc_id that links reach; copies link, and texts
-    without words link with nothing. All links count, with no cap on a group.
-
-    Null texts have no words. A null id counts as no id: it is never a
-    component's id unless all of its rows are without one. Repeated ids come out
-    once per row. Other columns are not looked at.
+def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
+    """(doc_id, h, n, root) for every row of `docs`: a hash of the text, how many
+    shingles it has, and what all rows of its component have in common (null
+    without words).
 
     1. Equal sets become one. 2. Two linked sets share one of their first
     shingles in any common order (prefix filter); frequent ones are ordered last.
@@ -274,11 +270,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     component first, then all groups that still hold two components, in full.
     Shuffled are prefixes once, and the sets of groups of two or more."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
     arrow_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    profile = slim.mapInArrow(lambda it: _profile(it, arrow_kind), f"doc_id {kind}, n long, sig long, token long")
+    profile = slim.mapInArrow(lambda it: _profile(it, arrow_kind), f"doc_id {kind}, h long, n long, sig long, token long")
     profile = materialize(profile, "near-profile")
-    rows = profile.where("token is null").select("doc_id", "n", "sig")
+    rows = profile.where("token is null").select("doc_id", "h", "n", "sig")
     late = profile.where("token is not null").groupBy("token").agg(F.sum("n").alias("c")).orderBy(F.desc("c"), "token").limit(FREQUENT_MOST)
     shared = docs.sparkSession.sparkContext.broadcast(np.array(sorted(r["token"] for r in late.select("token").collect()), np.int64))
     prefixes = slim.mapInArrow(lambda it: _prefixes(it, shared.value, percent), "token long, sig long")
@@ -326,8 +322,45 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         rows = rows.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     else:
         rows = rows.withColumn("root", F.col("sig"))
-    rows = materialize(rows, "near-rows")
+    rows = rows.select("doc_id", "h", "n", F.when(F.col("n") > 0, F.col("root")).alias("root"))
+    return materialize(rows, "near-rows")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of `docs`. Two texts link
+    when their shingles in common are `percent` of those in either or more, and
+    component_id is the least doc_id that links reach; copies link, and texts
+    without words link with nothing. All links count, with no cap on a group.
+
+    Null texts have no words. A null id counts as no id: it is never a
+    component's id unless all of its rows are without one. Repeated ids come out
+    once per row. Other columns are not looked at. Sets and shingles are told
+    apart by 64-bit hashes."""
+    rows = _rooted(docs, doc_id, text, percent)
     least = rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     alone = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     joined = rows.where("n > 0").join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return joined.unionByName(alone)
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs`, unchanged, of which one of each component stays: the
+    least id, nulls last, and of rows with that id the one with the least hash of
+    its text, once. Rows without words all stay."""
+    rows = _rooted(docs, doc_id, text, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    first = rows.where("n > 0").groupBy("root").agg(F.min(order).alias("k")).select("k.doc_id", "k.h")
+    counts = rows.groupBy("doc_id", "h").agg(F.count("*").alias("c"), F.max("n").alias("n"))
+    same = F.col("__id").eqNullSafe(F.col(doc_id)) & (F.col("__h") == F.xxhash64(F.col(text)))
+    f, c = first.alias("f"), counts.alias("c")
+    kept = c.join(f, F.col("c.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("c.h") == F.col("f.h")), "left")
+    kept = kept.where("f.h is not null or c.n = 0").select(
+        F.col("c.doc_id").alias("__id"), F.col("c.h").alias("__h"), ((F.col("c.c") > 1) & (F.col("c.n") > 0)).alias("__again")
+    )
+    kept = materialize(kept, "near-kept")
+    once = docs.join(broadcast_if_small(kept.where("not __again")), same, "left_semi")
+    again = kept.where("__again")
+    if again.isEmpty():
+        return once
+    more = docs.join(broadcast_if_small(again), same, "left_semi").withColumn("__t", F.xxhash64(F.col(text)))
+    return once.unionByName(more.dropDuplicates([doc_id, "__t"]).drop("__t"))
