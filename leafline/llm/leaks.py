@@ -10,9 +10,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from leafline.llm.text import chunks
-from leafline.session import materialize
 
 K1, B = 1.2, 0.75
 #: share of an item's score against itself from which a passage is retrieved
@@ -166,10 +167,15 @@ def find(index: Index, texts: pa.Array, threshold: float = THRESHOLD, overlap: f
     bound += np.where((at + 2 <= last)[:, None], sums[np.minimum(at + 2, len(sums) - 1)], 0)
     possible = bound + index.common >= threshold - 1e-4
     for k in np.flatnonzero(possible.any(axis=1)).tolist():
-        passage = codes[starts[k] : min(starts[k] + 3 * stride, offsets[doc[k] + 1])].tolist()
-        terms = sorted(set(passage) - {len(index.words)})
+        passage = codes[starts[k] : min(starts[k] + 3 * stride, offsets[doc[k] + 1])]
+        terms = np.unique(passage)
+        blocks = np.flatnonzero(possible[k])  # once more, now each word counts once
+        blocks = blocks[index.bounds[terms][:, blocks].sum(axis=0) + index.common[blocks] >= threshold - 1e-4]
+        if not len(blocks):
+            continue
+        passage, terms = passage.tolist(), terms[terms < len(index.words)].tolist()
         triples: dict[int, set] = {}
-        for item, score in wand(index, terms, set(np.flatnonzero(possible[k]).tolist()), threshold):
+        for item, score in wand(index, terms, set(blocks.tolist()), threshold):
             shares = []
             for part in index.parts[item]:
                 n = len(next(iter(part)))
@@ -182,9 +188,9 @@ def find(index: Index, texts: pa.Array, threshold: float = THRESHOLD, overlap: f
 
 def decontaminate(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    threshold: float = THRESHOLD, overlap: float = OVERLAP, index_items: int = INDEX_ITEMS,
+    threshold: float = THRESHOLD, overlap: float = OVERLAP, index_items: int = INDEX_ITEMS, keep: list[str] | None = None,
 ) -> DataFrame:
-    """The rows of `docs` with column `leaks`, array of (item_id, score,
+    """The rows of `docs` (their columns `keep`, or all) with column `leaks`, array of (item_id, score,
     question, answer) in the order of ids: the items of which some passage of the
     text has a BM25 score of `threshold` times the item's own or more, and holds
     `overlap` of the word triples of its question and of its answer each. Empty
@@ -207,14 +213,14 @@ def decontaminate(
         if index is None:
             continue
         shared = docs.sparkSession.sparkContext.broadcast(index)
-        out = out.mapInArrow(_matcher(shared, text, threshold, overlap, out.schema["leaks"].dataType), out.schema)
-    return out
-
+        names = [*(keep or docs.columns), "leaks"] if k == passes - 1 else out.columns
+        schema = StructType([out.schema[n] for n in dict.fromkeys(names)])
+        out = out.mapInArrow(_matcher(shared, text, threshold, overlap, schema), schema)
+    return out.select(*dict.fromkeys([*(keep or docs.columns), "leaks"]))
 
-def _matcher(shared, text: str, threshold: float, overlap: float, leak_type):
-    from pyspark.sql.pandas.types import to_arrow_type
 
-    kind = to_arrow_type(leak_type)
+def _matcher(shared, text: str, threshold: float, overlap: float, schema: StructType):
+    kind, names = to_arrow_type(schema["leaks"].dataType), schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
@@ -228,7 +234,7 @@ def _matcher(shared, text: str, threshold: float, overlap: float, leak_type):
                 )
                 for h, f in zip(had, found)
             ]
-            arrays = [pa.array(rows, kind) if n == "leaks" else b.column(n) for n in b.schema.names]
-            yield pa.RecordBatch.from_arrays(arrays, names=b.schema.names)
+            arrays = [pa.array(rows, kind) if n == "leaks" else b.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return run

@@ -110,7 +110,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = leaks.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    found = leaks.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select("doc_id", (F.size("leaks") > 0).alias("leaked"), F.col("leaks.item_id").alias("item_ids"))
 
 

@@ -74,15 +74,15 @@ def cover(points: DataFrame, prefixes: DataFrame, range_prefixes: int = RANGE_PR
     chosen = stacks.where(F.pmod(F.xxhash64("prefix"), F.lit(step)) == 0) if n > step else stacks.limit(0)
     cuts = sorted(r["prefix"] for r in chosen.select("prefix").collect())
     points = points.withColumn("__range", _range_of(F.col("key"), cuts))
-    sweeps = points.groupBy("__range").agg(F.ceil(F.count("*") / sweep_keys).cast("int").alias("__sweeps"))
-    sweeps = F.broadcast(sweeps)  # at most MAX_RANGES + 1 rows
-    points = points.join(sweeps, "__range")
-    left = points.select(
+    counted = {r["__range"]: r["n"] for r in points.groupBy("__range").agg(F.count("*").alias("n")).collect()}
+    # how many sweeps each range has: MAX_RANGES + 1 numbers
+    number = F.array(*[F.lit(-(-counted.get(i, 0) // sweep_keys)) for i in range(len(cuts) + 1)])
+    left = points.withColumn("__sweeps", F.get(number, F.col("__range"))).select(
         "__range", F.pmod(F.xxhash64("key"), F.col("__sweeps")).cast("int").alias("__sweep"), "key", F.lit(1).alias("__kind"),
         F.lit(None).cast(stacks.schema["stack"].dataType).alias("stack"),
     )
-    right = stacks.withColumn("__range", _range_of(F.col("prefix"), cuts)).join(sweeps, "__range")
-    right = right.select(
+    right = stacks.withColumn("__range", _range_of(F.col("prefix"), cuts)).withColumn("__sweeps", F.get(number, F.col("__range")))
+    right = right.where("__sweeps > 0").select(
         "__range", F.explode(F.sequence(F.lit(0), F.col("__sweeps") - 1)).alias("__sweep"), F.col("prefix").alias("key"),
         F.lit(0).alias("__kind"), "stack",
     )
@@ -118,7 +118,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         .withColumn("__key", host_key(F.col("host")))
     )
     rules = materialize(rules, "rules")
-    addresses = pages.select("host", "path").distinct()
+    addresses = materialize(pages.select("host", "path").distinct(), "addresses")
     keys = addresses.select(host_key(F.col("host")).alias("key")).distinct()
     hosts = rules.select(F.col("__key").alias("prefix")).distinct().withColumn("info", F.lit(0))
     by_host = cover(keys, hosts, **sizes).select(F.col("key").alias("__of"), F.explode("stack.prefix").alias("__at"))
@@ -131,6 +131,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
             F.concat("host", "path").alias("rule"), "verdict",
         ).alias("info"),
     )
+    grafted = materialize(grafted, "grafted")
     fits = cover(grafted.select("key").distinct(), full, **sizes)
     fits = fits.where(F.size("stack") > 0).select("key", F.element_at("stack", -1)["info"].alias("__best"))
     best = grafted.join(fits, "key").groupBy("host", "path").agg(F.max("__best").alias("__best"))
