@@ -202,6 +202,7 @@ def decontaminate(
     a time, and further items take further passes over the text, each with an
     index and word statistics of its own. No text is shuffled."""
     items = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t"))
+    wanted = [c for c in keep or docs.columns if c != "leaks"]
     total = items.count()
     passes = max(1, -(-total // index_items))
     kind = items.schema["i"].dataType.simpleString()
@@ -213,10 +214,10 @@ def decontaminate(
         if index is None:
             continue
         shared = docs.sparkSession.sparkContext.broadcast(index)
-        names = [*(keep or docs.columns), "leaks"] if k == passes - 1 else out.columns
-        schema = StructType([out.schema[n] for n in dict.fromkeys(names)])
+        names = [*wanted, "leaks"] if k == passes - 1 else out.columns
+        schema = StructType([out.schema[n] for n in names])
         out = out.mapInArrow(_matcher(shared, text, threshold, overlap, schema), schema)
-    return out.select(*dict.fromkeys([*(keep or docs.columns), "leaks"]))
+    return out.select(*wanted, "leaks")
 
 
 def _matcher(shared, text: str, threshold: float, overlap: float, schema: StructType):
