@@ -31,7 +31,6 @@ HEADLINE = [
     "keyed_upsert",
     "latest_per_key",
     "title_topics",
-    "title_topics_local",
 ]
 
 

@@ -53,7 +53,7 @@ def topics_job(spark: SparkSession, n_base: str, anchor: date, table: str, versi
     raw = S.scan_lookback(spark, n_base, SC.N_RUNNING, anchor, COMPACT)
     comments = R.rename(R.key_prefix(raw, "N", "t_IDs"), R.COMMENTS_N)
     rows = R.explode_comments(R.nonempty_comments(comments))
-    return _put(spark, topics.topic_items(topics.title_topics_local(rows)), "t_index", table, version)
+    return _put(spark, topics.topic_items(topics.title_topics(rows)), "t_index", table, version)
 
 
 def recommend_job(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafline.operators import vectors as V
+from leafline.session import broadcast_if_small
 
 # The bounds on the share of a title's comments a word may be in.
 NO_BELOW = 1
@@ -26,10 +27,15 @@ def title_documents(comments: DataFrame, tokens: str | None = None) -> DataFrame
 
 
 def _term_df(docs: DataFrame, no_below: int, no_above: float) -> DataFrame:
-    n_docs = docs.groupBy("t_id").agg(F.count(F.lit(1)).alias("n_docs"))
-    df = V.bag_of_words(docs, ("t_id",)).groupBy("t_id", "term").agg(F.count(F.lit(1)).alias("df"))
+    """Words and comments of a title are counted in one aggregation, the comments
+    as the empty word. A title's number of comments then goes to its words
+    without a shuffle, so that a large title is no crowded key."""
+    rows = docs.select("t_id", F.explode(V.marked(F.col("bag"))["term"]).alias("term"))
+    df = rows.groupBy("t_id", "term").agg(F.count(F.lit(1)).alias("df"))
+    n_docs = df.where(F.col("term") == V.SELF).select("t_id", F.col("df").alias("n_docs"))
     kept = (F.col("df") >= no_below) & (F.col("df") <= F.floor(F.lit(no_above) * F.col("n_docs")))
-    return df.join(n_docs, "t_id").select("t_id", "term", "df", "n_docs", kept.alias("kept"))
+    words = df.where(F.col("term") != V.SELF).join(broadcast_if_small(n_docs), "t_id")
+    return words.select("t_id", "term", "df", "n_docs", kept.alias("kept"))
 
 
 def title_terms(docs: DataFrame, no_below: int = NO_BELOW, no_above: float = NO_ABOVE) -> DataFrame:
@@ -39,16 +45,27 @@ def title_terms(docs: DataFrame, no_below: int = NO_BELOW, no_above: float = NO_
 
 
 def dropped_terms(docs: DataFrame, no_below: int = NO_BELOW, no_above: float = NO_ABOVE) -> DataFrame:
-    """(t_id, term) of the other words. At the usual bounds these are few: a title
-    cannot have more words in over 70% of its comments than 1/0.7 times the
-    words of an average comment."""
-    return _term_df(docs, no_below, no_above).where("not kept").select("t_id", "term")
+    """(t_id, dropped): the other words of each title that has some, as an array.
+    At the usual bounds these are few: a title cannot have more words in over
+    70% of its comments than 1/0.7 times the words of an average comment."""
+    rows = _term_df(docs, no_below, no_above).where("not kept")
+    return rows.groupBy("t_id").agg(F.collect_list("term").alias("dropped"))
+
+
+def keep_terms(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """`docs` with the dropped words taken out of each bag, in its row."""
+    found = docs.join(broadcast_if_small(dropped), "t_id", "left")
+    bag = F.filter("bag", lambda w: ~F.coalesce(F.array_contains("dropped", w.term), F.lit(False)))
+    return found.withColumn("bag", bag).drop("dropped")
+
+
+def words_of(docs: DataFrame, keys: tuple[str, ...] = (*DOC_KEYS, "comment_pos")) -> DataFrame:
+    return V.bag_of_words(docs, keys).select(*keys, "term", "n")
 
 
 def title_dtm(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """(t_id, comment_key, comment_pos, term, n) without the dropped words."""
-    words = V.bag_of_words(docs, (*DOC_KEYS, "comment_pos"))
-    return words.join(dropped, ["t_id", "term"], "left_anti").select(*DOC_KEYS, "comment_pos", "term", "n")
+    return words_of(keep_terms(docs, dropped))
 
 
 def skipped_titles(docs: DataFrame, terms: DataFrame) -> DataFrame:

@@ -17,11 +17,12 @@ from leafline.sources.snapshots import BACK, FINISHED_OFFSET, at_offset, lookbac
 
 
 def _newest(df: DataFrame) -> DataFrame:
-    """The newest snapshot's row per title; rows of one day in the order of their
-    content, so that the choice is the same on every run."""
-    content = [F.col(c) for c in df.columns if c not in ("t_id", "snapshot_date")]
-    order = [F.col("snapshot_date").desc(), F.xxhash64(*content)]
-    return latest_per_key(df, "t_id", order).drop("snapshot_date")
+    """The newest snapshot's row per title; of rows of one day the first in the
+    order of their content, so that the choice is the same on every run. Rows
+    without a key are no title's."""
+    content = [F.asc_nulls_first(c) for c in df.columns if c not in ("t_id", "snapshot_date")]
+    titled = df.where(F.col("t_id").isNotNull())
+    return latest_per_key(titled, "t_id", [F.col("snapshot_date").desc(), *content]).drop("snapshot_date")
 
 
 def info_n(raw: DataFrame, anchor: date, back: int = BACK) -> DataFrame:

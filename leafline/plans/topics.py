@@ -2,65 +2,42 @@
 
 from __future__ import annotations
 
-import sys
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafline.operators import title_words as T
-from leafline.session import broadcast_if_small, materialize
-
-# send the model's functions to the tasks themselves, so that executors need
-# numpy and pandas but not this package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from leafline.session import materialize
 
 NUM_TOPICS = 5
 WORDS = 3
-MAX_TERMS = 1 << 18
-MIN_ITERATIONS = 10
-# a title with more (comment, word) counts than this is not given to one task
-LOCAL_ENTRIES = 1_000_000
-CHUNK = 2000
+# The model counts words in so many hash buckets: every word takes part, and the
+# topics are a matrix of fixed size however many words there are.
+BUCKETS = 1 << 12
+# full passes over all comments
+ITERATIONS = 10
 
 
-def _stored_dtm(comments: DataFrame, tokens: str | None) -> DataFrame:
-    docs = materialize(T.title_documents(comments, tokens), "title-documents")
-    dropped = broadcast_if_small(materialize(T.dropped_terms(docs), "dropped-words"))
-    return materialize(T.title_dtm(docs, dropped), "title-words")
+def bucket_of(term: Column, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def _fit(dtm: DataFrame, k: int, max_terms: int, iterations: int | None, seed: int):
-    """One LDA model over all comments of `dtm`; (per-comment topic shares, term
-    table). A round of the fit draws about 1/20 of the comments, or CHUNK of them
-    where that is more, and by default there are as many rounds as make up one
-    pass (at least MIN_ITERATIONS). The model then scores every comment."""
-    words = dtm.groupBy(*T.DOC_KEYS).agg(
-        F.flatten(F.collect_list(F.array_repeat("term", F.col("n").cast("int")))).alias("words")
-    )
-    words = materialize(words, "comment-words")
-    n = words.count()
-    if n == 0:
-        return None
-    counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=max_terms).fit(words)
-    features = counter.transform(words).drop("words")
-    share = min(1.0, max(0.05, CHUNK / n))
-    iterations = iterations or max(MIN_ITERATIONS, round(1 / share))
+def _fit(kept: DataFrame, k: int, buckets: int, iterations: int, seed: int) -> tuple[DataFrame, list[list[float]]]:
+    """One LDA model over all comments of `kept` (t_id, bag): (each comment's
+    topic shares, the weight of every bucket in every topic). Vectors are made
+    in the row and stored once; each pass reads them all."""
+    tokens = F.flatten(F.transform("bag", lambda w: F.array_repeat(bucket_of(w.term, buckets).cast("string"), w.n.cast("int"))))
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(buckets)], "tokens", "features")
+    features = counter.transform(kept.select("t_id", tokens.alias("tokens"))).drop("tokens")
+    features = materialize(features, "comment-vectors")
     model = LDA(
-        k=k, maxIter=iterations, seed=seed, optimizer="online", optimizeDocConcentration=True, subsamplingRate=share
+        k=k, maxIter=iterations, seed=seed, optimizer="online", optimizeDocConcentration=True, subsamplingRate=1.0
     ).fit(features)
-    shares = model.transform(features).select(*T.DOC_KEYS, vector_to_array("topicDistribution").alias("share"))
+    shares = model.transform(features).select("t_id", vector_to_array("topicDistribution").alias("share"))
     weights = model.topicsMatrix().toArray()
-    weights = weights / weights.sum(axis=0)
-    # the vocabulary is bounded by max_terms, and so is this table
-    table = pd.DataFrame({"term": counter.vocabulary, "weights": [row.tolist() for row in weights]})
-    terms = dtm.sparkSession.createDataFrame(table, "term string, weights array<double>")
-    return shares, terms
+    return shares, (weights / weights.sum(axis=0)).tolist()
 
 
 def _in_topic_order(entries: list[Column], n_words: int) -> Column:
@@ -69,32 +46,19 @@ def _in_topic_order(entries: list[Column], n_words: int) -> Column:
     return F.slice(F.array_distinct(F.filter(words, lambda w: w.isNotNull())), 1, n_words)
 
 
-def title_topics(
-    comments: DataFrame,
-    num_topics: int = NUM_TOPICS,
-    n_words: int = WORDS,
-    max_terms: int = MAX_TERMS,
-    iterations: int | None = None,
-    seed: int = 0,
-    tokens: str | None = None,
-) -> DataFrame:
-    """(t_id, t_topics) from one model over the comments of all titles.
+def topic_readout(dtm: DataFrame, terms: DataFrame, shares: DataFrame, num_topics: int, n_words: int = WORDS) -> DataFrame:
+    """(t_id, t_topics) from a title's words (t_id, term, n), the words' weights in
+    each topic (term, weights) and the topic shares of its comments (t_id, share).
 
     A title's topics come in order of their mean share in its comments; each gives
     the title's own word with the largest topic weight x lift, lift being the
     word's share in the title over its share in the corpus."""
-    dtm = _stored_dtm(comments, tokens)
-    fitted = _fit(dtm, num_topics, max_terms, iterations, seed)
-    if fitted is None:
-        return dtm.sparkSession.createDataFrame([], "t_id string, t_topics array<string>")
-    shares, terms = fitted
     mean = shares.groupBy("t_id").agg(*[F.avg(F.col("share")[i]).alias(f"m{i}") for i in range(num_topics)])
     title_tf = dtm.groupBy("t_id", "term").agg(F.sum("n").alias("tf"))
-    corpus = dtm.groupBy("term").agg(F.sum("n").alias("all_tf")).join(F.broadcast(terms), "term")
-    scored = title_tf.join(F.broadcast(corpus), "term")
+    corpus = title_tf.groupBy("term").agg(F.sum("tf").alias("all_tf")).join(terms, "term")
     # totals of title and corpus are the same for all words of a title: left out
     lift = F.col("tf") / F.col("all_tf")
-    best = scored.groupBy("t_id").agg(
+    best = title_tf.join(corpus, "term").groupBy("t_id").agg(
         *[
             F.min(F.struct((-(F.col("weights")[i] * lift)).alias("score"), F.col("term"))).alias(f"b{i}")
             for i in range(num_topics)
@@ -107,110 +71,27 @@ def title_topics(
     return best.join(mean, "t_id").select("t_id", _in_topic_order(entries, n_words).alias("t_topics"))
 
 
-def _digamma(x: np.ndarray) -> np.ndarray:
-    """The asymptotic series at x + 6, brought back by the recurrence."""
-    y = x + 6
-    r = 1 / (y * y)
-    series = np.log(y) - 0.5 / y - r * (1 / 12 - r * (1 / 120 - r / 252))
-    return series - sum(1 / (x + i) for i in range(6))
-
-
-def _expected_log(p: np.ndarray) -> np.ndarray:
-    return _digamma(p) - _digamma(p.sum(axis=-1, keepdims=True))
-
-
-def top_topic_words(
-    doc: np.ndarray, term: np.ndarray, n: np.ndarray, n_docs: int, n_terms: int, k: int, seed: int
-) -> list[int]:
-    """Index of the heaviest word of each of `k` topics: online variational Bayes
-    (Hoffman, Blei and Bach, 2010), one pass in chunks, with a learned
-    asymmetric prior over topics. Entries are sorted by `doc`."""
-    rng = np.random.RandomState(seed)
-    lam = rng.gamma(100.0, 0.01, (k, n_terms))
-    alpha = np.full(k, 1.0 / k)
-    for step, start in enumerate(range(0, n_docs, CHUNK)):
-        low, high = np.searchsorted(doc, [start, start + CHUNK])
-        size = min(CHUNK, n_docs - start)
-        d, t, c = doc[low:high] - start, term[low:high], n[low:high]
-        beta = np.exp(_expected_log(lam))[:, t]
-        gamma = rng.gamma(100.0, 0.01, (size, k))
-        for _ in range(50):
-            theta = np.exp(_expected_log(gamma))
-            ratio = c / (np.einsum("ek,ke->e", theta[d], beta) + 1e-100)
-            drawn = np.stack([np.bincount(d, ratio * beta[i], size) for i in range(k)], axis=1)
-            new = alpha + theta * drawn
-            change, gamma = np.abs(new - gamma).mean(), new
-            if change < 1e-3:
-                break
-        theta = np.exp(_expected_log(gamma))
-        ratio = c / (np.einsum("ek,ke->e", theta[d], beta) + 1e-100)
-        found = np.stack([np.bincount(t, theta[d, i] * ratio * beta[i], n_terms) for i in range(k)])
-        rho = (1.0 + step) ** -0.5
-        lam = (1 - rho) * lam + rho * (1.0 / k + found * n_docs / size)
-        alpha = _newton_alpha(alpha, _expected_log(gamma).mean(axis=0), size, rho)
-    return lam.argmax(axis=1).tolist()
-
-
-def _newton_alpha(alpha: np.ndarray, log_theta: np.ndarray, size: int, rho: float) -> np.ndarray:
-    """One damped Newton step of the Dirichlet's log-likelihood (Huang, 2005)."""
-
-    def trigamma(x):
-        return (_digamma(x + 1e-4) - _digamma(x - 1e-4)) / 2e-4
-
-    gradient = size * (_digamma(alpha.sum(keepdims=True)) - _digamma(alpha) + log_theta)
-    z = size * trigamma(alpha.sum(keepdims=True))
-    q = -size * trigamma(alpha)
-    b = (gradient / q).sum() / (1 / z + (1 / q).sum())
-    step = rho * -(gradient - b) / q
-    return alpha + step if np.all(alpha + step > 0) else alpha
-
-
-def _one_title(k: int, n_words: int, seed: int):
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc", "term"], kind="stable")
-        doc, docs = pd.factorize(group["doc"], sort=True)
-        term, terms = pd.factorize(group["term"], sort=True)
-        top = top_topic_words(doc, term, group["n"].to_numpy(float), len(docs), len(terms), k, seed)
-        words = list(dict.fromkeys(terms[i] for i in top))[:n_words]
-        return pd.DataFrame({"t_id": [key[0]], "t_topics": [words]})
-
-    return run
-
-
-def title_topics_local(
+def title_topics(
     comments: DataFrame,
     num_topics: int = NUM_TOPICS,
     n_words: int = WORDS,
-    local_entries: int = LOCAL_ENTRIES,
-    max_terms: int = MAX_TERMS,
-    iterations: int | None = None,
+    buckets: int = BUCKETS,
+    iterations: int = ITERATIONS,
     seed: int = 0,
     tokens: str | None = None,
 ) -> DataFrame:
-    """(t_id, t_topics) with one model per title, in topic order.
-
-    Titles of at most `local_entries` (comment, word) counts are fitted side by
-    side, each in one task. The few larger ones are fitted one after the other, each
-    by the whole cluster, so that every title gets its model."""
-    dtm = _stored_dtm(comments, tokens)
-    sizes = dtm.groupBy("t_id").count()
-    large = [r["t_id"] for r in sizes.where(F.col("count") > local_entries).select("t_id").collect()]
-    small = dtm.where(~F.col("t_id").isin(large)) if large else dtm
-    topics = (
-        small.select("t_id", F.xxhash64("comment_key").alias("doc"), "term", "n")
-        .groupBy("t_id")
-        .applyInPandas(_one_title(num_topics, n_words, seed), "t_id string, t_topics array<string>")
-    )
-    for t_id in large:
-        _, terms = _fit(dtm.where(F.col("t_id") == t_id), num_topics, max_terms, iterations, seed)
-        best = terms.agg(
-            *[F.min(F.struct((-F.col("weights")[i]).alias("score"), F.col("term"))).alias(f"b{i}") for i in range(num_topics)]
-        )
-        entries = [F.struct(F.lit(i).alias("topic"), F.col(f"b{i}.term").alias("term")) for i in range(num_topics)]
-        topics = topics.unionByName(
-            best.select(F.lit(t_id).alias("t_id"), _in_topic_order(entries, n_words).alias("t_topics"))
-        )
-    return topics
+    """(t_id, t_topics) from one model over the comments of all titles. A title
+    without kept words has no row (`skipped_titles` lists them)."""
+    docs = materialize(T.title_documents(comments, tokens), "title-documents")
+    kept = materialize(T.keep_terms(docs, T.dropped_terms(docs)).where(F.size("bag") > 0), "title-words")
+    spark = comments.sparkSession
+    if kept.isEmpty():
+        return spark.createDataFrame([], "t_id string, t_topics array<string>")
+    shares, weights = _fit(kept, num_topics, buckets, iterations, seed)
+    dtm = T.words_of(kept, ("t_id",))
+    table = spark.createDataFrame(list(enumerate(weights)), "bucket int, weights array<double>")  # `buckets` rows
+    terms = dtm.select("term").distinct().withColumn("bucket", bucket_of(F.col("term"), buckets)).join(F.broadcast(table), "bucket")
+    return topic_readout(dtm, terms.select("term", "weights"), shares, num_topics, n_words)
 
 
 def topic_items(topics: DataFrame) -> DataFrame:

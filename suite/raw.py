@@ -1,8 +1,7 @@
 """Raw daily records of both sites, derived from `events` and `lineitem`.
 
-Each event is one title's record of its day on site N (title = user); the
-first event of a user on a day stands for the day. Site K's records come from
-events too, under other columns: its title is the event's `k` property.
+Each event is one record of its day on site N (title = user). Site K's records
+come from events too, under other columns: its title is the event's `k` property.
 """
 
 from datetime import date
@@ -10,7 +9,6 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafline.operators.ranking import latest_per_key
 from suite.registry import table
 
 ANCHOR = date(2024, 1, 30)
@@ -20,12 +18,8 @@ def _events(spark, sf: str) -> DataFrame:
     return table(spark, sf, "events").withColumn("snapshot_date", F.to_date("ts"))
 
 
-def _first_of_day(events: DataFrame, key: str) -> DataFrame:
-    return latest_per_key(events, [key, "snapshot_date"], ["event_id"])
-
-
 def raw_n(spark, sf: str) -> DataFrame:
-    e = _first_of_day(_events(spark, sf).withColumn("t_IDs", F.col("user_id").cast("string")), "t_IDs")
+    e = _events(spark, sf).withColumn("t_IDs", F.col("user_id").cast("string"))
     return e.select(
         "t_IDs",
         F.array(F.lower(F.date_format("ts", "E")), F.lit("sun")).alias("t_weekdays"),
@@ -43,15 +37,12 @@ def raw_n(spark, sf: str) -> DataFrame:
     )
 
 
-_FIRST_SQL = """SELECT * FROM (SELECT *, ts::DATE AS snapshot_date,
-  row_number() OVER (PARTITION BY {key}, ts::DATE ORDER BY event_id) AS first_of_day FROM events) WHERE first_of_day = 1"""
-
-RAW_N_SQL = f"""SELECT user_id::VARCHAR AS t_IDs, [lower(strftime(ts, '%a')), 'sun'] AS t_weekdays,
+RAW_N_SQL = """SELECT user_id::VARCHAR AS t_IDs, [lower(strftime(ts, '%a')), 'sun'] AS t_weekdays,
   'title ' || user_id AS t_names, event_type || ' / ' || event_id AS t_auth,
   event_type || ', ' || strftime(ts, '%Y') AS t_genre, '12' AS t_age, props AS t_sum, '/img/' || event_id AS t_thumbs,
   '/list?titleId=' || user_id AS t_urls,
-  CASE WHEN event_type = 'error' THEN []::VARCHAR[] ELSE [props, event_type] END AS t_comments, snapshot_date
-  FROM ({_FIRST_SQL.format(key='user_id')})"""
+  CASE WHEN event_type = 'error' THEN []::VARCHAR[] ELSE [props, event_type] END AS t_comments, ts::DATE AS snapshot_date
+  FROM events"""
 
 
 def finished_n(spark, sf: str) -> DataFrame:
@@ -60,11 +51,9 @@ def finished_n(spark, sf: str) -> DataFrame:
 
 RAW_F_SQL = f"SELECT * EXCLUDE (t_weekdays, t_comments) FROM ({RAW_N_SQL})"
 
-_K_ID = "get_json_object(props, '$.k')"
-
 
 def raw_k(spark, sf: str) -> DataFrame:
-    e = _first_of_day(_events(spark, sf).withColumn("id", F.expr(_K_ID)), "id")
+    e = _events(spark, sf).withColumn("id", F.expr("get_json_object(props, '$.k')"))
     return e.select(
         "id",
         F.concat(F.lit("/content/"), "id").alias("url"),
@@ -83,11 +72,9 @@ def raw_k(spark, sf: str) -> DataFrame:
     )
 
 
-RAW_K_SQL = f"""SELECT id, '/content/' || id AS url, '/pic/' || event_id AS picUrl,
+RAW_K_SQL = """SELECT id, '/content/' || id AS url, '/pic/' || event_id AS picUrl,
   event_type || '/' || strftime(ts, '%m') AS genre, [lower(strftime(ts, '%a'))] AS day, 'content ' || id AS title,
   event_type AS story_writer,
   CASE event_id % 3 WHEN 0 THEN event_type WHEN 1 THEN user_id::VARCHAR END AS illustrator, props AS story_line,
   [event_type] AS key_words, [event_type, props] AS best_comments, snapshot_date
-  FROM (SELECT * FROM (SELECT *, json_extract_string(props, '$.k') AS id, ts::DATE AS snapshot_date,
-    row_number() OVER (PARTITION BY json_extract_string(props, '$.k'), ts::DATE ORDER BY event_id) AS first_of_day
-    FROM events) WHERE first_of_day = 1)"""
+  FROM (SELECT *, json_extract_string(props, '$.k') AS id, ts::DATE AS snapshot_date FROM events)"""

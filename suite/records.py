@@ -146,13 +146,15 @@ def _window(raw: str, anchor: date, back: int = 5) -> str:
     return f"SELECT * FROM ({raw}) WHERE snapshot_date BETWEEN DATE '{anchor}' - {back} AND DATE '{anchor}'"
 
 
-def _newest_sql(columns: str, raw: str, anchor: date) -> str:
-    return f"""SELECT * EXCLUDE (r, snapshot_date) FROM (SELECT *, row_number() OVER (PARTITION BY t_id ORDER BY snapshot_date DESC) AS r
-      FROM (SELECT {columns}, snapshot_date FROM ({_window(raw, anchor)}))) WHERE r = 1"""
+def _newest_sql(columns: str, raw: str, running: bool = True) -> str:
+    content = ["site", "title", *(["weekdays"] if running else []), "author", "genre", "story_line", "thumb", "url"]
+    return f"""SELECT * EXCLUDE (r, snapshot_date) FROM (SELECT *, row_number() OVER (PARTITION BY t_id
+      ORDER BY snapshot_date DESC, {', '.join(f'{c} NULLS FIRST' for c in content)}) AS r
+      FROM (SELECT {columns}, snapshot_date FROM ({raw})) WHERE t_id IS NOT NULL) WHERE r = 1"""
 
 
 @case(f"""SELECT * REPLACE (coalesce(author, '<none>') AS author) FROM (
-  {_newest_sql(_N_COLUMNS, RAW_N_SQL, ANCHOR)} UNION ALL {_newest_sql(_K_COLUMNS, RAW_K_SQL, ANCHOR)})""")
+  {_newest_sql(_N_COLUMNS, _window(RAW_N_SQL, ANCHOR))} UNION ALL {_newest_sql(_K_COLUMNS, _window(RAW_K_SQL, ANCHOR))})""")
 def build_title_info(spark, sf):
     info = _flat(C.title_info(raw_n(spark, sf), raw_k(spark, sf), ANCHOR))
     return info.withColumn("author", F.coalesce("author", F.lit("<none>")))
@@ -161,7 +163,7 @@ def build_title_info(spark, sf):
 _FINISHED_DAY = date(2024, 3, 5)  # 50 days after a day in the middle of the table
 
 
-@case(f"SELECT {_F_COLUMNS} FROM ({RAW_F_SQL}) WHERE snapshot_date = DATE '{_FINISHED_DAY}' - 50")
+@case(_newest_sql(_F_COLUMNS, f"SELECT * FROM ({RAW_F_SQL}) WHERE snapshot_date = DATE '{_FINISHED_DAY}' - 50", running=False))
 def build_finished_info(spark, sf):
     return _flat(C.finished_info(finished_n(spark, sf), _FINISHED_DAY))
 

@@ -6,6 +6,7 @@ from leafline.functions import text as X
 from leafline.operators import title_words as T
 from leafline.operators import vectors as V
 from leafline.plans import topics as P
+from leafline.session import materialize
 from suite.frames import (
     COMMENTS_SQL,
     DOCUMENTS_SQL,
@@ -87,7 +88,7 @@ _BY_ROLE_SQL = "SELECT 'N' || conv_id || role AS t_id, turn AS comment_pos, text
 
 @case(f"{_DTM.replace("{source}", COMMENTS_SQL)} SELECT t_id, comment_pos, term, n FROM bag SEMI JOIN kept USING (t_id, term)")
 def title_dtm(spark, sf):
-    docs = T.title_documents(conversation_comments(spark, sf))
+    docs = materialize(T.title_documents(conversation_comments(spark, sf)), "title-documents")
     return T.title_dtm(docs, T.dropped_terms(docs)).select("t_id", "comment_pos", "term", "n")
 
 
@@ -102,11 +103,39 @@ def topic_skipped(spark, sf):
     return T.skipped_titles(docs, T.title_terms(docs))
 
 
-@case()
+@case(f"{_DTM.replace("{source}", COMMENTS_SQL)} SELECT DISTINCT t_id, true AS few, true AS own FROM bag SEMI JOIN kept USING (t_id, term)")
 def title_topics(spark, sf):
-    return P.title_topics(conversation_comments(spark, sf))
-
-
-@case()
-def title_topics_local(spark, sf):
-    return P.title_topics_local(conversation_comments(spark, sf))
+    """Every title with a kept word has one to three topic words, all different
+    and all among its kept words."""
+    comments = conversation_comments(spark, sf)
+    docs = materialize(T.title_documents(comments), "title-documents")
+    terms = T.title_terms(docs).select("t_id", "term")
+    found = materialize(P.title_topics(comments), "topics")
+    own = found.select("t_id", F.explode("t_topics").alias("term")).join(terms, ["t_id", "term"], "left_semi")
+    own = own.groupBy("t_id").agg(F.countDistinct("term").alias("n"))
+    size = F.size("t_topics")
+    return found.join(own, "t_id").select("t_id", size.between(1, 3).alias("few"), (size == F.col("n")).alias("own"))
+
+
+_READOUT_SQL = """words AS (SELECT t_id, comment_pos, term, n FROM bag SEMI JOIN kept USING (t_id, term)),
+  tf AS (SELECT t_id, term, sum(n) AS tf FROM words GROUP BY ALL),
+  alltf AS (SELECT term, sum(tf) AS all_tf FROM tf GROUP BY 1),
+  topics AS (SELECT unnest(range(3)) AS i),
+  mean AS (SELECT t_id, i, avg(((comment_pos + 1) * (i + 2)) % 5) AS m FROM (SELECT DISTINCT t_id, comment_pos FROM words), topics GROUP BY ALL),
+  best AS (SELECT t_id, i, term, row_number() OVER (PARTITION BY t_id, i
+    ORDER BY ((length(term) * (i + 1)) % 7 + 1)::DOUBLE * (tf / all_tf) DESC, term) AS r FROM tf JOIN alltf USING (term), topics),
+  placed AS (SELECT t_id, term, min(struct_pack(m := -m, i := i)) AS place FROM best JOIN mean USING (t_id, i) WHERE r = 1 GROUP BY ALL)
+  SELECT t_id, array_to_string(list(term ORDER BY place), '|') AS topics FROM placed GROUP BY 1"""
+
+
+@case(f"{_DTM.replace("{source}", COMMENTS_SQL)}, {_READOUT_SQL}")
+def topic_readout(spark, sf):
+    """The read-out with weights and shares given by formulas."""
+    docs = materialize(T.title_documents(conversation_comments(spark, sf)), "title-documents")
+    kept = materialize(T.keep_terms(docs, T.dropped_terms(docs)).where(F.size("bag") > 0), "title-words")
+    dtm = T.words_of(kept, ("t_id",))
+    weight = [(F.length("term") * (i + 1) % 7 + 1).cast("double") for i in range(3)]
+    share = [((F.col("comment_pos") + 1) * (i + 2) % 5).cast("double") for i in range(3)]
+    terms = dtm.select("term").distinct().withColumn("weights", F.array(*weight))
+    shares = kept.select("t_id", F.array(*share).alias("share"))
+    return P.topic_readout(dtm, terms, shares, 3).select("t_id", F.array_join("t_topics", "|").alias("topics"))

@@ -14,7 +14,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(suite.CASES) - {"title_topics", "title_topics_local"}))
+@pytest.mark.parametrize("name", sorted(set(suite.CASES) - {"title_topics"}))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(suite.CASES[name][0](spark, SF_DIR))
     assert not re.search(r"EvalPython|MapInPandas|InPandas|CartesianProduct|BroadcastNestedLoopJoin", text)

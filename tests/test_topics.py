@@ -26,24 +26,19 @@ def check(got, spark):
         assert all((t_id, w) in own for w in words)
 
 
-def test_one_model_per_title(spark):
-    got = {r.t_id: r.t_topics for r in P.title_topics_local(planted(spark)).collect()}
+def test_shared_model_finds_themes_and_gives_each_title_its_own_words(spark):
+    got = {r.t_id: r.t_topics for r in P.title_topics(planted(spark), num_topics=3).collect()}
     check(got, spark)
     themes = set(sum(THEMES, []))
     assert sum(w in themes for ws in got.values() for w in ws) >= 5
-    again = {r.t_id: r.t_topics for r in P.title_topics_local(planted(spark)).collect()}
-    assert got == again
+    assert got == {r.t_id: r.t_topics for r in P.title_topics(planted(spark), num_topics=3).collect()}
 
 
-def test_large_titles_are_fitted_by_the_cluster(spark):
-    got = {r.t_id: r.t_topics for r in P.title_topics_local(planted(spark), local_entries=10, iterations=3).collect()}
-    check(got, spark)
-
-
-def test_shared_model_gives_each_title_its_own_words(spark):
-    got = {r.t_id: r.t_topics for r in P.title_topics(planted(spark), num_topics=3, iterations=5).collect()}
-    check(got, spark)
-    assert all(set(ws) & set(THEMES[int(t[1])] + THEMES[(int(t[1]) + 1) % 3]) or ws for t, ws in got.items())
+def test_a_title_of_rare_words_only_has_topics(spark):
+    rare = spark.createDataFrame([("N7", p, f"once{p} only{p}") for p in range(4)], "t_id string, comment_pos int, comment string")
+    got = {r.t_id: r.t_topics for r in P.title_topics(planted(spark).unionByName(rare), iterations=2, buckets=16).collect()}
+    assert set(got) == {"N0", "N1", "N2", "N7"} and 1 <= len(got["N7"]) <= 3
+    assert all(w.startswith(("once", "only")) for w in got["N7"])
 
 
 def test_no_words_at_all(spark):
@@ -59,16 +54,3 @@ def test_document_frequency_bounds(spark):
     # repeated comments count once: 3 documents, so at most floor(2.1) = 2 of them
     got = {r.term: (r.df, r.n_docs) for r in T.title_terms(docs).collect()}
     assert got == {"bb": (2, 3), "cc": (1, 3), "dd": (1, 3)}
-
-
-def test_digamma():
-    x = np.array([0.1, 0.5, 1.0, 2.5, 10.0, 300.0])
-    want = [-10.423754940411076, -1.9635100260214235, -0.5772156649015329, 0.7031566406452432, 2.251752589066721, 5.702114853289388]
-    assert np.allclose(P._digamma(x), want, atol=1e-8)
-
-
-def test_two_clear_topics():
-    doc = np.repeat(np.arange(60), 2)
-    term = np.concatenate([[0, 1] if d % 2 else [2, 3] for d in range(60)])
-    top = P.top_topic_words(doc, term, np.full(120, 3.0), 60, 4, 2, 0)
-    assert len({t // 2 for t in top}) == 2
