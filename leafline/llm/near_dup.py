@@ -26,7 +26,7 @@ SLICE_SETS, SLICE_SHINGLES = 512, 1 << 21
 #: shingles are told apart, at most. This changes what is looked at, never what is found
 FREQUENT, FREQUENT_MOST = 8, 500_000
 #: rounds that only draw groups together before the one that looks at all pairs
-ROUNDS = 3
+ROUNDS = 2
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -227,23 +227,32 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _linker(percent: int):
     def run(group: pa.Table) -> pa.Table:
-        sig = group.column("sig").to_pylist()
+        """(label, root): the labels of a group that links join to a lesser one."""
         lists = group.column("shingles").combine_chunks()
         flat, ends = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
-        order = {s: i for i, s in enumerate(sig)}  # a set may come twice
-        rows = list(order.values())
-        sets, labels = [flat[ends[i] : ends[i + 1]] for i in rows], [group.column("label")[i].as_py() for i in rows]
-        found = tree_links(sets, labels, percent)
-        return pa.table(
-            [pa.array([sig[rows[i]] for i, _ in found], pa.int64()), pa.array([sig[rows[j]] for _, j in found], pa.int64())], names=["a", "b"]
-        )
+        order = {s: i for i, s in enumerate(group.column("sig").to_pylist())}  # a set may come twice
+        rows, label = list(order.values()), group.column("label").to_pylist()
+        labels = [label[i] for i in rows]
+        least = {x: x for x in labels}
+
+        def root(x: int) -> int:
+            while least[x] != x:
+                least[x] = x = least[least[x]]
+            return x
+
+        for i, j in tree_links([flat[ends[i] : ends[i + 1]] for i in rows], labels, percent):
+            a, b = root(labels[i]), root(labels[j])
+            least[max(a, b)] = min(a, b)
+        joined = [(x, root(x)) for x in least if root(x) != x]
+        return pa.table([pa.array([x for x, _ in joined], pa.int64()), pa.array([r for _, r in joined], pa.int64())], names=["label", "root"])
 
     return run
 
 
 def _links(members: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
-    """Links (a, b) within groups of `members` (token, sig, label, n). A group of
-    more than one slice is cut by hash; for `whole`, every two slices meet."""
+    """(label, root) from the links within groups of `members` (token, sig, label,
+    n). A group of more than one slice is cut by hash; for `whole`, every two
+    slices meet."""
     weight = members.groupBy("token").agg(
         F.greatest(F.ceil(F.count("*") / SLICE_SETS), F.ceil(F.sum("n") / SLICE_SHINGLES)).cast("int").alias("slices")
     )
@@ -255,7 +264,7 @@ def _links(members: DataFrame, sets: DataFrame, percent: int, whole: bool) -> Da
     else:
         dealt = dealt.select("token", "sig", "label", "x", F.lit(0).alias("y"))
     rows = dealt.join(sets, "sig").groupBy("token", "x", "y")
-    return rows.applyInArrow(_linker(percent), "a long, b long")
+    return rows.applyInArrow(_linker(percent), "label long, root long")
 
 
 def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
@@ -266,8 +275,8 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     1. Equal sets become one. 2. Two linked sets share one of their first
     shingles in any common order (prefix filter); frequent ones are ordered last.
     Sets that share one form a group. 3. Groups are joined by signature trees, in
-    slices of bounded size: a few rounds over one group per set and one set per
-    component first, then all groups that still hold two components, in full.
+    slices of bounded size: first one group per set, then one set per component,
+    and then all groups that still hold two components, in full.
     Shuffled are prefixes once, and the sets of groups of two or more."""
     kind = docs.schema[doc_id].dataType.simpleString()
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
@@ -290,14 +299,13 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     sets = materialize(found.mapInArrow(_sets, "sig long, shingles array<long>"), "near-sets")
     groups = materialize(groups.join(wanted.select("sig", "n"), "sig"), "near-members")
 
-    links, roots = None, None
+    # (sig, root) of sets that are not their component's first one
+    roots = None
     for turn in range(ROUNDS + 1):
         last = turn == ROUNDS
-        if roots is None:
-            now = groups.withColumn("label", F.col("sig"))
-        else:
-            now = groups.join(roots.withColumnRenamed("node", "sig"), "sig", "left")
-            now = now.withColumn("label", F.coalesce("root", "sig")).drop("root")
+        now = groups.withColumn("label", F.col("sig"))
+        if roots is not None:
+            now = groups.join(roots, "sig", "left").withColumn("label", F.coalesce("root", "sig")).drop("root")
         # groups of two components or more
         open_ = now.groupBy("token").agg(
             F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("sig")).alias("who"),
@@ -308,18 +316,26 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
             members = now.join(open_.select("token"), "token", "left_semi")
         else:
             one = now.join(open_.select("token"), "token", "left_semi")
-            one = one.groupBy("token", "label").agg(F.min(F.struct("sig", "n")).alias("m")) if turn else one.select("token", "label", F.struct("sig", "n").alias("m"))
+            if turn:
+                one = one.groupBy("token", "label").agg(F.min(F.struct("sig", "n")).alias("m"))
+            else:
+                one = one.select("token", "label", F.struct("sig", "n").alias("m"))
             first = one.groupBy("m").agg(F.min(F.struct("token", "label")).alias("t"))
             members = first.select("t.token", "m.sig", "t.label", "m.n")
         members = materialize(members, "near-turn")
         if members.isEmpty():
             break
         fresh = materialize(_links(members, sets, percent, last), "near-links")
-        links = fresh if links is None else links.unionByName(fresh)
-        if not fresh.isEmpty():
-            roots = materialize(components(links), "near-roots")
+        if turn == 0:
+            roots = fresh.withColumnRenamed("label", "sig")  # a set is in one group only, so this is all there is
+        elif not fresh.isEmpty():
+            joined = components(fresh.select(F.col("label").alias("a"), F.col("root").alias("b"))).where("node <> root")
+            joined = materialize(joined.select(F.col("node").alias("label"), F.col("root").alias("to")), "near-joined")
+            moved = roots.join(joined, roots["root"] == joined["label"], "left").select("sig", F.coalesce("to", "root").alias("root"))
+            # a label has no row of its own until it is joined to another
+            roots = materialize(moved.unionByName(joined.select(F.col("label").alias("sig"), F.col("to").alias("root"))), "near-roots")
     if roots is not None:
-        rows = rows.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+        rows = rows.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     else:
         rows = rows.withColumn("root", F.col("sig"))
     rows = rows.select("doc_id", "h", "n", F.when(F.col("n") > 0, F.col("root")).alias("root"))

@@ -57,7 +57,7 @@ def corpus(seed=1):
     return [(i * 7 % 997, t, "en", "s") for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("limits", [{}, {"SLICE_SETS": 6, "ROUNDS": 0}, {"SLICE_SHINGLES": 300, "ROUNDS": 1, "FREQUENT": 3}])
+@pytest.mark.parametrize("limits", [{}, {"SLICE_SETS": 6, "ROUNDS": 1}, {"SLICE_SHINGLES": 300, "ROUNDS": 4, "FREQUENT": 3}])
 def test_components_equal_brute_force(spark, monkeypatch, limits):
     for k, v in limits.items():
         monkeypatch.setattr(N, k, v)
