@@ -19,7 +19,8 @@ from leafline.session import materialize
 
 #: words with an id of their own in the network, and classes of all other words
 SHAPE = gru.Shape(head=2048, tail=64, hidden=32)
-#: the most frequent words travel with the model; counts of others are joined
+#: so many of the most frequent words, at most, travel with the model; counts of
+#: others are joined
 COUNTED = 200_000
 #: documents that the network's weights are fitted on, at most (chosen by a hash
 #: of the id), by so many learners side by side, whose weights are averaged after
@@ -71,6 +72,22 @@ def _ids(flat: pa.Array, vocabulary: pa.Array, shape: gru.Shape) -> tuple[np.nda
     return ids, at
 
 
+def _most_frequent(counts: DataFrame) -> tuple[pa.Array, np.ndarray]:
+    """Words from some count on, COUNTED of them at most, with their counts, the
+    most frequent first. The count is read off a histogram, so that no task
+    sorts or sends more words than these."""
+    steps = F.floor(F.log2("c") * 16).alias("step")
+    room, least = COUNTED, None
+    for r in counts.groupBy(steps).agg(F.count("*").alias("n"), F.min("c").alias("c")).orderBy(F.desc("step")).collect():
+        room -= r["n"]
+        if room < 0:
+            break
+        least = r["c"]
+    kept = counts.where(F.col("c") >= least) if least is not None else counts.limit(0)
+    table = kept.toArrow().sort_by([("c", "descending"), ("word", "ascending")])
+    return table["word"].combine_chunks().cast(pa.large_string()), table["c"].to_numpy()
+
+
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_docs: int = FIT_DOCS, shape: gru.Shape = SHAPE) -> tuple[Model, DataFrame]:
     """(model, counts): counts (word, c) of all words of all rows of `docs`, and
     a network fitted on `max_docs` of them at most. Null texts are empty, and
@@ -80,9 +97,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_docs: i
     counts = materialize(counted.groupBy("word").agg(F.sum("c").alias("c")), "lm-counts")
     texts = slim.count()
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(COUNTED).collect()
-    vocabulary, known = pa.array([r["word"] for r in top], pa.large_string()), np.array([r["c"] for r in top], np.int64)
-    head = min(shape.head, len(top) // gru.BLOCK * gru.BLOCK)
+    vocabulary, known = _most_frequent(counts)
+    head = min(shape.head, len(known) // gru.BLOCK * gru.BLOCK)
     shape = gru.Shape(head, shape.tail, shape.hidden)
 
     def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ PERCENT = 75
 #: children of a tree node
 FANOUT = 8
 #: bits of a signature for each shingle of its set, at least
-DENSITY = 8
+DENSITY = 4
 #: sets that one task holds at a time, and their shingles
 SLICE_SETS, SLICE_SHINGLES = 512, 1 << 21
 #: a shingle that so many texts of one batch share is ordered last; so many such
@@ -73,30 +73,43 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 
 
 class Node:
-    """Sets below it: the union of their bitmaps, the range of their sizes, and
-    how many shingles of one set share a bit, at most."""
+    """Sets below it: the union of their bitmaps, the range of their sizes, how
+    many shingles of one set share a bit, at most, and their label if they all
+    have the same."""
 
-    __slots__ = ("bits", "least", "most", "slack", "below")
+    __slots__ = ("bits", "least", "most", "slack", "label", "below")
 
-    def __init__(self, bits: int, least: int, most: int, slack: int, below):
-        self.bits, self.least, self.most, self.slack, self.below = bits, least, most, slack, below
+    def __init__(self, bits: int, least: int, most: int, slack: int, label, below):
+        self.bits, self.least, self.most, self.slack, self.label, self.below = bits, least, most, slack, label, below
 
 
-def signature(shingles: np.ndarray, width: int) -> int:
+def width_of(n: int) -> int:
+    """Bits of the signature of a set of n shingles, a power of two."""
+    return max(64, 1 << (DENSITY * n - 1).bit_length())
+
+
+def signature(shingles: np.ndarray) -> bytes:
+    width = width_of(len(shingles))
     flags = np.zeros(width, np.uint8)
     flags[(shingles & (width - 1)).astype(np.int64)] = 1
-    return int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def leaf(i: int, n: int, bits: int, label) -> Node:
+    return Node(bits, n, n, n - bits.bit_count(), label, i)
 
 
 def build_tree(leaves: list[Node]) -> Node:
-    """Sets of like size and like least shingle stand side by side; FANOUT nodes make one of the next level."""
+    """Sets of like size and like first bit stand side by side; FANOUT nodes make one of the next level."""
+    leaves = sorted(leaves, key=lambda x: (x.least, x.bits & -x.bits))
     while len(leaves) > 1:
         level = []
         for i in range(0, len(leaves), FANOUT):
             part, bits = leaves[i : i + FANOUT], 0
             for x in part:
                 bits |= x.bits
-            level.append(Node(bits, min(x.least for x in part), max(x.most for x in part), max(x.slack for x in part), part))
+            label = part[0].label if all(x.label == part[0].label for x in part) else None
+            level.append(Node(bits, min(x.least for x in part), max(x.most for x in part), max(x.slack for x in part), label, part))
         leaves = level
     return leaves[0]
 
@@ -111,16 +124,16 @@ def may_link(a: Node, b: Node, percent: int = PERCENT) -> bool:
 
 
 def pairs(a: Node, b: Node, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
-    """Pairs of sets that no bound rules out, one below each node; with a == b each pair once."""
+    """Pairs of sets of different labels that no bound rules out, one below each
+    node; with a == b each pair once."""
     stack = [(a, b)]
     while stack:
         x, y = stack.pop()
-        if not may_link(x, y, percent):
+        if (x.label is not None and x.label == y.label) or not may_link(x, y, percent):
             continue
         leaf_x, leaf_y = isinstance(x.below, int), isinstance(y.below, int)
         if leaf_x and leaf_y:
-            if x is not y:
-                yield x.below, y.below
+            yield x.below, y.below
         elif x is y:
             stack.extend((p, q) for i, p in enumerate(x.below) for q in x.below[i:])
         elif leaf_y or (not leaf_x and x.most - x.least >= y.most - y.least):
@@ -129,11 +142,26 @@ def pairs(a: Node, b: Node, percent: int = PERCENT) -> Iterator[tuple[int, int]]
             stack.extend((x, q) for q in y.below)
 
 
+def candidates(sizes: list[int], bitmaps: list[bytes], labels: list, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
+    """Pairs of sets of different labels that may be similar enough. Sets of one
+    bitmap width share a tree; only equal and next widths can hold similar
+    sets, and a bitmap folds onto half its width."""
+    classes: dict[int, list[int]] = {}
+    for i, b in enumerate(bitmaps):
+        if sizes[i]:
+            classes.setdefault(8 * len(b), []).append(i)
+    for width, members in classes.items():
+        whole = [leaf(i, sizes[i], int.from_bytes(bitmaps[i], "little"), labels[i]) for i in members]
+        below = build_tree(whole)
+        yield from pairs(below, below, percent)
+        if 2 * width in classes:
+            folded = [(i, int.from_bytes(bitmaps[i], "little")) for i in classes[2 * width]]
+            yield from pairs(below, build_tree([leaf(i, sizes[i], b & ((1 << width) - 1) | b >> width, labels[i]) for i, b in folded]), percent)
+
+
 def tree_links(sets: list[np.ndarray], labels: list, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links between sets that join all similar ones: a spanning forest of the
-    exact links, given that sets of one label are joined already. Sets are
-    grouped by the width of their bitmaps, a power of two; only equal and next
-    widths can hold similar sets, and a bitmap folds onto half its width."""
+    exact links, given that sets of one label are joined already."""
     parent = {x: x for x in labels}
 
     def root(x):
@@ -141,30 +169,15 @@ def tree_links(sets: list[np.ndarray], labels: list, percent: int = PERCENT) ->
             parent[x] = x = parent[parent[x]]
         return x
 
-    classes: dict[int, list[int]] = {}
-    for i, s in enumerate(sets):
-        if len(s):
-            classes.setdefault(max(64, 1 << (DENSITY * len(s) - 1).bit_length()), []).append(i)
-
-    def tree(members: list[int], width: int) -> Node:
-        leaves = []
-        for i in sorted(members, key=lambda i: (len(sets[i]), int(sets[i][0]))):
-            bits = signature(sets[i], width)
-            leaves.append(Node(bits, len(sets[i]), len(sets[i]), len(sets[i]) - bits.bit_count(), i))
-        return build_tree(leaves)
-
-    trees, found = {w: tree(m, w) for w, m in classes.items()}, []
-    for width, below in trees.items():
-        sides = [below, tree(classes[2 * width], width)] if 2 * width in classes else [below]
-        for other in sides:
-            for i, j in pairs(below, other, percent):
-                a, b = root(labels[i]), root(labels[j])
-                if a == b:
-                    continue
-                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
-                    parent[a] = b
-                    found.append((i, j))
+    found = []
+    for i, j in candidates([len(s) for s in sets], [signature(s) for s in sets], labels, percent):
+        a, b = root(labels[i]), root(labels[j])
+        if a == b:
+            continue
+        common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+            parent[a] = b
+            found.append((i, j))
     return found
 
 
@@ -214,17 +227,40 @@ def _prefixes(batches: Iterator[pa.RecordBatch], late: np.ndarray, percent: int)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(sigs))], ["token", "sig"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fresh(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[int, np.ndarray]]:
+    """The sets of a task's texts by fingerprint, each once."""
     seen: set[int] = set()
     for b in chunks(batches, "text"):
-        sets = [(set_hash(s), s) for s in shingle_sets(b.column("text"))]
-        fresh = list({sig: s for sig, s in sets if sig not in seen}.items())
-        seen.update(sig for sig, _ in fresh)
+        sets = {set_hash(s): s for s in shingle_sets(b.column("text"))}
+        yield {sig: s for sig, s in sets.items() if sig not in seen}
+        seen.update(sets)
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for sets in _fresh(batches):
         yield pa.RecordBatch.from_arrays(
-            [pa.array([sig for sig, _ in fresh], pa.int64()), pa.array([s for _, s in fresh], pa.list_(pa.int64()))], ["sig", "shingles"]
+            [pa.array(list(sets), pa.int64()), pa.array(list(sets.values()), pa.list_(pa.int64()))], ["sig", "shingles"]
         )
 
 
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for sets in _fresh(batches):
+        bits = [signature(s) for s in sets.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.array(bits, pa.binary())], ["sig", "bits"])
+
+
+def _partners(percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        """The rows of a group that may link with a row of another label in it."""
+        label, n = group.column("label").to_pylist(), group.column("n").to_pylist()
+        some = [False] * len(label)
+        for i, j in candidates(n, group.column("bits").to_pylist(), label, percent):
+            some[i] = some[j] = True
+        return group.select(["token", "x", "y", "sig", "label"]).filter(pa.array(some, pa.bool_()))
+
+    return run
+
+
 def _linker(percent: int):
     def run(group: pa.Table) -> pa.Table:
         """(label, root): the labels of a group that links join to a lesser one."""
@@ -249,22 +285,18 @@ def _linker(percent: int):
     return run
 
 
-def _links(members: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
-    """(label, root) from the links within groups of `members` (token, sig, label,
-    n). A group of more than one slice is cut by hash; for `whole`, every two
-    slices meet."""
+def _dealt(members: DataFrame, whole: bool) -> DataFrame:
+    """`members` (token, sig, label, n) with the slices (x, y) in which they meet.
+    A group of more than one slice is cut by hash; for `whole`, every two slices
+    meet."""
     weight = members.groupBy("token").agg(
         F.greatest(F.ceil(F.count("*") / SLICE_SETS), F.ceil(F.sum("n") / SLICE_SHINGLES)).cast("int").alias("slices")
     )
     dealt = members.join(weight, "token").withColumn("x", F.pmod(F.xxhash64("sig"), F.col("slices")).cast("int"))
-    if whole:
-        every = F.sequence(F.lit(0), F.col("slices") - 1)
-        dealt = dealt.withColumn("y", F.explode(every))
-        dealt = dealt.select("token", "sig", "label", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    else:
-        dealt = dealt.select("token", "sig", "label", "x", F.lit(0).alias("y"))
-    rows = dealt.join(sets, "sig").groupBy("token", "x", "y")
-    return rows.applyInArrow(_linker(percent), "label long, root long")
+    if not whole:
+        return dealt.select("token", "sig", "label", "n", "x", F.lit(0).alias("y"))
+    dealt = dealt.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    return dealt.select("token", "sig", "label", "n", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
 
 def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
@@ -277,7 +309,8 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     Sets that share one form a group. 3. Groups are joined by signature trees, in
     slices of bounded size: first one group per set, then one set per component,
     and then all groups that still hold two components, in full.
-    Shuffled are prefixes once, and the sets of groups of two or more."""
+    Sets meet as bitmaps, and in full only where the bitmaps leave a link possible.
+    Shuffled are prefixes once, bitmaps of sets in groups, and sets that may link."""
     kind = docs.schema[doc_id].dataType.simpleString()
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
     arrow_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
@@ -294,9 +327,13 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     groups = materialize(groups, "near-groups")
     classes = rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
     wanted = materialize(groups.select("sig").distinct().join(classes, "sig"), "near-wanted")
-    reps = wanted.select(F.col("rep").alias("__rep")).distinct()
-    found = slim.join(broadcast_if_small(reps), F.col("doc_id").eqNullSafe(F.col("__rep")), "left_semi")
-    sets = materialize(found.mapInArrow(_sets, "sig long, shingles array<long>"), "near-sets")
+
+    def texts_of(sigs: DataFrame) -> DataFrame:
+        """A text for each of the fingerprints, and texts that share its id."""
+        reps = wanted.join(sigs, "sig", "left_semi").select(F.col("rep").alias("__rep")).distinct()
+        return slim.join(broadcast_if_small(reps), F.col("doc_id").eqNullSafe(F.col("__rep")), "left_semi")
+
+    bitmaps = materialize(texts_of(wanted).mapInArrow(_bitmaps, "sig long, bits binary"), "near-bitmaps")
     groups = materialize(groups.join(wanted.select("sig", "n"), "sig"), "near-members")
 
     # (sig, root) of sets that are not their component's first one
@@ -325,7 +362,14 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
         members = materialize(members, "near-turn")
         if members.isEmpty():
             break
-        fresh = materialize(_links(members, sets, percent, last), "near-links")
+        # bitmaps first: only sets that may link with another of their group are read in full
+        partners = _dealt(members, last).join(bitmaps, "sig").groupBy("token", "x", "y").applyInArrow(
+            _partners(percent), "token long, x int, y int, sig long, label long"
+        )
+        partners = materialize(partners, "near-partners")
+        sets = materialize(texts_of(partners.select("sig")).mapInArrow(_sets, "sig long, shingles array<long>"), "near-sets")
+        links = partners.join(sets, "sig").groupBy("token", "x", "y").applyInArrow(_linker(percent), "label long, root long")
+        fresh = materialize(links, "near-links")
         if turn == 0:
             roots = fresh.withColumnRenamed("label", "sig")  # a set is in one group only, so this is all there is
         elif not fresh.isEmpty():
