@@ -33,8 +33,9 @@ PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…–—¿
 def index_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words in lower case without punctuation around them, and where each
     text's words begin; what is punctuation only is no word."""
-    lists = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string())))
-    flat = pc.utf8_trim(lists.flatten(), characters=PUNCTUATION)
+    # lower case comes before any cast: Arrow's kernels misread the cast of a slice
+    lists = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+    flat = pc.utf8_trim(lists.flatten().cast(pa.large_string()), characters=PUNCTUATION)
     offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
     keep = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
     return flat.filter(pa.array(keep)), np.concatenate([[0], np.cumsum(keep)]).astype(np.int64)[offsets]

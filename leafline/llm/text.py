@@ -67,8 +67,9 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
 def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts in lower case, and where each text's words begin
     (one more entry than texts). A null text has none."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string())))
-    flat = lists.flatten()
+    # lower case comes before any cast: Arrow's kernel misreads the cast of a slice
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = lists.flatten().cast(pa.large_string())
     offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
     keep = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
     if not keep.all():

@@ -113,10 +113,17 @@ def test_bounds_never_rule_out_a_link():
         b = np.unique(np.concatenate([a[rnd.random(len(a)) < 0.9], rnd.integers(0, 2**62, rnd.integers(0, 4))]))
         if not len(b) or 100 * len(np.intersect1d(a, b)) < 75 * len(np.union1d(a, b)):
             continue
-        for width in (64, 256):
-            leaf = lambda s: N.Node(bits := N.signature(s, width), len(s), len(s), len(s) - bits.bit_count(), 0)  # noqa: E731,B023
-            other = leaf(np.unique(rnd.integers(0, 2**62, 20)))
-            assert N.may_link(leaf(a), leaf(b)) and N.may_link(N.build_tree([leaf(a), other]), leaf(b))
+        c = np.unique(rnd.integers(0, 2**62, 20))
+        for sets in ([a, b], [a, b, c], [c, b, c, a]):
+            got = {frozenset(p) for p in N.candidates([len(s) for s in sets], [N.signature(s) for s in sets], list(range(len(sets))))}
+            assert frozenset(i for i, s in enumerate(sets) if s is not c) in got
+
+
+def test_sets_of_one_label_are_passed_over():
+    s = np.arange(30)
+    bits = [N.signature(s)] * 40
+    assert not list(N.candidates([30] * 40, bits, [7] * 40))
+    assert len(list(N.candidates([30] * 40, bits, [7] * 39 + [8]))) == 39
 
 
 def test_prefixes_of_linked_sets_meet():
