@@ -5,21 +5,45 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Where the fields stand in the markup of a title's detail page.
+
+
+def with_class(tag: str, name: str) -> str:
+    """Opening tag that has `name` among its classes, in any quoting."""
+    return rf"""<{tag}\b[^>]*?\bclass\s*=\s*(?:"(?:[^"]*\s)?{name}(?:\s[^"]*)?"|'(?:[^']*\s)?{name}(?:\s[^']*)?'|{name}(?=[\s>]))[^>]*>"""
+
+
+def attribute(tag: str, name: str) -> str:
+    """Value of an attribute, with the quotes around it if there are any."""
+    return rf"""(?i)<{tag}\b[^>]*?\b{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def _element(tag: str, name: str) -> str:
+    """The inside of an element with a class, up to the next end of such a tag."""
+    return rf"(?is){with_class(tag, name)}(.*?)</{tag}\s*>"
+
+
+def _nested(tag: str, name: str) -> str:
+    """A whole element with a class; tags of its own name may stand inside, one deep."""
+    other = rf"[^<]*+(?:<(?!/?{tag}\b)[^<]*+)*+"
+    return rf"{with_class(tag, name)}{other}(?:<{tag}\b[^>]*+>{other}</{tag}\s*+>{other})*+</{tag}\s*>"
+
+
+LINK = attribute("a", "href")
+# Where the fields stand in the markup of a title's detail page:
+# a pattern, or a container's pattern and one to match inside it.
 DETAIL_FIELDS = {
-    "t_names": r'(?s)<span[^>]*class="title"[^>]*>(.*?)</span>',
-    "t_auth": r'(?s)<span[^>]*class="wrt_nm"[^>]*>(.*?)</span>',
-    "t_genre": r'(?s)<p[^>]*class="detail_info"[^>]*>.*?<span[^>]*>(.*?)</span>',
-    "t_age": r'(?s)<p[^>]*class="detail_info"[^>]*>.*?<span[^>]*class="age"[^>]*>(.*?)</span>',
-    "t_sum": r'(?s)<div[^>]*class="detail"[^>]*>.*?</h2>\s*<p[^>]*>(.*?)</p>',
-    "t_thumbs": r'(?s)<div[^>]*class="thumb"[^>]*>.*?<img[^>]*src="([^"]*)"',
+    "t_names": _element("span", "title"),
+    "t_auth": _element("span", "wrt_nm"),
+    "t_genre": (_element("p", "detail_info"), r"(?is)<span\b[^>]*>(.*?)</span\s*>"),
+    "t_age": (_element("p", "detail_info"), _element("span", "age")),
+    "t_sum": (_element("div", "detail"), r"(?is)</h2\s*>\s*<p\b[^>]*>(.*?)</p\s*>"),
+    "t_thumbs": (_element("div", "thumb"), attribute("img", "src")),
 }
-NEWEST_EPISODE = r'(?s)<td[^>]*class="title"[^>]*>.*?<a[^>]*href="([^"]*)"'
-COMMENT_TEXT = r'(?s)<(?:span|div|p)[^>]*class="[^"]*u_cbox_contents[^"]*"[^>]*>(.*?)</(?:span|div|p)>'
-LINK = r'<a[^>]*href="([^"]+)"'
-LINK_TEXT = r'(?s)<a[^>]*href="([^"]+)"[^>]*>(.*?)</a>'
-LIST_ITEM = r"(?s)<li[^>]*>(.*?)</li>"
-RATING = r"(?s)<strong[^>]*>(.*?)</strong>"
+NEWEST_EPISODE = (_element("td", "title"), LINK)
+COMMENT_TEXT = "(?is)" + "|".join(_nested(tag, "u_cbox_contents") for tag in ("span", "div", "p"))
+LINK_TEXT = r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>(.*?)</a\s*>"""
+LIST_ITEM = r"(?is)<li\b[^>]*>(.*?)</li\s*>"
+RATING = r"(?is)<strong\b[^>]*>(.*?)</strong\s*>"
 
 # The entities resolved in text, `&amp;` last.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
@@ -27,15 +51,43 @@ ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " "
 
 def inner_text(fragment: Column) -> Column:
     """Text of a fragment: tags dropped, common entities resolved."""
-    text = F.regexp_replace(fragment, r"<[^>]*>", "")
+    return resolve(F.regexp_replace(fragment, r"<[^>]*>", ""))
+
+
+def field_text(value: Column) -> Column:
+    """Text of a field, which may be an attribute's value in its quotes."""
+    quoted = F.regexp_extract(value, r"""(?s)^(?:"([^"]*)"|'([^']*)')$""", 0) != ""
+    return F.when(quoted & ~F.contains(value, F.lit("<")), attr_value(value)).otherwise(inner_text(value))
+
+
+def resolve(text: Column) -> Column:
     for entity, char in ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text
 
 
-def first_match(html: Column, pattern: str) -> Column:
-    """First group of the first match."""
-    return F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
+def attr_value(value: Column) -> Column:
+    """An attribute's value as matched: without its quotes, entities resolved;
+    an empty one is absent."""
+    bare = F.regexp_replace(value, r"""^["']|["']$""", "")
+    return F.nullif(resolve(bare), F.lit(""))
+
+
+def first_match(html: Column, pattern: str | tuple[str, str]) -> Column:
+    """First group of the first match; of a pair of patterns, inside the first
+    match of the one before."""
+    for p in (pattern,) if isinstance(pattern, str) else pattern:
+        html = F.nullif(F.regexp_extract(html, p, 1), F.lit(""))
+    return html
+
+
+def links_in(html: Column) -> Column:
+    """array<string>: the links of a fragment."""
+    return F.filter(F.transform(all_matches(html, LINK), attr_value), lambda h: h.isNotNull())
+
+
+def first_link(html: Column, within: tuple[str, ...] = ()) -> Column:
+    return attr_value(first_match(html, (*within, LINK)))
 
 
 def all_matches(html: Column, pattern: str, group: int = 1) -> Column:

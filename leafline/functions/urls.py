@@ -3,6 +3,8 @@ what is not there comes out as null."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,5 +38,6 @@ def tail_id(url: Column) -> Column:
 
 
 def fill_template(template: str, *values: Column) -> Column:
-    """A printf-style template filled per row."""
-    return F.format_string(template, *values)
+    """A printf-style template filled per row; absent if any part is."""
+    known = reduce(lambda a, b: a & b, [v.isNotNull() for v in values])
+    return F.when(known, F.format_string(template, *values))

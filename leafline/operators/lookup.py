@@ -23,7 +23,8 @@ def weekday_lookup(titles: DataFrame, anchors: DataFrame, name: str) -> DataFram
     many links or many titles therefore never multiplies rows, and the arrays
     are no longer than the set of codes."""
     once = weekday_links(anchors).where(F.col("code").isNotNull()).groupBy("text", "code").agg(F.min("pos").alias("pos"))
-    by_text = once.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("pos", "code"))).alias("found"))
-    joined = titles.join(by_text, titles[name] == by_text["text"], "left").drop("text")
-    codes = F.coalesce(F.transform("found", lambda x: x.code), F.array().cast("array<string>"))
-    return joined.withColumn("weekdays", codes).drop("found")
+    by_text = once.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("pos", "code"))).alias("__found"))
+    by_text = by_text.withColumnRenamed("text", "__text")
+    joined = titles.join(by_text, titles[name] == by_text["__text"], "left")
+    codes = F.coalesce(F.transform("__found", lambda x: x.code), F.array().cast("array<string>"))
+    return joined.withColumn("weekdays", codes).drop("__found", "__text")

@@ -20,7 +20,7 @@ def page_links(
     """(keys, pos, href, link) of every link, or of those in the i-th section:
     `within` is (section pattern, i)."""
     source = F.col("html") if within is None else H.section(F.col("html"), *within)
-    found = pages.select(*keys, F.posexplode(H.all_matches(source, H.LINK)).alias("pos", "href"))
+    found = pages.select(*keys, F.posexplode(H.links_in(source)).alias("pos", "href"))
     return found.withColumn("link", absolute_link(host, F.col("href")))
 
 
@@ -30,7 +30,7 @@ def page_anchors(pages: DataFrame, keys: tuple[str, ...] = ("page_id",)) -> Data
     return tag.select(
         *keys,
         "pos",
-        F.regexp_extract("tag", H.LINK_TEXT, 1).alias("href"),
+        H.attr_value(F.regexp_extract("tag", H.LINK_TEXT, 1)).alias("href"),
         H.inner_text(F.regexp_extract("tag", H.LINK_TEXT, 2)).alias("text"),
     )
 
@@ -42,22 +42,24 @@ def rated_links(pages: DataFrame, host: str, min_rating: float = MIN_RATING) ->
     read = items.select(
         "page_id",
         "pos",
-        H.first_match(F.col("item"), H.LINK).alias("href"),
+        H.first_link(F.col("item")).alias("href"),
         H.first_match(F.col("item"), H.RATING).alias("rating"),
     )
     kept = read.where(at_least(F.col("rating"), min_rating) & F.col("href").isNotNull())
     return kept.withColumn("link", absolute_link(host, F.col("href")))
 
 
-def page_fields(pages: DataFrame, patterns: Mapping[str, str], extra: Mapping[str, Column] | None = None) -> DataFrame:
+def page_fields(pages: DataFrame, patterns: Mapping[str, str | tuple[str, str]], extra: Mapping[str, Column] | None = None) -> DataFrame:
     """One record per page: the first match of every field's pattern, as text."""
-    read = {n: H.inner_text(H.first_match(F.col("html"), p)) for n, p in patterns.items()}
+    read = {n: H.field_text(H.first_match(F.col("html"), p)) for n, p in patterns.items()}
     return pages.select("page_id", "url", *[c.alias(n) for n, c in {**read, **(extra or {})}.items()])
 
 
 def page_comments(html: Column, pattern: str = H.COMMENT_TEXT) -> Column:
-    """array<string>: the comments on a page, each on one line."""
-    return flatten_newlines(F.transform(H.all_matches(html, pattern), H.inner_text))
+    """array<string>: the comments on a page, each on one line: the pattern's
+    group, or the text of the whole match if it has none."""
+    group = 0 if pattern == H.COMMENT_TEXT else 1
+    return flatten_newlines(F.transform(H.all_matches(html, pattern, group), H.inner_text))
 
 
 def page_attr_list(html: Column, pattern: str) -> Column:

@@ -15,19 +15,20 @@ from leafline.session import BROADCAST_ROWS, materialize
 SKIP_TOP = 1
 HITS = 20
 TITLES = 5
+REVIEW_KEYS = ("user_id", "user_t_id")
 # buckets of users that rounds of reviews are packed from
 _BUCKETS = 1024
 
 
 def review_tfidf(comments: DataFrame, reviews: DataFrame, max_terms: int = V.MAX_TERMS) -> DataFrame:
-    """(user_id, term, weight): reviews in the vocabulary of the comments."""
+    """(user_id, user_t_id, term, weight): reviews in the vocabulary of the comments."""
     vocab = V.vocabulary(V.with_bag(comments, lower=True), max_terms)
     return _review_vectors(reviews, vocab)
 
 
 def _review_vectors(reviews: DataFrame, vocab: DataFrame) -> DataFrame:
-    bags = reviews.select("user_id", word_counts(tokenize(F.col("review"), lower=True)).alias("bag"))
-    return V.tfidf(bags, vocab, keys=("user_id",))
+    bags = reviews.withColumnRenamed("t_id", "user_t_id").select(*REVIEW_KEYS, word_counts(tokenize(F.col("review"), lower=True)).alias("bag"))
+    return V.tfidf(bags, vocab, keys=REVIEW_KEYS)
 
 
 def corpus_stats(comments: DataFrame, tokens: str | None = None) -> DataFrame:
@@ -37,6 +38,11 @@ def corpus_stats(comments: DataFrame, tokens: str | None = None) -> DataFrame:
     return V.term_stats(V.with_bag(named, lower=True, tokens=tokens))
 
 
+def other_comments(comments: DataFrame, exclude: str | None) -> DataFrame:
+    """Comments of all titles but one; those of no title never count."""
+    return comments.where(F.col("t_id") != exclude) if exclude is not None else comments.where(F.col("t_id").isNotNull())
+
+
 def cosine_scores(
     comments: DataFrame,
     review: str,
@@ -48,8 +54,7 @@ def cosine_scores(
     """Every comment with a positive cosine to the review. The vocabulary is
     fitted on the comments that remain once the reviewed title is left out;
     `stats` are those of all `comments`, if at hand."""
-    others = comments.where(F.col("t_id") != exclude) if exclude is not None else comments.where(F.col("t_id").isNotNull())
-    bags = V.with_bag(others, lower=True, tokens=tokens)
+    bags = V.with_bag(other_comments(comments, exclude), lower=True, tokens=tokens)
     if stats is None:
         stats = V.term_stats(bags)
     elif exclude is not None:
@@ -85,8 +90,9 @@ def similar_comments(
 
 
 def join_scores(info: DataFrame, scores: DataFrame) -> DataFrame:
-    """Title info beside the scores of at most `skip_top + hits` titles."""
-    return info.join(F.broadcast(scores), "t_id")
+    """Title info beside the titles' scores. One review has few; Spark sees their
+    number when it runs and broadcasts them then."""
+    return info.join(scores, "t_id")
 
 
 def recommend_titles(
@@ -144,7 +150,8 @@ def similar_comments_batch(
     max_terms: int = V.MAX_TERMS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """`similar_comments` for every row of `reviews` (user_id, t_id, review).
+    """`similar_comments` for every row of `reviews` (user_id, t_id, review), with
+    the reviewed title as `user_t_id`. A reader may review several titles.
 
     One model serves all reviews; it is fitted on `fit_on`, by default all
     comments, and each review skips its own title when scored. Comment vectors are
@@ -157,9 +164,7 @@ def similar_comments_batch(
         V.vocabulary(V.with_bag(comments if fit_on is None else fit_on, lower=True), max_terms), "vocabulary"
     )
     review_words = materialize(
-        _review_vectors(reviews, vocab)
-        .withColumnRenamed("weight", "q")
-        .join(reviews.select("user_id", F.col("t_id").alias("own_t_id")), "user_id"),
+        _review_vectors(reviews, vocab).withColumnRenamed("weight", "q"),
         "review-words",
     )
     words = V.tfidf_with_copies(V.with_key(V.with_bag(comments, lower=True)), vocab, keys)
@@ -169,13 +174,13 @@ def similar_comments_batch(
         side = F.broadcast(words_of_round) if small else words_of_round
         scores = (
             words.join(side, "term")
-            .where(F.col("own_t_id").isNull() | (F.col("t_id") != F.col("own_t_id")))
-            .groupBy("user_id", *keys, "copies")
+            .where(F.col("user_t_id").isNull() | (F.col("t_id") != F.col("user_t_id")))
+            .groupBy(*REVIEW_KEYS, *keys, "copies")
             .agg(F.sum(F.col("weight") * F.col("q")).alias("score"))
             .where(F.col("score") > 0)
             .withColumn("score", F.round("score", V.RANK_DIGITS))
         )
-        part = _take_hits(scores, ["user_id"], skip_top, hits)
+        part = _take_hits(scores, REVIEW_KEYS, skip_top, hits)
         best = part if best is None else best.unionByName(part)
     return best
 
@@ -191,19 +196,22 @@ def recommend_batch(
     max_terms: int = V.MAX_TERMS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """(user_id, rank, t_id, score) for many reviews (user_id, t_id, fav_genres,
-    review) at once."""
+    """(user_id, user_t_id, rank, t_id, score) for many reviews (user_id, t_id,
+    fav_genres, review) at once; a reader has one review of a title."""
     found = similar_comments_batch(comments, reviews, fit_on, skip_top, hits, max_terms, broadcast_rows)
-    favs = reviews.select("user_id", favourites(F.col("fav_genres")).alias("favs"))
+    favs = reviews.select(
+        F.col("user_id").alias("__user"), F.col("t_id").alias("__own"), favourites(F.col("fav_genres")).alias("favs")
+    )
+    mine = F.col("user_id").eqNullSafe(F.col("__user")) & F.col("user_t_id").eqNullSafe(F.col("__own"))
     boosted = (
-        max_score_per_title(found, ("user_id", "t_id"))
+        max_score_per_title(found, (*REVIEW_KEYS, "t_id"))
         .join(info.select("t_id", "genre"), "t_id")
-        .join(favs, "user_id")
+        .join(favs, mine)
         .select(
-            "user_id",
+            *REVIEW_KEYS,
             "t_id",
             F.round(genre_boost(F.col("score"), F.col("genre"), F.col("favs")), V.RANK_DIGITS).alias("score"),
         )
     )
-    best = ranked(boosted, ["user_id"], [F.col("score").desc(), F.col("t_id")], 1, titles)
-    return best.select("user_id", "rank", "t_id", "score")
+    best = ranked(boosted, REVIEW_KEYS, [F.col("score").desc(), F.col("t_id")], 1, titles)
+    return best.select(*REVIEW_KEYS, "rank", "t_id", "score")

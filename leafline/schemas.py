@@ -59,6 +59,4 @@ TITLE_INFO = StructType(
         StructField("url", StringType()),
     ]
 )
-COMMENTS = _table("t_id", "best_comments[]")
-TOPICS = _table("t_id", "t_topics[]")
 REVIEWS = _table("user_id", "t_id", "fav_genres[]", "review")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BASE_CONF = {
@@ -60,19 +60,49 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_written: list[str] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and go on from the files, so that
-    later steps neither recompute it nor depend on its executors."""
+    later steps neither recompute it nor depend on its executors. The files stay
+    until `clear_scratch`."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# rows of a few short columns, about 60 bytes each: 30 MB per executor
-BROADCAST_ROWS = 500_000
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what `materialize` has written, once results that read it are stored."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark `df` for broadcast if it has at most `max_rows` rows, else leave the
-    join to Spark. The count stops at the bound; `df` should be cheap to read."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+# what a broadcast may take on an executor
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 << 20
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: texts and lists of texts by their length, 8 for others."""
+    total = F.lit(0).cast("long")
+    for f in df.schema:
+        text = f.dataType.simpleString()
+        if text in ("string", "binary"):
+            size = F.octet_length(f"`{f.name}`")
+        elif text == "array<string>":
+            size = F.aggregate(f"`{f.name}`", F.lit(0), lambda a, x: a + F.coalesce(F.octet_length(x), F.lit(0)) + 8)
+        else:
+            size = F.lit(8)
+        total = total + F.coalesce(size, F.lit(0)) + 8
+    return total
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark `df` for broadcast if it has at most `max_rows` rows and `max_bytes`
+    bytes, else leave the join to Spark. The count stops at the bound; `df`
+    should be cheap to read."""
+    found = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    return F.broadcast(df) if found["n"] <= max_rows and (found["b"] or 0) <= max_bytes else df

@@ -53,7 +53,10 @@ def lists_as_json(df: DataFrame) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "error") -> None:
     """CSV with lists as JSON text."""
-    lists_as_json(df).write.mode(mode).option("header", header).option("escape", '"').csv(path)
+    writer = lists_as_json(df).write.mode(mode).option("header", header).option("escape", '"')
+    for side in ("Leading", "Trailing"):  # else the writer takes blanks off texts
+        writer = writer.option(f"ignore{side}WhiteSpace", False)
+    writer.csv(path)
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType, header: bool = True) -> DataFrame:

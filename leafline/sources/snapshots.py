@@ -55,10 +55,11 @@ def scan_lookback(
 
 
 def scan_offset(
-    spark: SparkSession, base: str, schema: StructType, anchor: date, style: str, offset: int = FINISHED_OFFSET
+    spark: SparkSession, base: str, schema: StructType, anchor: date, style: str, offset: int = FINISHED_OFFSET,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """The one snapshot `offset` days before the anchor."""
-    return read_days(spark, base, schema, [anchor - timedelta(days=offset)], style)
+    return read_days(spark, base, schema, [anchor - timedelta(days=offset)], style, keep_corrupt)
 
 
 def read_table(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:

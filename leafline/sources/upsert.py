@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafline.operators.ranking import latest_per_key
-from leafline.session import broadcast_if_small
+from leafline.session import broadcast_if_small, materialize
 
 
 def upsert(
@@ -16,12 +16,13 @@ def upsert(
 ) -> DataFrame:
     """`existing` with every item of `updates` put in; columns an update lacks are
     null in the result, as the whole item is replaced. Updates are cut to one
-    row per key (first in `order`), or are so already if no order is given. Existing rows only meet the update keys: where
-    those are few, as after a usual day, the stored table is not shuffled. An item
-    without a key cannot be stored."""
-    updates = updates.where(F.col(key).isNotNull())
-    new = updates if order is None else latest_per_key(updates, key, order)
-    kept = existing.join(broadcast_if_small(updates.select(key).distinct()), key, "left_anti")
+    row per key (first in `order`), or are so already if no order is given, and
+    stored once: their keys and their rows are both read from there. Existing rows
+    only meet the update keys: where those are few, as after a usual day, the
+    stored table is not shuffled. An item without a key cannot be stored."""
+    new = updates.where(F.col(key).isNotNull())
+    new = materialize(new if order is None else latest_per_key(new, key, order), "updates")
+    kept = existing.join(broadcast_if_small(new.select(key)), key, "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 
 import suite
@@ -60,7 +61,7 @@ def main() -> int:
     spark = build_session(
         "compare", "local[8]",
         {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-         "spark.driver.memory": "8g"},
+         "spark.driver.memory": "8g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(sf_dir), 0

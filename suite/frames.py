@@ -48,7 +48,7 @@ INFO_SQL = """SELECT 'N' || p_partkey AS t_id, CASE WHEN p_partkey % 2 = 0 THEN
 def benchmark_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "benchmark")
     return t.select(
-        F.concat(F.lit("u"), F.col("item_id").cast("string")).alias("user_id"),
+        F.concat(F.lit("u"), F.expr("item_id div 2").cast("string")).alias("user_id"),  # a reader reviews two titles
         F.concat(F.lit("N"), F.col("item_id").cast("string")).alias("t_id"),
         F.when(F.col("item_id") % 3 == 0, F.array(F.lit("red"), F.lit("small")))
         .when(F.col("item_id") % 3 == 1, F.array(F.lit("ring")))
@@ -57,7 +57,7 @@ def benchmark_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-REVIEWS_SQL = """SELECT 'u' || item_id AS user_id, 'N' || item_id AS t_id,
+REVIEWS_SQL = """SELECT 'u' || (item_id // 2) AS user_id, 'N' || item_id AS t_id,
   CASE item_id % 3 WHEN 0 THEN ['red', 'small'] WHEN 1 THEN ['ring'] ELSE ['스토리'] END AS favs, text AS review
   FROM benchmark"""
 
@@ -95,10 +95,10 @@ def hits_ctes(review_source: str, comment_source: str | None = None) -> str:
     SELECT user_id, t_id AS own, unnest(regexp_extract_all(lower(review), '[A-Za-z0-9가-힣]{{2,}}')) AS term FROM reviews)
     GROUP BY ALL),
   rraw AS (SELECT user_id, own, term, n * idf AS w FROM rbag JOIN vocab USING (term)),
-  rvec AS (SELECT user_id, own, term, w / sqrt(sum(w * w) OVER (PARTITION BY user_id)) AS w FROM rraw),
-  scores AS (SELECT r.user_id, v.t_id, v.comment_pos, round(sum(v.w * r.w), 9) AS score
+  rvec AS (SELECT user_id, own, term, w / sqrt(sum(w * w) OVER (PARTITION BY user_id, own)) AS w FROM rraw),
+  scores AS (SELECT r.user_id, r.own, v.t_id, v.comment_pos, round(sum(v.w * r.w), 9) AS score
     FROM vectors v JOIN rvec r ON v.term = r.term AND {exclude} GROUP BY ALL HAVING sum(v.w * r.w) > 0),
-  numbered AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, t_id, comment_pos) AS rank FROM scores),
+  numbered AS (SELECT *, row_number() OVER (PARTITION BY user_id, own ORDER BY score DESC, t_id, comment_pos) AS rank FROM scores),
   hits AS (SELECT * FROM numbered WHERE rank BETWEEN 2 AND 21)"""
 
 

@@ -6,6 +6,8 @@ from leafline.functions import html as H
 from leafline.operators import lookup as L
 from leafline.operators import pages as P
 from leafline.plans import crawl as C
+from leafline.session import scratch_path
+from leafline.sources import sinks as K
 from suite.registry import case, table
 
 HOST = "https://titles.example"
@@ -19,7 +21,10 @@ FIELDS = {
 
 
 def _text_sql(fragment: str) -> str:
-    text = f"regexp_replace({fragment}, '<[^>]*>', '', 'g')"
+    return _resolve_sql(f"regexp_replace({fragment}, '<[^>]*>', '', 'g')")
+
+
+def _resolve_sql(text: str) -> str:
     for entity, char in H.ENTITIES.items():
         text = f"replace({text}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
     return text
@@ -29,9 +34,18 @@ def _field_sql(pattern: str) -> str:
     return f"coalesce({_text_sql(f'''nullif(regexp_extract(html, '{pattern}', 1), '')''')}, '<none>')"
 
 
+_HREF = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_LINK_SQL = r"(?i)<a\b[^>]*?\bhref\s*=\s*" + _HREF.replace("'", "''")
+
+
+def _attr_sql(value: str) -> str:
+    return _resolve_sql(f"""regexp_replace({value}, '^["'']|["'']$', '', 'g')""")
+
+
 @case(f"""SELECT page_id, pos, href, CASE WHEN href LIKE '/%' THEN '{HOST}' || href ELSE href END AS link FROM (
   SELECT page_id, unnest(h) AS href, generate_subscripts(h, 1) - 1 AS pos
-  FROM (SELECT page_id, regexp_extract_all(html, '<a[^>]*href="([^"]+)"', 1) AS h FROM pages))""")
+  FROM (SELECT page_id, list_filter(list_transform(regexp_extract_all(html, '{_LINK_SQL}', 1), lambda v: {_attr_sql('v')}),
+    lambda v: v <> '') AS h FROM pages))""")
 def page_links(spark, sf):
     links = P.page_links(table(spark, sf, "pages"), HOST)
     return links.select("page_id", F.col("pos").cast("long").alias("pos"), "href", "link")
@@ -108,7 +122,7 @@ _NAME = r"(?s)<li><a[^>]*>(.*?)</a>"
 _RECORD_FIELDS = {"t_names": _NAME, "t_auth": FIELDS["heading"], "t_age": r'<b class="age">(.*?)</b>', "t_sum": FIELDS["summary"]}
 _TEXTS_SQL = r"""SELECT page_id, unnest(t) AS text, page_id * 1000000 + generate_subscripts(t, 1) - 1 AS pos,
   ['mon','tue','wed','thu','fri','sat','sun'][page_id % 7 + 1] AS code
-  FROM (SELECT page_id, list_transform(regexp_extract_all(html, '(?s)<a[^>]*href="([^"]+)"[^>]*>(.*?)</a>', 2), lambda c: {c}) AS t FROM pages)
+  FROM (SELECT page_id, list_transform(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s"''>]+)[^>]*>(.*?)</a\s*>', 1), lambda c: {c}) AS t FROM pages)
   """.replace("{c}", _text_sql("c"))
 
 
@@ -132,3 +146,46 @@ def daily_records(spark, sf):
         *[F.coalesce(c, F.lit("<none>")).alias(c) for c in ("t_names", "t_auth", "t_sum")],
         F.array_join("t_weekdays", "|").alias("t_weekdays"),
     )
+
+
+_PAGE_NO = "regexp_extract(url, '[?&]page=([^&#]*)', 1)"
+_FIRST_LINK = f"""nullif({_attr_sql(f"regexp_extract(regexp_extract(html, '(?s)<p>(.*?)</p>', 1), '{_LINK_SQL}', 1)")}, '')"""
+
+
+@case(f"SELECT page_id, url, coalesce({_FIRST_LINK}, '<none>') AS href FROM pages")
+def newest_episode_link(spark, sf):
+    found = C.newest_episode_links(table(spark, sf, "pages"), (PARAGRAPH,))
+    return found.withColumn("href", F.coalesce("href", F.lit("<none>")))
+
+
+_FINISHED_FIELDS = {"t_names": FIELDS["heading"], "t_auth": FIELDS["title"], "t_genre": FIELDS["lang"], "t_sum": PARAGRAPH}
+
+
+@case(f"""SELECT coalesce(nullif({_PAGE_NO}, ''), '<none>') AS t_IDs, url AS t_urls, {_field_sql(FIELDS['heading'])} AS t_names,
+    coalesce(trim({_text_sql(f"nullif(regexp_extract(html, '{FIELDS['title']}', 1), '')")}), '<none>') AS t_auth,
+    {_field_sql(FIELDS['lang'])} AS t_genre, {_field_sql(PARAGRAPH)} AS t_sum FROM pages WHERE page_id % 5 <> 0""")
+def finished_records(spark, sf):
+    """Listing pages made of the pages' own addresses, every fifth rated too low."""
+    pages = table(spark, sf, "pages")
+    rating = F.when(F.col("page_id") % 5 == 0, "9.8").otherwise("9.95")
+    item = F.format_string("<ul><li><a href='%s'>t</a><strong>%s</strong></li></ul>", F.replace("url", F.lit("&"), F.lit("&amp;")), rating)
+    patterns = {**_FINISHED_FIELDS, "t_age": r'<b class="age">(.*?)</b>', "t_thumbs": r'<i class="thumb">(.*?)</i>'}
+    found = C.finished_records(pages.select("page_id", item.alias("html")), pages, HOST, patterns, id_param="page")
+    return found.select(*[F.coalesce(c, F.lit("<none>")).alias(c) for c in ("t_IDs", "t_urls", "t_names", "t_auth", "t_genre", "t_sum")])
+
+
+@case(f"""SELECT coalesce(TRY_CAST(regexp_extract(regexp_extract(url, '^[^?#]*'), '([0-9]+)/?$', 1) AS BIGINT)::VARCHAR, '<none>') AS id, url,
+    {_field_sql(FIELDS['title'])} AS title, {_field_sql(FIELDS['heading'])} AS story_line,
+    array_to_string({_COMMENTS_SQL}, '|') AS best_comments, 0::BIGINT AS n_words FROM pages""")
+def k_page_records(spark, sf):
+    """Rows of a weekday crawl, written as CSV and read back as snapshot rows."""
+    rows = C.k_records(
+        table(spark, sf, "pages"), {"title": FIELDS["title"], "story_line": FIELDS["heading"]}, {"best_comments": PARAGRAPH}
+    )
+    path = scratch_path(spark, "crawl")
+    K.write_csv(rows, path)
+    return K.read_weekday_csv(spark, path).select(
+        F.coalesce("id", F.lit("<none>")).alias("id"), "url", F.coalesce("title", F.lit("<none>")).alias("title"),
+        F.coalesce("story_line", F.lit("<none>")).alias("story_line"), F.array_join("best_comments", "|").alias("best_comments"),
+        F.size("key_words").cast("long").alias("n_words"),
+    )

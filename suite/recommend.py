@@ -22,11 +22,11 @@ from suite.registry import case, table
 OTHERS_SQL = f"SELECT * FROM ({COMMENTS_SQL}) WHERE t_id <> 'N0'"
 ONE = f"WITH {vocabulary_ctes(OTHERS_SQL)}, {vectors_ctes()}, {hits_ctes(one_review_sql())}"
 MANY = f"WITH {vocabulary_ctes(COMMENTS_SQL)}, {vectors_ctes()}, {hits_ctes(REVIEWS_SQL)}"
-TOP = f"""best AS (SELECT user_id, t_id, max(score) AS score FROM hits GROUP BY ALL),
-  boosted AS (SELECT b.user_id, b.t_id,
+TOP = f"""best AS (SELECT user_id, own, t_id, max(score) AS score FROM hits GROUP BY ALL),
+  boosted AS (SELECT b.user_id, b.own, b.t_id,
       round(CASE WHEN len(list_intersect(i.genre, r.favs)) > 0 THEN b.score * 1.3 ELSE b.score END, 9) AS score
-    FROM best b JOIN ({INFO_SQL}) i USING (t_id) JOIN reviews r USING (user_id)),
-  placed AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, t_id) AS rank FROM boosted)"""
+    FROM best b JOIN ({INFO_SQL}) i USING (t_id) JOIN reviews r ON b.user_id = r.user_id AND b.own = r.t_id),
+  placed AS (SELECT *, row_number() OVER (PARTITION BY user_id, own ORDER BY score DESC, t_id) AS rank FROM boosted)"""
 
 
 @case(f"{ONE} SELECT t_id, comment_pos, round(score, 6) AS score FROM scores")
@@ -49,32 +49,32 @@ def recommend_titles(spark, sf):
     return best.select("user_t_id", F.col("rank").cast("long").alias("rank"), "t_id", F.round("score", 6).alias("score"))
 
 
-@case(f"{MANY}, {TOP} SELECT user_id, rank, t_id, round(score, 6) AS score FROM placed WHERE rank <= 5")
+@case(f"{MANY}, {TOP} SELECT user_id, own AS user_t_id, rank, t_id, round(score, 6) AS score FROM placed WHERE rank <= 5")
 def recommend_batch(spark, sf):
     best = P.recommend_batch(part_info(spark, sf), conversation_comments(spark, sf), benchmark_reviews(spark, sf))
-    return best.select("user_id", F.col("rank").cast("long").alias("rank"), "t_id", F.round("score", 6).alias("score"))
+    return best.select("user_id", "user_t_id", F.col("rank").cast("long").alias("rank"), "t_id", F.round("score", 6).alias("score"))
 
 
-@case(f"{MANY} SELECT user_id, t_id, comment_pos, round(score, 6) AS score, rank FROM hits")
+@case(f"{MANY} SELECT user_id, own AS user_t_id, t_id, comment_pos, round(score, 6) AS score, rank FROM hits")
 def ranked_hits(spark, sf):
     hits = P.similar_comments_batch(conversation_comments(spark, sf), benchmark_reviews(spark, sf))
     return hits.select(
-        "user_id", "t_id", "comment_pos", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank")
+        "user_id", "user_t_id", "t_id", "comment_pos", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank")
     )
 
 
-@case(f"""WITH {vocabulary_ctes(COMMENTS_SQL)}, rbag AS (SELECT user_id, term, count(*) AS n FROM (
-    SELECT user_id, unnest(regexp_extract_all(lower(review), '[A-Za-z0-9가-힣]{{2,}}')) AS term FROM ({REVIEWS_SQL}))
-    GROUP BY ALL), rraw AS (SELECT user_id, term, n * idf AS w FROM rbag JOIN vocab USING (term))
-  SELECT user_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY user_id)), 6) AS weight FROM rraw""")
+@case(f"""WITH {vocabulary_ctes(COMMENTS_SQL)}, rbag AS (SELECT user_id, user_t_id, term, count(*) AS n FROM (
+    SELECT user_id, t_id AS user_t_id, unnest(regexp_extract_all(lower(review), '[A-Za-z0-9가-힣]{{2,}}')) AS term FROM ({REVIEWS_SQL}))
+    GROUP BY ALL), rraw AS (SELECT user_id, user_t_id, term, n * idf AS w FROM rbag JOIN vocab USING (term))
+  SELECT user_id, user_t_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY user_id, user_t_id)), 6) AS weight FROM rraw""")
 def review_tfidf(spark, sf):
     words = P.review_tfidf(conversation_comments(spark, sf), benchmark_reviews(spark, sf))
-    return words.select("user_id", "term", F.round("weight", 6).alias("weight"))
+    return words.select("user_id", "user_t_id", "term", F.round("weight", 6).alias("weight"))
 
 
 @case(f"SELECT t_id, comment_pos FROM ({OTHERS_SQL})")
 def exclude_self(spark, sf):
-    return conversation_comments(spark, sf).where(F.col("t_id") != "N0").select("t_id", "comment_pos")
+    return P.other_comments(conversation_comments(spark, sf), "N0").select("t_id", "comment_pos")
 
 
 @case("""SELECT p_partkey, round(CASE WHEN list_contains(string_split(p_name, ' '), 'red')
@@ -98,11 +98,10 @@ def favourite_genre(spark, sf):
 @case(f"""SELECT i.t_id, i.title, i.site, round(s.score, 6) AS score FROM ({INFO_SQL}) i
   JOIN (SELECT 'N' || conv_id AS t_id, max(length(text))::DOUBLE AS score FROM conversations GROUP BY 1) s USING (t_id)""")
 def info_join_scores(spark, sf):
-    # the score table holds one row per title here, so its size is left to the optimizer
     scores = R.max_score_per_title(
         conversation_comments(spark, sf).select("t_id", F.length("comment").cast("double").alias("score"))
     )
-    return part_info(spark, sf).join(scores, "t_id").select("t_id", "title", "site", F.round("score", 6).alias("score"))
+    return P.join_scores(part_info(spark, sf), scores).select("t_id", "title", "site", F.round("score", 6).alias("score"))
 
 
 @case("SELECT 'N' || conv_id AS t_id, max(length(text))::BIGINT AS score FROM conversations GROUP BY 1")

@@ -50,3 +50,32 @@ def test_comments_and_topics(spark, bases):
 def test_recommend(spark, bases):
     best = jobs.recommend_job(spark, bases["n"], bases["k"], D, D, "N2", ["판타지"], "검은 고양이 강아지").collect()
     assert best and "N2" not in {r.t_id for r in best} and [r["rank"] for r in best] == list(range(1, len(best) + 1))
+
+
+def test_a_broken_day_is_not_lost_in_silence(spark, bases, tmp_path):
+    table = bases["out"] + "/info"
+    (tmp_path / "n" / "20240308.json").write_text('[{"t_IDs": "1"}, {"t_IDs": broken}]', encoding="utf-8")
+    jobs.info_job(spark, bases["n"], bases["k"], D, table, 1)  # an older day: kept apart, the others count
+    assert {r.t_id for r in read_version(spark, table, 1).collect()} == {"N1", "N2", "K5"}
+    assert [str(r.snapshot_date) for r in spark.read.parquet(table + "-rejects").collect()] == ["2024-03-08"]
+    (tmp_path / "n" / "20240310.json").write_text('[{"t_IDs": "1"}, {"t_IDs": broken}]', encoding="utf-8")
+    with pytest.raises(ValueError, match="2024-03-10"):
+        jobs.info_job(spark, bases["n"], bases["k"], D, table, 2)
+
+
+def test_pages_and_csv_become_days(spark, tmp_path):
+    html = '<span class="title">T</span><span class="wrt_nm">A / B</span><p class="u_cbox_contents">c d</p>'
+    spark.createDataFrame([(1, "/list?titleId=7", html)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages")
+    listing = '<a href="/list?titleId=7&amp;weekday=mon">T</a>'
+    spark.createDataFrame([(0, "/", listing)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/listing")
+    jobs.pages_job(spark, f"{tmp_path}/pages", f"{tmp_path}/listing", f"{tmp_path}/n/", D)
+    from leafline import schemas as SC
+    from leafline.functions.dates import COMPACT, DASHED
+    from leafline.sources import snapshots as S
+
+    day = S.scan_lookback(spark, f"{tmp_path}/n/", SC.N_RUNNING, D, COMPACT).collect()
+    assert [(r.t_IDs, r.t_names, r.t_weekdays, r.t_comments, str(r.snapshot_date)) for r in day] == [("7", "T", ["mon"], ["c d"], "2024-03-10")]
+    (tmp_path / "k.csv").write_text(",".join(SC.K_CSV_WEEKDAY.fieldNames()) + "\n5,u,p,g,1,2,on,['mon'],t,w,i,pub,s,\"['a','b']\",[]\n")
+    jobs.csv_job(spark, f"{tmp_path}/k.csv", f"{tmp_path}/k/", D)
+    day = S.scan_lookback(spark, f"{tmp_path}/k/", SC.K_JSON, D, DASHED).collect()
+    assert [(r.id, r.day, r.key_words, r.best_comments) for r in day] == [("5", ["mon"], ["a", "b"], [])]

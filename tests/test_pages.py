@@ -96,3 +96,49 @@ def test_inner_text(spark):
 def test_site_day_and_weekday(spark):
     df = spark.sql("SELECT timestamp_ntz'2024-01-07 15:30:00' AS ts")
     assert tuple(df.select(D.day_key(F.col("ts")), D.weekday_code(F.col("ts"))).first()) == ("20240108", "mon")
+
+
+def test_fields_stay_in_their_container(spark):
+    side = '<div class="side"><span class="age">18</span><span>other</span><img src="/x.png"><p>far</p></div>'
+    html = """<SPAN id=1 CLASS='big title'>Name</SPAN><p class="detail_info"></p><div class="thumb"></div><div class="detail"><h2>h</h2></div>""" + side
+    df = spark.createDataFrame([(1, "/list?titleId=7", html)], "page_id long, url string, html string")
+    r = C.detail_records(df).first()
+    assert r.t_names == "Name" and r.t_age == "연령가 없음" and r.t_genre is None and r.t_thumbs is None and r.t_sum is None
+
+
+def test_links_in_any_spelling(spark):
+    html = """<abbr href="/no">x</abbr><a href='/x'>1</a><A HREF="/y?a=1&amp;b=2">2</A><a class=z href=/z>3</a><a href="">4</a><a>5</a>"""
+    df = spark.createDataFrame([(1, "/", html)], "page_id long, url string, html string")
+    assert [r.href for r in P.page_links(df, "https://h").orderBy("pos").collect()] == ["/x", "/y?a=1&b=2", "/z"]
+    assert [(r.href, r.text) for r in P.page_anchors(df).orderBy("pos").collect()][:3] == [("/x", "1"), ("/y?a=1&b=2", "2"), ("/z", "3")]
+
+
+def test_escaped_and_missing_parts_of_a_comment_link(spark):
+    rows = [
+        (1, "/list?titleId=7", '<td class="title"><a href="/d?titleId=7&amp;no=52">52</a></td>'),
+        (2, "/list?titleId=8", '<td class="x title y"><a>no link</a></td><a href="/d?no=1">elsewhere</a>'),
+        (3, "/list", '<td class="title"><a href="/d?no=5">5</a></td>'),
+    ]
+    got = {r.page_id: r.link for r in C.comment_page_links(spark.createDataFrame(rows, "page_id long, url string, html string"), "https://h").collect()}
+    assert got == {1: "https://h/comment/comment.nhn?titleId=7&no=52#", 2: None, 3: None}
+
+
+def test_comments_with_tags_inside(spark):
+    html = '<span class="u_cbox_contents">a<span>b</span>c</span><div class=\'q u_cbox_contents\'>d<p>e</p><div>f</div>g</div><p class="u_cbox_contents">h</p>'
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(P.page_comments(F.col("html"))).first()[0] == ["abc", "defg", "h"]
+    long = '<span class="u_cbox_contents">' + "x <b>y</b> " * 20000 + "</span>"
+    assert len(spark.createDataFrame([(long,)], "html string").select(P.page_comments(F.col("html"))).first()[0][0]) == 80000
+
+
+def test_weekday_lookup_keeps_a_column_named_text(spark):
+    titles = spark.createDataFrame([("a", "kept")], "name string, text string")
+    anchors = spark.createDataFrame([("a", "/l?t=1&weekday=mon", 0)], "text string, href string, pos int")
+    assert L.weekday_lookup(titles, anchors, "name").first().asDict() == {"name": "a", "text": "kept", "weekdays": ["mon"]}
+
+
+def test_k_records_have_the_columns_of_a_crawl(spark):
+    df = spark.createDataFrame([("https://k/c/12?x=1", "<b>T</b>"), ("https://k/c/none", "<b>U</b>")], "url string, html string")
+    rows = C.k_records(df, {"title": "<b>(.*?)</b>"}, {}).collect()
+    assert len(rows[0]) == 15 and [(r.serial, r.title, r.day) for r in rows] == [("12", "T", []), (None, "U", [])]
+    assert len(C.k_records(df, {}, {}, weekday=False).columns) == 14

@@ -173,3 +173,15 @@ def test_stored_statistics_give_the_same_model(spark, reviewed):
         again = P.similar_comments(comments, "aa bb 가나 only", reviewed, max_terms=max_terms, stats=stats)
         near(plain(again), plain(once))
     assert once.count() > 0
+
+
+def test_two_reviews_of_one_reader_are_apart(spark):
+    rows = corpus(7)
+    titles = info(spark, [(f"N{i}", ["x"]) for i in range(8)])
+    revs = [("u", "N1", ["x"], "aa bb ee"), ("u", "N5", ["y"], "ff 가나 cc"), ("v", "N1", None, "dd dd")]
+    both = P.recommend_batch(titles, frame(spark, rows), spark.createDataFrame(revs, REVIEWS)).collect()
+    for one in revs:
+        alone = P.recommend_batch(titles, frame(spark, rows), spark.createDataFrame([one], REVIEWS)).collect()
+        mine = [(r["rank"], r.t_id, r.score) for r in both if (r.user_id, r.user_t_id) == one[:2]]
+        assert sorted(mine) == sorted((r["rank"], r.t_id, r.score) for r in alone) and len({t for _, t, _ in mine}) == len(mine)
+        assert all(s <= 1.3 + 1e-9 for *_, s in mine)

@@ -156,3 +156,35 @@ def test_first_looks(spark, tmp_path):
     days = S.scan_lookback(spark, f"{tmp_path}/", SC.N_RUNNING, ANCHOR, COMPACT)
     assert [r.t_IDs for r in S.preview(days, ["t_IDs"], 1).collect()] == ["1"]
     assert [tuple(r) for r in S.snapshot_counts(days).collect()] == [(ANCHOR, 2)]
+
+
+def test_each_update_is_computed_once(spark):
+    from pyspark.sql import functions as F
+
+    from leafline.sources import upsert as U
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    existing = spark.range(50).select(F.col("id").alias("key"), F.lit(0).cast("long").alias("v"))
+    updates = spark.range(100).select((F.col("id") % 40).alias("key"), counted(F.col("id")).alias("v"))
+    got = {r.key: r.v for r in U.upsert(existing, updates, "key", [F.col("v").desc()]).collect()}
+    assert got == {k: (k + 80 if k < 20 else k + 40) if k < 40 else 0 for k in range(50)}
+    assert seen.value == 100
+
+
+def test_broadcast_is_bounded_by_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from leafline.session import broadcast_if_small
+
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(broadcast_if_small(wide)) and not hinted(broadcast_if_small(wide, max_bytes=5000))
+    assert not hinted(broadcast_if_small(wide, max_rows=9))
+    lists = spark.range(10).select(F.array_repeat(F.repeat(F.lit("x"), 100), 10).alias("t"))
+    assert not hinted(broadcast_if_small(lists, max_bytes=5000))
