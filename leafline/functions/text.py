@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -27,6 +28,11 @@ def tokenize(text: Column, lower: bool = False, min_length: int = 2, stop_words:
     return F.filter(words, lambda w: ~w.isin(list(stop_words))) if stop_words else words
 
 
+def words_of(text: str, min_length: int = 2) -> list[str]:
+    """`tokenize` for one text at hand, in lower case."""
+    return re.findall(f"[{WORD}]{{{min_length},}}", text.lower())
+
+
 def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate `value` once and use it many times inside nested lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -7,8 +7,13 @@ The counts are made inside the row, so a corpus is never shuffled word by word.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Sequence
 
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorSlicer
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -129,41 +134,29 @@ def tfidf_with_copies(bags: DataFrame, vocab: DataFrame, keys: Sequence[str]) ->
 
 
 def score_one(
-    bags: DataFrame, fitted: DataFrame, review_words: Column, keys: Sequence[str] = COMMENT_KEYS
+    bags: DataFrame, fitted: DataFrame, review_words: Sequence[str], keys: Sequence[str] = COMMENT_KEYS
 ) -> DataFrame:
-    """Positive cosines of comments with one review: (keys, comment_key, copies, score).
-
-    `fitted` comes from `model`, `review_words` is a constant array. The review is
-    weighted against the vocabulary first; that table is bounded by the vocabulary
-    and broadcast. Comments without a word of the review are passed over before
-    their words are counted. Product and length of the others are plain sums over
-    their words, which partial aggregation folds to one narrow row per comment
-    before the shuffle. Rows alike in keys and text fall together; `copies`, the
-    count of their `SELF` rows, takes them apart again."""
-    review = bags.sparkSession.range(1).select(F.inline(word_counts(review_words)))
-    q = F.coalesce(F.col("r.n"), F.lit(0)) * F.col("m.idf")
-    weights = (
-        fitted.alias("m")
-        .join(F.broadcast(review).alias("r"), "term", "left")
-        .select("term", "idf", q.alias("q"))
-        .withColumn("q_norm", F.sqrt(F.sum(F.col("q") * F.col("q")).over(Window.partitionBy())))
-        .select("term", "idf", F.when(F.col("q_norm") > 0, F.col("q") / F.col("q_norm")).otherwise(0.0).alias("q"))
-    )
-    shared = F.arrays_overlap("words", review_words)
-    # counted here and not read from `bag`, so that it is done for these rows only
-    counted = F.when(shared, marked(word_counts(F.col("words")))).otherwise(F.array().cast("array<struct<term:string,n:bigint>>"))
-    words = with_key(bags).select(*keys, "comment_key", F.inline(counted))
-    w = F.col("n") * F.col("idf")
-    sums = (
-        words.join(F.broadcast(weights), "term")
-        .groupBy(*keys, "comment_key")
-        .agg(
-            F.sum(w * F.col("q")).alias("dot"),
-            F.sum(w * w).alias("norm2"),
-            F.count(F.when(F.col("term") == SELF, 1)).alias("copies"),
-        )
-    )
-    cosine = (F.col("dot") / F.col("copies")) / F.sqrt(F.col("norm2") / F.col("copies"))
-    return sums.where(F.col("dot") > 0).select(
-        *keys, "comment_key", "copies", F.round(cosine, RANK_DIGITS).alias("score")
-    )
+    """Positive cosines of comments with one review: (keys, comment_key, score).
+
+    `fitted` comes from `model`; its words, a bounded number, are read here. Each
+    comment then becomes a vector over them, is weighted, brought to unit length
+    and multiplied with the review's vector in its own row, so no comment is
+    shuffled. Comments without a word of the review are passed over first."""
+    table = [r for r in fitted.collect() if r["term"] != SELF]  # the vocabulary
+    place = {r["term"]: i for i, r in enumerate(table)}
+    counts = Counter(w for w in review_words if w in place)
+    raw = {w: n * table[place[w]]["idf"] for w, n in counts.items()}
+    norm = math.sqrt(sum(x * x for x in raw.values()))
+    own = sorted(raw)
+    if not own:
+        return with_key(bags.limit(0)).select(*keys, "comment_key", F.lit(0.0).alias("score"))
+    counter = CountVectorizerModel.from_vocabulary([r["term"] for r in table], "words", "counts")
+    weighted = ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in table]), inputCol="counts", outputCol="weighted")
+    unit = Normalizer(p=2.0, inputCol="weighted", outputCol="unit")
+    slicer = VectorSlicer(inputCol="unit", outputCol="own", indices=[place[w] for w in own])
+    shared = bags.where(F.arrays_overlap("words", F.array(*map(F.lit, own))))
+    rows = slicer.transform(unit.transform(weighted.transform(counter.transform(with_key(shared).select(*keys, "comment_key", "words")))))
+    q = F.array(*[F.lit(raw[w] / norm) for w in own])
+    dot = F.aggregate(F.zip_with(vector_to_array("own"), q, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+    scored = rows.select(*keys, "comment_key", F.round(dot, RANK_DIGITS).alias("score"))
+    return scored.where(F.col("score") > 0)

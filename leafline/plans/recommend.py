@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafline.functions.text import tokenize, word_counts
+from leafline.functions.text import tokenize, word_counts, words_of
 from leafline.operators import vectors as V
 from leafline.operators.ranking import favourites, genre_boost, max_score_per_title, ranked
 from leafline.session import BROADCAST_ROWS, materialize
@@ -60,7 +60,7 @@ def cosine_scores(
     elif exclude is not None:
         own = V.with_bag(comments.where(F.col("t_id") == exclude), lower=True, tokens=tokens)
         stats = V.without(stats, V.term_stats(own))
-    return V.score_one(bags, V.model(stats, max_terms), tokenize(F.lit(review), lower=True))
+    return V.score_one(bags, V.model(stats, max_terms), words_of(review))
 
 
 def _hit_order() -> list[Column]:
@@ -86,7 +86,8 @@ def similar_comments(
     stats: DataFrame | None = None,
 ) -> DataFrame:
     """The comments ranked skip_top+1 .. skip_top+hits by cosine, positive only."""
-    return _take_hits(cosine_scores(comments, review, exclude, max_terms, tokens, stats), [], skip_top, hits)
+    scores = cosine_scores(comments, review, exclude, max_terms, tokens, stats)
+    return ranked(scores, [], _hit_order()[:-1], skip_top + 1, skip_top + hits)
 
 
 def join_scores(info: DataFrame, scores: DataFrame) -> DataFrame:
