@@ -25,7 +25,7 @@ SLICE_SETS, SLICE_SHINGLES = 512, 1 << 21
 #: a shingle that so many texts of one batch share is ordered last; so many such
 #: shingles are told apart, at most. This changes what is looked at, never what is found
 FREQUENT, FREQUENT_MOST = 8, 500_000
-#: rounds that only draw groups together before the one that looks at all pairs
+#: rounds, at most, that only draw the slices of large groups together
 ROUNDS = 2
 
 
@@ -261,6 +261,26 @@ def _partners(percent: int):
     return run
 
 
+def _stars(percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        """(a, b): each set of a group that may link with others of it, and the
+        least set that such pairs lead to."""
+        sig, least = group.column("sig").to_pylist(), {}
+
+        def root(x: int) -> int:
+            while least.setdefault(x, x) != x:
+                least[x] = x = least[least[x]]
+            return x
+
+        for i, j in candidates(group.column("n").to_pylist(), group.column("bits").to_pylist(), group.column("label").to_pylist(), percent):
+            a, b = root(sig[i]), root(sig[j])
+            least[max(a, b)] = min(a, b)
+        found = [(x, root(x)) for x in least if root(x) != x]
+        return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
+    return run
+
+
 def _linker(percent: int):
     def run(group: pa.Table) -> pa.Table:
         """(label, root): the labels of a group that links join to a lesser one."""
@@ -288,17 +308,38 @@ def _linker(percent: int):
 def _dealt(members: DataFrame, whole: bool) -> DataFrame:
     """`members` (token, sig, label, n) with the slices (x, y) in which they meet.
     A group of more than one slice is cut by hash; for `whole`, every two slices
-    meet."""
+    meet. Groups of one are left out."""
     weight = members.groupBy("token").agg(
-        F.greatest(F.ceil(F.count("*") / SLICE_SETS), F.ceil(F.sum("n") / SLICE_SHINGLES)).cast("int").alias("slices")
+        F.greatest(F.ceil(F.count("*") / SLICE_SETS), F.ceil(F.sum("n") / SLICE_SHINGLES)).cast("int").alias("slices"),
+        F.count("*").alias("c"),
     )
-    dealt = members.join(weight, "token").withColumn("x", F.pmod(F.xxhash64("sig"), F.col("slices")).cast("int"))
+    dealt = members.join(weight.where("c > 1"), "token").withColumn("x", F.pmod(F.xxhash64("sig"), F.col("slices")).cast("int"))
     if not whole:
         return dealt.select("token", "sig", "label", "n", "x", F.lit(0).alias("y"))
     dealt = dealt.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     return dealt.select("token", "sig", "label", "n", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
 
+def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """`members` with the component each set is in so far."""
+    return members.join(roots, "sig", "left").withColumn("label", F.coalesce("root", "sig")).drop("root")
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The groups of two components or more."""
+    ends = members.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("h"))
+    return members.join(ends.where("l <> h").select("token"), "token", "left_semi")
+
+
+def _joined(roots: DataFrame, fresh: DataFrame) -> DataFrame:
+    """`roots` after components (label) were joined to others (root)."""
+    found = components(fresh.select(F.col("label").alias("a"), F.col("root").alias("b"))).where("node <> root")
+    found = materialize(found.select(F.col("node").alias("label"), F.col("root").alias("to")), "near-joined")
+    moved = roots.join(found, roots["root"] == found["label"], "left").select("sig", F.coalesce("to", "root").alias("root"))
+    # a label has no row of its own until it is joined to another
+    return materialize(moved.unionByName(found.select(F.col("label").alias("sig"), F.col("to").alias("root"))), "near-roots")
+
+
 def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     """(doc_id, h, n, root) for every row of `docs`: a hash of the text, how many
     shingles it has, and what all rows of its component have in common (null
@@ -306,10 +347,12 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
 
     1. Equal sets become one. 2. Two linked sets share one of their first
     shingles in any common order (prefix filter); frequent ones are ordered last.
-    Sets that share one form a group. 3. Groups are joined by signature trees, in
-    slices of bounded size: first one group per set, then one set per component,
-    and then all groups that still hold two components, in full.
-    Sets meet as bitmaps, and in full only where the bitmaps leave a link possible.
+    Sets that share one form a group. 3. Signature trees join each set's first
+    group, in slices of bounded size, and slices by one set for each component.
+    4. Where a group still holds two components, trees over bitmaps tell which
+    pairs may link; what such pairs hold together is a family, and trees over
+    its sets, every two slices of them, find all links that are left. Sets are
+    read in full only where the bitmaps leave a link possible.
     Shuffled are prefixes once, bitmaps of sets in groups, and sets that may link."""
     kind = docs.schema[doc_id].dataType.simpleString()
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
@@ -336,52 +379,54 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     bitmaps = materialize(texts_of(wanted).mapInArrow(_bitmaps, "sig long, bits binary"), "near-bitmaps")
     groups = materialize(groups.join(wanted.select("sig", "n"), "sig"), "near-members")
 
-    # (sig, root) of sets that are not their component's first one
-    roots = None
-    for turn in range(ROUNDS + 1):
-        last = turn == ROUNDS
-        now = groups.withColumn("label", F.col("sig"))
-        if roots is not None:
-            now = groups.join(roots, "sig", "left").withColumn("label", F.coalesce("root", "sig")).drop("root")
-        # groups of two components or more
-        open_ = now.groupBy("token").agg(
-            F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("sig")).alias("who"),
-        ).where("l <> h")
-        if last:
-            # groups of the same sets are one group
-            open_ = open_.groupBy("c", "who").agg(F.min("token").alias("token"))
-            members = now.join(open_.select("token"), "token", "left_semi")
-        else:
-            one = now.join(open_.select("token"), "token", "left_semi")
-            if turn:
-                one = one.groupBy("token", "label").agg(F.min(F.struct("sig", "n")).alias("m"))
-            else:
-                one = one.select("token", "label", F.struct("sig", "n").alias("m"))
-            first = one.groupBy("m").agg(F.min(F.struct("token", "label")).alias("t"))
-            members = first.select("t.token", "m.sig", "t.label", "m.n")
-        members = materialize(members, "near-turn")
-        if members.isEmpty():
+    def linked(partners: DataFrame) -> DataFrame:
+        """(label, root) from the sets of `partners` (token, x, y, sig, label), read in full."""
+        sets = texts_of(partners.select("sig")).mapInArrow(_sets, "sig long, shingles array<long>")
+        rows = sets.join(broadcast_if_small(partners), "sig").groupBy("token", "x", "y")
+        return materialize(rows.applyInArrow(_linker(percent), "label long, root long"), "near-links")
+
+    def met(members: DataFrame):
+        return members.join(bitmaps, "sig").groupBy("token", "x", "y")
+
+    partner = "token long, x int, y int, sig long, label long"
+    # one group for each set; of groups of one component nothing is left to find
+    first = groups.groupBy("sig", "n").agg(F.min("token").alias("token")).withColumn("label", F.col("sig"))
+    dealt = materialize(_dealt(first, False), "near-first")
+    fresh = linked(materialize(met(dealt).applyInArrow(_partners(percent), partner), "near-partners"))
+    # (sig, root) of sets that are not their component's first one: a set was in one group only
+    roots = fresh.withColumnRenamed("label", "sig")
+    # groups that were cut: one set for each component, as often as it takes to join most slices
+    cut = materialize(dealt.where("x > 0").select("token").distinct().join(dealt, "token").select("sig").distinct(), "near-cut")
+    for _ in range(ROUNDS):
+        if cut.isEmpty():
             break
-        # bitmaps first: only sets that may link with another of their group are read in full
-        partners = _dealt(members, last).join(bitmaps, "sig").groupBy("token", "x", "y").applyInArrow(
-            _partners(percent), "token long, x int, y int, sig long, label long"
-        )
-        partners = materialize(partners, "near-partners")
-        sets = materialize(texts_of(partners.select("sig")).mapInArrow(_sets, "sig long, shingles array<long>"), "near-sets")
-        links = partners.join(sets, "sig").groupBy("token", "x", "y").applyInArrow(_linker(percent), "label long, root long")
-        fresh = materialize(links, "near-links")
-        if turn == 0:
-            roots = fresh.withColumnRenamed("label", "sig")  # a set is in one group only, so this is all there is
-        elif not fresh.isEmpty():
-            joined = components(fresh.select(F.col("label").alias("a"), F.col("root").alias("b"))).where("node <> root")
-            joined = materialize(joined.select(F.col("node").alias("label"), F.col("root").alias("to")), "near-joined")
-            moved = roots.join(joined, roots["root"] == joined["label"], "left").select("sig", F.coalesce("to", "root").alias("root"))
-            # a label has no row of its own until it is joined to another
-            roots = materialize(moved.unionByName(joined.select(F.col("label").alias("sig"), F.col("to").alias("root"))), "near-roots")
-    if roots is not None:
-        rows = rows.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    else:
-        rows = rows.withColumn("root", F.col("sig"))
+        one = _open(_labelled(groups.join(cut, "sig", "left_semi"), roots))
+        one = one.groupBy("token", "label").agg(F.min(F.struct("sig", "n")).alias("m"))
+        one = one.groupBy("m").agg(F.min(F.struct("token", "label")).alias("t")).select("t.token", "m.sig", "t.label", "m.n")
+        partners = materialize(met(_dealt(one, False)).applyInArrow(_partners(percent), partner), "near-partners")
+        fresh = linked(partners)
+        if fresh.isEmpty():
+            break
+        roots = _joined(roots, fresh)
+    # all that may still link, found by bitmaps, as families; each family is read once
+    rest = _open(_labelled(groups, roots))
+    by_size = Window.partitionBy("token").orderBy("n")
+    near = lambda small, large: F.coalesce(100 * small >= percent * large, F.lit(False))
+    n, before, after = F.col("n"), F.lag("n").over(by_size), F.lead("n").over(by_size)
+    rest = rest.withColumn("near", near(before, n) | near(n, after)).where("near").drop("near")
+    same = rest.groupBy("token").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("sig")).alias("who"), F.sum("n").alias("sum"))
+    same = same.where("c > 1").groupBy("c", "who", "sum").agg(F.min("token").alias("token"))
+    rest = materialize(rest.join(same.select("token"), "token", "left_semi"), "near-rest")
+    edges = materialize(met(_dealt(rest, True)).applyInArrow(_stars(percent), "a long, b long"), "near-edges")
+    if not edges.isEmpty():
+        family = components(edges).select(F.col("node").alias("sig"), F.col("root").alias("token")).join(wanted.select("sig", "n"), "sig")
+        dealt = _dealt(_labelled(family, roots), True)
+        mixed = dealt.groupBy("token", "x", "y").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
+        dealt = materialize(dealt.join(mixed.select("token", "x", "y"), ["token", "x", "y"], "left_semi"), "near-families")
+        fresh = linked(dealt.select("token", "x", "y", "sig", "label"))
+        if not fresh.isEmpty():
+            roots = _joined(roots, fresh)
+    rows = rows.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     rows = rows.select("doc_id", "h", "n", F.when(F.col("n") > 0, F.col("root")).alias("root"))
     return materialize(rows, "near-rows")
 
