@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from leafline.llm.text import chunks
+from leafline.llm.text import bare_words, chunks
 
 K1, B = 1.2, 0.75
 #: share of an item's score against itself from which a passage is retrieved
@@ -27,18 +27,6 @@ BLOCKS, BLOCK_ITEMS = 64, 4
 #: words in more than this share of the items are bounded per block, not per passage
 COMMON = 0.2
 GRAM = 3
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…–—¿¡"
-
-
-def index_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Words in lower case without punctuation around them, and where each
-    text's words begin; what is punctuation only is no word."""
-    # lower case comes before any cast: Arrow's kernels misread the cast of a slice
-    lists = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
-    flat = pc.utf8_trim(lists.flatten().cast(pa.large_string()), characters=PUNCTUATION)
-    offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
-    keep = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
-    return flat.filter(pa.array(keep)), np.concatenate([[0], np.cumsum(keep)]).astype(np.int64)[offsets]
 
 
 def _grams(codes: list[int], n: int) -> set[tuple[int, ...]]:
@@ -70,7 +58,7 @@ class Index:
 
 def build_index(items: list[tuple[object, str | None]]) -> Index | None:
     """An index of (id, text); items without a word are left out. None if no item is left."""
-    texts = [(i, t, index_words(pa.array([t], pa.string()))[0].to_pylist()) for i, t in items if t is not None]
+    texts = [(i, t, bare_words(pa.array([t], pa.string()))[0].to_pylist()) for i, t in items if t is not None]
     texts = sorted(((i, t, w) for i, t, w in texts if w), key=lambda x: (str(x[1]), str(x[0])))
     if not texts:
         return None
@@ -95,7 +83,7 @@ def build_index(items: list[tuple[object, str | None]]) -> Index | None:
                 bounds[c, i // block] = max(bounds[c, i // block], x)
     parts = []
     for (_, text, _), cs in zip(texts, coded):
-        head = len(index_words(pa.array([" ".join(text.split()[: split_answer(text)])]))[0])
+        head = len(bare_words(pa.array([" ".join(text.split()[: split_answer(text)])]))[0])
         halves = [cs[:head] or cs, cs[head:] or cs]
         parts.append(tuple(_grams(h, min(GRAM, len(h))) for h in halves))
     return Index(
@@ -142,7 +130,7 @@ def find(index: Index, texts: pa.Array, threshold: float = THRESHOLD, overlap: f
     Passages are three strides long and begin at every stride, where two strides
     hold the longest item; so each run of that many words lies in one passage.
     All passages are first held against the blocks' bounds, in numpy."""
-    flat, offsets = index_words(texts)
+    flat, offsets = bare_words(texts)
     codes = pc.fill_null(pc.index_in(flat, value_set=pa.array(index.words, pa.large_string())), len(index.words))
     codes = codes.to_numpy(zero_copy_only=False).astype(np.int64)
     stride = max(8, -(-index.longest // 2))

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafline.llm.text import chunks, segment_sums, words
+from leafline.llm.text import bare_words, chunks, segment_sums
 from leafline.session import materialize
 
 #: labelled documents that the model is fitted on, at most (chosen by a hash of the id)
@@ -65,7 +65,7 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 def _documents_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, toxic, clean): in how many documents of either label a word occurs."""
     for b in chunks(batches, "text"):
-        flat, offsets = words(b.column("text"))
+        flat, offsets = bare_words(b.column("text"))
         coded = flat.dictionary_encode()
         n = max(1, len(coded.dictionary))
         pairs = np.unique(np.repeat(np.arange(b.num_rows), np.diff(offsets)) * n + coded.indices.to_numpy(zero_copy_only=False))
@@ -78,7 +78,7 @@ def _documents_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _scan(batch: pa.RecordBatch, vocabulary: pa.Array, odds: np.ndarray) -> Iterator[tuple[int, list]]:
     """(number of words, maximal segments) of each text."""
-    flat, offsets = words(batch.column("text"))
+    flat, offsets = bare_words(batch.column("text"))
     at = pc.fill_null(pc.index_in(flat, value_set=vocabulary), len(odds)).to_numpy(zero_copy_only=False)
     scores = np.append(odds, -DRIFT)[at]
     some = segment_sums((scores > 0).astype(float), offsets)
@@ -165,7 +165,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, score, passages) for every row: probability of the toxic label,
     and every passage whose score is not expected by chance, as (first, last,
-    score, evalue) with the numbers of its first and last word from 0.
+    score, evalue) with the numbers of its first and last word from 0. Words are
+    read in lower case without punctuation around them.
 
     Null and empty texts have no passages and the least score. Whole texts are
     scanned, in chunks of bounded size; a text's cost is linear in its length.

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 
 from leafline.llm import leaks as L
+from leafline.llm.text import bare_words
 from tests.llm.helpers import ALL, LONG, ODD, empty, frame, ids
 
 ITEMS = [
@@ -75,7 +76,7 @@ def test_bounds_leave_out_no_passage(monkeypatch):
     body = [" ".join(rnd.choice(vocabulary, 200)) + " " + texts[k][1] + " " + " ".join(rnd.choice(vocabulary, 50)) for k in range(40)]
     got = L.find(index, pa.array(body), threshold=0.5, overlap=0.0)
     # all passages scored in full
-    flat, offsets = L.index_words(pa.array(body))
+    flat, offsets = bare_words(pa.array(body))
     code = {w: i for i, w in enumerate(index.words)}
     stride = max(8, -(-index.longest // 2))
     for d in range(40):

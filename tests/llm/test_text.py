@@ -48,13 +48,13 @@ def test_segment_sums():
 
 def test_words_of_slices():
     """Chunks are slices of a batch; each must read its own texts."""
-    from leafline.llm import leaks, near_dup, token_scan
+    from leafline.llm import near_dup, token_scan
 
     texts = [f"{'É a B' * (i % 7)} text{i} Ab{i}" if i % 5 else None for i in range(500)]
     whole = pa.array(texts, pa.string())
     for a, n in ((0, 500), (1, 100), (250, 250), (499, 1)):
         part, fresh = whole.slice(a, n), pa.array(texts[a : a + n], pa.string())
-        for f in (T.words, leaks.index_words):
+        for f in (T.words, T.bare_words):
             (flat, offsets), (want, want_offsets) = f(part), f(fresh)
             assert flat.to_pylist() == want.to_pylist() and offsets.tolist() == want_offsets.tolist()
         assert T.words(part)[0].to_pylist() == [w for t in texts[a : a + n] for w in words(t)]

@@ -44,7 +44,7 @@ def planted(spark, n=600):
         bad = i % 5 == 0
         if bad:
             for _ in range(rnd.randrange(2, 7)):
-                w.insert(rnd.randrange(len(w)), rnd.choice(["Vile", "rotten", "foul", "nasty"]))
+                w.insert(rnd.randrange(len(w)), rnd.choice(["Vile", "ROTTEN!!", "foul###", "\"nasty.\""]))
         rows.append((i, " ".join(w), "en", "s"))
         labels.append((i, 1, int(bad)))
     return frame(spark, rows), spark.createDataFrame(labels + [(None, 1, 1), (3, 1, None), (99999, 0, 1)], "doc_id long, quality int, toxic int")
@@ -60,7 +60,7 @@ def test_toxic_texts_are_found(spark):
     text = {r.doc_id: r.text.lower().split() for r in docs.collect()}
     for i, r in got.items():
         for p in r.passages:
-            assert text[i][p.first] in model.words and text[i][p.last] in model.words and p.score > 0
+            assert text[i][p.first].strip('#!."') in model.words and text[i][p.last].strip('#!."') in model.words and p.score > 0
 
 
 def test_odd_rows(spark):
