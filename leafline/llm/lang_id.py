@@ -92,8 +92,9 @@ def fit(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str =
     langs = sorted(prior)
     counts = np.full((1 << BITS, len(langs)), SMOOTHING)
     summed = sample.select("lang", "text").mapInArrow(_count, "lang string, gram int, n long")
-    for r in summed.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts[r["gram"], langs.index(r["lang"])] += r["n"]
+    table = summed.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()  # languages times 2^BITS rows
+    place = {x: i for i, x in enumerate(langs)}
+    counts[table["gram"].to_numpy(), [place[x] for x in table["lang"].to_pylist()]] += table["n"].to_numpy()
     weights = np.log(counts / counts.sum(axis=0)).astype(np.float32)
     seen = np.array([prior[x] for x in langs], float)
     return Model(langs, weights, np.log(seen / seen.sum()) if langs else seen)

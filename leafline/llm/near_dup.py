@@ -361,7 +361,7 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     profile = materialize(profile, "near-profile")
     rows = profile.where("token is null").select("doc_id", "h", "n", "sig")
     late = profile.where("token is not null").groupBy("token").agg(F.sum("n").alias("c")).orderBy(F.desc("c"), "token").limit(FREQUENT_MOST)
-    shared = docs.sparkSession.sparkContext.broadcast(np.array(sorted(r["token"] for r in late.select("token").collect()), np.int64))
+    shared = docs.sparkSession.sparkContext.broadcast(np.sort(late.select("token").toArrow()["token"].to_numpy()))
     prefixes = slim.mapInArrow(lambda it: _prefixes(it, shared.value, percent), "token long, sig long")
     # a window spills a large group to disk; nothing is gathered into one row
     group = Window.partitionBy("token")
