@@ -75,7 +75,7 @@ def test_title_info_keeps_the_newest_row_of_each_key(spark):
     assert info.columns == SC.TITLE_INFO_COLUMNS
     assert info.schema.simpleString() == SC.TITLE_INFO.simpleString()
     got = {r.t_id: r for r in info.collect()}
-    assert {k: v.title for k, v in got.items()} == {"N1": "new", "N2": "edge", None: "no id", "K1": "k"}
+    assert {k: v.title for k, v in got.items()} == {"N1": "new", "N2": "edge", "K1": "k"}  # a row without a key is no title
     assert got["K1"].genre == ["g", "h"] and got["K1"].author == "w" and got["K1"].site == 0
     assert got["N1"].genre == ["x", "y"] and got["N1"].author == "A / B" and got["N1"].site == 1
 
@@ -108,7 +108,7 @@ def test_finished_info(spark):
     raw = n_rows(spark).drop("t_weekdays", "t_comments")
     info = C.finished_info(raw, D + timedelta(50))
     assert info.columns == SC.FINISHED_INFO_COLUMNS
-    assert {r.t_id for r in info.collect()} == {"N1", None}
+    assert {r.t_id for r in info.collect()} == {"N1"}  # a row without a key is no title
 
 
 def test_split_authors_on_request(spark):
