@@ -368,6 +368,8 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     spread = prefixes.withColumns({"low": F.min("sig").over(group), "high": F.max("sig").over(group)})
     groups = spread.where("low <> high").select("token", "sig").distinct()
     groups = materialize(groups, "near-groups")
+    if groups.isEmpty():
+        return materialize(rows.select("doc_id", "h", "n", F.when(F.col("n") > 0, F.col("sig")).alias("root")), "near-rows")
     classes = rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
     wanted = materialize(groups.select("sig").distinct().join(classes, "sig"), "near-wanted")
 
