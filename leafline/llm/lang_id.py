@@ -24,6 +24,8 @@ SMOOTHING = 0.5
 #: evidence of a text of this many n-grams or more counts as of so many: the
 #: n-grams of a text depend on each other, so the plain posterior is too sure
 EVIDENCE = 200
+#: bytes of text that a task scores at a time; its n-grams take some hundred times that
+SCORE_BYTES = 1 << 20
 
 
 @dataclass
@@ -66,7 +68,7 @@ def grams(texts: list[str], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, gram, n) of a task's texts, summed within each chunk of text."""
-    for b in chunks(batches, "text"):
+    for b in chunks(batches, "text", SCORE_BYTES):
         langs = b.column("lang").to_pylist()
         texts = b.column("text").to_pylist()
         for lang in sorted(set(langs)):
@@ -138,7 +140,7 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages times 2^BITS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", SCORE_BYTES):
             pred, score = predict(b.column("text").to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(pred), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
@@ -152,7 +154,7 @@ def keep_determined(docs: DataFrame, model: Model, text: str = "text") -> DataFr
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches, text):
+        for b in chunks(batches, text, SCORE_BYTES):
             pred, _ = predict(b.column(text).to_pylist(), shared.value)
             yield b.filter(pa.array([p != UNDETERMINED for p in pred]))
 

@@ -24,7 +24,7 @@ DENSITY = 4
 SLICE_SETS, SLICE_SHINGLES = 512, 1 << 21
 #: a shingle that so many texts of one batch share is ordered last; so many such
 #: shingles are told apart, at most. This changes what is looked at, never what is found
-FREQUENT, FREQUENT_MOST = 8, 500_000
+FREQUENT, FREQUENT_MOST = 3, 500_000
 #: rounds, at most, that only draw the slices of large groups together
 ROUNDS = 2
 
@@ -322,7 +322,7 @@ def _dealt(members: DataFrame, whole: bool) -> DataFrame:
 
 def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     """`members` with the component each set is in so far."""
-    return members.join(roots, "sig", "left").withColumn("label", F.coalesce("root", "sig")).drop("root")
+    return members.join(broadcast_if_small(roots), "sig", "left").withColumn("label", F.coalesce("root", "sig")).drop("root")
 
 
 def _open(members: DataFrame) -> DataFrame:
@@ -379,7 +379,7 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
         return slim.join(broadcast_if_small(reps), F.col("doc_id").eqNullSafe(F.col("__rep")), "left_semi")
 
     bitmaps = materialize(texts_of(wanted).mapInArrow(_bitmaps, "sig long, bits binary"), "near-bitmaps")
-    groups = materialize(groups.join(wanted.select("sig", "n"), "sig"), "near-members")
+    groups = materialize(groups.join(broadcast_if_small(wanted.select("sig", "n")), "sig"), "near-members")
 
     def linked(partners: DataFrame) -> DataFrame:
         """(label, root) from the sets of `partners` (token, x, y, sig, label), read in full."""

@@ -52,6 +52,8 @@ def uniform(*cols: Column) -> Column:
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into slices of about `limit` bytes of text, at one row least."""
+    # the system's allocator gives memory back between chunks, Arrow's own keeps it
+    pa.set_memory_pool(pa.system_memory_pool())
     for batch in batches:
         if not batch.num_rows:
             continue
