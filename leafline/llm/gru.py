@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 
 BLOCK = 64  # words that share a class of the output
+PIECE = 1 << 14  # parameters updated at a time, so that they stay in the cache
 
 
 @dataclass
@@ -93,53 +94,138 @@ def _by_block(kind: np.ndarray, place: np.ndarray):
             yield int(kind[rows[0]]) - 1, rows
 
 
-def window_gradients(p: dict, shape: Shape, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[dict, np.ndarray, float]:
+def _softmax_loss(x: np.ndarray, target: np.ndarray, n: float) -> float:
+    """The sum of the rows' log losses; `x` becomes their gradient, over `n`."""
+    at = np.arange(len(x))
+    x -= x.max(axis=1, keepdims=True)
+    hit = x[at, target].sum()
+    np.exp(x, out=x)
+    total = x.sum(axis=1, keepdims=True)
+    x /= total * n
+    x[at, target] -= 1 / n
+    return float(np.log(total).sum() - hit)
+
+
+def window_gradients(
+    p: dict, shape: Shape, x: np.ndarray, y: np.ndarray, h: np.ndarray, g: dict | None = None
+) -> tuple[dict, np.ndarray, float]:
     """Gradients of the mean log loss over one window (steps, lanes), cut off at
-    its first step, with the state at its end and the loss."""
+    its first step, with the state at its end and the loss. They are put into
+    the arrays `g` if given."""
     steps, lanes = x.shape
-    trail, width = [], shape.hidden
+    width, real = shape.hidden, p["in"].dtype
+    if g is None:
+        g = {k: np.empty_like(v) for k, v in p.items()}
+    # forward, as `step`, with each step's values kept
+    given = p["in"][x] + p["bias"]
+    live = (x != 0).astype(real)[:, :, None]
+    whole = live.all(axis=(1, 2))
+    before, states, fresh, pasts = (np.empty((steps, lanes, width), real) for _ in range(4))
+    gates = np.empty((steps, lanes, 2 * width), real)
     for t in range(steps):
-        trail.append(step(p, x[t], h))
-        h = trail[-1][0]
-    states, target = np.concatenate([s[0] for s in trail]), y.reshape(-1)
+        h = h if whole[t] else h * live[t]
+        before[t] = h
+        past = h @ p["rec"]
+        now = gates[t]
+        np.add(given[t, :, : 2 * width], past[:, : 2 * width], out=now)
+        now *= real.type(0.5)
+        np.tanh(now, out=now)
+        now *= real.type(0.5)
+        now += real.type(0.5)
+        pasts[t] = past[:, 2 * width :]
+        new = now[:, width:] * pasts[t]
+        new += given[t, :, 2 * width :]
+        np.tanh(new, out=fresh[t])
+        h = h - fresh[t]
+        h *= now[:, :width]
+        h += fresh[t]
+        states[t] = h
+    # the output: classes of all, then words of each block, sorted by block
+    flat, target = states.reshape(-1, width), y.reshape(-1)
     kind, place = shape.split(target)
-    n, at = np.float32(len(target)), np.arange(len(target))
-    g = {k: np.zeros_like(v) for k, v in p.items()}
-    logs = _log_softmax(states @ p["out"] + p["out_bias"])
-    loss, d = -logs[at, kind].sum(), np.exp(logs)
-    d[at, kind] -= 1
-    d /= n
-    g["out"], g["out_bias"], d_states = states.T @ d, d.sum(axis=0), d @ p["out"].T
-    for c, rows in _by_block(kind, place):
-        logs = _log_softmax(states[rows] @ p["word"][c] + p["word_bias"][c])
-        loss -= logs[np.arange(len(rows)), place[rows]].sum()
-        d = np.exp(logs)
-        d[np.arange(len(rows)), place[rows]] -= 1
-        d /= n
-        g["word"][c], g["word_bias"][c] = states[rows].T @ d, d.sum(axis=0)
-        d_states[rows] += d @ p["word"][c].T
+    n = real.type(len(target))
+    d = flat @ p["out"]
+    d += p["out_bias"]
+    loss = _softmax_loss(d, kind, n)
+    g["out"][:], g["out_bias"][:] = flat.T @ d, d.sum(axis=0)
+    d_states = d @ p["out"].T
+    g["word"][:], g["word_bias"][:] = 0, 0
+    blocks = list(_by_block(kind, place))
+    if blocks:
+        rows = np.concatenate([r for _, r in blocks])
+        ends = np.cumsum([0, *[len(r) for _, r in blocks]])
+        parts = [(c, slice(i, j)) for (c, _), i, j in zip(blocks, ends, ends[1:])]
+        inside, place = flat[rows], place[rows]
+        d = np.empty((len(rows), BLOCK), real)
+        for c, part in parts:
+            np.matmul(inside[part], p["word"][c], out=d[part])
+            d[part] += p["word_bias"][c]
+        loss += _softmax_loss(d, place, n)
+        back = np.empty_like(inside)
+        for c, part in parts:
+            np.matmul(inside[part].T, d[part], out=g["word"][c])
+            np.matmul(d[part], p["word"][c].T, out=back[part])
+        g["word_bias"][[c for c, _ in parts]] = np.add.reduceat(d, ends[:-1], axis=0)
+        d_states[rows] += back
+    # backward: factors that do not depend on the gradient are made for all steps at once
     d_states = d_states.reshape(steps, lanes, width)
-    back = np.zeros((lanes, width), np.float32)
+    keep, reset = gates[:, :, :width], gates[:, :, width:]
+    to_fresh = (1 - keep) * (1 - fresh * fresh)
+    to_keep = (before - fresh) * keep * (1 - keep)
+    to_reset = pasts * reset * (1 - reset)
+    d_given, d_past = np.empty((2, steps, lanes, 3 * width), real)
+    back, rec = np.zeros((lanes, width), real), np.ascontiguousarray(p["rec"].T)
     for t in reversed(range(steps)):
-        _, before, keep, reset, fresh, past = trail[t]
-        d_h = d_states[t] + back
-        d_fresh = d_h * (1 - keep) * (1 - fresh * fresh)
-        d_keep = d_h * (before - fresh) * keep * (1 - keep)
-        d_reset = d_fresh * past * reset * (1 - reset)
-        d_given = np.concatenate([d_keep, d_reset, d_fresh], axis=1)
-        d_past = np.concatenate([d_keep, d_reset, d_fresh * reset], axis=1)
-        g["rec"] += before.T @ d_past
-        g["bias"] += d_given.sum(axis=0)
-        np.add.at(g["in"], x[t], d_given)
-        back = (d_h * keep + d_past @ p["rec"].T) * (x[t] != 0)[:, None]
+        back += d_states[t]
+        one, two = d_given[t], d_past[t]
+        np.multiply(back, to_keep[t], out=one[:, :width])
+        np.multiply(back, to_fresh[t], out=one[:, 2 * width :])
+        np.multiply(one[:, 2 * width :], to_reset[t], out=one[:, width : 2 * width])
+        two[:] = one
+        two[:, 2 * width :] *= reset[t]
+        back *= keep[t]
+        back += two @ rec
+        if not whole[t]:
+            back *= live[t]
+    d_given = d_given.reshape(-1, 3 * width)
+    g["rec"][:] = before.reshape(-1, width).T @ d_past.reshape(-1, 3 * width)
+    g["bias"][:] = d_given.sum(axis=0)
+    order = np.argsort(x, axis=None, kind="stable")
+    seen = x.reshape(-1)[order]
+    first = np.flatnonzero(np.diff(seen, prepend=-1))
+    g["in"][:] = 0
+    g["in"][seen[first]] = np.add.reduceat(d_given[order], first, axis=0)
     return g, h, float(loss / n)
 
 
+def _views(flat: np.ndarray, like: dict) -> dict:
+    """Arrays of the shapes in `like` that lie in `flat` one after the other."""
+    ends = np.cumsum([0, *[v.size for v in like.values()]])
+    return {k: flat[i:j].reshape(v.shape) for (k, v), i, j in zip(like.items(), ends, ends[1:])}
+
+
+def _adam(p: np.ndarray, m: np.ndarray, v: np.ndarray, d: np.ndarray, some: np.ndarray, clip: float, rate: float, k: int) -> None:
+    d *= clip
+    m *= np.float32(0.9)
+    m += np.multiply(d, np.float32(0.1), out=some)
+    v *= np.float32(0.99)
+    d *= d
+    v += np.multiply(d, np.float32(0.01), out=d)
+    np.sqrt(v, out=some)
+    some *= np.float32(1 / np.sqrt(1 - 0.99**k))
+    some += np.float32(1e-6)
+    np.divide(m, some, out=some)
+    some *= np.float32(rate / (1 - 0.9**k))
+    p -= some
+
+
 def train(p: dict, shape: Shape, stream: np.ndarray, lanes: int, window: int, rate: float) -> dict:
     """One pass over a stream of ids in `lanes` side by side, by truncated
     backpropagation: gradients stop at a window's start, states go on (Adam)."""
-    p = {k: v.copy() for k, v in p.items()}
-    m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
+    values = np.concatenate([v.reshape(-1) for v in p.values()])
+    p = _views(values, p)
+    m, v, d = (np.zeros_like(values) for _ in range(3))
+    g, some = _views(d, p), np.empty(PIECE, values.dtype)
     lanes = max(1, min(lanes, (len(stream) - 1) // window))
     steps = (len(stream) - 1) // lanes
     if steps < 1:
@@ -148,14 +234,11 @@ def train(p: dict, shape: Shape, stream: np.ndarray, lanes: int, window: int, ra
     y = stream[1 : lanes * steps + 1].reshape(lanes, steps).T
     h = np.zeros((lanes, shape.hidden), np.float32)
     for k, t in enumerate(range(0, steps, window), 1):
-        g, h, _ = window_gradients(p, shape, x[t : t + window], y[t : t + window], h)
-        norm = np.sqrt(sum(float((d * d).sum()) for d in g.values()))
-        for name, d in g.items():
-            d *= min(1.0, 1.0 / (norm + 1e-9))
-            m[name] += 0.1 * (d - m[name])
-            v[name] += 0.01 * (d * d - v[name])
-            p[name] -= np.float32(rate) * (m[name] / (1 - 0.9**k)) / (np.sqrt(v[name] / (1 - 0.99**k)) + 1e-6)
-    return p
+        _, h, _ = window_gradients(p, shape, x[t : t + window], y[t : t + window], h, g)
+        clip = np.float32(min(1.0, 1.0 / (np.sqrt(float(d @ d)) + 1e-9)))
+        for i in range(0, len(values), PIECE):
+            _adam(*(z[i : i + PIECE] for z in (values, m, v, d)), some[: len(values) - i], clip, rate, k)
+    return {k: v.copy() for k, v in p.items()}
 
 
 def score_texts(p: dict, shape: Shape, ids: np.ndarray, offsets: np.ndarray, window: int, held: int = 1 << 16) -> np.ndarray:

@@ -22,10 +22,10 @@ SHAPE = gru.Shape(head=2048, tail=64, hidden=32)
 #: so many of the most frequent words, at most, travel with the model; counts of
 #: others are joined
 COUNTED = 200_000
-#: documents that the network's weights are fitted on, at most (chosen by a hash
-#: of the id), by so many learners side by side, whose weights are averaged after
-#: each round; all word counts are over all training documents
-FIT_DOCS, LEARNERS, ROUNDS = 3_000, 6, 3
+#: the network's weights are fitted on all training documents in each round, by
+#: learners side by side with about so many tokens each, so many learners at
+#: least; their weights are averaged after each round, FAN_IN networks at a time
+LEARNER_TOKENS, LEARNERS, ROUNDS, FAN_IN = 2_000_000, 6, 3, 16
 LANES, WINDOW, RATE = 32, 32, 0.01
 #: bytes of text that are scored side by side
 SCORE_BYTES = 12 << 20
@@ -88,9 +88,9 @@ def _most_frequent(counts: DataFrame) -> tuple[pa.Array, np.ndarray]:
     return table["word"].combine_chunks().cast(pa.large_string()), table["c"].to_numpy()
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_docs: int = FIT_DOCS, shape: gru.Shape = SHAPE) -> tuple[Model, DataFrame]:
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shape: gru.Shape = SHAPE) -> tuple[Model, DataFrame]:
     """(model, counts): counts (word, c) of all words of all rows of `docs`, and
-    a network fitted on `max_docs` of them at most. Null texts are empty, and
+    a network fitted on all of them as well. Null texts are empty, and
     each text has one end. No rows give a model of the unknown word alone."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     counted = slim.select("text").mapInArrow(_counts, "word string, c long")
@@ -112,37 +112,77 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_docs: i
     mass -= np.bincount(tail_class(vocabulary[:head], shape.tail), known[:head] + 0.5, minlength=shape.tail)
     start = gru.start(shape, np.concatenate([[texts + 0.5], known[:head] + 0.5, mass]), seed=7)
     model = Model(vocabulary, known, total["n"] + texts, total["v"] + (texts > 0), texts, shape, mass, start)
-    model.net = _train(slim, model, max_docs)
+    model.net = _train(slim, model)
     return model, counts
 
 
+def _id_type(shape: gru.Shape) -> type:
+    return np.uint16 if shape.head + shape.tail < 1 << 16 else np.uint32
+
+
 def _learner(shared, shape: gru.Shape, rate: float):
     def learn(group: pa.Table) -> pa.Table:
-        p, vocabulary = shared.value
-        flat, offsets = words(group.sort_by("h").column("text").combine_chunks())
-        ids, _ = _ids(flat, vocabulary, shape)
-        stream = np.insert(ids, offsets, 0)  # an end before each text and after the last
-        p = gru.train(p, shape, stream, LANES, WINDOW, rate)
-        return pa.table([pa.array([len(stream)]), pa.array([pickle.dumps(p)], pa.binary())], names=["n", "net"])
+        parts = group.select(["h", "turn", "ids"]).sort_by([("h", "ascending"), ("turn", "ascending")]).column("ids")
+        stream = np.concatenate([[0], *(np.frombuffer(b, _id_type(shape)) for b in parts.to_pylist())])
+        p = gru.train(shared.value, shape, stream.astype(np.int64), LANES, WINDOW, rate)
+        return pa.table([group.column("learner")[:1], pa.array([len(stream)]), pa.array([pickle.dumps(p)], pa.binary())], names=["learner", "n", "net"])
 
     return learn
 
 
-def _train(slim: DataFrame, model: Model, max_docs: int) -> dict:
-    h = F.xxhash64("doc_id")
-    picked = slim.select(h.alias("h")).distinct().orderBy("h").limit(max_docs)
-    sample = slim.withColumn("h", h).join(F.broadcast(picked), "h")  # max_docs numbers
-    learner = F.pmod(F.col("h"), F.lit(LEARNERS)).cast("int").alias("learner")
-    sample = materialize(sample.select("text", "h", learner), "lm-sample")
-    shape, vocabulary, net = model.shape, model.words[: model.shape.head], model.net
+def _average(group: pa.Table) -> pa.Table:
+    """One network from several, by their tokens."""
+    group = group.sort_by("learner")
+    ns, total = group.column("n").to_pylist(), None
+    for n, net in zip(ns, group.column("net")):
+        p = {k: v * (n / sum(ns)) for k, v in pickle.loads(net.as_py()).items()}
+        total = p if total is None else {k: total[k] + p[k] for k in total}
+    net = pickle.dumps({k: v.astype(np.float32) for k, v in total.items()})
+    return pa.table([group.column("up")[:1], pa.array([sum(ns)]), pa.array([net], pa.binary())], names=["learner", "n", "net"])
+
+
+def _encoded(slim: DataFrame, model: Model, learners: int) -> DataFrame:
+    """(learner, h, turn, ids): the ids of every text and its end, and the learner
+    it is dealt to by a hash of id and text. `turn` tells equal rows of a batch
+    apart, so that many of them do not crowd one learner."""
+    shared = slim.sparkSession.sparkContext.broadcast(model.words[: model.shape.head])
+    shape = model.shape
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches, "text"):
+            flat, offsets = words(b.column("text"))
+            ids = np.insert(_ids(flat, shared.value, shape)[0], offsets[1:], 0).astype(_id_type(shape))  # an end after each text
+            ends = offsets + np.arange(len(offsets))
+            ids = [ids[i:j].tobytes() for i, j in zip(ends, ends[1:])]
+            h = b.column("h").to_numpy()
+            order = np.argsort(h, kind="stable")
+            first = np.diff(h[order], prepend=h[order[0]] ^ 1) != 0
+            turn = np.empty(len(h), np.int64)
+            turn[order] = np.arange(len(h)) - np.flatnonzero(first)[np.cumsum(first) - 1]
+            yield pa.RecordBatch.from_arrays([b.column("h"), pa.array(turn), pa.array(ids, pa.binary())], ["h", "turn", "ids"])
+
+    found = slim.select("text", F.xxhash64("doc_id", "text").alias("h")).mapInArrow(run, "h long, turn long, ids binary")
+    return found.withColumn("learner", F.pmod(F.xxhash64("h", "turn"), F.lit(learners)))
+
+
+def _train(slim: DataFrame, model: Model) -> dict:
+    """In each round every learner goes over all of its texts, from the average
+    of all learners of the round before."""
+    learners = max(LEARNERS, -(-model.tokens // LEARNER_TOKENS))
+    dealt = materialize(_encoded(slim, model, learners), "lm-ids")
+    shape, net = model.shape, model.net
     sc = slim.sparkSession.sparkContext
+    schema = "learner long, n long, net binary"
     for turn in range(ROUNDS):
-        learn = _learner(sc.broadcast((net, vocabulary)), shape, RATE / (1 + turn))
-        got = sample.groupBy("learner").applyInArrow(learn, "n long, net binary").collect()  # LEARNERS networks
-        nets = [(r["n"], pickle.loads(r["net"])) for r in got]
-        if nets:
-            weight = sum(n for n, _ in nets)
-            net = {k: sum(p[k] * np.float32(n / weight) for n, p in nets) for k in net}
+        learn = _learner(sc.broadcast(net), shape, RATE / (1 + turn))
+        nets = materialize(dealt.groupBy("learner").applyInArrow(learn, schema), "lm-nets")
+        left = learners
+        while left > 1:
+            left = -(-left // FAN_IN)
+            up = nets.withColumn("up", F.floor(F.col("learner") / FAN_IN).cast("long"))
+            nets = materialize(up.groupBy("up").applyInArrow(_average, schema), "lm-nets")
+        for r in nets.collect():  # one network, or none without rows
+            net = pickle.loads(r["net"])
     return net
 
 

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from leafline.llm import gru
 from leafline.llm import language_model as LM
@@ -52,6 +53,29 @@ def test_network_beats_frequencies_on_held_out_texts(spark, monkeypatch):
     assert all(abs(a[i] - b[i]) < 1e-3 for i in a)
 
 
+def test_every_text_takes_part_in_every_round(spark, monkeypatch):
+    """4,000 texts, with 1,000 equal rows among them, by learners whose number
+    grows with the tokens and whose networks are averaged in a tree."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(p, shape, stream, lanes, window, rate):
+        seen.add(int((stream == 0).sum()) - 1)
+        return {**p, "bias": p["bias"] + np.float32(len(stream))}
+
+    for k, v in {"LEARNER_TOKENS": 1_000, "FAN_IN": 3}.items():
+        monkeypatch.setattr(LM, k, v)
+    monkeypatch.setattr(gru, "train", counting)
+    rows = [(i, f"a{i} b{i % 7} c", "a", "s") for i in range(3_000)] + [(None, "same again", "a", "s")] * 1_000
+    docs = frame(spark, rows).select("doc_id", "text")
+    model, _ = LM.fit(docs, shape=SMALL)
+    sizes = [r["n"] + 1 for r in LM._encoded(docs, model, 15).groupBy("learner").agg(F.sum(F.length("ids") / 2).alias("n")).collect()]
+    assert model.tokens == 15_000 and len(sizes) == 15 and max(sizes) < 2_000
+    assert seen.value == 4_000 * LM.ROUNDS
+    mean = sum(n * n for n in sizes) / sum(sizes)  # of the learners' stream lengths, by length
+    start = gru.start(SMALL, np.ones(1 + SMALL.head + SMALL.tail), 7)["bias"]
+    assert np.allclose(model.net["bias"] - start, LM.ROUNDS * mean, rtol=1e-4)
+
+
 def test_probabilities_add_up(spark):
     """Over all words and an unknown one of each class, after any text."""
     model, counts = LM.fit(frame(spark, corpus()[:60]), shape=SMALL)
