@@ -14,8 +14,11 @@ from leafline.session import materialize
 NUM_TOPICS = 5
 WORDS = 3
 # The model counts words in so many hash buckets: every word takes part, and the
-# topics are a matrix of fixed size however many words there are.
+# topics are a matrix of fixed size however many words there are. Only comments'
+# topic shares are taken from it; words get their weights from those.
 BUCKETS = 1 << 12
+# parts of one that topic shares are counted in, so that sums are exact
+PARTS = 1 << 30
 # full passes over all comments
 ITERATIONS = 10
 
@@ -24,20 +27,29 @@ def bucket_of(term: Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def _fit(kept: DataFrame, k: int, buckets: int, iterations: int, seed: int) -> tuple[DataFrame, list[list[float]]]:
-    """One LDA model over all comments of `kept` (t_id, bag): (each comment's
-    topic shares, the weight of every bucket in every topic). Vectors are made
-    in the row and stored once; each pass reads them all."""
+def _fit(kept: DataFrame, k: int, buckets: int, iterations: int, seed: int) -> DataFrame:
+    """(t_id, bag, share): each comment's topic shares under one LDA model over
+    all comments of `kept` (t_id, bag). Vectors are made in the row and stored
+    once; each pass reads them all."""
     tokens = F.flatten(F.transform("bag", lambda w: F.array_repeat(bucket_of(w.term, buckets).cast("string"), w.n.cast("int"))))
     counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(buckets)], "tokens", "features")
-    features = counter.transform(kept.select("t_id", tokens.alias("tokens"))).drop("tokens")
+    features = counter.transform(kept.select("t_id", "bag", tokens.alias("tokens"))).drop("tokens")
     features = materialize(features, "comment-vectors")
     model = LDA(
         k=k, maxIter=iterations, seed=seed, optimizer="online", optimizeDocConcentration=True, subsamplingRate=1.0
     ).fit(features)
-    shares = model.transform(features).select("t_id", vector_to_array("topicDistribution").alias("share"))
-    weights = model.topicsMatrix().toArray()
-    return shares, (weights / weights.sum(axis=0)).tolist()
+    shares = model.transform(features).select("t_id", "bag", vector_to_array("topicDistribution").alias("share"))
+    return materialize(shares, "comment-shares")
+
+
+def term_weights(shares: DataFrame, num_topics: int) -> DataFrame:
+    """(term, weights) from (bag, share) of all comments: a word's weight in a
+    topic is the sum of its comments' shares of the topic, once for each time it
+    occurs. So words of one bucket have weights of their own. A topic's total is
+    the same for all words and left out."""
+    rows = shares.select("share", F.inline_outer("bag")).where(F.col("term").isNotNull())
+    parts = [F.sum(F.col("n") * F.round(F.col("share")[i] * PARTS).cast("long")).alias(f"s{i}") for i in range(num_topics)]
+    return rows.groupBy("term").agg(*parts).select("term", F.array(*[F.col(f"s{i}") / PARTS for i in range(num_topics)]).alias("weights"))
 
 
 def _in_topic_order(entries: list[Column], n_words: int) -> Column:
@@ -87,11 +99,9 @@ def title_topics(
     spark = comments.sparkSession
     if kept.isEmpty():
         return spark.createDataFrame([], "t_id string, t_topics array<string>")
-    shares, weights = _fit(kept, num_topics, buckets, iterations, seed)
+    shares = _fit(kept, num_topics, buckets, iterations, seed)
     dtm = T.words_of(kept, ("t_id",))
-    table = spark.createDataFrame(list(enumerate(weights)), "bucket int, weights array<double>")  # `buckets` rows
-    terms = dtm.select("term").distinct().withColumn("bucket", bucket_of(F.col("term"), buckets)).join(F.broadcast(table), "bucket")
-    return topic_readout(dtm, terms.select("term", "weights"), shares, num_topics, n_words)
+    return topic_readout(dtm, term_weights(shares, num_topics), shares, num_topics, n_words)
 
 
 def topic_items(topics: DataFrame) -> DataFrame:

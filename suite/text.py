@@ -117,6 +117,11 @@ def title_topics(spark, sf):
     return found.join(own, "t_id").select("t_id", size.between(1, 3).alias("few"), (size == F.col("n")).alias("own"))
 
 
+def title_topic_words(spark, sf):
+    """The topic words themselves, which SQL cannot say."""
+    return P.title_topics(conversation_comments(spark, sf))
+
+
 _READOUT_SQL = """words AS (SELECT t_id, comment_pos, term, n FROM bag SEMI JOIN kept USING (t_id, term)),
   tf AS (SELECT t_id, term, sum(n) AS tf FROM words GROUP BY ALL),
   alltf AS (SELECT term, sum(tf) AS all_tf FROM tf GROUP BY 1),

@@ -41,6 +41,25 @@ def test_a_title_of_rare_words_only_has_topics(spark):
     assert all(w.startswith(("once", "only")) for w in got["N7"])
 
 
+def test_words_of_one_bucket_have_weights_of_their_own(spark):
+    """A rare word takes nothing from a frequent one of its bucket: here all
+    words share a bucket, or two."""
+    rows = [("N1", p, f"frequent rare{p} other{p % 3}") for p in range(6)] + [("N1", 9 + p, f"quite different{p}") for p in range(6)]
+    comments = spark.createDataFrame(rows, "t_id string, comment_pos int, comment string")
+    for buckets in (1, 2):
+        got = {r.t_id: r.t_topics for r in P.title_topics(comments, num_topics=2, iterations=2, buckets=buckets).collect()}
+        assert got["N1"] and set(got["N1"]) <= {"frequent", "quite"}
+
+
+def test_weights_are_sums_of_the_shares_of_a_words_comments(spark):
+    shares = spark.createDataFrame(
+        [([("aa", 2), ("bb", 1)], [0.75, 0.25]), ([("aa", 1)], [0.5, 0.5]), ([], [1.0, 0.0])],
+        "bag array<struct<term: string, n: bigint>>, share array<double>",
+    )
+    got = {r.term: r.weights for r in P.term_weights(shares, 2).collect()}
+    assert got == {"aa": [2.0, 1.0], "bb": [0.75, 0.25]}
+
+
 def test_no_words_at_all(spark):
     lonely = spark.createDataFrame([("N1", 0, "one comment")], "t_id string, comment_pos int, comment string")
     assert P.title_topics(lonely).count() == 0
