@@ -2,62 +2,70 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+class AttributePattern(str):
+    """A pattern whose group is an attribute's value, which holds no tags."""
+
+
+class Element(NamedTuple):
+    """Elements with `name` among their classes, of any tag or of `tag` only."""
+
+    name: str
+    tag: str = r"[A-Za-z][\w-]*"
+
+
+#: a pattern with one group, an element, or containers and what to match inside them
+Pattern = str | Element | tuple[str | Element, ...]
+
 
 def with_class(tag: str, name: str) -> str:
     """Opening tag that has `name` among its classes, in any quoting."""
     return rf"""<{tag}\b[^>]*?\bclass\s*=\s*(?:"(?:[^"]*\s)?{name}(?:\s[^"]*)?"|'(?:[^']*\s)?{name}(?:\s[^']*)?'|{name}(?=[\s>]))[^>]*>"""
 
 
-def attribute(tag: str, name: str) -> str:
-    """Value of an attribute, with the quotes around it if there are any."""
-    return rf"""(?i)<{tag}\b[^>]*?\b{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# an attribute's value, bare: the quotes around it are matched outside the group
+_VALUE = r"""["']?((?<=")[^"]*(?=")|(?<=')[^']*(?=')|(?<!["'])[^\s"'>]+)"""
 
 
-def _element(tag: str, name: str) -> str:
-    """The inside of an element with a class, up to the next end of such a tag."""
-    return rf"(?is){with_class(tag, name)}(.*?)</{tag}\s*>"
-
-
-def _nested(tag: str, name: str) -> str:
-    """A whole element with a class; tags of its own name may stand inside, one deep."""
-    other = rf"[^<]*+(?:<(?!/?{tag}\b)[^<]*+)*+"
-    return rf"{with_class(tag, name)}{other}(?:<{tag}\b[^>]*+>{other}</{tag}\s*+>{other})*+</{tag}\s*>"
+def attribute(tag: str, name: str) -> AttributePattern:
+    """Value of an attribute, without the quotes that may stand around it."""
+    return AttributePattern(rf"(?i)<{tag}\b[^>]*?\b{name}\s*=\s*{_VALUE}")
 
 
 LINK = attribute("a", "href")
 # Where the fields stand in the markup of a title's detail page:
-# a pattern, or a container's pattern and one to match inside it.
+# a pattern or element, or a container and what to match inside it.
 DETAIL_FIELDS = {
-    "t_names": _element("span", "title"),
-    "t_auth": _element("span", "wrt_nm"),
-    "t_genre": (_element("p", "detail_info"), r"(?is)<span\b[^>]*>(.*?)</span\s*>"),
-    "t_age": (_element("p", "detail_info"), _element("span", "age")),
-    "t_sum": (_element("div", "detail"), r"(?is)</h2\s*>\s*<p\b[^>]*>(.*?)</p\s*>"),
-    "t_thumbs": (_element("div", "thumb"), attribute("img", "src")),
+    "t_names": Element("title", "span"),
+    "t_auth": Element("wrt_nm", "span"),
+    "t_genre": (Element("detail_info", "p"), r"(?is)<span\b[^>]*>(.*?)</span\s*>"),
+    "t_age": (Element("detail_info", "p"), Element("age", "span")),
+    "t_sum": (Element("detail", "div"), r"(?is)</h2\s*>\s*<p\b[^>]*>(.*?)</p\s*>"),
+    "t_thumbs": (Element("thumb", "div"), attribute("img", "src")),
 }
-NEWEST_EPISODE = (_element("td", "title"), LINK)
-COMMENT_TEXT = "(?is)" + "|".join(_nested(tag, "u_cbox_contents") for tag in ("span", "div", "p"))
-LINK_TEXT = r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>(.*?)</a\s*>"""
+NEWEST_EPISODE = (Element("title", "td"), LINK)
+COMMENT = Element("u_cbox_contents")
+LINK_TEXT = rf"(?is)<a\b[^>]*?\bhref\s*=\s*{_VALUE}[^>]*>(.*?)</a\s*>"
 LIST_ITEM = r"(?is)<li\b[^>]*>(.*?)</li\s*>"
 RATING = r"(?is)<strong\b[^>]*>(.*?)</strong\s*>"
 
 # The entities resolved in text, `&amp;` last.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
 
-
-def inner_text(fragment: Column) -> Column:
-    """Text of a fragment: tags dropped, common entities resolved."""
-    return resolve(F.regexp_replace(fragment, r"<[^>]*>", ""))
+_REMARK = r"(?s)<!--.*?-->"
+# a page falls into tags and the text between them; a lone `<` is text
+_TAG = r"<[/!?A-Za-z][^>]*>"
+_PIECE = rf"{_TAG}|[^<]+|<"
 
 
-def field_text(value: Column) -> Column:
-    """Text of a field, which may be an attribute's value in its quotes."""
-    quoted = F.regexp_extract(value, r"""(?s)^(?:"([^"]*)"|'([^']*)')$""", 0) != ""
-    return F.when(quoted & ~F.contains(value, F.lit("<")), attr_value(value)).otherwise(inner_text(value))
+def inner_text(fragment: Column) -> Column:
+    """Text of a fragment: tags and remarks dropped, common entities resolved."""
+    return resolve(F.regexp_replace(fragment, rf"{_REMARK}|{_TAG}", ""))
 
 
 def resolve(text: Column) -> Column:
@@ -67,31 +75,89 @@ def resolve(text: Column) -> Column:
 
 
 def attr_value(value: Column) -> Column:
-    """An attribute's value as matched: without its quotes, entities resolved;
-    an empty one is absent."""
-    bare = F.regexp_replace(value, r"""^["']|["']$""", "")
-    return F.nullif(resolve(bare), F.lit(""))
+    """An attribute's value with its entities resolved; an empty one is absent."""
+    return F.nullif(resolve(value), F.lit(""))
+
+
+def _whole(fragment: Column) -> Column:
+    """The element that a fragment begins with, up to the end of its own tag at
+    any depth; null if it does not end. The fragment is cut into pieces once, and
+    one fold over them counts the tags of that name that are open."""
+    tag = F.lower(F.regexp_extract(fragment, r"^<([A-Za-z][\w-]*)", 1))
 
+    def count(state: Column, piece: Column) -> Column:
+        same = F.lower(F.regexp_extract(piece, r"^</?([A-Za-z][\w-]*)", 1)) == tag
+        depth = state.depth + F.when(~same, 0).when(F.startswith(piece, F.lit("</")), -1).otherwise(1)
+        at = state.at + 1
+        end = F.when((state.end == 0) & same & (depth == 0), at).otherwise(state.end)
+        return F.struct(depth.alias("depth"), at.alias("at"), end.alias("end"))
 
-def first_match(html: Column, pattern: str | tuple[str, str]) -> Column:
-    """First group of the first match; of a pair of patterns, inside the first
-    match of the one before."""
-    for p in (pattern,) if isinstance(pattern, str) else pattern:
-        html = F.nullif(F.regexp_extract(html, p, 1), F.lit(""))
+    def cut(pieces: Column) -> Column:
+        none = F.struct(*[F.lit(0).alias(n) for n in ("depth", "at", "end")])
+        end = F.aggregate(pieces, none, count, lambda state: state.end)
+        return F.transform(F.array(end), lambda n: F.when(n > 0, F.array_join(F.slice(pieces, 1, n), "")))[0]
+
+    return F.transform(F.array(all_matches(fragment, _PIECE, 0)), cut)[0]
+
+
+def elements(html: Column, wanted: Element) -> Column:
+    """array<string>: all elements of a class with what is inside them, in the
+    order they begin; tags of their own name may stand inside at any depth, and
+    an element inside another of the class is one of its own. One that never
+    ends is left out."""
+    opening = with_class(wanted.tag, wanted.name)
+    parts = F.filter(F.split(F.regexp_replace(html, _REMARK, ""), rf"(?is)(?={opening})"), lambda part, i: (i > 0) | part.rlike(rf"(?is)^{opening}"))
+
+    def one(rest: Column) -> Column:
+        # the end is nearly always in the part itself; if not, in what follows
+        def of(part: Column, i: Column) -> Column:
+            following = F.array_join(F.slice(rest, i + 1, F.size(rest)), "")
+            return F.coalesce(_whole(part), F.when(i + 1 < F.size(rest), _whole(following)))
+
+        return F.transform(rest, of)
+
+    return F.array_compact(F.transform(F.array(parts), one)[0])
+
+
+def first_element(html: Column, wanted: Element) -> Column:
+    """The inside of the first element of a class; null without one."""
+    opening = with_class(wanted.tag, wanted.name)
+    rest = F.regexp_extract(F.regexp_replace(html, _REMARK, ""), rf"(?is){opening}.*$", 0)
+    return F.regexp_extract(_whole(rest), rf"(?is)^{opening}(.*)</[^>]*>$", 1)
+
+
+def first_match(html: Column, pattern: Pattern) -> Column:
+    """First group of the first match, or the inside of the first such element;
+    of several, each inside what the one before has found."""
+    for p in (pattern,) if isinstance(pattern, (str, Element)) else pattern:
+        found = first_element(html, p) if isinstance(p, Element) else F.regexp_extract(html, p, 1)
+        html = F.nullif(found, F.lit(""))
     return html
 
 
+def field_text(html: Column, pattern: Pattern) -> Column:
+    """`first_match` as text; null if there is none."""
+    last = pattern if isinstance(pattern, (str, Element)) else pattern[-1]
+    found = first_match(html, pattern)
+    return attr_value(found) if isinstance(last, AttributePattern) else inner_text(found)
+
+
 def links_in(html: Column) -> Column:
     """array<string>: the links of a fragment."""
-    return F.filter(F.transform(all_matches(html, LINK), attr_value), lambda h: h.isNotNull())
+    return attr_values(html, LINK)
+
+
+def attr_values(html: Column, pattern: AttributePattern) -> Column:
+    """array<string>: the values of an attribute in all its tags, empty ones left out."""
+    return F.array_compact(F.transform(all_matches(html, pattern), attr_value))
 
 
-def first_link(html: Column, within: tuple[str, ...] = ()) -> Column:
+def first_link(html: Column, within: tuple[str | Element, ...] = ()) -> Column:
     return attr_value(first_match(html, (*within, LINK)))
 
 
 def all_matches(html: Column, pattern: str, group: int = 1) -> Column:
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(group))
+    return F.regexp_extract_all(html, F.lit(str(pattern)), F.lit(group))
 
 
 def section(html: Column, pattern: str, position: int) -> Column:

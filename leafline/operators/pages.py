@@ -49,19 +49,19 @@ def rated_links(pages: DataFrame, host: str, min_rating: float = MIN_RATING) ->
     return kept.withColumn("link", absolute_link(host, F.col("href")))
 
 
-def page_fields(pages: DataFrame, patterns: Mapping[str, str | tuple[str, str]], extra: Mapping[str, Column] | None = None) -> DataFrame:
+def page_fields(pages: DataFrame, patterns: Mapping[str, H.Pattern], extra: Mapping[str, Column] | None = None) -> DataFrame:
     """One record per page: the first match of every field's pattern, as text."""
-    read = {n: H.field_text(H.first_match(F.col("html"), p)) for n, p in patterns.items()}
+    read = {n: H.field_text(F.col("html"), p) for n, p in patterns.items()}
     return pages.select("page_id", "url", *[c.alias(n) for n, c in {**read, **(extra or {})}.items()])
 
 
-def page_comments(html: Column, pattern: str = H.COMMENT_TEXT) -> Column:
-    """array<string>: the comments on a page, each on one line: the pattern's
-    group, or the text of the whole match if it has none."""
-    group = 0 if pattern == H.COMMENT_TEXT else 1
-    return flatten_newlines(F.transform(H.all_matches(html, pattern, group), H.inner_text))
+def page_comments(html: Column, pattern: str | H.Element = H.COMMENT) -> Column:
+    """array<string>: the comments on a page, each on one line: the text of every
+    such element, whatever is nested in it, or of the pattern's group."""
+    found = H.elements(html, pattern) if isinstance(pattern, H.Element) else H.all_matches(html, pattern)
+    return flatten_newlines(F.transform(found, H.inner_text))
 
 
 def page_attr_list(html: Column, pattern: str) -> Column:
     """array<string>: one attribute or badge text of every matching tag."""
-    return H.all_matches(html, pattern)
+    return H.attr_values(html, pattern) if isinstance(pattern, H.AttributePattern) else H.all_matches(html, pattern)

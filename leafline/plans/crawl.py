@@ -21,9 +21,9 @@ COMMENT_PAGE = "{host}/comment/comment.nhn?titleId=%s&no=%s#"
 
 def detail_records(
     pages: DataFrame,
-    patterns: Mapping[str, str | tuple[str, str]] = H.DETAIL_FIELDS,
+    patterns: Mapping[str, H.Pattern] = H.DETAIL_FIELDS,
     id_param: str = "titleId",
-    comment_pattern: str | None = None,
+    comment_pattern: str | H.Element | None = None,
 ) -> DataFrame:
     """One record per detail page, in the columns of the site-N table; with
     `comment_pattern` the page's own comments too."""
@@ -37,13 +37,13 @@ def detail_records(
     return read.withColumns(fixed).drop("url")
 
 
-def newest_episode_links(pages: DataFrame, within: tuple[str, ...] = H.NEWEST_EPISODE[:1]) -> DataFrame:
+def newest_episode_links(pages: DataFrame, within: tuple[str | H.Element, ...] = H.NEWEST_EPISODE[:1]) -> DataFrame:
     """(page_id, url, href) of the first episode link of each page: null without one."""
     return pages.select("page_id", "url", H.first_link(F.col("html"), within).alias("href"))
 
 
 def comment_page_links(
-    pages: DataFrame, host: str, id_param: str = "titleId", within: tuple[str, ...] = H.NEWEST_EPISODE[:1], no_param: str = "no"
+    pages: DataFrame, host: str, id_param: str = "titleId", within: tuple[str | H.Element, ...] = H.NEWEST_EPISODE[:1], no_param: str = "no"
 ) -> DataFrame:
     """(page_id, link) of the newest episode's comment page; null where the page's
     id or the episode's number is not known."""
@@ -55,7 +55,7 @@ def comment_page_links(
 
 
 def finished_records(
-    listing: DataFrame, pages: DataFrame, host: str, patterns: Mapping[str, str | tuple[str, str]] = H.DETAIL_FIELDS,
+    listing: DataFrame, pages: DataFrame, host: str, patterns: Mapping[str, H.Pattern] = H.DETAIL_FIELDS,
     min_rating: float = P.MIN_RATING, id_param: str = "titleId",
 ) -> DataFrame:
     """The day's records of finished titles, 8 columns: the detail pages (url,
@@ -64,8 +64,12 @@ def finished_records(
     return detail_records(pages.join(wanted, "url", "left_semi"), patterns, id_param).select(*[f.name for f in N_FINISHED])
 
 
+def _list_of(html, pattern: str | H.Element):
+    return P.page_attr_list(html, pattern) if isinstance(pattern, H.AttributePattern) else P.page_comments(html, pattern)
+
+
 def k_records(
-    pages: DataFrame, patterns: Mapping[str, str | tuple[str, str]], lists: Mapping[str, str], weekday: bool = True
+    pages: DataFrame, patterns: Mapping[str, H.Pattern], lists: Mapping[str, str | H.Element], weekday: bool = True
 ) -> DataFrame:
     """Site K's rows from stored detail pages, in the 15 columns of a weekday
     crawl or the 14 of a completed one. `serial` is the number at the end of the
@@ -78,18 +82,17 @@ def k_records(
         if name in read:
             continue
         if name in CSV_LISTS:
-            found = P.page_comments(html, lists[name]) if name in lists else F.array().cast("array<string>")
-            read[name] = found
+            read[name] = _list_of(html, lists[name]) if name in lists else F.array().cast("array<string>")
         else:
-            read[name] = H.field_text(H.first_match(html, patterns[name])) if name in patterns else F.lit(None).cast("string")
+            read[name] = H.field_text(html, patterns[name]) if name in patterns else F.lit(None).cast("string")
     return pages.select(*[read[n].alias(n) for n in schema.fieldNames()])
 
 
 def daily_records(
     pages: DataFrame,
     anchors: DataFrame,
-    patterns: Mapping[str, str | tuple[str, str]] = H.DETAIL_FIELDS,
-    comment_pattern: str = H.COMMENT_TEXT,
+    patterns: Mapping[str, H.Pattern] = H.DETAIL_FIELDS,
+    comment_pattern: str | H.Element = H.COMMENT,
     comment_pages: DataFrame | None = None,
     id_param: str = "titleId",
 ) -> DataFrame:

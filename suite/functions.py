@@ -78,7 +78,7 @@ def url_query_value(spark, sf):
 @case(f"""SELECT page_id, unnest(list_transform(regexp_extract_all(html, '<a[^>]*href="([^"]+)"', 1),
   lambda h: CASE WHEN h LIKE '/%' THEN '{HOST}' || h ELSE h END)) AS link FROM pages""")
 def absolute_links(spark, sf):
-    hrefs = table(spark, sf, "pages").select("page_id", F.explode(H.all_matches(F.col("html"), H.LINK)).alias("href"))
+    hrefs = table(spark, sf, "pages").select("page_id", F.explode(H.links_in(F.col("html"))).alias("href"))
     return hrefs.select("page_id", U.absolute_link(HOST, F.col("href")).alias("link"))
 
 
@@ -132,5 +132,5 @@ def kst_weekday(spark, sf):
 
 @case("""SELECT page_id, coalesce(nullif(regexp_extract(html, '<a[^>]*href="([^"]+)"', 1), ''), '<none>') AS href FROM pages""")
 def first_link(spark, sf):
-    href = H.first_match(F.col("html"), H.LINK)
+    href = H.first_link(F.col("html"))
     return table(spark, sf, "pages").select("page_id", F.coalesce(href, F.lit("<none>")).alias("href"))

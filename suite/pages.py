@@ -92,6 +92,32 @@ def page_attr_list(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.array_join(badges, "|").alias("badges"))
 
 
+@case("""SELECT page_id, array_to_string(list_filter(list_transform(regexp_extract_all(html, '<a\\b[^>]*?\\bhref="([^"]*)"', 1),
+  lambda v: replace(v, '&amp;', '&')), lambda v: v <> ''), '|') AS hrefs FROM pages""")
+def page_attribute_values(spark, sf):
+    hrefs = P.page_attr_list(F.col("html"), H.attribute("a", "href"))
+    return table(spark, sf, "pages").select("page_id", F.array_join(hrefs, "|").alias("hrefs"))
+
+
+@case("""SELECT conv_id, array_to_string(list(replace(body, chr(10), ' ') ORDER BY turn, place), '|') AS comments FROM (
+  SELECT conv_id, turn, unnest([0, 1]) AS place, unnest(['1' || text || '2' || role || '3' || turn || '4', text || '2' || role || '3' || turn]) AS body
+  FROM conversations) GROUP BY conv_id""")
+def nested_comments(spark, sf):
+    """A page per conversation; each turn is a comment with three levels of tags
+    of its own name, the outermost of which is a comment again."""
+    escaped = F.col("text")
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        escaped = F.replace(escaped, F.lit(char), F.lit(entity))
+    turn = F.format_string(
+        "<div id='c%d' class=\"x u_cbox_contents\">1<DIV class='u_cbox_contents'>%s<div>2<i>%s</i><div>3</div></div>%d</DIV>4<br></div><p>-</p>",
+        "turn", escaped, "role", "turn",
+    )
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", turn.alias("html"))
+    html = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "html"))), lambda t: t.html), "\n")
+    pages = turns.groupBy("conv_id").agg(html.alias("html"))
+    return pages.select("conv_id", F.array_join(P.page_comments(F.col("html")), "|").alias("comments"))
+
+
 _CODES = "element_at(array('mon','tue','wed','thu','fri','sat','sun'), cast(pmod({n}, 7) + 1 as int))"
 _CODES_SQL = "['mon','tue','wed','thu','fri','sat','sun'][{n} % 7 + 1]"
 

@@ -131,6 +131,41 @@ def test_comments_with_tags_inside(spark):
     assert len(spark.createDataFrame([(long,)], "html string").select(P.page_comments(F.col("html"))).first()[0][0]) == 80000
 
 
+def comments_of(spark, html):
+    return spark.createDataFrame([(html,)], "html string").select(P.page_comments(F.col("html"))).first()[0]
+
+
+def test_comments_of_any_depth(spark):
+    deep = "<div>" * 40 + "x" + "</div>" * 40
+    html = f"""<!-- <div class="u_cbox_contents"> --><DIV class=u_cbox_contents>a<div>b<div>c<div>d</div>e</div>f</div>g</DIV>
+    <p class="u_cbox_contents">1 < 2<!-- </p> --></p><div class="q u_cbox_contents z">{deep}</div>"""
+    assert comments_of(spark, html) == ["abcdefg", "1 < 2", "x"]
+
+
+def test_comments_inside_comments_and_without_an_end(spark):
+    own = '<div class="u_cbox_contents">'
+    assert comments_of(spark, f"{own}a{own}b{own}c</div></div>d</div>{own}e</div>") == ["abcd", "bc", "c", "e"]
+    assert comments_of(spark, f"{own}never{own}ends</div>") == ["ends"]
+    assert comments_of(spark, f"{own}</div>") == [""] and comments_of(spark, "") == [] and comments_of(spark, None) is None
+
+
+def test_fields_of_nested_containers(spark):
+    html = """<div class="thumb"><div><i></i></div><div><img alt='' src='/in.png'></div></div><img src="/out.png">
+    <div class="detail"><div>x</div><h2>h</h2><p>sum</p></div><span class="title">A<span>B</span>C</span>"""
+    df = spark.createDataFrame([(1, "/list?titleId=7", html)], "page_id long, url string, html string")
+    r = C.detail_records(df).first()
+    assert (r.t_thumbs, r.t_sum, r.t_names) == ("/in.png", "sum", "ABC")
+
+
+def test_attribute_values_are_bare(spark):
+    html = """<img alt="mon"><IMG alt='t"u'><img x=1 alt=wed><img alt=""><img alt="a<b&amp;c">"""
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(P.page_attr_list(F.col("html"), H.attribute("img", "alt"))).first()[0] == ["mon", 't"u', "wed", "a<b&c"]
+    assert df.select(H.field_text(F.col("html"), H.attribute("img", "alt"))).first()[0] == "mon"
+    lists = {"key_words": H.attribute("img", "alt")}
+    assert C.k_records(df.withColumn("url", F.lit("/1")), {}, lists).first().key_words == ["mon", 't"u', "wed", "a<b&c"]
+
+
 def test_weekday_lookup_keeps_a_column_named_text(spark):
     titles = spark.createDataFrame([("a", "kept")], "name string, text string")
     anchors = spark.createDataFrame([("a", "/l?t=1&weekday=mon", 0)], "text string, href string, pos int")
