@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafline.llm import exact_dedup, lang_id, language_model, leaks, mixing, near_dup, sharding, token_scan, toxicity, url_rules
+from leafline.llm import exact_dedup, lang_id, language_model, leaks, mixing, near_dup, periodic, sharding, token_scan, toxicity, url_rules
 from leafline.llm.text import crc_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,40 @@ def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in one of ten documents, by checksum of the id, the words
+    from some place on are replaced by a repetition of those first ones."""
+    h = crc_of("doc_id")
+    g = F.floor(h / 10).cast("long")
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        p = F.floor((n - a) / (g % 8 + 3)).cast("long") + 1
+        at = F.sequence(F.lit(0).cast("long"), n - 1)
+        moved = F.transform(at, lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+        return F.when(n > 0, F.array_join(moved, " "))
+
+    # each document's words are made once, though looked up many times
+    words = F.array(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    planted = F.when(h % 10 == 0, F.get(F.transform(words, repeated), F.lit(0)))
+    return docs.select("doc_id", F.coalesce(planted, F.col("text")).alias("text"))
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    longest = F.transform("runs", lambda r: F.struct((-r.length).alias("k"), r.start.alias("start"), r.period.alias("period")))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r.start.cast("string"), r.length.cast("string"), r.period.cast("string")))
+    lines = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.get(F.sort_array(longest), F.lit(0)).alias("best"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    length = -F.col("best.k")
+    return best.select(
+        "doc_id", "n_runs", F.col("best.start").alias("start"), length.alias("length"), F.col("best.period").alias("period"),
+        F.expr("1000 * -best.k div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )

@@ -38,4 +38,4 @@ def test_same_as_sql(spark, name):
 
 def test_names():
     numbers = [int(n[2:].split("_")[0]) for n in Q.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
