@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafline.llm import exact_dedup, lang_id, language_model, leaks, mixing, near_dup, periodic, sharding, token_scan, toxicity, url_rules, warc
+from leafline.llm import exact_dedup, lang_id, language_model, leaks, mixing, near_dup, periodic, sharding, token_scan, toxicity, url_rules, warc, whitening
 from leafline.llm.text import crc_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,6 +156,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query("""WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
   r AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS first FROM p)
   SELECT page_id, payload_bytes, sha1(html) AS payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
