@@ -31,13 +31,16 @@ RANK_DIGITS = 9
 SELF = ""
 
 
-def with_bag(comments: DataFrame, lower: bool = False, tokens: str | None = None) -> DataFrame:
-    """Add `words` and `bag`, its counted form. `tokens` names a ready-made array
-    column (say, from a morphological tagger) to use instead of splitting
-    `comment`."""
+def with_words(comments: DataFrame, lower: bool = False, tokens: str | None = None) -> DataFrame:
+    """Add `words`. `tokens` names a ready-made array column (say, from a
+    morphological tagger) to use instead of splitting `comment`."""
     found = F.array_compact(tokens) if tokens else tokenize(F.col("comment"), lower=lower)
-    words = F.coalesce(found, F.array().cast("array<string>"))
-    return comments.withColumn("words", words).withColumn("bag", word_counts(F.col("words")))
+    return comments.withColumn("words", F.coalesce(found, F.array().cast("array<string>")))
+
+
+def with_bag(comments: DataFrame, lower: bool = False, tokens: str | None = None) -> DataFrame:
+    """Add `words` and `bag`, its counted form; see `with_words` for `tokens`."""
+    return with_words(comments, lower, tokens).withColumn("bag", word_counts(F.col("words")))
 
 
 def with_key(bags: DataFrame) -> DataFrame:

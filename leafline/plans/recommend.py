@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from leafline.functions.text import tokenize, word_counts, words_of
 from leafline.operators import vectors as V
 from leafline.operators.ranking import favourites, genre_boost, max_score_per_title, ranked
+from leafline.operators.threshold import most_similar, review_rounds, review_words
+from leafline.operators.title_models import fit_titles
 from leafline.session import BROADCAST_ROWS, materialize
 
 SKIP_TOP = 1
 HITS = 20
 TITLES = 5
 REVIEW_KEYS = ("user_id", "user_t_id")
-# buckets of users that rounds of reviews are packed from
-_BUCKETS = 1024
 
 
 def review_tfidf(comments: DataFrame, reviews: DataFrame, max_terms: int = V.MAX_TERMS) -> DataFrame:
@@ -64,15 +64,7 @@ def cosine_scores(
 
 
 def _hit_order() -> list[Column]:
-    return [F.col("score").desc(), F.col("t_id"), F.col("comment_pos"), F.col("comment_key"), F.col("copy")]
-
-
-def _take_hits(scores: DataFrame, group: Sequence[str], skip_top: int, hits: int) -> DataFrame:
-    # a rank past skip_top + hits is never used, so neither is a further copy
-    copies = F.sequence(F.lit(1), F.least(F.col("copies").cast("int"), F.lit(skip_top + hits)))
-    return ranked(
-        scores.withColumn("copy", F.explode(copies)).drop("copies"), group, _hit_order(), skip_top + 1, skip_top + hits
-    ).drop("copy")
+    return [F.col("score").desc(), F.col("t_id"), F.col("comment_pos"), F.col("comment_key")]
 
 
 def similar_comments(
@@ -87,7 +79,7 @@ def similar_comments(
 ) -> DataFrame:
     """The comments ranked skip_top+1 .. skip_top+hits by cosine, positive only."""
     scores = cosine_scores(comments, review, exclude, max_terms, tokens, stats)
-    return ranked(scores, [], _hit_order()[:-1], skip_top + 1, skip_top + hits)
+    return ranked(scores, [], _hit_order(), skip_top + 1, skip_top + hits)
 
 
 def join_scores(info: DataFrame, scores: DataFrame) -> DataFrame:
@@ -126,22 +118,6 @@ def recommend_titles(
     return best.select("user_t_id", "rank", "t_id", "score")
 
 
-def _rounds(review_words: DataFrame, max_rows: int) -> list[tuple[DataFrame, bool]]:
-    """Split the review words by user into rounds of at most `max_rows` rows,
-    each to be broadcast in turn. The flag says that the size was checked, i.e. that it may be broadcast."""
-    bucket = F.pmod(F.xxhash64("user_id"), F.lit(_BUCKETS))
-    sizes = review_words.groupBy(bucket.alias("b")).count().orderBy("b").collect()
-    rounds: list[tuple[list[int], int]] = []
-    for b, n in sizes:
-        if rounds and rounds[-1][1] + n <= max_rows:
-            rounds[-1] = (rounds[-1][0] + [b], rounds[-1][1] + n)
-        else:
-            rounds.append(([b], n))
-    if len(rounds) <= 1:
-        return [(review_words, not rounds or rounds[0][1] <= max_rows)]
-    return [(review_words.where(bucket.isin(bs)), n <= max_rows) for bs, n in rounds]
-
-
 def similar_comments_batch(
     comments: DataFrame,
     reviews: DataFrame,
@@ -154,36 +130,25 @@ def similar_comments_batch(
     """`similar_comments` for every row of `reviews` (user_id, t_id, review), with
     the reviewed title as `user_t_id`. A reader may review several titles.
 
-    One model serves all reviews; it is fitted on `fit_on`, by default all
-    comments, and each review skips its own title when scored. Comment vectors are
-    shuffled once, by comment. Everything after that is local to the comment:
-    the join with the broadcast review words, the sum per (review, comment), and
-    the cut to the best rows per review; pairs are never shuffled."""
-    keys = (*V.COMMENT_KEYS, "comment_key")
-    comments = comments.where(F.col("t_id").isNotNull())  # a comment of no title is excluded everywhere
-    vocab = materialize(
-        V.vocabulary(V.with_bag(comments if fit_on is None else fit_on, lower=True), max_terms), "vocabulary"
-    )
-    review_words = materialize(
-        _review_vectors(reviews, vocab).withColumnRenamed("weight", "q"),
-        "review-words",
-    )
-    words = V.tfidf_with_copies(V.with_key(V.with_bag(comments, lower=True)), vocab, keys)
-
-    best = None
-    for words_of_round, small in _rounds(review_words, broadcast_rows):
-        side = F.broadcast(words_of_round) if small else words_of_round
-        scores = (
-            words.join(side, "term")
-            .where(F.col("user_t_id").isNull() | (F.col("t_id") != F.col("user_t_id")))
-            .groupBy(*REVIEW_KEYS, *keys, "copies")
-            .agg(F.sum(F.col("weight") * F.col("q")).alias("score"))
-            .where(F.col("score") > 0)
-            .withColumn("score", F.round("score", V.RANK_DIGITS))
-        )
-        part = _take_hits(scores, REVIEW_KEYS, skip_top, hits)
-        best = part if best is None else best.unionByName(part)
-    return best
+    As in the single form, each review's model leaves out the comments of its own
+    title; a review of no title has the model of all comments. With
+    `fit_on` one model, of those comments, serves all reviews. Not all pairs are
+    scored (`leafline.operators.threshold`), and comments are shuffled only
+    to fold copies together."""
+    named = comments.where(F.col("t_id").isNotNull())  # a comment of no title is excluded everywhere
+    titles = reviews.select("t_id" if fit_on is None else F.lit(None).cast("string").alias("t_id")).distinct()
+    asked = reviews.select("user_id", "t_id", tokenize(F.col("review"), lower=True).alias("words")).where(F.col("words").isNotNull())
+    # nearly always twice the words of a model are enough for all titles
+    count, enough = max_terms, False
+    while not enough:
+        count *= 2
+        fitted = fit_titles(named, titles, fit_on, max_terms, count)
+        if fitted is None:
+            schema = "user_id string, user_t_id string, t_id string, comment_pos int, comment_key string, score double, rank int"
+            return comments.sparkSession.createDataFrame([], schema)
+        words = materialize(review_words(asked, fitted, fit_on is None), "review-words")
+        rounds, n_reviews, enough = review_rounds(words, broadcast_rows)
+    return most_similar(fitted, words, rounds, n_reviews, max_terms, skip_top + 1, skip_top + hits)
 
 
 def recommend_batch(

@@ -60,6 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """For heavy work per row, such as splitting text: a scan with fewer tasks than
+    the cluster has cores has its rows dealt out evenly; any larger scan is
+    left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 _written: list[str] = []
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from leafline.functions.dates import COMPACT, DASHED, lookback_days
+from leafline import session
 from leafline.schemas import CORRUPT, with_corrupt
 
 BACK = 5
@@ -63,12 +64,9 @@ def scan_offset(
 
 
 def read_table(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
-    """A stored table. `spread` is for heavy work per row, such as splitting text:
-    a scan with fewer tasks than the cluster has cores (few, large row groups)
-    has its rows dealt out evenly; any larger scan is left as it is."""
+    """A stored table; see `session.spread` for `spread`."""
     df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
+    return session.spread(df) if spread else df
 
 
 def lookback(df: DataFrame, anchor: date, back: int = BACK, on: str = "snapshot_date") -> DataFrame:

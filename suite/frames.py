@@ -102,6 +102,32 @@ def hits_ctes(review_source: str, comment_source: str | None = None) -> str:
   hits AS (SELECT * FROM numbered WHERE rank BETWEEN 2 AND 21)"""
 
 
+def own_models_ctes(source: str, review_source: str, max_terms: int = 2000) -> str:
+    """CTEs down to scores and ranked hits, as `hits_ctes`, with a model for each
+    reviewed title, fitted on the comments of all others."""
+    return f"""docs AS ({source}), reviews AS ({review_source}),
+  bag AS ({bag_sql('SELECT * FROM docs')}),
+  base AS (SELECT term, sum(n)::BIGINT AS tf, count(*) AS df FROM bag GROUP BY term),
+  titles AS (SELECT t_id AS own, (SELECT count(*) FROM docs) - (SELECT count(*) FROM docs d WHERE d.t_id = r.t_id) AS n_docs
+    FROM (SELECT DISTINCT t_id FROM reviews) r),
+  owned AS (SELECT t_id AS own, term, sum(n)::BIGINT AS tf, count(*) AS df FROM bag WHERE t_id IN (SELECT own FROM titles) GROUP BY ALL),
+  mine AS (SELECT own, n_docs, term, base.tf - coalesce(owned.tf, 0) AS tf, base.df - coalesce(owned.df, 0) AS df
+    FROM titles CROSS JOIN base LEFT JOIN owned USING (own, term)),
+  vocab AS (SELECT own, term, ln((1 + n_docs)::DOUBLE / (1 + df)) + 1 AS idf FROM mine WHERE df > 0
+    QUALIFY row_number() OVER (PARTITION BY own ORDER BY tf DESC, term) <= {max_terms}),
+  raw AS (SELECT own, t_id, comment_pos, term, n * idf AS w FROM bag JOIN vocab USING (term) WHERE t_id <> own),
+  vectors AS (SELECT own, t_id, comment_pos, term, w / sqrt(sum(w * w) OVER (PARTITION BY own, t_id, comment_pos)) AS w FROM raw),
+  rbag AS (SELECT user_id, own, term, count(*) AS n FROM (
+    SELECT user_id, t_id AS own, unnest(regexp_extract_all(lower(review), '[A-Za-z0-9가-힣]{{2,}}')) AS term FROM reviews)
+    GROUP BY ALL),
+  rraw AS (SELECT user_id, own, term, n * idf AS w FROM rbag JOIN vocab USING (own, term)),
+  rvec AS (SELECT user_id, own, term, w / sqrt(sum(w * w) OVER (PARTITION BY user_id, own)) AS w FROM rraw),
+  scores AS (SELECT r.user_id, r.own, v.t_id, v.comment_pos, round(sum(v.w * r.w), 9) AS score
+    FROM vectors v JOIN rvec r ON v.own = r.own AND v.term = r.term GROUP BY ALL HAVING sum(v.w * r.w) > 0),
+  numbered AS (SELECT *, row_number() OVER (PARTITION BY user_id, own ORDER BY score DESC, t_id, comment_pos) AS rank FROM scores),
+  hits AS (SELECT * FROM numbered WHERE rank BETWEEN 2 AND 21)"""
+
+
 def one_review_sql() -> str:
     """The text of conversation 0, turn 1, as the review of title N0."""
     return """SELECT 'N0' AS user_id, 'N0' AS t_id, ['red', 'small'] AS favs, text AS review

@@ -13,6 +13,7 @@ from suite.frames import (
     hits_ctes,
     one_review,
     one_review_sql,
+    own_models_ctes,
     part_info,
     vectors_ctes,
     vocabulary_ctes,
@@ -21,7 +22,8 @@ from suite.registry import case, table
 
 OTHERS_SQL = f"SELECT * FROM ({COMMENTS_SQL}) WHERE t_id <> 'N0'"
 ONE = f"WITH {vocabulary_ctes(OTHERS_SQL)}, {vectors_ctes()}, {hits_ctes(one_review_sql())}"
-MANY = f"WITH {vocabulary_ctes(COMMENTS_SQL)}, {vectors_ctes()}, {hits_ctes(REVIEWS_SQL)}"
+MANY = f"WITH {own_models_ctes(COMMENTS_SQL, REVIEWS_SQL)}"
+SHARED = f"WITH {vocabulary_ctes(COMMENTS_SQL)}, {vectors_ctes()}, {hits_ctes(REVIEWS_SQL)}"
 TOP = f"""best AS (SELECT user_id, own, t_id, max(score) AS score FROM hits GROUP BY ALL),
   boosted AS (SELECT b.user_id, b.own, b.t_id,
       round(CASE WHEN len(list_intersect(i.genre, r.favs)) > 0 THEN b.score * 1.3 ELSE b.score END, 9) AS score
@@ -63,6 +65,16 @@ def ranked_hits(spark, sf):
     )
 
 
+@case(f"{SHARED} SELECT user_id, own AS user_t_id, t_id, comment_pos, round(score, 6) AS score, rank FROM hits")
+def ranked_hits_shared_model(spark, sf):
+    """One model of all comments for all reviews."""
+    comments = conversation_comments(spark, sf)
+    hits = P.similar_comments_batch(comments, benchmark_reviews(spark, sf), fit_on=comments)
+    return hits.select(
+        "user_id", "user_t_id", "t_id", "comment_pos", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank")
+    )
+
+
 @case(f"""WITH {vocabulary_ctes(COMMENTS_SQL)}, rbag AS (SELECT user_id, user_t_id, term, count(*) AS n FROM (
     SELECT user_id, t_id AS user_t_id, unnest(regexp_extract_all(lower(review), '[A-Za-z0-9가-힣]{{2,}}')) AS term FROM ({REVIEWS_SQL}))
     GROUP BY ALL), rraw AS (SELECT user_id, user_t_id, term, n * idf AS w FROM rbag JOIN vocab USING (term))

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from leafline.operators import ranking as R
 from leafline.operators import records as Rec
+from leafline.operators import threshold
 from leafline.plans import recommend as P
 
 
-def words(text):
+def words_of(text):
     return [w for w in re.sub("[^A-Za-z0-9가-힣]", " ", text.lower()).split() if len(w) > 1]
 
 
@@ -21,13 +22,13 @@ def brute_hits(comments, review, exclude, max_terms=2000, first=1, last=20, fit_
     corpus = [c for c in comments if c[0] is not None] if fit_all else kept
     tf, df = collections.Counter(), collections.Counter()
     for _, _, text in corpus:
-        tf.update(words(text))
-        df.update(set(words(text)))
+        tf.update(words_of(text))
+        df.update(set(words_of(text)))
     vocab = sorted(tf, key=lambda w: (-tf[w], w))[:max_terms]
     idf = {w: math.log((1 + len(corpus)) / (1 + df[w])) + 1 for w in vocab}
 
     def vector(text):
-        raw = {w: n * idf[w] for w, n in collections.Counter(words(text)).items() if w in idf}
+        raw = {w: n * idf[w] for w, n in collections.Counter(words_of(text)).items() if w in idf}
         norm = math.sqrt(sum(v * v for v in raw.values())) or 1.0
         return {w: v / norm for w, v in raw.items()}
 
@@ -135,21 +136,72 @@ def test_batch_of_one_is_the_single_form(spark):
     comments = frame(spark, rows)
     single = P.recommend_titles(titles, comments, "N2", ["x"], "aa bb ee")
     reviews = spark.createDataFrame([("u1", "N2", ["x"], "aa bb ee")], REVIEWS)
-    batch = P.recommend_batch(titles, comments, reviews, fit_on=comments.where(F.col("t_id") != "N2"))
     key = lambda df: sorted((r.rank, r.t_id, round(r.score, 6)) for r in df.collect())
-    assert key(single) == key(batch) != []
+    assert key(single) == key(P.recommend_batch(titles, comments, reviews)) != []
+    assert key(single) == key(P.recommend_batch(titles, comments, reviews, fit_on=comments.where(F.col("t_id") != "N2")))
 
 
-@pytest.mark.parametrize("broadcast_rows", [500_000, 12, 2])
-def test_batch_equals_brute_force_in_any_number_of_rounds(spark, broadcast_rows):
-    rows = corpus(4) + [(None, 0, "aa")]
+def asked(spark):
     rnd = random.Random(9)
     revs = [(f"u{i}", None if i == 0 else f"N{i % 8}", None, " ".join(rnd.choices(LETTERS, k=5))) for i in range(9)]
+    return [*revs, ("u9", "N77", None, "aa dd"), ("u9", "N1", None, "none known"), ("u9", "N2", None, None), ("u9", "N3", None, "")]
+
+
+@pytest.mark.parametrize("broadcast_rows", [500_000, 12, 2])
+@pytest.mark.parametrize("shared", [True, False])
+def test_batch_equals_brute_force_in_any_number_of_rounds(spark, broadcast_rows, shared):
+    rows, revs = corpus(4) + [(None, 0, "aa")], asked(spark)
+    comments = frame(spark, rows)
     got = P.similar_comments_batch(
-        frame(spark, rows), spark.createDataFrame(revs, REVIEWS), broadcast_rows=broadcast_rows
-    )
+        comments, spark.createDataFrame(revs, REVIEWS), fit_on=comments.where("t_id is not null") if shared else None,
+        broadcast_rows=broadcast_rows
+    ).collect()
     for user, own, _, text in revs:
-        near(plain(got.where(F.col("user_id") == user)), brute_hits(rows, text, own, fit_all=True))
+        mine = sorted((r for r in got if (r.user_id, r.user_t_id) == (user, own)), key=lambda r: r["rank"])
+        near([(r.t_id, r.comment_pos, r.score) for r in mine], brute_hits(rows, text or "", own, fit_all=shared))
+
+
+@pytest.mark.parametrize("max_terms", [1, 3, 5])
+def test_left_out_titles_change_the_vocabulary(spark, max_terms):
+    """Title N0 alone says most words, so other words come in when it is left out,
+    from beyond twice the number of terms."""
+    rows = corpus(8) + [("N0", 10 + i, " ".join(LETTERS + [f"z{i}", "zz yy xx ww vv"] * 3)) for i in range(30)]
+    rows += [("N5", 9, "z1 z1 zz qq"), ("N6", 9, "qq aa bb")]
+    revs = [("u", "N0", None, "qq aa zz 다라"), ("u", "N5", None, "zz qq aa"), ("v", None, None, "zz yy cc"), ("v", "N6", None, "zz z1")]
+    got = P.similar_comments_batch(frame(spark, rows), spark.createDataFrame(revs, REVIEWS), max_terms=max_terms).collect()
+    assert got
+    for user, own, _, text in revs:
+        mine = sorted((r for r in got if (r.user_id, r.user_t_id) == (user, own)), key=lambda r: r["rank"])
+        near([(r.t_id, r.comment_pos, r.score) for r in mine], brute_hits(rows, text, own, max_terms))
+
+
+def test_few_pairs_are_scored(spark, monkeypatch):
+    """Of comments that nearly all share a word with each review."""
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    share = [1 / (i + 1) for i in range(400)]
+    rows = [(f"N{i % 40}", i // 40, " ".join(rnd.choices(words, share, k=rnd.randint(3, 14)))) for i in range(2000)]
+    revs = [(f"u{i}", f"N{i}", None, " ".join(rnd.choices(words, share, k=8))) for i in range(30)]
+    summed, pairs = [], []
+    exact, reach = threshold.exact_scores, threshold.within_reach
+    monkeypatch.setattr(threshold, "exact_scores", lambda p, dot: exact(pairs.append(p) or p, dot))
+    monkeypatch.setattr(threshold, "within_reach", lambda *a: summed.append(reach(*a)) or summed[-1])
+    got = P.similar_comments_batch(frame(spark, rows), spark.createDataFrame(revs, REVIEWS)).collect()
+    scored = [p.count() for p in pairs]
+    alike = sum(bool(set(words_of(c)) & set(words_of(r))) for _, _, c in rows for *_, r in revs)
+    assert len(scored) == 2 and 0 < sum(scored) < 0.1 * len(rows) * len(revs) < alike / 5, (scored, alike)
+    assert summed[0].count() < 0.5 * alike
+    for user, own, _, text in revs:
+        mine = sorted((r for r in got if r.user_id == user), key=lambda r: r["rank"])
+        near([(r.t_id, r.comment_pos, r.score) for r in mine], brute_hits(rows, text, own))
+
+
+def test_no_comments_or_reviews(spark):
+    reviews = spark.createDataFrame([("u", "N1", None, "aa bb")], REVIEWS)
+    none = P.similar_comments_batch(frame(spark, []), reviews)
+    assert none.count() == 0 and "comment_key" in none.columns
+    assert P.similar_comments_batch(frame(spark, corpus(1)), reviews.limit(0)).count() == 0
+    assert P.similar_comments_batch(frame(spark, [("N1", 0, "aa bb")]), reviews).count() == 0
 
 
 def test_favourites(spark):
