@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafline.operators import vectors as V
-from leafline.session import broadcast_if_small
+from leafline.session import broadcast_if_small, materialize
 
 # The bounds on the share of a title's comments a word may be in.
 NO_BELOW = 1
@@ -28,10 +28,10 @@ def title_documents(comments: DataFrame, tokens: str | None = None) -> DataFrame
 
 def _term_df(docs: DataFrame, no_below: int, no_above: float) -> DataFrame:
     """Words and comments of a title are counted in one aggregation, the comments
-    as the empty word. A title's number of comments then goes to its words
+    as the empty word, and stored once. A title's number of comments then goes to its words
     without a shuffle, so that a large title is no crowded key."""
     rows = docs.select("t_id", F.explode(V.marked(F.col("bag"))["term"]).alias("term"))
-    df = rows.groupBy("t_id", "term").agg(F.count(F.lit(1)).alias("df"))
+    df = materialize(rows.groupBy("t_id", "term").agg(F.count(F.lit(1)).alias("df")), "title-term-df")
     n_docs = df.where(F.col("term") == V.SELF).select("t_id", F.col("df").alias("n_docs"))
     kept = (F.col("df") >= no_below) & (F.col("df") <= F.floor(F.lit(no_above) * F.col("n_docs")))
     words = df.where(F.col("term") != V.SELF).join(broadcast_if_small(n_docs), "t_id")

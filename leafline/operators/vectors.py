@@ -110,30 +110,29 @@ def restrict_to_vocabulary(words: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 def tfidf(bags: DataFrame, vocab: DataFrame, keys: Sequence[str] = COMMENT_KEYS) -> DataFrame:
-    """(keys, term, weight) with the weights of a comment at unit length.
-
-    The keys must identify a comment. Bags travel whole, one row per comment, to
-    the one shuffle; the words are unpacked, cut to the vocabulary, weighted and
-    summed where the comment then is."""
-    words = bag_of_words(bags.select(*keys, "bag").repartition(*keys), keys)
-    raw = words.join(F.broadcast(vocab.select("term", "idf")), "term").select(
-        *keys, "term", (F.col("n") * F.col("idf")).alias("raw")
-    )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*keys)))
-    return raw.select(*keys, "term", (F.col("raw") / norm).alias("weight"))
-
-
-def tfidf_with_copies(bags: DataFrame, vocab: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """`tfidf` for rows whose keys may repeat: (keys, copies, term, weight).
-
-    Rows alike in all keys become one with their number, in the map tasks
-    already, so that any number of copies is one row to shuffle."""
-    once = bags.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), F.first("words").alias("words"))
-    with_copies = (*keys, "copies")
-    words = bag_of_words(once.select(*with_copies, word_counts(F.col("words")).alias("bag")), with_copies)
-    raw = words.join(F.broadcast(vocab.select("term", "idf")), "term").withColumn("raw", F.col("n") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*keys)))
-    return raw.select(*with_copies, "term", (F.col("raw") / norm).alias("weight"))
+    """(keys, term, weight) with the weights of each row's `words` at unit length.
+
+    The words of the vocabulary, a bounded number, are read here. Each row's words then
+    become a vector over them, are weighted and brought to unit length in the
+    row, so no bag is shuffled, and rows need no key of their own."""
+    table = vocab.select("term", "idf").collect()
+    if not table:
+        return bags.limit(0).select(*keys, F.lit("").alias("term"), F.lit(0.0).alias("weight"))
+    terms = bags.sparkSession.createDataFrame([(i, r["term"]) for i, r in enumerate(table)], "id int, term string")
+    rows = unit_vectors(bags.select(*keys, "words"), table)
+    parts = F.unwrap_udt("unit")
+    pairs = F.zip_with(parts["indices"], parts["values"], lambda i, w: F.struct(i.alias("id"), w.alias("weight")))
+    weighted = rows.select(*keys, F.inline_outer(pairs)).where(F.col("id").isNotNull())
+    return weighted.join(F.broadcast(terms), "id").select(*keys, "term", "weight")
+
+
+def unit_vectors(rows: DataFrame, table: Sequence) -> DataFrame:
+    """`rows` with `unit`, the vector of its `words` over the (term, idf) rows of
+    `table` at unit length."""
+    counter = CountVectorizerModel.from_vocabulary([r["term"] for r in table], "words", "counts")
+    weighted = ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in table]), inputCol="counts", outputCol="weighted")
+    unit = Normalizer(p=2.0, inputCol="weighted", outputCol="unit")
+    return unit.transform(weighted.transform(counter.transform(rows)))
 
 
 def score_one(
@@ -153,12 +152,9 @@ def score_one(
     own = sorted(raw)
     if not own:
         return with_key(bags.limit(0)).select(*keys, "comment_key", F.lit(0.0).alias("score"))
-    counter = CountVectorizerModel.from_vocabulary([r["term"] for r in table], "words", "counts")
-    weighted = ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in table]), inputCol="counts", outputCol="weighted")
-    unit = Normalizer(p=2.0, inputCol="weighted", outputCol="unit")
     slicer = VectorSlicer(inputCol="unit", outputCol="own", indices=[place[w] for w in own])
     shared = bags.where(F.arrays_overlap("words", F.array(*map(F.lit, own))))
-    rows = slicer.transform(unit.transform(weighted.transform(counter.transform(with_key(shared).select(*keys, "comment_key", "words")))))
+    rows = slicer.transform(unit_vectors(with_key(shared).select(*keys, "comment_key", "words"), table))
     q = F.array(*[F.lit(raw[w] / norm) for w in own])
     dot = F.aggregate(F.zip_with(vector_to_array("own"), q, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
     scored = rows.select(*keys, "comment_key", F.round(dot, RANK_DIGITS).alias("score"))

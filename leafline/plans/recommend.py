@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafline.functions.text import tokenize, word_counts, words_of
+from leafline.functions.text import tokenize, words_of
 from leafline.operators import vectors as V
 from leafline.operators.ranking import favourites, genre_boost, max_score_per_title, ranked
 from leafline.operators.threshold import most_similar, review_rounds, review_words
@@ -27,8 +27,8 @@ def review_tfidf(comments: DataFrame, reviews: DataFrame, max_terms: int = V.MAX
 
 
 def _review_vectors(reviews: DataFrame, vocab: DataFrame) -> DataFrame:
-    bags = reviews.withColumnRenamed("t_id", "user_t_id").select(*REVIEW_KEYS, word_counts(tokenize(F.col("review"), lower=True)).alias("bag"))
-    return V.tfidf(bags, vocab, keys=REVIEW_KEYS)
+    words = F.coalesce(tokenize(F.col("review"), lower=True), F.array().cast("array<string>"))
+    return V.tfidf(reviews.select("user_id", F.col("t_id").alias("user_t_id"), words.alias("words")), vocab, keys=REVIEW_KEYS)
 
 
 def corpus_stats(comments: DataFrame, tokens: str | None = None) -> DataFrame:
