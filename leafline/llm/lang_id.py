@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafline.llm.text import chunks, segment_sums
+from leafline.llm.text import Shared, chunks, segment_sums
 from leafline.session import materialize
 
 UNDETERMINED = "und"
@@ -137,7 +137,7 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     language; ties go to the first language by code point. Whole texts are
     scored in chunks of bounded size, one long text at a time. Null or repeated
     ids are rows like others; other columns are not looked at."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # languages times 2^BITS numbers
+    shared = Shared(docs.sparkSession, model)  # languages times 2^BITS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text", SCORE_BYTES):
@@ -151,7 +151,7 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
 
 def keep_determined(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of `docs`, unchanged, whose language `identify` determines."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, text, SCORE_BYTES):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafline.llm import gru
-from leafline.llm.text import chunks, segment_sums, words
+from leafline.llm.text import Shared, chunks, segment_sums, words
 from leafline.session import materialize
 
 #: words with an id of their own in the network, and classes of all other words
@@ -199,7 +199,7 @@ def score_documents(docs: DataFrame, model: Model, counts: DataFrame, doc_id: st
     rows like others; other columns are not looked at."""
     kind = docs.schema[doc_id].dataType.simpleString()
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # COUNTED words and a network
+    shared = Shared(docs.sparkSession, model)  # COUNTED words and a network
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, rows = shared.value, 0

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from leafline.llm.text import bare_words, chunks
+from leafline.llm.text import Shared, bare_words, chunks
 
 K1, B = 1.2, 0.75
 #: share of an item's score against itself from which a passage is retrieved
@@ -202,7 +202,7 @@ def decontaminate(
         index = build_index([tuple(r) for r in share.collect()])
         if index is None:
             continue
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+        shared = Shared(docs.sparkSession, index)
         names = [*wanted, "leaks"] if k == passes - 1 else out.columns
         schema = StructType([out.schema[n] for n in names])
         out = out.mapInArrow(_matcher(shared, text, threshold, overlap, schema), schema)

@@ -6,11 +6,13 @@ A to Z change under lower case here, so the byte length of a text never does.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,21 @@ def uniform(*cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))
 
 
+class Shared:
+    """A value that is broadcast to all executors by content, its classes too, so
+    that they need not be able to import them; `value` loads it once per task."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+        self.loaded: list = []
+
+    @property
+    def value(self):
+        if not self.loaded:
+            self.loaded.append(pickle.loads(self.packed.value))
+        return self.loaded[0]
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into slices of about `limit` bytes of text, at one row least."""
     # the system's allocator gives memory back between chunks, Arrow's own keeps it

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafline.llm.text import bare_words, chunks, segment_sums
+from leafline.llm.text import Shared, bare_words, chunks, segment_sums
 from leafline.session import materialize
 
 #: labelled documents that the model is fitted on, at most (chosen by a hash of the id)
@@ -172,7 +172,7 @@ def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text:
     scanned, in chunks of bounded size; a text's cost is linear in its length.
     Repeated rows and null ids are rows like others; other columns are not
     looked at."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # MODEL_WORDS words
+    shared = Shared(docs.sparkSession, model)  # MODEL_WORDS words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

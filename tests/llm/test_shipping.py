@@ -1,20 +1,36 @@
+import os
 import subprocess
 import sys
 
-from pyspark import cloudpickle
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+CODE = """
+import sys, tempfile
+sys.path.insert(0, {root!r})  # the driver's path; its workers do not get it
+from leafline.session import build_session
+spark = build_session("elsewhere", "local[4]", {{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "4",
+    "spark.checkpoint.dir": tempfile.mkdtemp(dir=".")}})
+spark.sparkContext.setLogLevel("OFF")
 
-from leafline.llm import leaks, near_dup
+def seen(_):
+    import importlib.util
+    yield importlib.util.find_spec("leafline") is not None
 
+assert spark.sparkContext.parallelize([0], 1).mapPartitions(seen).collect() == [False]
+from leafline.llm import language_model, queries
+language_model.LEARNERS = 2
+for name in {names!r}:
+    print(name, queries.QUERIES[name](spark, "/root/testdata/sf0.001").count())
+"""
+NAMES = [
+    "op1_toxicity", "op2_language_model", "op5_near_duplicates", "op6_benchmark_leaks", "op8_language_id", "op10_sharding",
+    "op11_periodic_runs", "op12_embedding_whitening", "op13_web_archives",
+]
 
-def test_tasks_do_not_need_the_package(tmp_path):
-    """Executors hold numpy and pyarrow only: unpickle and run from elsewhere."""
-    index = leaks.build_index([(1, "one two three four five"), (2, "six seven eight nine ten")])
-    (tmp_path / "fn.bin").write_bytes(cloudpickle.dumps((near_dup._sets, leaks.find, index)))
-    code = (
-        "import pickle, pyarrow as pa\n"
-        "sets, find, index = pickle.load(open('fn.bin', 'rb'))\n"
-        "b = pa.RecordBatch.from_arrays([pa.array(['a b c d e f', 'one two three four five'])], ['text'])\n"
-        "print(sum(x.num_rows for x in sets(iter([b]))), [sorted(x) for x in find(index, b.column('text'))])\n"
-    )
-    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
-    assert out.stdout.strip() == f"2 [[], [{index.items.index(1)}]]", out.stderr
+
+def test_executors_do_not_need_the_package(tmp_path):
+    """A session started elsewhere, whose workers hold numpy and pyarrow only."""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    code = CODE.format(root=ROOT, names=NAMES)
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    got = dict(line.split() for line in out.stdout.splitlines() if line.startswith("op"))
+    assert got == {n: {"op12_embedding_whitening": "4000", "op13_web_archives": "50"}.get(n, "200") for n in NAMES}, out.stderr[-3000:]
