@@ -71,17 +71,25 @@ def step(p: dict, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     return fresh + keep * (h - fresh), h, keep, reset, fresh, past[:, 2 * width :]
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _log_share(x: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log-softmax of each row at its target; `x` is used up."""
+    top = x.max(axis=1, keepdims=True)
+    x -= top
+    hit = x[np.arange(len(x)), target]
+    np.exp(x, out=x)
+    return hit - np.log(x.sum(axis=1))
 
 
 def log_prob(p: dict, shape: Shape, h: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log-probability of each target id after each state."""
     kind, place = shape.split(target)
-    out = _log_softmax(h @ p["out"] + p["out_bias"])[np.arange(len(h)), kind]
+    x = h @ p["out"]
+    x += p["out_bias"]
+    out = _log_share(x, kind)
     for c, rows in _by_block(kind, place):
-        out[rows] += _log_softmax(h[rows] @ p["word"][c] + p["word_bias"][c])[np.arange(len(rows)), place[rows]]
+        x = h[rows] @ p["word"][c]
+        x += p["word_bias"][c]
+        out[rows] += _log_share(x, place[rows])
     return out
 
 
@@ -241,29 +249,46 @@ def train(p: dict, shape: Shape, stream: np.ndarray, lanes: int, window: int, ra
     return {k: v.copy() for k, v in p.items()}
 
 
-def score_texts(p: dict, shape: Shape, ids: np.ndarray, offsets: np.ndarray, window: int, held: int = 1 << 16) -> np.ndarray:
+def score_texts(p: dict, shape: Shape, ids: np.ndarray, offsets: np.ndarray, window: int, held: int = 1 << 14) -> np.ndarray:
     """Log-probability of each whole text and its end. Texts run side by side,
     longest first; a text's state goes on from window to window to its end."""
     lengths = np.diff(offsets) + 1
     order = np.argsort(-lengths, kind="stable")
-    total, h = np.zeros(len(lengths)), np.zeros((len(lengths), shape.hidden), np.float32)
-    starts, padded = offsets[:-1][order], np.append(ids, 0)
+    width, half = shape.hidden, np.float32(0.5)
+    total, h = np.zeros(len(lengths)), np.zeros((len(lengths), width), np.float32)
+    starts, padded, given = offsets[:-1][order], np.append(ids, 0), p["in"] + p["bias"]
     states, targets, owners = [], [], []
 
     def settle() -> None:
         if states:
             got = log_prob(p, shape, np.concatenate(states), np.concatenate(targets))
-            np.add.at(total, np.concatenate(owners), got.astype(np.float64))
+            total[:] += np.bincount(np.concatenate(owners), got, minlength=len(total))
             for x in (states, targets, owners):
                 x.clear()
 
     sorted_lengths = lengths[order]
+    longest = int(sorted_lengths[0]) if len(order) else 0
+    running = np.searchsorted(-sorted_lengths, -np.arange(longest), side="left")  # texts longer than t
     waiting = 0
-    for t0 in range(0, int(sorted_lengths[0]) if len(order) else 0, window):
-        for t in range(t0, min(t0 + window, int(sorted_lengths[0]))):
-            n = int(np.searchsorted(-sorted_lengths, -t, side="left"))  # texts longer than t
-            x = padded[starts[:n] + t - 1] if t else np.zeros(n, np.int64)
-            h[:n] = now = step(p, x, h[:n])[0]
+    for t0 in range(0, longest, window):
+        for t in range(t0, min(t0 + window, longest)):
+            n = int(running[t])
+            # one token of each text, as `step`; only the first comes after an end
+            g = given[padded[starts[:n] + t - 1] if t else np.zeros(n, np.int64)]
+            past = h[:n] @ p["rec"]
+            gates = g[:, : 2 * width]
+            gates += past[:, : 2 * width]
+            gates *= half
+            np.tanh(gates, out=gates)
+            gates *= half
+            gates += half
+            new = gates[:, width:] * past[:, 2 * width :]
+            new += g[:, 2 * width :]
+            np.tanh(new, out=new)
+            now = h[:n] - new
+            now *= gates[:, :width]
+            now += new
+            h[:n] = now
             states.append(now)
             targets.append(np.where(sorted_lengths[:n] == t + 1, 0, padded[np.minimum(starts[:n] + t, len(ids))]))
             owners.append(order[:n])

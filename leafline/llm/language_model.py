@@ -18,15 +18,15 @@ from leafline.llm.text import Shared, chunks, segment_sums, words
 from leafline.session import materialize
 
 #: words with an id of their own in the network, and classes of all other words
-SHAPE = gru.Shape(head=2048, tail=64, hidden=32)
+SHAPE = gru.Shape(head=2048, tail=64, hidden=24)
 #: so many of the most frequent words, at most, travel with the model; counts of
 #: others are joined
 COUNTED = 200_000
-#: the network's weights are fitted on all training documents in each round, by
-#: learners side by side with about so many tokens each, so many learners at
+#: the network's weights are fitted on all training documents, a part of them in
+#: each round, by learners side by side with about so many tokens each, so many learners at
 #: least; their weights are averaged after each round, FAN_IN networks at a time
 LEARNER_TOKENS, LEARNERS, ROUNDS, FAN_IN = 2_000_000, 6, 3, 16
-LANES, WINDOW, RATE = 32, 32, 0.01
+LANES, WINDOW, RATE = 128, 32, 0.03
 #: bytes of text that are scored side by side
 SCORE_BYTES = 12 << 20
 
@@ -73,17 +73,19 @@ def _ids(flat: pa.Array, vocabulary: pa.Array, shape: gru.Shape) -> tuple[np.nda
 
 
 def _most_frequent(counts: DataFrame) -> tuple[pa.Array, np.ndarray]:
-    """Words from some count on, COUNTED of them at most, with their counts, the
-    most frequent first. The count is read off a histogram, so that no task
-    sorts or sends more words than these."""
-    steps = F.floor(F.log2("c") * 16).alias("step")
-    room, least = COUNTED, None
-    for r in counts.groupBy(steps).agg(F.count("*").alias("n"), F.min("c").alias("c")).orderBy(F.desc("step")).collect():
-        room -= r["n"]
-        if room < 0:
+    """The COUNTED most frequent words with their counts, the most frequent
+    first, then in word order. What can be among them is read off a histogram of
+    counts, so that no task sorts or sends many more words than these."""
+    step = F.floor(F.log2("c") * 16)
+    room, least, full = COUNTED, None, None
+    for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("n"), F.min("c").alias("c")).orderBy(F.desc("step")).collect():
+        if r["n"] > room:
+            full = r["step"]
             break
-        least = r["c"]
+        room, least = room - r["n"], r["c"]
     kept = counts.where(F.col("c") >= least) if least is not None else counts.limit(0)
+    if full is not None and room:
+        kept = kept.unionByName(counts.where(step == full).orderBy(F.desc("c"), "word").limit(room))
     table = kept.toArrow().sort_by([("c", "descending"), ("word", "ascending")])
     return table["word"].combine_chunks().cast(pa.large_string()), table["c"].to_numpy()
 
@@ -121,11 +123,17 @@ def _id_type(shape: gru.Shape) -> type:
 
 
 def _learner(shared, shape: gru.Shape, rate: float):
-    def learn(group: pa.Table) -> pa.Table:
-        parts = group.select(["h", "turn", "ids"]).sort_by([("h", "ascending"), ("turn", "ascending")]).column("ids")
-        stream = np.concatenate([[0], *(np.frombuffer(b, _id_type(shape)) for b in parts.to_pylist())])
-        p = gru.train(shared.value, shape, stream.astype(np.int64), LANES, WINDOW, rate)
-        return pa.table([group.column("learner")[:1], pa.array([len(stream)]), pa.array([pickle.dumps(p)], pa.binary())], names=["learner", "n", "net"])
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One network from all texts of a task, which are those of one learner."""
+        found = [b for b in batches if b.num_rows]
+        if found:
+            texts = pa.Table.from_batches(found).sort_by([("h", "ascending"), ("turn", "ascending")])
+            stream = np.concatenate([[0], *(np.frombuffer(b, _id_type(shape)) for b in texts.column("ids").to_pylist())])
+            p = gru.train(shared.value, shape, stream.astype(np.int64), LANES, WINDOW, rate)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found[0].column("learner")[:1], pa.int64()), pa.array([len(stream)]), pa.array([pickle.dumps(p)], pa.binary())],
+                ["learner", "n", "net"],
+            )
 
     return learn
 
@@ -142,8 +150,8 @@ def _average(group: pa.Table) -> pa.Table:
 
 
 def _encoded(slim: DataFrame, model: Model, learners: int) -> DataFrame:
-    """(learner, h, turn, ids): the ids of every text and its end, and the learner
-    it is dealt to by a hash of id and text. `turn` tells equal rows of a batch
+    """(learner, part, h, turn, ids): the ids of every text and its end, and the learner
+    and round it is dealt to by a hash of id and text. `turn` tells equal rows of a batch
     apart, so that many of them do not crowd one learner."""
     shared = slim.sparkSession.sparkContext.broadcast(model.words[: model.shape.head])
     shape = model.shape
@@ -162,12 +170,13 @@ def _encoded(slim: DataFrame, model: Model, learners: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("h"), pa.array(turn), pa.array(ids, pa.binary())], ["h", "turn", "ids"])
 
     found = slim.select("text", F.xxhash64("doc_id", "text").alias("h")).mapInArrow(run, "h long, turn long, ids binary")
-    return found.withColumn("learner", F.pmod(F.xxhash64("h", "turn"), F.lit(learners)))
+    dealt = F.xxhash64("h", "turn")
+    return found.withColumns({"learner": F.pmod(dealt, F.lit(learners)), "part": F.pmod(F.shiftright(dealt, 32), F.lit(ROUNDS))})
 
 
 def _train(slim: DataFrame, model: Model) -> dict:
-    """In each round every learner goes over all of its texts, from the average
-    of all learners of the round before."""
+    """In each round every learner, a task of its own, goes over its texts of that
+    round, from the average of all learners of the round before; in all rounds together over each text once."""
     learners = max(LEARNERS, -(-model.tokens // LEARNER_TOKENS))
     dealt = materialize(_encoded(slim, model, learners), "lm-ids")
     shape, net = model.shape, model.net
@@ -175,7 +184,8 @@ def _train(slim: DataFrame, model: Model) -> dict:
     schema = "learner long, n long, net binary"
     for turn in range(ROUNDS):
         learn = _learner(sc.broadcast(net), shape, RATE / (1 + turn))
-        nets = materialize(dealt.groupBy("learner").applyInArrow(learn, schema), "lm-nets")
+        mine = dealt.where(F.col("part") == turn).drop("part").repartitionById(learners, F.col("learner").cast("int"))
+        nets = materialize(mine.mapInArrow(learn, schema), "lm-nets")
         left = learners
         while left > 1:
             left = -(-left // FAN_IN)

@@ -53,7 +53,7 @@ def test_network_beats_frequencies_on_held_out_texts(spark, monkeypatch):
     assert all(abs(a[i] - b[i]) < 1e-3 for i in a)
 
 
-def test_every_text_takes_part_in_every_round(spark, monkeypatch):
+def test_every_text_takes_part_in_one_round(spark, monkeypatch):
     """4,000 texts, with 1,000 equal rows among them, by learners whose number
     grows with the tokens and whose networks are averaged in a tree."""
     seen = spark.sparkContext.accumulator(0)
@@ -68,12 +68,26 @@ def test_every_text_takes_part_in_every_round(spark, monkeypatch):
     rows = [(i, f"a{i} b{i % 7} c", "a", "s") for i in range(3_000)] + [(None, "same again", "a", "s")] * 1_000
     docs = frame(spark, rows).select("doc_id", "text")
     model, _ = LM.fit(docs, shape=SMALL)
-    sizes = [r["n"] + 1 for r in LM._encoded(docs, model, 15).groupBy("learner").agg(F.sum(F.length("ids") / 2).alias("n")).collect()]
-    assert model.tokens == 15_000 and len(sizes) == 15 and max(sizes) < 2_000
-    assert seen.value == 4_000 * LM.ROUNDS
-    mean = sum(n * n for n in sizes) / sum(sizes)  # of the learners' stream lengths, by length
+    dealt = LM._encoded(docs, model, 15).groupBy("part", "learner").agg(F.sum(F.length("ids") / 2).alias("n")).collect()
+    assert model.tokens == 15_000 and {r["part"] for r in dealt} == set(range(LM.ROUNDS)) and len(dealt) == 15 * LM.ROUNDS
+    assert max(r["n"] for r in dealt) < 2 * 15_000 / len(dealt)
+    assert seen.value == 4_000
+    moved = 0  # in each round by the mean of the learners' stream lengths, weighted by length
+    for part in range(LM.ROUNDS):
+        sizes = [r["n"] + 1 for r in dealt if r["part"] == part]
+        moved += sum(n * n for n in sizes) / sum(sizes)
     start = gru.start(SMALL, np.ones(1 + SMALL.head + SMALL.tail), 7)["bias"]
-    assert np.allclose(model.net["bias"] - start, LM.ROUNDS * mean, rtol=1e-4)
+    assert np.allclose(model.net["bias"] - start, moved, rtol=1e-4)
+
+
+@pytest.mark.parametrize("counted", [1, 50, 100, 130, 1000])
+def test_the_counted_words_are_the_most_frequent(spark, monkeypatch, counted):
+    """Also where more of them share a count than there is room for."""
+    monkeypatch.setattr(LM, "COUNTED", counted)
+    rows = [(f"w{i:03}", 5) for i in range(100)] + [(f"v{i:02}", 900 + i) for i in range(20)] + [("once", 1)]
+    words, counts = LM._most_frequent(spark.createDataFrame(rows, "word string, c long"))
+    want = sorted(rows, key=lambda r: (-r[1], r[0]))[:counted]
+    assert list(zip(words.to_pylist(), counts.tolist())) == want
 
 
 def test_probabilities_add_up(spark):
