@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
 from leafline.schemas import K_CSV_COMPLETED, K_CSV_WEEKDAY
+from leafline.session import broadcast_if_small, materialize
 
 # Names the crawled CSV uses for columns of the JSON shape.
 CSV_TO_JSON = {"serial": "id", "pic": "picUrl"}
@@ -59,10 +60,72 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "error"
     writer.csv(path)
 
 
+def _csv_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, block, at, value, odd, before) of every line, stored once: the split of the
+    file that it lies in, its place there, whether its quotes are odd in number,
+    and how many odd lines of the split come before it."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), "value",
+    )
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
+    earlier = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumn("odd", odd).withColumn("before", F.coalesce(F.sum("odd").over(earlier), F.lit(0)))
+    return materialize(lines, "csv-lines")
+
+
+def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(record, first) of every record of CSV files: its text, and whether it is
+    the first of its file. A record ends with the first line end at which its
+    quotes are even in number, so line ends inside quoted fields belong to it.
+
+    Files are read in splits, side by side. Whether a split begins inside quotes is
+    the parity of all splits before it, and which record its first lines belong to
+    is the last one begun there: prefix scans over a few numbers per split.
+    Only the lines of records with line ends are brought together, by record. Without an
+    end, quotes run to the end of their file."""
+    lines = _csv_lines(spark, path)
+    inside = F.col("before") % 2
+    splits = lines.groupBy("file", "block").agg(
+        F.sum("odd").alias("odd"), F.max(F.when(inside == 0, F.col("at"))).alias("even_at"), F.max(F.when(inside == 1, F.col("at"))).alias("odd_at"),
+        F.min("at").alias("first_at"), F.min_by(F.endswith("value", F.lit("\r")), "at").alias("crlf"),
+    )
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("file")
+    splits = splits.withColumn("base", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
+    begun = F.struct("block", F.when(F.col("base") == 0, F.col("even_at")).otherwise(F.col("odd_at")).alias("at"))
+    splits = splits.withColumn("carried", F.max(F.when(begun["at"].isNotNull(), begun)).over(earlier)).select(
+        "file", "block", "base", "carried", F.min("first_at").over(whole).alias("file_at"), F.min_by("crlf", "block").over(whole).alias("crlf")
+    )
+    lines = lines.join(broadcast_if_small(splits), ["file", "block"])
+    starts = (F.col("base") + F.col("before")) % 2 == 0
+    ends = (F.col("base") + F.col("before") + F.col("odd")) % 2 == 0
+    text = F.when(F.col("crlf"), F.regexp_replace("value", "\r$", "")).otherwise(F.col("value"))
+    lines = lines.select("file", "block", "at", "carried", "file_at", text.alias("value"), starts.alias("starts"), ends.alias("ends"))
+    single = lines.where("starts and ends").select(F.col("value").alias("record"), (F.col("at") == F.col("file_at")).alias("first"))
+    so_far = Window.partitionBy("file", "block").orderBy("at")
+    parts = lines.where("not (starts and ends)")
+    own = F.max(F.when(F.col("starts"), F.struct("block", "at"))).over(so_far)
+    parts = parts.withColumn("key", F.coalesce(own, "carried")).groupBy("file", "key", "file_at").agg(
+        F.sort_array(F.collect_list(F.struct("block", "at", "value"))).alias("lines")
+    )
+    joined = F.array_join(F.transform("lines", lambda x: x.value), "\n")
+    return single.unionByName(parts.select(joined.alias("record"), (F.col("key.at") == F.col("file_at")).alias("first")))
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType, header: bool = True) -> DataFrame:
-    """CSV whose quoted fields may hold line ends. Old files have no header."""
-    reader = spark.read.schema(schema).option("header", header).option("multiLine", True).option("escape", '"')
-    return reader.option("enforceSchema", not header).csv(path)
+    """CSV whose quoted fields may hold line ends, split over tasks like any text.
+    Old files have no header; a header that does not name the columns of
+    `schema` is an error."""
+    records = csv_records(spark, path)
+    if header:
+        names = F.transform(F.split(F.regexp_replace("record", "[\"\ufeff]", ""), ","), lambda n: F.trim(n))
+        wrong = names != F.array(*[F.lit(n) for n in schema.names])
+        told = F.raise_error(F.concat(F.lit("CSV header does not conform to the schema: "), "record")).cast("boolean")
+        records = records.where(F.when(F.col("first") & wrong, told).otherwise(~F.col("first")))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    parsed = F.from_csv("record", fields, {"escape": '"', "multiLine": "true"})
+    return records.where(F.trim("record") != "").select(parsed.alias("r")).select("r.*")
 
 
 def parse_list(text: Column) -> Column:

@@ -1,9 +1,12 @@
+import csv
 import json
+import random
 from datetime import date, timedelta
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from leafline import schemas as SC
 from leafline.functions.dates import COMPACT, DASHED
@@ -188,3 +191,36 @@ def test_broadcast_is_bounded_by_bytes(spark):
     assert not hinted(broadcast_if_small(wide, max_rows=9))
     lists = spark.range(10).select(F.array_repeat(F.repeat(F.lit("x"), 100), 10).alias("t"))
     assert not hinted(broadcast_if_small(lists, max_bytes=5000))
+
+
+@pytest.mark.parametrize("block", [9, 60, 1 << 20])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_in_any_splits_equals_the_whole_file_reader(spark, tmp_path, block, end):
+    rnd = random.Random(block)
+    texts = ["", "plain", "two\nlines", 'quo"ted', "a,b", '"', '""', "\n\n", "tail\n", '"\n"', "한글\n줄", "x" * 90]
+    for n in (0, 1, 40):
+        with open(tmp_path / f"{n}.csv", "w", newline="", encoding="utf-8") as f:
+            out = csv.writer(f, lineterminator=end)
+            out.writerow(["id", "a", "b"])
+            out.writerows([[f"{n}-{i}", rnd.choice(texts), rnd.choice(texts)] for i in range(n)])
+    schema = StructType([StructField(c, StringType()) for c in ("id", "a", "b")])
+    want = spark.read.schema(schema).options(header=True, multiLine=True, escape='"').csv(str(tmp_path)).collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = K.read_csv(spark, str(tmp_path), schema).collect()
+        blocks = K._csv_lines(spark, str(tmp_path)).select("file", "block").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    key = lambda rows: sorted(map(str, rows))
+    assert key(got) == key(want) and len(got) == 41 and (block > 100 or blocks > 6)
+
+
+def test_csv_header_and_open_quotes(spark, tmp_path):
+    schema = StructType([StructField(c, StringType()) for c in ("id", "a")])
+    (tmp_path / "x.csv").write_text('id,a\n1,"never\nends\n2,b\n')
+    assert [r.id for r in K.read_csv(spark, str(tmp_path), schema).collect()] == ["1"]
+    (tmp_path / "x.csv").write_text("a,id\n1,2\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        K.read_csv(spark, str(tmp_path), schema).collect()
