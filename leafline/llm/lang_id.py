@@ -21,9 +21,13 @@ ORDERS = (1, 2, 3)
 FIT_DOCS = 6_000
 #: added to each count
 SMOOTHING = 0.5
-#: evidence of a text of this many n-grams or more counts as of so many: the
-#: n-grams of a text depend on each other, so the plain posterior is too sure
+#: for the score, not the choice, evidence of a text of this many n-grams or more counts as of so
+#: many: the n-grams of a text depend on each other, so the plain posterior is too sure
 EVIDENCE = 200
+#: a text is in no known language if the mean log-probability of its n-grams under
+#: the best one is so far below that of a typical labelled text; a text of few n-grams,
+#: which says less, may be as much further below as SHORT is more than they are
+MARGIN, SHORT = 3.5, 20
 #: bytes of text that a task scores at a time; its n-grams take some hundred times that
 SCORE_BYTES = 1 << 20
 
@@ -81,15 +85,24 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def fit(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str = "text", max_docs: int = FIT_DOCS) -> Model:
-    """A model from rows with text and language, `max_docs` of them at most. Its
-    size is languages times 2^BITS counters. Without any such row it knows no
-    language and calls every text undetermined."""
+def labelled(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str = "text", max_docs: int = FIT_DOCS) -> DataFrame:
+    """(h, lang, text) of rows with text and language, `max_docs` of them at most,
+    chosen by a hash of the id; stored once."""
     known = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
     picked = known.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.xxhash64(doc_id).alias("h"))
     picked = picked.orderBy("h", "id", "lang").limit(max_docs).select("h").distinct()
     sample = known.select(F.xxhash64(doc_id).alias("h"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    sample = materialize(sample.join(F.broadcast(picked), "h"), "language-sample")  # max_docs numbers
+    return materialize(sample.join(F.broadcast(picked), "h"), "language-sample")  # max_docs numbers
+
+
+def fit(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str = "text", max_docs: int = FIT_DOCS) -> Model:
+    """A model from the `labelled` rows of `docs`."""
+    return fit_sample(labelled(docs, lang, doc_id, text, max_docs))
+
+
+def fit_sample(sample: DataFrame) -> Model:
+    """A model from `labelled` rows. Its size is languages times 2^BITS
+    counters. Without any row it knows no language and calls every text undetermined."""
     prior = {r["lang"]: r["n"] for r in sample.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(prior)
     counts = np.full((1 << BITS, len(langs)), SMOOTHING)
@@ -106,13 +119,22 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
-def scores(texts: list[str], model: Model, bits: int = BITS) -> np.ndarray:
-    """Posterior of each language for each text, from all its n-grams."""
+def likelihoods(texts: list[str], model: Model, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of all n-grams of each text in each language, and their number."""
     total, n = np.zeros((len(texts), len(model.langs))), np.zeros(len(texts))
     for g, offsets in grams(texts, bits):
         for k in range(len(model.langs)):
             total[:, k] += segment_sums(model.weights[:, k][g], offsets)
         n += np.diff(offsets)
+    return total, n
+
+
+def scores(texts: list[str], model: Model, bits: int = BITS) -> np.ndarray:
+    """Posterior of each language for each text, its evidence bounded by EVIDENCE."""
+    return _posterior(*likelihoods(texts, model, bits), model)
+
+
+def _posterior(total: np.ndarray, n: np.ndarray, model: Model) -> np.ndarray:
     total = total * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None] + model.prior
     total -= total.max(axis=1, keepdims=True)
     p = np.exp(total)
@@ -120,17 +142,49 @@ def scores(texts: list[str], model: Model, bits: int = BITS) -> np.ndarray:
 
 
 def predict(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:
-    """(language or undetermined, score) of each text."""
+    """(language or undetermined, score) of each text: the language that all its
+    n-grams and the prior make likeliest, and its posterior."""
     live = [i for i, t in enumerate(texts) if model.langs and has_letter(t)]
     pred, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
     if live:
-        p = scores([texts[i] for i in live], model)
-        for i, k in zip(live, p.argmax(axis=1)):
+        total, n = likelihoods([texts[i] for i in live], model)
+        best = (total + model.prior).argmax(axis=1)
+        for i, k in zip(live, best):
             pred[i] = model.langs[k]
-        score[live] = p.max(axis=1)
+        score[live] = _posterior(total, n, model)[np.arange(len(live)), best]
     return pred, score
 
 
+def in_language(texts: list[str | None], model: Model, level: float) -> list[bool]:
+    """Whether each text has a letter and is in a language of the model, by the
+    rule of MARGIN and SHORT around `level`."""
+    kept = [has_letter(t) for t in texts]
+    live = [i for i, k in enumerate(kept) if k and model.langs]
+    if live:
+        total, n = likelihoods([texts[i] for i in live], model)
+        n = np.maximum(n, 1)
+        for i, ok in zip(live, total.max(axis=1) / n >= level - MARGIN * (1 + SHORT / n)):
+            kept[i] = bool(ok)
+    return kept
+
+
+def typical_level(sample: DataFrame, model: Model) -> float:
+    """The median over `labelled` rows of a text's mean n-gram log-probability
+    under its best language; without a language nothing is below it."""
+    shared = Shared(sample.sparkSession, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches, "text", SCORE_BYTES):
+            total, n = likelihoods(b.column("text").to_pylist(), shared.value)
+            mean = total.max(axis=1, initial=-np.inf) / np.maximum(n, 1)
+            yield pa.RecordBatch.from_arrays([pa.array(mean[n > 0])], ["m"])
+
+    if not model.langs:
+        return -np.inf
+    found = sample.select("text").mapInArrow(run, "m double").agg(F.median("m").alias("m")).first()["m"]
+    return -np.inf if found is None else found
+
+
 def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) for every row. A text that is null or has no
     letter is undetermined, with score 0, as is every text if the model knows no
@@ -149,13 +203,14 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     return slim.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
-def keep_determined(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of `docs`, unchanged, whose language `identify` determines."""
+def keep_determined(docs: DataFrame, model: Model, level: float = -np.inf, text: str = "text") -> DataFrame:
+    """The rows of `docs`, unchanged, whose text is in a language of the model by
+    `in_language`. With the default level, or a model that knows no
+    language, only null and letterless texts go."""
     shared = Shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, text, SCORE_BYTES):
-            pred, _ = predict(b.column(text).to_pylist(), shared.value)
-            yield b.filter(pa.array([p != UNDETERMINED for p in pred]))
+            yield b.filter(pa.array(in_language(b.column(text).to_pylist(), shared.value, level), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -52,6 +52,49 @@ def test_languages(spark):
     assert {r.lang_pred for r in lang_id.identify(frame(spark, ODD), nothing).collect()} == {"und"}
 
 
+def test_texts_in_no_known_language_go(spark):
+    rnd = np.random.default_rng(1)
+    letters = "".join(rnd.choice(list("abcdefghijklmnopqrstuvwxyz   "), 400))
+    clean = [(100 + i, " ".join(s.split()[i % 5 :] + s.split()[: i % 5]), k, None) for i in range(400) for k, s in SPEECH.items()]
+    late = SPEECH["en"] * 3
+    odd = [(50, letters, None, None), (51, "этот текст на другом языке " * 9, None, None), (52, "12 34", None, None), (53, None, "en", None), (54, "", "fr", None)]
+    short = [(60, "hm", None, None), (61, "OK!", None, None), (62, late, None, None)]
+    rows = frame(spark, clean + odd + short)
+    sample = lang_id.labelled(rows)
+    model = lang_id.fit_sample(sample)
+    level = lang_id.typical_level(sample, model)
+    assert -12 < level < -2
+    kept = lang_id.keep_determined(rows, model, level)
+    assert kept.columns == rows.columns and ids(kept.collect()) == sorted([60, 61, 62] + [r[0] for r in clean])
+    nothing = lang_id.fit(empty(spark))
+    assert lang_id.typical_level(lang_id.labelled(empty(spark)), nothing) == -np.inf
+    assert ids(lang_id.keep_determined(frame(spark, odd + short), nothing).collect()) == [50, 51, 60, 61, 62]
+
+
+def test_prediction_is_that_of_naive_bayes(spark):
+    """Counted and multiplied independently, n-gram by n-gram, with the prior."""
+    rows = [(i, " ".join(s.split()[i % 7 :]), k, None) for i in range(6) for k, s in SPEECH.items()] + [(9, SPEECH["fr"], "fr", None)] * 3
+    model = lang_id.fit(frame(spark, rows))
+
+    def grams_of(text):
+        return [x for g, _ in lang_id.grams([text], lang_id.BITS) for x in g.tolist()]
+
+    counts = {k: Counter(x for _, t, lang, _ in rows if lang == k for x in grams_of(t)) for k in SPEECH}
+    prior = Counter(r[2] for r in rows)
+
+    def log_joint(text, k):
+        n = sum(counts[k].values()) + lang_id.SMOOTHING * 2**lang_id.BITS
+        return np.log(prior[k] / len(rows)) + sum(np.log((counts[k][x] + lang_id.SMOOTHING) / n) for x in grams_of(text))
+
+    texts = [s[i : i + j] for s in SPEECH.values() for i in range(0, 40, 7) for j in (3, 15, 60)] + [SPEECH["en"] * 20 + SPEECH["fr"] * 19]
+    pred, score = lang_id.predict(texts, model)
+    assert pred == [max(sorted(SPEECH), key=lambda k: log_joint(t, k)) for t in texts]
+    for t, s, k in zip(texts, score, pred):
+        if len(grams_of(t)) <= lang_id.EVIDENCE:
+            want = 1 / sum(np.exp(log_joint(t, x) - log_joint(t, k)) for x in SPEECH)
+            assert s == pytest.approx(want, abs=1e-4)
+
+
 def test_whole_texts_decide_and_batches_do_not_mix(spark):
     model = lang_id.fit(frame(spark, [(i, s, k, None) for i, (k, s) in enumerate(SPEECH.items())]))
     late = " ".join([SPEECH["en"]] * 3 + [SPEECH["fr"]] * 30)
