@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from leafline import schemas as SC
 from leafline.functions.dates import COMPACT, DASHED
 from leafline.session import scratch_path
+from leafline.sources import buckets as B
 from leafline.sources import sinks as K
 from leafline.sources import snapshots as S
 from leafline.sources import upsert as U
@@ -160,6 +161,20 @@ def keyed_upsert(spark, sf):
     return U.read_version(spark, base, 2).withColumn("version", F.col("version").cast("string"))
 
 
+@case("""WITH new AS (SELECT user_id AS key, event_type AS item, event_id AS version FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+  SELECT key, item, version::VARCHAR AS version FROM new
+  UNION ALL SELECT c_custkey, c_name, '0' FROM customer WHERE c_custkey NOT IN (SELECT key FROM new)""")
+def bucketed_upsert(spark, sf):
+    """The same, with only touched buckets written again."""
+    base = scratch_path(spark, "buckets")
+    stored = table(spark, sf, "customer").selectExpr("c_custkey AS key", "c_name AS item", "0L AS version")
+    B.upsert_bucketed(spark, base, stored, "key", buckets=32)
+    updates = table(spark, sf, "events").selectExpr("user_id AS key", "event_type AS item", "event_id AS version")
+    B.upsert_bucketed(spark, base, updates, "key", [F.col("version").desc()])
+    return B.read_bucketed(spark, base).withColumn("version", F.col("version").cast("string"))
+
+
 @case("""SELECT p_partkey, to_json({'p_partkey': p_partkey, 'p_name': p_name, 'p_size': p_size})::VARCHAR AS item FROM part""")
 def row_to_item(spark, sf):
     return U.to_items(table(spark, sf, "part").select("p_partkey", "p_name", "p_size"), "p_partkey")
