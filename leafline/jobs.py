@@ -11,9 +11,11 @@ in parallel; nothing passes through the driver.
 from __future__ import annotations
 
 import argparse
+import logging
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leafline import schemas as SC
 from leafline.functions.dates import COMPACT, DASHED
@@ -21,9 +23,12 @@ from leafline.operators import records as R
 from leafline.plans import catalog, crawl, recommend, topics
 from leafline.session import build_session, clear_scratch, materialize
 from leafline.sources import snapshots as S
+from leafline.sources.reruns import observed
 from leafline.sources.sinks import read_weekday_csv
 from leafline.sources.upsert import publish, read_version, upsert
 
+log = logging.getLogger("leafline.jobs")
+
 
 def _put(spark: SparkSession, updates: DataFrame, key: str, table: str, version: int) -> str:
     """Updates hold one row per key."""
@@ -39,13 +44,19 @@ def _readable(days: DataFrame, anchor: date, rejects: str | None) -> DataFrame:
     """The rows that could be read. Broken ones are appended to the folder
     `rejects`; a broken anchor day stops the job. A day is often one line, so one
     broken element may stand for the whole day."""
-    good, bad = S.split_corrupt(materialize(days, "days"))
-    counts = {r["snapshot_date"]: r["count"] for r in bad.groupBy("snapshot_date").count().collect()}  # a row per day
-    if counts:
+    broken = F.col(SC.CORRUPT).isNotNull()
+    counted, seen = observed(
+        days, rows=F.count(F.lit(1)), rejects=F.count_if(broken), days=F.collect_set("snapshot_date"),
+        bad_days=F.collect_set(F.when(broken, F.col("snapshot_date"))),
+    )
+    good, bad = S.split_corrupt(materialize(counted, "days"))
+    found = seen.get  # taken by the write itself
+    log.info("%d rows, %d rejects, days %s", found["rows"], found["rejects"], ", ".join(map(str, sorted(found["days"]))))
+    if found["rejects"]:
         if rejects is not None:
             bad.select("snapshot_date", SC.CORRUPT).write.mode("append").parquet(rejects)
-        if anchor in counts:
-            raise ValueError(f"{counts[anchor]} broken records on {anchor}; see {rejects}")
+        if anchor in found["bad_days"]:
+            raise ValueError(f"broken records on {anchor}; see {rejects}")
     return good
 
 
@@ -127,6 +138,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--genre", action="append", default=[])
     parser.add_argument("--review")
     a = parser.parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(message)s")
     spark = build_session(f"leafline-{a.job}")
     if a.job == "info":
         info_job(spark, a.n_base, a.k_base, a.anchor, a.table, a.version)

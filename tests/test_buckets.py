@@ -1,12 +1,15 @@
 """Upserts that rewrite touched buckets only, and reruns of one day."""
 
 import os
-from datetime import date
+import random
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from leafline.sources import buckets as B
+from leafline.operators.ranking import latest_per_key
+from leafline.sources import daily_state as D
 from leafline.sources import reruns as R
 
 
@@ -77,3 +80,32 @@ def test_a_failed_rerun_leaves_no_marker(spark, tmp_path):
         R.replace_partition(broken, path, values, "json")
     assert [r.dataset for r in R.complete_partitions(spark, path).collect()] == ["sat"]
     assert {r.dataset for r in R.read_complete(spark, path, "json").collect()} == {"sat"}
+
+
+def test_newest_rows_day_by_day(spark, tmp_path):
+    """Over ten days, one missing and one run twice, always equal to the
+    recomputation of the six days from their raw rows."""
+    path, rnd, start = str(tmp_path / "state"), random.Random(4), date(2024, 1, 1)
+    raw = {}
+    order = [F.col("seq").desc()]
+    schema = "key string, seq long, payload string, day date"
+
+    def run(n):
+        day = start + timedelta(days=n)
+        raw[n] = [(rnd.choice([None, *"abcdefgh"]), i, f"{n}-{i}-{rnd.random()}", day) for i in range(rnd.randint(0, 12))]
+        D.add_day(spark.createDataFrame(raw[n], schema), path, day, "key", order)
+
+    with pytest.raises(ValueError):
+        D.newest(spark, path, start, "key", order)
+    for n in range(10):
+        if n == 3:
+            continue
+        run(n)
+        if n == 7:
+            run(6)
+        anchor = start + timedelta(days=n)
+        window = [r for m, rows in raw.items() if n - 5 <= m <= n for r in rows if r[0] is not None]
+        want = latest_per_key(spark.createDataFrame(window, schema), "key", [F.col("day").desc(), *order]).collect()
+        assert sorted(map(tuple, D.newest(spark, path, anchor, "key", order).collect())) == sorted(map(tuple, want))
+        gone = D.expire(spark, path, anchor)
+        assert gone == ([start + timedelta(days=n - 6)] if n >= 6 and n - 6 != 3 else [])

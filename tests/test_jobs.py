@@ -52,11 +52,13 @@ def test_recommend(spark, bases):
     assert best and "N2" not in {r.t_id for r in best} and [r["rank"] for r in best] == list(range(1, len(best) + 1))
 
 
-def test_a_broken_day_is_not_lost_in_silence(spark, bases, tmp_path):
+def test_a_broken_day_is_not_lost_in_silence(spark, bases, tmp_path, caplog):
+    caplog.set_level("INFO", "leafline.jobs")
     table = bases["out"] + "/info"
     (tmp_path / "n" / "20240308.json").write_text('[{"t_IDs": "1"}, {"t_IDs": broken}]', encoding="utf-8")
     jobs.info_job(spark, bases["n"], bases["k"], D, table, 1)  # an older day: kept apart, the others count
     assert {r.t_id for r in read_version(spark, table, 1).collect()} == {"N1", "N2", "K5"}
+    assert caplog.messages == ["3 rows, 1 rejects, days 2024-03-08, 2024-03-10", "1 rows, 0 rejects, days 2024-03-10"]
     assert [str(r.snapshot_date) for r in spark.read.parquet(table + "-rejects").collect()] == ["2024-03-08"]
     (tmp_path / "n" / "20240310.json").write_text('[{"t_IDs": "1"}, {"t_IDs": broken}]', encoding="utf-8")
     with pytest.raises(ValueError, match="2024-03-10"):
