@@ -22,8 +22,16 @@ def test_no_python_and_no_cross_join(spark, name):
 
 def test_pairs_of_the_batch_are_never_shuffled(spark):
     text = plan(suite.CASES["ranked_hits"][0](spark, SF_DIR))
-    # by comment (vectors), by user (after the cut to 21 per user)
-    assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
+    # stored comments by comment, the same exchange on both sides of a join, and hits by
+    # review (after the cut to 21 per review)
+    lines = text.splitlines()
+    at = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    keys = [re.sub(r"#\d+L?", "", re.search(r"hashpartitioning\((.*?), \d+\)", lines[i])[1]) for i in at]
+    assert sorted(keys) == ["cid", "cid", "user_id, user_t_id"]
+    for i, key in zip(at, keys):
+        if key == "cid":
+            under = next(k for k in range(i + 1, len(lines)) if not re.search(r"[-+] (Project|Filter|ColumnarToRow)\b", lines[k]))
+            assert "FileScan" in lines[under] and "comment-rows" in lines[under]
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
