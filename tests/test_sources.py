@@ -193,8 +193,7 @@ def test_broadcast_is_bounded_by_bytes(spark):
     assert not hinted(broadcast_if_small(lists, max_bytes=5000))
 
 
-@pytest.mark.parametrize("block", [9, 60, 1 << 20])
-@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("block,end", [(9, "\n"), (9, "\r\n"), (60, "\r\n"), (1 << 20, "\n")])
 def test_csv_in_any_splits_equals_the_whole_file_reader(spark, tmp_path, block, end):
     rnd = random.Random(block)
     texts = ["", "plain", "two\nlines", 'quo"ted', "a,b", '"', '""', "\n\n", "tail\n", '"\n"', "한글\n줄", "x" * 90]
