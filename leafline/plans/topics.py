@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,43 +12,133 @@ from leafline.session import materialize
 
 NUM_TOPICS = 5
 WORDS = 3
-# The model counts words in so many hash buckets: every word takes part, and the
-# topics are a matrix of fixed size however many words there are. Only comments'
-# topic shares are taken from it; words get their weights from those.
-BUCKETS = 1 << 12
-# parts of one that topic shares are counted in, so that sums are exact
-PARTS = 1 << 30
 # full passes over all comments
 ITERATIONS = 10
-
-
-def bucket_of(term: Column, buckets: int = BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
-
-
-def _fit(kept: DataFrame, k: int, buckets: int, iterations: int, seed: int) -> DataFrame:
-    """(t_id, bag, share): each comment's topic shares under one LDA model over
-    all comments of `kept` (t_id, bag). Vectors are made in the row and stored
-    once; each pass reads them all."""
-    tokens = F.flatten(F.transform("bag", lambda w: F.array_repeat(bucket_of(w.term, buckets).cast("string"), w.n.cast("int"))))
-    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(buckets)], "tokens", "features")
-    features = counter.transform(kept.select("t_id", "bag", tokens.alias("tokens"))).drop("tokens")
-    features = materialize(features, "comment-vectors")
-    model = LDA(
-        k=k, maxIter=iterations, seed=seed, optimizer="online", optimizeDocConcentration=True, subsamplingRate=1.0
-    ).fit(features)
-    shares = model.transform(features).select("t_id", "bag", vector_to_array("topicDistribution").alias("share"))
-    return materialize(shares, "comment-shares")
-
-
-def term_weights(shares: DataFrame, num_topics: int) -> DataFrame:
-    """(term, weights) from (bag, share) of all comments: a word's weight in a
-    topic is the sum of its comments' shares of the topic, once for each time it
-    occurs. So words of one bucket have weights of their own. A topic's total is
-    the same for all words and left out."""
-    rows = shares.select("share", F.inline_outer("bag")).where(F.col("term").isNotNull())
-    parts = [F.sum(F.col("n") * F.round(F.col("share")[i] * PARTS).cast("long")).alias(f"s{i}") for i in range(num_topics)]
-    return rows.groupBy("term").agg(*parts).select("term", F.array(*[F.col(f"s{i}") / PARTS for i in range(num_topics)]).alias("weights"))
+# several models are begun at random and the likeliest goes on alone for the last passes
+STARTS = 4
+LAST_ALONE = 3
+# rounds in which a comment's topic shares are found, given the words' weights
+INNER = 4
+# priors: of a topic in a comment, and of a word in a topic
+ALPHA, BETA = 0.1, 1.0
+# parts of one that weights are counted in, so that sums are exact
+PARTS = 1 << 20
+# words of the bags that one task reads at once; small inputs are still cut for a few tasks
+BLOCK_WORDS, SMALL_BLOCK, FEW = 1 << 20, 1 << 14, 8
+BAG_KEY = ("d1", "d2")
+
+
+def bag_key() -> list[Column]:
+    """96 bits that tell bags apart."""
+    return [F.xxhash64("bag").alias("d1"), F.hash("bag").alias("d2")]
+
+
+def _bags(kept: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bags, needs): each distinct bag once, with its number of comments, in blocks
+    of about BLOCK_WORDS words; and the words that each block has."""
+    once = kept.groupBy(*bag_key()).agg(F.any_value("bag").alias("bag"), F.count(F.lit(1)).alias("m"))
+    words = F.transform("bag", lambda x: F.xxhash64(x.term))
+    counts = F.transform("bag", lambda x: x.n.cast("double"))
+    once = materialize(once.select(*BAG_KEY, "m", words.alias("w"), counts.alias("n")), "bags")
+    total = once.agg(F.sum(F.size("w"))).first()[0]
+    blocks = max(-(-total // BLOCK_WORDS), min(FEW, -(-total // SMALL_BLOCK)))
+    bags = once.withColumn("block", F.pmod("d1", F.lit(blocks)))
+    return bags, materialize(bags.select("block", F.explode("w").alias("w")).distinct(), "block-words")
+
+
+def _pass(totals: list[list[float]], n_words: int, shares: bool) -> Callable:
+    """What a block does, from its bags and their words' weights `s`, one after the
+    other for each start and topic: topic shares of each bag, then either those, or
+    the sums of topic shares for each word. A row without a word holds the
+    log-likelihood of each start, at the start's first topic."""
+    alpha, beta, inner, parts = ALPHA, BETA, INNER, PARTS
+
+    def run(bags, words):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        k = len(totals[0])
+        size = pc.list_value_length(bags["w"]).to_numpy()
+        begin = np.concatenate([[0], np.cumsum(size)[:-1]])
+        flat = np.concatenate([c.flatten().to_numpy() for c in bags["w"].chunks])
+        n = np.concatenate([c.flatten().to_numpy() for c in bags["n"].chunks])[:, None]
+        times = np.repeat(bags["m"].to_numpy(), size)[:, None] * n
+        ids = words["w"].to_numpy()
+        order = np.argsort(ids)
+        at = order[np.searchsorted(ids, flat, sorter=order)]
+        weights = np.concatenate([c.flatten().to_numpy() for c in words["s"].chunks]).reshape(len(ids), -1)
+        sums = np.zeros((len(ids) + 1, weights.shape[1]), dtype=np.int64)
+        for start, total in enumerate(totals):
+            own = slice(start * k, start * k + k)
+            p = ((weights[:, own] + beta) / (np.array(total) + beta * n_words))[at]
+            share = np.full((len(size), k), 1.0 / k)
+            for _ in range(inner):
+                part = np.repeat(share, size, axis=0) * p
+                part /= part.sum(axis=1, keepdims=True)
+                share = np.add.reduceat(part * n, begin) + alpha
+                share /= share.sum(axis=1, keepdims=True)
+            if shares:
+                rows = pa.FixedSizeListArray.from_arrays(share.ravel(), k).cast(pa.list_(pa.float64()))
+                return pa.table({"d1": bags["d1"], "d2": bags["d2"], "share": rows})
+            likely = np.log((np.repeat(share, size, axis=0) * p).sum(axis=1, keepdims=True))
+            for i in range(k):
+                of_word = np.bincount(at, weights=(part[:, i : i + 1] * times).ravel(), minlength=len(ids))
+                sums[:-1, own.start + i] = np.rint(of_word * parts)
+            sums[-1, own.start] = np.rint((likely * times).sum() * parts)
+        columns = {"w": pa.concat_arrays([pa.array(ids), pa.nulls(1, pa.int64())])}
+        return pa.table(columns | {f"s{i}": c for i, c in enumerate(sums.T)})
+
+    return run
+
+
+def _in_blocks(bags: DataFrame, weights: DataFrame, totals: list[list[float]], n_words: int, schema: str, shares: bool = False) -> DataFrame:
+    both = bags.groupBy("block").cogroup(weights.groupBy("block"))
+    return both.applyInArrow(_pass(totals, n_words, shares), schema)
+
+
+def fit(
+    kept: DataFrame, k: int = NUM_TOPICS, iterations: int = ITERATIONS, seed: int = 0, starts: int = STARTS
+) -> tuple[DataFrame, DataFrame]:
+    """(weights, shares) of one topic model over the bags of all comments `kept`:
+    each word's weight in each topic (w, weights), w being the word's xxhash64,
+    and the topic shares of each distinct bag (d1, d2, share).
+
+    Expectation maximisation. Weights are a table by word: in each pass every block of
+    bags is handed the weights of its own words, finds the shares of its bags and gives back a
+    sum per word. So no word shares a weight with another and no task or
+    driver holds the whole vocabulary. `starts` models run side by side until the
+    likeliest is taken for the last passes. Weights are sums of whole numbers:
+    neither the order of rows nor a task run twice changes them."""
+    bags, needs = _bags(kept)
+    n_words = needs.select("w").distinct().count()
+
+    def at_random(i: int) -> Column:
+        u = (F.pmod(F.xxhash64("w", F.lit(seed), F.lit(i)), F.lit(PARTS)) + 1) / (PARTS + 1)
+        return -F.log(u)
+
+    weights = needs.select("block", "w", F.array(*[at_random(i) for i in range(k * starts)]).alias("s"))
+    totals = [[float(n_words)] * k] * starts
+    table = None
+    for i in range(max(1, iterations)):
+        cols = [f"s{j}" for j in range(k * len(totals))]
+        found = _in_blocks(bags, weights, totals, n_words, "w long, " + ", ".join(f"{c} long" for c in cols))
+        table = materialize(found.groupBy("w").agg(*[F.sum(c).alias(c) for c in cols]), "word-topics")
+        word = F.col("w").isNotNull()
+        sums = table.groupBy(word.alias("word")).agg(*[F.sum(c).alias(c) for c in cols]).collect()
+        of_words = next(r for r in sums if r["word"])
+        likely = next(r for r in sums if not r["word"])
+        totals = [[of_words[f"s{s * k + j}"] / PARTS for j in range(k)] for s in range(len(totals))]
+        first = 0
+        if len(totals) > 1 and i + 1 >= iterations - LAST_ALONE:
+            best = max(range(len(totals)), key=lambda s: (likely[f"s{s * k}"], -s))
+            first, totals = best * k, [totals[best]]
+        kept_cols = cols[first : first + k * len(totals)]
+        table = table.where(word).select("w", F.array(*[F.col(c) / PARTS for c in kept_cols]).alias("s"))
+        weights = needs.join(table, "w").select("block", "w", "s")
+    schema = "d1 long, d2 int, share array<double>"
+    shares = materialize(_in_blocks(bags, weights, totals, n_words, schema, shares=True), "bag-shares")
+    return table.withColumnRenamed("s", "weights"), shares
 
 
 def _in_topic_order(entries: list[Column], n_words: int) -> Column:
@@ -60,12 +149,14 @@ def _in_topic_order(entries: list[Column], n_words: int) -> Column:
 
 def topic_readout(dtm: DataFrame, terms: DataFrame, shares: DataFrame, num_topics: int, n_words: int = WORDS) -> DataFrame:
     """(t_id, t_topics) from a title's words (t_id, term, n), the words' weights in
-    each topic (term, weights) and the topic shares of its comments (t_id, share).
+    each topic (term, weights) and the topic shares of its comments (t_id, share, m),
+    m being the number of comments with the same bag.
 
     A title's topics come in order of their mean share in its comments; each gives
     the title's own word with the largest topic weight x lift, lift being the
     word's share in the title over its share in the corpus."""
-    mean = shares.groupBy("t_id").agg(*[F.avg(F.col("share")[i]).alias(f"m{i}") for i in range(num_topics)])
+    total = F.sum("m")
+    mean = shares.groupBy("t_id").agg(*[(F.sum(F.col("share")[i] * F.col("m")) / total).alias(f"m{i}") for i in range(num_topics)])
     title_tf = dtm.groupBy("t_id", "term").agg(F.sum("n").alias("tf"))
     corpus = title_tf.groupBy("term").agg(F.sum("tf").alias("all_tf")).join(terms, "term")
     # totals of title and corpus are the same for all words of a title: left out
@@ -87,10 +178,10 @@ def title_topics(
     comments: DataFrame,
     num_topics: int = NUM_TOPICS,
     n_words: int = WORDS,
-    buckets: int = BUCKETS,
     iterations: int = ITERATIONS,
     seed: int = 0,
     tokens: str | None = None,
+    starts: int = STARTS,
 ) -> DataFrame:
     """(t_id, t_topics) from one model over the comments of all titles. A title
     without kept words has no row (`skipped_titles` lists them)."""
@@ -99,9 +190,11 @@ def title_topics(
     spark = comments.sparkSession
     if kept.isEmpty():
         return spark.createDataFrame([], "t_id string, t_topics array<string>")
-    shares = _fit(kept, num_topics, buckets, iterations, seed)
+    weights, shares = fit(kept, num_topics, iterations, seed, starts)
     dtm = T.words_of(kept, ("t_id",))
-    return topic_readout(dtm, term_weights(shares, num_topics), shares, num_topics, n_words)
+    terms = dtm.select("term").distinct().withColumn("w", F.xxhash64("term")).join(weights, "w").select("term", "weights")
+    by_title = kept.groupBy("t_id", *bag_key()).agg(F.count(F.lit(1)).alias("m")).join(shares, [*BAG_KEY])
+    return topic_readout(dtm, terms, by_title, num_topics, n_words)
 
 
 def topic_items(topics: DataFrame) -> DataFrame:

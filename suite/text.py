@@ -142,5 +142,5 @@ def topic_readout(spark, sf):
     weight = [(F.length("term") * (i + 1) % 7 + 1).cast("double") for i in range(3)]
     share = [((F.col("comment_pos") + 1) * (i + 2) % 5).cast("double") for i in range(3)]
     terms = dtm.select("term").distinct().withColumn("weights", F.array(*weight))
-    shares = kept.select("t_id", F.array(*share).alias("share"))
+    shares = kept.select("t_id", F.array(*share).alias("share"), F.lit(1).alias("m"))
     return P.topic_readout(dtm, terms, shares, 3).select("t_id", F.array_join("t_topics", "|").alias("topics"))
