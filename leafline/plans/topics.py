@@ -15,10 +15,10 @@ WORDS = 3
 # full passes over all comments
 ITERATIONS = 10
 # several models are begun at random and the likeliest goes on alone for the last passes
-STARTS = 4
+STARTS = 3
 LAST_ALONE = 3
 # rounds in which a comment's topic shares are found, given the words' weights
-INNER = 4
+INNER = 3
 # priors: of a topic in a comment, and of a word in a topic
 ALPHA, BETA = 0.1, 1.0
 # parts of one that weights are counted in, so that sums are exact
@@ -62,8 +62,8 @@ def _pass(totals: list[list[float]], n_words: int, shares: bool) -> Callable:
         size = pc.list_value_length(bags["w"]).to_numpy()
         begin = np.concatenate([[0], np.cumsum(size)[:-1]])
         flat = np.concatenate([c.flatten().to_numpy() for c in bags["w"].chunks])
-        n = np.concatenate([c.flatten().to_numpy() for c in bags["n"].chunks])[:, None]
-        times = np.repeat(bags["m"].to_numpy(), size)[:, None] * n
+        n = np.concatenate([c.flatten().to_numpy() for c in bags["n"].chunks])[:, None].astype(np.float32)
+        times = np.repeat(bags["m"].to_numpy(), size)[:, None] * n.astype(float)
         ids = words["w"].to_numpy()
         order = np.argsort(ids)
         at = order[np.searchsorted(ids, flat, sorter=order)]
@@ -71,21 +71,21 @@ def _pass(totals: list[list[float]], n_words: int, shares: bool) -> Callable:
         sums = np.zeros((len(ids) + 1, weights.shape[1]), dtype=np.int64)
         for start, total in enumerate(totals):
             own = slice(start * k, start * k + k)
-            p = ((weights[:, own] + beta) / (np.array(total) + beta * n_words))[at]
-            share = np.full((len(size), k), 1.0 / k)
+            p = ((weights[:, own] + beta) / (np.array(total) + beta * n_words) * n_words).astype(np.float32)[at]
+            share = np.full((len(size), k), 1.0 / k, dtype=np.float32)
             for _ in range(inner):
                 part = np.repeat(share, size, axis=0) * p
                 part /= part.sum(axis=1, keepdims=True)
                 share = np.add.reduceat(part * n, begin) + alpha
                 share /= share.sum(axis=1, keepdims=True)
             if shares:
-                rows = pa.FixedSizeListArray.from_arrays(share.ravel(), k).cast(pa.list_(pa.float64()))
+                rows = pa.FixedSizeListArray.from_arrays(share.ravel().astype(float), k).cast(pa.list_(pa.float64()))
                 return pa.table({"d1": bags["d1"], "d2": bags["d2"], "share": rows})
             likely = np.log((np.repeat(share, size, axis=0) * p).sum(axis=1, keepdims=True))
+            part = np.rint(part * (times * parts))
             for i in range(k):
-                of_word = np.bincount(at, weights=(part[:, i : i + 1] * times).ravel(), minlength=len(ids))
-                sums[:-1, own.start + i] = np.rint(of_word * parts)
-            sums[-1, own.start] = np.rint((likely * times).sum() * parts)
+                sums[:-1, own.start + i] = np.bincount(at, weights=part[:, i], minlength=len(ids))
+            sums[-1, own.start] = np.rint(likely * (times * parts)).sum()
         columns = {"w": pa.concat_arrays([pa.array(ids), pa.nulls(1, pa.int64())])}
         return pa.table(columns | {f"s{i}": c for i, c in enumerate(sums.T)})
 
