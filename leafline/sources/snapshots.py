@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
@@ -25,6 +26,20 @@ def date_of_path(style: str) -> Column:
     return F.to_date(F.nullif(found, F.lit("")), parse)
 
 
+def load_days(load: Callable[[list[str]], DataFrame], base: str, days: list[date], style: str) -> DataFrame:
+    """`load` for the files of the given days, the first of which must exist."""
+    anchor, *others = [d.strftime(style) for d in days]
+    paths = [f"{base}{anchor}.json"]
+    if others:
+        paths.append(f"{base}{{{','.join(others)}}}.json")
+    try:
+        return load(paths)
+    except AnalysisException as e:
+        if len(paths) == 1 or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return load(paths[:1])  # none of the optional days; raises if the anchor is missing
+
+
 def read_days(
     spark: SparkSession, base: str, schema: StructType, days: list[date], style: str, keep_corrupt: bool = False
 ) -> DataFrame:
@@ -35,17 +50,7 @@ def read_days(
     come out as rows of nulls otherwise."""
     reader = spark.read.schema(with_corrupt(schema) if keep_corrupt else schema).option("mode", "PERMISSIVE")
     reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    anchor, *others = [d.strftime(style) for d in days]
-    paths = [f"{base}{anchor}.json"]
-    if others:
-        paths.append(f"{base}{{{','.join(others)}}}.json")
-    try:
-        raw = reader.json(paths)
-    except AnalysisException as e:
-        if len(paths) == 1 or e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raw = reader.json(paths[:1])  # none of the optional days; raises if the anchor is missing
-    return raw.withColumn("snapshot_date", date_of_path(style))
+    return load_days(reader.json, base, days, style).withColumn("snapshot_date", date_of_path(style))
 
 
 def scan_lookback(

@@ -4,11 +4,13 @@ tables into the shared folder and read back."""
 from datetime import date
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from leafline import schemas as SC
 from leafline.functions.dates import COMPACT, DASHED
 from leafline.session import scratch_path
 from leafline.sources import buckets as B
+from leafline.sources import drift as DR
 from leafline.sources import sinks as K
 from leafline.sources import snapshots as S
 from leafline.sources import upsert as U
@@ -190,3 +192,43 @@ def partitioned_write(spark, sf):
     K.write_partitioned(events, path)
     back = spark.read.schema(events.schema).parquet(path)
     return back.select("dataset", "weekday", F.col("snapshot_date").cast("string").alias("day"), "event_id")
+
+
+def _drifting(spark, sf):
+    """Every third day has ids as numbers, every seventh names under another name that is known,
+    and every fifth authors under one that is not."""
+    day = F.dayofmonth("snapshot_date")
+    keep = ["t_weekdays", "t_comments"]
+    t_id, name, auth = F.col("t_IDs"), F.col("t_names"), F.col("t_auth")
+
+    def text(*cols):
+        return F.to_json(F.struct(*cols, *keep))
+
+    value = (
+        F.when(day % 3 == 0, text(t_id.cast("long").alias("t_IDs"), name, auth))
+        .when(day % 7 == 0, text(t_id, name.alias("names"), auth))
+        .when(day % 5 == 0, text(t_id, name, auth.alias("writer")))
+        .otherwise(text(t_id, name, auth))
+    )
+    base = scratch_path(spark, "drifting")
+    file = F.concat(F.date_format("snapshot_date", "yyyyMMdd"), F.lit(".json"))
+    raw_n(spark, sf).select(file.alias("file"), value.alias("value")).write.partitionBy("file").text(base)
+    wanted = StructType([f for f in SC.N_RUNNING if f.name in ("t_IDs", "t_names", "t_auth", *keep)])
+    return DR.scan_drifting(spark, base + "/file=", wanted, ANCHOR, COMPACT, 30, aliases={"t_names": ["names"]})
+
+
+_RENAMED = "day(snapshot_date) % 3 <> 0 AND day(snapshot_date) % 7 <> 0 AND day(snapshot_date) % 5 = 0"
+
+
+@case(f"""SELECT t_IDs, t_names, t_auth, array_to_string(t_weekdays, '|') AS t_weekdays,
+  array_to_string(t_comments, '|') AS t_comments, snapshot_date::VARCHAR AS day
+  FROM ({RAW_N_SQL}) WHERE snapshot_date BETWEEN DATE '{ANCHOR}' - 30 AND DATE '{ANCHOR}' AND NOT ({_RENAMED})""")
+def drifting_days(spark, sf):
+    return _n_text(_drifting(spark, sf).rows.withColumn("t_genre", F.lit(None))).drop("t_genre")
+
+
+@case(f"""SELECT snapshot_date::VARCHAR AS day, 'missing t_auth; unknown writer' AS reason, count(*) AS n
+  FROM ({RAW_N_SQL}) WHERE snapshot_date BETWEEN DATE '{ANCHOR}' - 30 AND DATE '{ANCHOR}' AND {_RENAMED} GROUP BY 1""")
+def drift_rejects(spark, sf):
+    rejects = _drifting(spark, sf).rejects.groupBy(F.col("snapshot_date").cast("string").alias("day"), "reason")
+    return rejects.agg(F.count(F.lit(1)).alias("n"))
