@@ -10,6 +10,8 @@ from leafline.session import broadcast_if_small, materialize
 
 #: characters of a text that the second step looks at
 PREFIX = 64
+#: a text that more than one in so many rows hold is crowded; there are fewer such texts than this
+CROWDED = 1000
 
 
 def normal(text: Column) -> Column:
@@ -50,6 +52,21 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     return survivors, groups
 
 
+def _with_group(rows: DataFrame, groups: DataFrame, total: int) -> DataFrame:
+    """Each row with the keep_id and group_size of its text. Crowded texts are fewer
+    than CROWDED and go to the rows; rows that have found theirs are dealt out
+    evenly by length -1 and less, which no text has, so that no task gets a whole crowded group."""
+    crowded = F.col("group_size") * CROWDED > total
+    keys = ["length", "digest"]
+    few = groups.where(crowded).select(*keys, F.col("keep_id").alias("k"), F.col("group_size").alias("g"))
+    found = rows.join(F.broadcast(few), keys, "left")
+    spot = F.when(F.col("g").isNull(), F.col("length")).otherwise(-1 - F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)))
+    rest = groups.where(~crowded).withColumnRenamed("length", "spot")
+    out = found.withColumn("spot", spot).join(rest, ["spot", "digest"], "left")
+    keep = F.when(F.col("g").isNull(), F.col("keep_id")).otherwise(F.col("k"))
+    return out.select("doc_id", *keys, keep.alias("keep_id"), F.coalesce("g", "group_size").alias("group_size"))
+
+
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", prefix: int = PREFIX) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) for every row of `docs`.
     Of equal texts the row with the largest doc_id stays; a null id is less than
@@ -62,7 +79,7 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pre
         F.coalesce(F.octet_length(text), F.lit(0)).alias("length"),
         F.unhex(F.sha2(normal(F.col(text)), 256)).alias("digest"),
     )
-    out = every.join(groups, ["length", "digest"], "left")
+    out = _with_group(every, materialize(groups, "groups"), docs.count())
     single = F.col("group_size").isNull()
     return out.select(
         "doc_id",

@@ -16,8 +16,10 @@ def lower(t):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
 
 
-@pytest.mark.parametrize("prefix", [1, 64])
-def test_exact_duplicates(spark, prefix):
+@pytest.mark.parametrize("prefix, crowded", [(1, 1000), (64, 1000), (64, 1), (64, 5)])
+def test_exact_duplicates(spark, monkeypatch, prefix, crowded):
+    """All repeated texts crowded, none, or some."""
+    monkeypatch.setattr(exact_dedup, "CROWDED", crowded)
     rows = ODD + [(20, LONG + "y", "en", "a"), (21, LONG + "z", "en", "a")]
     got = exact_dedup.deduplicate(frame(spark, rows), prefix=prefix).collect()
     groups = Counter(lower(r[1]) for r in rows)
