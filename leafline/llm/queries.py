@@ -63,7 +63,8 @@ def _url_sql() -> str:
 
 @query(_url_sql())
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    values = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {values} AS r(host, path, verdict)")
     return url_rules.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 

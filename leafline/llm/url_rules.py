@@ -14,6 +14,8 @@ RANGE_PREFIXES, MAX_RANGES = 5_000, 1_000
 SWEEP_KEYS = 100_000
 #: between a reversed host and a path; a reversed host ends with a dot
 JOINT = "\u0001"
+#: a host or address that more than one in so many rows have is crowded
+CROWDED = 1_000
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -92,6 +94,24 @@ def cover(points: DataFrame, prefixes: DataFrame, range_prefixes: int = RANGE_PR
     return swept.select("key", F.coalesce(still_open, F.expr("filter(array(stack[0]), s -> false)")).alias("stack"))
 
 
+def _crowded(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of `counts` (keys, __n) that more than one in CROWDED rows have: fewer than CROWDED."""
+    total = counts.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+    return counts.where(F.col("__n") * CROWDED > total).select(*keys)
+
+
+def _found(rows: DataFrame, side: DataFrame, keys: list[str], value: str, crowded: DataFrame) -> DataFrame:
+    """`rows` with the `value` that `side`, one row for each of its keys, has for theirs, or
+    null. Values of crowded keys go to the rows, which are then dealt out by their plain columns
+    instead, so that no task gets all rows of such a key."""
+    few = crowded.join(side, keys, "left").select(*keys, F.col(value).alias("__few"), F.lit(True).alias("__known"))
+    plain = [c for c, kind in rows.dtypes if not kind.startswith(("array", "map", "struct", "variant"))]
+    salt = F.when(F.col("__known"), 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(1 << 20))).otherwise(F.lit(0).cast("long"))
+    out = rows.join(F.broadcast(few), keys, "left").withColumn("__salt", salt)
+    out = out.join(side.select(*keys, value, F.lit(0).cast("long").alias("__salt")), [*keys, "__salt"], "left")
+    return out.withColumn(value, F.when(F.col("__known"), F.col("__few")).otherwise(F.col(value))).drop("__few", "__known", "__salt")
+
+
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", **sizes: int) -> DataFrame:
     """`pages` with host, path, rule and verdict, which replace columns of those
     names. A rule (host, path, verdict) fits its host and all subdomains where
@@ -118,11 +138,13 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         .withColumn("__key", host_key(F.col("host")))
     )
     rules = materialize(rules, "rules")
-    addresses = materialize(pages.select("host", "path").distinct(), "addresses")
-    keys = addresses.select(host_key(F.col("host")).alias("key")).distinct()
+    addresses = materialize(pages.groupBy("host", "path").agg(F.count("*").alias("__n")), "addresses")
+    by_key = addresses.select("host", "path", host_key(F.col("host")).alias("__of"))
+    keys = by_key.select(F.col("__of").alias("key")).distinct()
     hosts = rules.select(F.col("__key").alias("prefix")).distinct().withColumn("info", F.lit(0))
-    by_host = cover(keys, hosts, **sizes).select(F.col("key").alias("__of"), F.explode("stack.prefix").alias("__at"))
-    grafted = addresses.withColumn("__of", host_key(F.col("host"))).join(by_host, "__of")
+    by_host = materialize(cover(keys, hosts, **sizes).select(F.col("key").alias("__of"), F.col("stack.prefix").alias("__ats")), "by-host")
+    large = _crowded(by_key.groupBy("__of").agg(F.count("*").alias("__n")), ["__of"])
+    grafted = _found(by_key, by_host, ["__of"], "__ats", large).withColumn("__at", F.explode("__ats")).drop("__ats")
     grafted = grafted.withColumn("key", F.concat("__at", F.lit(JOINT), "path"))
     full = rules.select(
         F.concat("__key", F.lit(JOINT), "path").alias("prefix"),
@@ -135,8 +157,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     fits = cover(grafted.select("key").distinct(), full, **sizes)
     fits = fits.where(F.size("stack") > 0).select("key", F.element_at("stack", -1)["info"].alias("__best"))
     best = grafted.join(fits, "key").groupBy("host", "path").agg(F.max("__best").alias("__best"))
+    best = materialize(best, "best-rules")
+    frequent = _crowded(addresses, ["host", "path"])
     return (
-        pages.join(best, ["host", "path"], "left")
+        _found(pages, best, ["host", "path"], "__best", frequent)
         .withColumns({"rule": F.col("__best.rule"), "verdict": F.coalesce("__best.verdict", F.lit(default))})
         .drop("__best")
     )

@@ -7,6 +7,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from leafline.llm import exact_dedup, lang_id, sharding, token_scan, url_rules
 from leafline.session import scratch_path
 from tests.llm.helpers import ALL, LONG, ODD, empty, frame, ids, words
@@ -163,8 +165,10 @@ def brute(url, default):
     return (host, path, *max(fits)[2:]) if fits else (host, path, None, default)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"range_prefixes": 1, "sweep_keys": 2}])
-def test_url_rules(spark, sizes):
+@pytest.mark.parametrize("sizes, crowded", [({}, 1000), ({"range_prefixes": 1, "sweep_keys": 2}, 1), ({}, 6)])
+def test_url_rules(spark, monkeypatch, sizes, crowded):
+    """All hosts and addresses crowded, none, or some."""
+    monkeypatch.setattr(url_rules, "CROWDED", crowded)
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(URLS)], "page_id int, url string, rule string")
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     got = url_rules.judge_urls(pages, rules, default="maybe", **sizes).collect()
@@ -175,6 +179,24 @@ def test_url_rules(spark, sizes):
     assert url_rules.judge_urls(pages.limit(0), rules).count() == 0
 
 
+def test_a_crowded_address_is_dealt_out(spark):
+    """Half of the pages have no url and a quarter one url: their rows meet in no one partition."""
+    urls = [None] * 400 + ["http://www.org/fr/x"] * 200 + [f"http://h{i}.net/{i}" for i in range(200)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = url_rules.judge_urls(pages, rules, default="maybe")
+        per_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got == {i: brute(u, "maybe") for i, u in enumerate(urls)}
+    assert len(per_task) > 4 and max(per_task) < 200
+
+
 def test_no_python_in_url_rules(spark):
     pages = spark.createDataFrame([(1, "http://a.net/")], "page_id int, url string")
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
