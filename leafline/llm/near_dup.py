@@ -313,7 +313,14 @@ def _dealt(members: DataFrame, whole: bool) -> DataFrame:
         F.greatest(F.ceil(F.count("*") / SLICE_SETS), F.ceil(F.sum("n") / SLICE_SHINGLES)).cast("int").alias("slices"),
         F.count("*").alias("c"),
     )
-    dealt = members.join(weight.where("c > 1"), "token").withColumn("x", F.pmod(F.xxhash64("sig"), F.col("slices")).cast("int"))
+    weight = materialize(weight.where("c > 1"), "near-weights")
+    # groups that are cut are told to their rows, which are then dealt out by set: no task gets a whole one
+    cut = weight.where("slices > 1").select("token", F.col("slices").alias("many"))
+    spot = F.when(F.col("many").isNull(), F.col("token")).otherwise(F.xxhash64("sig"))
+    one = weight.where("slices = 1").select(F.col("token").alias("spot"), "slices")
+    dealt = members.join(broadcast_if_small(cut), "token", "left").withColumn("spot", spot).join(one, "spot", "left")
+    dealt = dealt.withColumn("slices", F.coalesce("many", "slices")).where("slices is not null")
+    dealt = dealt.withColumn("x", F.pmod(F.xxhash64("sig"), F.col("slices")).cast("int"))
     if not whole:
         return dealt.select("token", "sig", "label", "n", "x", F.lit(0).alias("y"))
     dealt = dealt.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
