@@ -400,7 +400,7 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     partner = "token long, x int, y int, sig long, label long"
     # one group for each set; of groups of one component nothing is left to find
     first = groups.groupBy("sig", "n").agg(F.min("token").alias("token")).withColumn("label", F.col("sig"))
-    dealt = materialize(_dealt(first, False), "near-first")
+    dealt = materialize(_dealt(materialize(first, "near-own"), False), "near-first")
     fresh = linked(materialize(met(dealt).applyInArrow(_partners(percent), partner), "near-partners"))
     # (sig, root) of sets that are not their component's first one: a set was in one group only
     roots = fresh.withColumnRenamed("label", "sig")
@@ -412,7 +412,7 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
         one = _open(_labelled(groups.join(cut, "sig", "left_semi"), roots))
         one = one.groupBy("token", "label").agg(F.min(F.struct("sig", "n")).alias("m"))
         one = one.groupBy("m").agg(F.min(F.struct("token", "label")).alias("t")).select("t.token", "m.sig", "t.label", "m.n")
-        partners = materialize(met(_dealt(one, False)).applyInArrow(_partners(percent), partner), "near-partners")
+        partners = materialize(met(_dealt(materialize(one, "near-one"), False)).applyInArrow(_partners(percent), partner), "near-partners")
         fresh = linked(partners)
         if fresh.isEmpty():
             break
@@ -429,7 +429,7 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     edges = materialize(met(_dealt(rest, True)).applyInArrow(_stars(percent), "a long, b long"), "near-edges")
     if not edges.isEmpty():
         family = components(edges).select(F.col("node").alias("sig"), F.col("root").alias("token")).join(wanted.select("sig", "n"), "sig")
-        dealt = _dealt(_labelled(family, roots), True)
+        dealt = _dealt(materialize(_labelled(family, roots), "near-family"), True)
         mixed = dealt.groupBy("token", "x", "y").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
         dealt = materialize(dealt.join(mixed.select("token", "x", "y"), ["token", "x", "y"], "left_semi"), "near-families")
         fresh = linked(dealt.select("token", "x", "y", "sig", "label"))
