@@ -16,10 +16,11 @@ SHARDS = 24
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages that the labelled ones are in."""
-    sample = lang_id.labelled(docs)
-    model = lang_id.fit_sample(sample)
-    return lang_id.keep_determined(docs, model, lang_id.typical_level(sample, model))
+    """Documents in one of the languages that the labelled ones, all of which are
+    learned from, are in."""
+    known = lang_id.labelled(docs)
+    model = lang_id.fit_labelled(known)
+    return lang_id.keep_determined(docs, model, lang_id.typical_level(known, model))
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,8 +17,6 @@ UNDETERMINED = "und"
 #: n-grams of 1 to 3 characters share so many counters
 BITS = 15
 ORDERS = (1, 2, 3)
-#: labelled documents that the model is fitted on, at most (chosen by a hash of the id)
-FIT_DOCS = 6_000
 #: added to each count
 SMOOTHING = 0.5
 #: for the score, not the choice, evidence of a text of this many n-grams or more counts as of so
@@ -29,7 +27,11 @@ EVIDENCE = 200
 #: which says less, may be as much further below as SHORT is more than they are
 MARGIN, SHORT = 3.5, 20
 #: bytes of text that a task scores at a time; its n-grams take some hundred times that
-SCORE_BYTES = 1 << 20
+SCORE_BYTES = 1 << 17
+#: languages whose counters a task holds at a time
+COUNTED_LANGS = 64
+#: parts of the range of all values that are counted in one round on the way to their median
+BINS = 1 << 10
 
 
 @dataclass
@@ -71,42 +73,47 @@ def grams(texts: list[str], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, gram, n) of a task's texts, summed within each chunk of text."""
+    """(lang, gram, n) of a task's texts, summed within the task."""
+    totals: dict[str, np.ndarray] = {}
+
+    def summed() -> Iterator[pa.RecordBatch]:
+        for lang, total in totals.items():
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(total[at])], ["lang", "gram", "n"]
+            )
+        totals.clear()
+
     for b in chunks(batches, "text", SCORE_BYTES):
         langs = b.column("lang").to_pylist()
         texts = b.column("text").to_pylist()
         for lang in sorted(set(langs)):
-            total = np.zeros(1 << BITS, np.int64)
+            if lang not in totals and len(totals) == COUNTED_LANGS:
+                yield from summed()
+            total = totals.setdefault(lang, np.zeros(1 << BITS, np.int64))
             for g, _ in grams([t for t, x in zip(texts, langs) if x == lang], BITS):
                 total += np.bincount(g, minlength=1 << BITS)
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(total[at])], ["lang", "gram", "n"]
-            )
+    yield from summed()
 
 
-def labelled(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str = "text", max_docs: int = FIT_DOCS) -> DataFrame:
-    """(h, lang, text) of rows with text and language, `max_docs` of them at most,
-    chosen by a hash of the id; stored once."""
+def labelled(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
+    """(lang, text) of all rows with text and language."""
     known = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    picked = known.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.xxhash64(doc_id).alias("h"))
-    picked = picked.orderBy("h", "id", "lang").limit(max_docs).select("h").distinct()
-    sample = known.select(F.xxhash64(doc_id).alias("h"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    return materialize(sample.join(F.broadcast(picked), "h"), "language-sample")  # max_docs numbers
+    return known.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
 
 
-def fit(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str = "text", max_docs: int = FIT_DOCS) -> Model:
-    """A model from the `labelled` rows of `docs`."""
-    return fit_sample(labelled(docs, lang, doc_id, text, max_docs))
+def fit(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
+    """A model from all rows of `docs` with text and language, which are read twice."""
+    return fit_labelled(labelled(docs, lang, text))
 
 
-def fit_sample(sample: DataFrame) -> Model:
-    """A model from `labelled` rows. Its size is languages times 2^BITS
+def fit_labelled(known: DataFrame) -> Model:
+    """A model from all `labelled` rows. Its size is languages times 2^BITS
     counters. Without any row it knows no language and calls every text undetermined."""
-    prior = {r["lang"]: r["n"] for r in sample.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    prior = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(prior)
     counts = np.full((1 << BITS, len(langs)), SMOOTHING)
-    summed = sample.select("lang", "text").mapInArrow(_count, "lang string, gram int, n long")
+    summed = known.select("lang", "text").mapInArrow(_count, "lang string, gram int, n long")
     table = summed.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()  # languages times 2^BITS rows
     place = {x: i for i, x in enumerate(langs)}
     counts[table["gram"].to_numpy(), [place[x] for x in table["lang"].to_pylist()]] += table["n"].to_numpy()
@@ -115,6 +122,9 @@ def fit_sample(sample: DataFrame) -> Model:
     return Model(langs, weights, np.log(seen / seen.sum()) if langs else seen)
 
 
+fit_sample = fit_labelled  # the name in use before
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
@@ -168,10 +178,34 @@ def in_language(texts: list[str | None], model: Model, level: float) -> list[boo
     return kept
 
 
-def typical_level(sample: DataFrame, model: Model) -> float:
-    """The median over `labelled` rows of a text's mean n-gram log-probability
+def exact_median(values: DataFrame) -> float | None:
+    """The median of the doubles `m`, none of them null, that `values`, cheap to read, holds;
+    null without any. Each round counts them in BINS parts of the range that the
+    middle ones are in, so neither a task nor the driver holds more than BINS rows."""
+    low, high, below = None, None, 0
+    while True:
+        if low is None:
+            total, low, high = values.agg(F.count("m"), F.min("m"), F.max("m")).first()
+            if not total:
+                return None
+            ranks = (total - 1) // 2, total // 2
+        if low == high:
+            return low
+        part = F.floor((F.col("m") - low) / (high - low) * (BINS - 1)).alias("part")
+        inside = values.where(F.col("m").between(low, high)).groupBy(part)
+        parts = inside.agg(F.count("m").alias("n"), F.min("m").alias("low"), F.max("m").alias("high")).orderBy("part").collect()
+        ends = below + np.cumsum([r["n"] for r in parts])
+        first, last = (int(np.searchsorted(ends, rank, side="right")) for rank in ranks)
+        if first != last:
+            return (parts[first]["high"] + parts[last]["low"]) / 2
+        low, high = parts[first]["low"], parts[first]["high"]
+        below = int(ends[first]) - parts[first]["n"]
+
+
+def typical_level(known: DataFrame, model: Model) -> float:
+    """The median over all `labelled` rows of a text's mean n-gram log-probability
     under its best language; without a language nothing is below it."""
-    shared = Shared(sample.sparkSession, model)
+    shared = Shared(known.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text", SCORE_BYTES):
@@ -181,7 +215,7 @@ def typical_level(sample: DataFrame, model: Model) -> float:
 
     if not model.langs:
         return -np.inf
-    found = sample.select("text").mapInArrow(run, "m double").agg(F.median("m").alias("m")).first()["m"]
+    found = exact_median(materialize(known.select("text").mapInArrow(run, "m double"), "language-levels"))
     return -np.inf if found is None else found
 
 

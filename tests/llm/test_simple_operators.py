@@ -56,6 +56,33 @@ def test_languages(spark):
     assert {r.lang_pred for r in lang_id.identify(frame(spark, ODD), nothing).collect()} == {"und"}
 
 
+def test_every_labelled_text_is_learned_from(spark):
+    """One language is that of a single text among 6,500; counters are handed on when languages are many."""
+    rows = [(i, f"the word{i % 7}", "en", None) for i in range(6_500)] + [(-i, f"le {k}", f"l{i}", None) for i, k in enumerate("abc", 1)]
+    known = lang_id.labelled(frame(spark, rows))
+    assert known.count() == len(rows)
+    model = lang_id.fit(frame(spark, rows))
+    assert model.langs == ["en", "l1", "l2", "l3"]
+    np.testing.assert_allclose(np.exp(model.prior), [6_500 / 6_503] + [1 / 6_503] * 3)
+
+
+def test_more_languages_than_a_task_counts_at_a_time(spark, monkeypatch):
+    rows = [(i, f"{s} {i % 3}", k, None) for i in range(4) for k, s in SPEECH.items()]
+    want = lang_id.fit(frame(spark, rows)).weights
+    monkeypatch.setattr(lang_id, "COUNTED_LANGS", 1)
+    monkeypatch.setattr(lang_id, "SCORE_BYTES", 100)
+    np.testing.assert_array_equal(lang_id.fit(frame(spark, rows)).weights, want)
+
+
+@pytest.mark.parametrize("bins", [2, 3, 1024])
+def test_medians_of_any_number_of_values(spark, monkeypatch, bins):
+    monkeypatch.setattr(lang_id, "BINS", bins)
+    rnd = np.random.default_rng(2)
+    for values in ([], [3.0], [1.0, 2.0], [1.0, 1.0, 7.0], [-5.0] * 4 + [2.0] * 4, [0.0, 1.0, 1.0, 1.5, 9e9], (-rnd.pareto(1, 40)).round(1).tolist()):
+        got = lang_id.exact_median(spark.createDataFrame([(v,) for v in values], "m double"))
+        assert got == (np.median(values) if values else None)
+
+
 def test_texts_in_no_known_language_go(spark):
     rnd = np.random.default_rng(1)
     letters = "".join(rnd.choice(list("abcdefghijklmnopqrstuvwxyz   "), 400))
