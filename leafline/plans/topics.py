@@ -25,6 +25,8 @@ ALPHA, BETA = 0.1, 1.0
 PARTS = 1 << 20
 # words of the bags that one task reads at once; small inputs are still cut for a few tasks
 BLOCK_WORDS, SMALL_BLOCK, FEW = 1 << 20, 1 << 14, 8
+# words of a block that are worked on at a time, so that its numbers stay in a core's cache
+STEP_WORDS = 1 << 15
 BAG_KEY = ("d1", "d2")
 
 
@@ -35,15 +37,39 @@ def bag_key() -> list[Column]:
 
 def _bags(kept: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(bags, needs): each distinct bag once, with its number of comments, in blocks
-    of about BLOCK_WORDS words; and the words that each block has."""
+    of about BLOCK_WORDS words; and the words that each block has. A bag names its
+    words by their places among its block's words in order, found once for all passes."""
     once = kept.groupBy(*bag_key()).agg(F.any_value("bag").alias("bag"), F.count(F.lit(1)).alias("m"))
     words = F.transform("bag", lambda x: F.xxhash64(x.term))
-    counts = F.transform("bag", lambda x: x.n.cast("double"))
+    counts = F.transform("bag", lambda x: x.n.cast("float"))
     once = materialize(once.select(*BAG_KEY, "m", words.alias("w"), counts.alias("n")), "bags")
     total = once.agg(F.sum(F.size("w"))).first()[0]
     blocks = max(-(-total // BLOCK_WORDS), min(FEW, -(-total // SMALL_BLOCK)))
-    bags = once.withColumn("block", F.pmod("d1", F.lit(blocks)))
-    return bags, materialize(bags.select("block", F.explode("w").alias("w")).distinct(), "block-words")
+    in_blocks = once.withColumn("block", F.pmod("d1", F.lit(blocks))).groupBy("block")
+    schema = "block long, d1 long, d2 int, m long, at array<int>, n array<float>, words array<long>"
+    placed = materialize(in_blocks.applyInArrow(_places(), schema), "blocks")
+    needs = placed.where("words IS NOT NULL").select("block", F.explode("words").alias("w"))
+    return placed.where("words IS NULL").drop("words"), materialize(needs, "block-words")
+
+
+def _places() -> Callable:
+    """The bags of a block with their words' places, and one row with its words in order."""
+
+    def run(bags):
+        import numpy as np
+        import pyarrow as pa
+
+        bags = bags.combine_chunks()
+        w = bags["w"].chunk(0)
+        words, at = np.unique(w.flatten().to_numpy(), return_inverse=True)
+        ends = np.concatenate([[0], np.cumsum(w.value_lengths().to_numpy())])
+        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(at.ravel().astype(np.int32)))
+        cols = {c: bags[c].chunk(0) for c in ("block", "d1", "d2", "m")} | {"at": lists, "n": bags["n"].chunk(0)}
+        rows = {c: pa.concat_arrays([v, pa.nulls(1, v.type)]) for c, v in cols.items()}
+        rows["block"] = pa.concat_arrays([cols["block"], cols["block"][:1]])
+        return pa.table(rows | {"words": pa.array([None] * len(w) + [words], pa.list_(pa.int64()))})
+
+    return run
 
 
 def _pass(totals: list[list[float]], n_words: int, shares: bool) -> Callable:
@@ -51,7 +77,7 @@ def _pass(totals: list[list[float]], n_words: int, shares: bool) -> Callable:
     other for each start and topic: topic shares of each bag, then either those, or
     the sums of topic shares for each word. A row without a word holds the
     log-likelihood of each start, at the start's first topic."""
-    alpha, beta, inner, parts = ALPHA, BETA, INNER, PARTS
+    alpha, beta, inner, parts, step = ALPHA, BETA, INNER, PARTS, STEP_WORDS
 
     def run(bags, words):
         import numpy as np
@@ -59,35 +85,49 @@ def _pass(totals: list[list[float]], n_words: int, shares: bool) -> Callable:
         import pyarrow.compute as pc
 
         k = len(totals[0])
-        size = pc.list_value_length(bags["w"]).to_numpy()
-        begin = np.concatenate([[0], np.cumsum(size)[:-1]])
-        flat = np.concatenate([c.flatten().to_numpy() for c in bags["w"].chunks])
-        n = np.concatenate([c.flatten().to_numpy() for c in bags["n"].chunks])[:, None].astype(np.float32)
-        times = np.repeat(bags["m"].to_numpy(), size)[:, None] * n.astype(float)
+        size = pc.list_value_length(bags["at"]).to_numpy()
+        ends = np.cumsum(size, dtype=np.int64)
+        at = np.concatenate([c.flatten().to_numpy() for c in bags["at"].chunks])
+        n = np.concatenate([c.flatten().to_numpy() for c in bags["n"].chunks])
         ids = words["w"].to_numpy()
         order = np.argsort(ids)
-        at = order[np.searchsorted(ids, flat, sorter=order)]
-        weights = np.concatenate([c.flatten().to_numpy() for c in words["s"].chunks]).reshape(len(ids), -1)
-        sums = np.zeros((len(ids) + 1, weights.shape[1]), dtype=np.int64)
+        ids = ids[order]
+        weights = np.concatenate([c.flatten().to_numpy() for c in words["s"].chunks]).reshape(len(ids), -1)[order].T
+        times = np.repeat(bags["m"].to_numpy(), size) * n.astype(float)
+        cuts = [0]
+        while cuts[-1] < len(size):
+            done = ends[cuts[-1] - 1] if cuts[-1] else 0
+            cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, done + step, side="right"))))
+        all_shares = np.empty((k, len(size)), dtype=np.float32)
+        sums = np.zeros((len(weights), len(ids) + 1), dtype=np.int64)
+        counted = np.empty((k, len(at)))
         for start, total in enumerate(totals):
             own = slice(start * k, start * k + k)
-            p = ((weights[:, own] + beta) / (np.array(total) + beta * n_words) * n_words).astype(np.float32)[at]
-            share = np.full((len(size), k), 1.0 / k, dtype=np.float32)
-            for _ in range(inner):
-                part = np.repeat(share, size, axis=0) * p
-                part /= part.sum(axis=1, keepdims=True)
-                share = np.add.reduceat(part * n, begin) + alpha
-                share /= share.sum(axis=1, keepdims=True)
+            by_word = ((weights[own] + beta) / (np.array(total)[:, None] + beta * n_words) * n_words).astype(np.float32)
+            for b, e in zip(cuts, cuts[1:]):
+                of = slice(ends[b] - size[b], ends[e - 1])
+                begin, length = ends[b:e] - size[b:e] - of.start, size[b:e]
+                p = by_word[:, at[of]]
+                share = np.full((k, e - b), 1.0 / k, dtype=np.float32)
+                for _ in range(inner):
+                    part = np.repeat(share, length, axis=1) * p
+                    part /= part.sum(axis=0)
+                    share = np.add.reduceat(part * n[of], begin, axis=1) + alpha
+                    share /= share.sum(axis=0)
+                if shares:
+                    all_shares[:, b:e] = share
+                    continue
+                likely = np.log((np.repeat(share, length, axis=1) * p).sum(axis=0))
+                np.rint(part * (times[of] * parts), out=counted[:, of])
+                sums[own.start, -1] += int(np.rint(likely * (times[of] * parts)).sum())
             if shares:
-                rows = pa.FixedSizeListArray.from_arrays(share.ravel().astype(float), k).cast(pa.list_(pa.float64()))
+                flat = all_shares.T.ravel().astype(float)
+                rows = pa.FixedSizeListArray.from_arrays(flat, k).cast(pa.list_(pa.float64()))
                 return pa.table({"d1": bags["d1"], "d2": bags["d2"], "share": rows})
-            likely = np.log((np.repeat(share, size, axis=0) * p).sum(axis=1, keepdims=True))
-            part = np.rint(part * (times * parts))
             for i in range(k):
-                sums[:-1, own.start + i] = np.bincount(at, weights=part[:, i], minlength=len(ids))
-            sums[-1, own.start] = np.rint(likely * (times * parts)).sum()
+                sums[own.start + i, :-1] = np.bincount(at, weights=counted[i], minlength=len(ids))
         columns = {"w": pa.concat_arrays([pa.array(ids), pa.nulls(1, pa.int64())])}
-        return pa.table(columns | {f"s{i}": c for i, c in enumerate(sums.T)})
+        return pa.table(columns | {f"s{i}": c for i, c in enumerate(sums)})
 
     return run
 
