@@ -106,9 +106,10 @@ def _found(rows: DataFrame, side: DataFrame, keys: list[str], value: str, crowde
     instead, so that no task gets all rows of such a key."""
     few = crowded.join(side, keys, "left").select(*keys, F.col(value).alias("__few"), F.lit(True).alias("__known"))
     plain = [c for c, kind in rows.dtypes if not kind.startswith(("array", "map", "struct", "variant"))]
-    salt = F.when(F.col("__known"), 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(1 << 20))).otherwise(F.lit(0).cast("long"))
+    by_key = F.xxhash64(*keys)  # no constant: Spark would make it a filter, and deal rows out by `keys` alone
+    salt = F.when(F.col("__known"), F.xxhash64(*[F.col(f"`{c}`") for c in plain])).otherwise(by_key)
     out = rows.join(F.broadcast(few), keys, "left").withColumn("__salt", salt)
-    out = out.join(side.select(*keys, value, F.lit(0).cast("long").alias("__salt")), [*keys, "__salt"], "left")
+    out = out.join(side.select(*keys, value, by_key.alias("__salt")), [*keys, "__salt"], "left")
     return out.withColumn(value, F.when(F.col("__known"), F.col("__few")).otherwise(F.col(value))).drop("__few", "__known", "__salt")
 
 
