@@ -16,6 +16,21 @@ BLOCK = 64  # words that share a class of the output
 PIECE = 1 << 14  # parameters updated at a time, so that they stay in the cache
 
 
+class Scratch:
+    """Arrays that are used again and again, by name: new ones for every window may be
+    handed back to the system each time, which then clears them again."""
+
+    def __init__(self) -> None:
+        self.kept: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, shape: tuple[int, ...], kind: type = np.float32) -> np.ndarray:
+        size = int(np.prod(shape))
+        found = self.kept.get(name)
+        if found is None or len(found) < size or found.dtype != kind:
+            found = self.kept[name] = np.empty(size, kind)
+        return found[:size].reshape(shape)
+
+
 @dataclass
 class Shape:
     head: int  # words with an id of their own, a multiple of BLOCK
@@ -71,13 +86,18 @@ def step(p: dict, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     return fresh + keep * (h - fresh), h, keep, reset, fresh, past[:, 2 * width :]
 
 
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    """As `x.sum(axis=1)`, which takes five times as long on short rows."""
+    return x @ np.ones(x.shape[1], x.dtype)
+
+
 def _log_share(x: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log-softmax of each row at its target; `x` is used up."""
     top = x.max(axis=1, keepdims=True)
     x -= top
     hit = x[np.arange(len(x)), target]
     np.exp(x, out=x)
-    return hit - np.log(x.sum(axis=1))
+    return hit - np.log(_row_sums(x))
 
 
 def log_prob(p: dict, shape: Shape, h: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -108,14 +128,14 @@ def _softmax_loss(x: np.ndarray, target: np.ndarray, n: float) -> float:
     x -= x.max(axis=1, keepdims=True)
     hit = x[at, target].sum()
     np.exp(x, out=x)
-    total = x.sum(axis=1, keepdims=True)
+    total = _row_sums(x)[:, None]
     x /= total * n
     x[at, target] -= 1 / n
     return float(np.log(total).sum() - hit)
 
 
 def window_gradients(
-    p: dict, shape: Shape, x: np.ndarray, y: np.ndarray, h: np.ndarray, g: dict | None = None
+    p: dict, shape: Shape, x: np.ndarray, y: np.ndarray, h: np.ndarray, g: dict | None = None, some: Scratch | None = None
 ) -> tuple[dict, np.ndarray, float]:
     """Gradients of the mean log loss over one window (steps, lanes), cut off at
     its first step, with the state at its end and the loss. They are put into
@@ -124,12 +144,14 @@ def window_gradients(
     width, real = shape.hidden, p["in"].dtype
     if g is None:
         g = {k: np.empty_like(v) for k, v in p.items()}
+    some = some or Scratch()
     # forward, as `step`, with each step's values kept
-    given = p["in"][x] + p["bias"]
+    given = np.take(p["in"], x, axis=0, out=some("given", (steps, lanes, 3 * width), real), mode="clip")
+    given += p["bias"]
     live = (x != 0).astype(real)[:, :, None]
     whole = live.all(axis=(1, 2))
-    before, states, fresh, pasts = (np.empty((steps, lanes, width), real) for _ in range(4))
-    gates = np.empty((steps, lanes, 2 * width), real)
+    before, states, fresh, pasts = some("steps", (4, steps, lanes, width), real)
+    gates = some("gates", (steps, lanes, 2 * width), real)
     for t in range(steps):
         h = h if whole[t] else h * live[t]
         before[t] = h
@@ -152,36 +174,45 @@ def window_gradients(
     flat, target = states.reshape(-1, width), y.reshape(-1)
     kind, place = shape.split(target)
     n = real.type(len(target))
-    d = flat @ p["out"]
+    d = np.matmul(flat, p["out"], out=some("classes", (len(flat), shape.classes), real))
     d += p["out_bias"]
     loss = _softmax_loss(d, kind, n)
-    g["out"][:], g["out_bias"][:] = flat.T @ d, d.sum(axis=0)
-    d_states = d @ p["out"].T
+    np.matmul(flat.T, d, out=g["out"])
+    np.matmul(np.ones(len(d), real), d, out=g["out_bias"])
+    d_states = np.matmul(d, p["out"].T, out=some("d_states", flat.shape, real))
     g["word"][:], g["word_bias"][:] = 0, 0
     blocks = list(_by_block(kind, place))
     if blocks:
         rows = np.concatenate([r for _, r in blocks])
         ends = np.cumsum([0, *[len(r) for _, r in blocks]])
         parts = [(c, slice(i, j)) for (c, _), i, j in zip(blocks, ends, ends[1:])]
-        inside, place = flat[rows], place[rows]
-        d = np.empty((len(rows), BLOCK), real)
+        inside = np.take(flat, rows, axis=0, out=some("inside", (len(rows), width), real), mode="clip")
+        place = place[rows]
+        d = some("words", (len(rows), BLOCK), real)
         for c, part in parts:
             np.matmul(inside[part], p["word"][c], out=d[part])
             d[part] += p["word_bias"][c]
         loss += _softmax_loss(d, place, n)
-        back = np.empty_like(inside)
+        back = some("back", inside.shape, real)
         for c, part in parts:
             np.matmul(inside[part].T, d[part], out=g["word"][c])
             np.matmul(d[part], p["word"][c].T, out=back[part])
         g["word_bias"][[c for c, _ in parts]] = np.add.reduceat(d, ends[:-1], axis=0)
-        d_states[rows] += back
+        d_states[rows] += back  # each row once
     # backward: factors that do not depend on the gradient are made for all steps at once
     d_states = d_states.reshape(steps, lanes, width)
     keep, reset = gates[:, :, :width], gates[:, :, width:]
-    to_fresh = (1 - keep) * (1 - fresh * fresh)
-    to_keep = (before - fresh) * keep * (1 - keep)
-    to_reset = pasts * reset * (1 - reset)
-    d_given, d_past = np.empty((2, steps, lanes, 3 * width), real)
+    to_fresh, to_keep, to_reset, rest = some("factors", (4, steps, lanes, width), real)
+    np.subtract(1, keep, out=rest)
+    np.multiply(fresh, fresh, out=to_fresh)
+    np.subtract(1, to_fresh, out=to_fresh)
+    to_fresh *= rest
+    np.subtract(before, fresh, out=to_keep)
+    to_keep *= keep
+    to_keep *= rest
+    np.multiply(pasts, reset, out=to_reset)
+    to_reset *= np.subtract(1, reset, out=rest)
+    d_given, d_past = some("d_given", (2, steps, lanes, 3 * width), real)
     back, rec = np.zeros((lanes, width), real), np.ascontiguousarray(p["rec"].T)
     for t in reversed(range(steps)):
         back += d_states[t]
@@ -196,13 +227,14 @@ def window_gradients(
         if not whole[t]:
             back *= live[t]
     d_given = d_given.reshape(-1, 3 * width)
-    g["rec"][:] = before.reshape(-1, width).T @ d_past.reshape(-1, 3 * width)
-    g["bias"][:] = d_given.sum(axis=0)
-    order = np.argsort(x, axis=None, kind="stable")
+    np.matmul(before.reshape(-1, width).T, d_past.reshape(-1, 3 * width), out=g["rec"])
+    np.matmul(np.ones(len(d_given), real), d_given, out=g["bias"])
+    order = np.argsort(x.astype(np.uint16 if len(p["in"]) < 1 << 16 else np.int64), axis=None, kind="stable")  # a radix sort if it may
     seen = x.reshape(-1)[order]
     first = np.flatnonzero(np.diff(seen, prepend=-1))
     g["in"][:] = 0
-    g["in"][seen[first]] = np.add.reduceat(d_given[order], first, axis=0)
+    sorted_d = np.take(d_given, order, axis=0, out=given.reshape(d_given.shape), mode="clip")
+    g["in"][seen[first]] = np.add.reduceat(sorted_d, first, axis=0, out=some("in", (len(first), 3 * width), real))
     return g, h, float(loss / n)
 
 
@@ -233,7 +265,7 @@ def train(p: dict, shape: Shape, stream: np.ndarray, lanes: int, window: int, ra
     values = np.concatenate([v.reshape(-1) for v in p.values()])
     p = _views(values, p)
     m, v, d = (np.zeros_like(values) for _ in range(3))
-    g, some = _views(d, p), np.empty(PIECE, values.dtype)
+    g, some, kept = _views(d, p), np.empty(PIECE, values.dtype), Scratch()
     lanes = max(1, min(lanes, (len(stream) - 1) // window))
     steps = (len(stream) - 1) // lanes
     if steps < 1:
@@ -242,7 +274,7 @@ def train(p: dict, shape: Shape, stream: np.ndarray, lanes: int, window: int, ra
     y = stream[1 : lanes * steps + 1].reshape(lanes, steps).T
     h = np.zeros((lanes, shape.hidden), np.float32)
     for k, t in enumerate(range(0, steps, window), 1):
-        _, h, _ = window_gradients(p, shape, x[t : t + window], y[t : t + window], h, g)
+        _, h, _ = window_gradients(p, shape, x[t : t + window], y[t : t + window], h, g, kept)
         clip = np.float32(min(1.0, 1.0 / (np.sqrt(float(d @ d)) + 1e-9)))
         for i in range(0, len(values), PIECE):
             _adam(*(z[i : i + PIECE] for z in (values, m, v, d)), some[: len(values) - i], clip, rate, k)

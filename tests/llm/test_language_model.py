@@ -179,3 +179,19 @@ def test_odd_rows(spark):
     model, counts = LM.fit(empty(spark), shape=SMALL)
     rows = LM.score_documents(frame(spark, ODD), model, counts).collect()
     assert ids(rows) == ALL and all(r.n_known == 0 and r.train_tokens == 0 and np.isfinite(r.base_score) for r in rows)
+
+
+def test_windows_share_their_arrays():
+    """Gradients do not depend on what an earlier window left in the scratch arrays, which later windows use again."""
+    shape = gru.Shape(128, 8, 6)
+    rng = np.random.default_rng(3)
+    p = gru.start(shape, rng.random(137) + 0.1, 1)
+    some, h, kept = gru.Scratch(), np.zeros((4, 6), np.float32), {}
+    for turn, steps in enumerate((9, 5, 9)):
+        x, y = rng.integers(0, 137, (2, steps, 4))
+        got, new, loss = gru.window_gradients(p, shape, x, y, h, some=some)
+        want, same, alone = gru.window_gradients(p, shape, x, y, h)
+        assert all((got[k] == want[k]).all() for k in p) and (new == same).all() and loss == alone
+        before, kept = kept, dict(some.kept)
+        assert turn == 0 or all(kept[k] is before[k] for k in ("given", "steps", "gates", "classes", "d_given"))
+        h = new
