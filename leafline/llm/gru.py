@@ -2,18 +2,20 @@
 
 Token ids: 0 is the end of a text, ids up to `head` are words that the network
 tells apart, and each further id is a class of rarer words. An output is first
-a class (the end, a block of words, or a class of rarer words), then a word of
-its block.
+the end, a block of words or the rarer words as one, then a word of its block or
+a class of rarer words. The last row of output weights is their bias.
 """
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass
 
 import numpy as np
 
 BLOCK = 64  # words that share a class of the output
 PIECE = 1 << 14  # parameters updated at a time, so that they stay in the cache
+SIDE = 256  # texts scored side by side
 
 
 class Scratch:
@@ -43,13 +45,23 @@ class Shape:
 
     @property
     def classes(self) -> int:
-        return 1 + self.blocks + self.tail
+        return 2 + self.blocks
+
+    @property
+    def id_type(self) -> type:
+        return np.uint16 if self.head + self.tail < 1 << 16 else np.uint32
 
     def split(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(class, place in its block or -1) of target ids."""
-        word = (ids > 0) & (ids <= self.head)
-        kind = np.where(word, 1 + (ids - 1) // BLOCK, np.where(ids == 0, 0, ids - self.head + self.blocks))
-        return kind, np.where(word, (ids - 1) % BLOCK, -1)
+        """(class, place among the words or rarer words of that class, or -1) of target ids."""
+        words, tail = np.arange(self.head), np.arange(self.tail)
+        short = np.uint16 if self.classes < 1 << 16 else np.int64  # short ones are sorted by radix
+        kind = np.concatenate([[0], 1 + words // BLOCK, np.full(self.tail, 1 + self.blocks)]).astype(short)
+        return kind[ids], np.concatenate([[-1], words % BLOCK, tail])[ids]
+
+
+def _log_sum(logs: np.ndarray) -> np.ndarray:
+    top = logs.max(axis=-1, initial=-99.0, keepdims=True)
+    return top[..., 0] + np.log(np.exp(logs - top).sum(axis=-1))
 
 
 def start(shape: Shape, mass: np.ndarray, seed: int) -> dict[str, np.ndarray]:
@@ -57,18 +69,19 @@ def start(shape: Shape, mass: np.ndarray, seed: int) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     h, draw = shape.hidden, lambda *s: (rng.standard_normal(s) * 0.1).astype(np.float32)
     logs = np.log(mass / mass.sum()).astype(np.float32)
-    words = logs[1 : shape.head + 1].reshape(shape.blocks, BLOCK)
-    peak = words.max(axis=1, initial=-99.0) if shape.blocks else np.zeros(0)
-    block = peak + np.log(np.exp(words - peak[:, None]).sum(axis=1)) if shape.blocks else np.zeros(0)
-    return {
-        "in": draw(1 + shape.head + shape.tail, 3 * h),
-        "rec": (rng.standard_normal((h, 3 * h)) / np.sqrt(h)).astype(np.float32),
-        "bias": np.concatenate([np.ones(h), np.zeros(2 * h)]).astype(np.float32),  # begins by keeping its state
-        "out": draw(h, shape.classes) * 0.1,
-        "out_bias": np.concatenate([logs[:1], block, logs[shape.head + 1 :]]).astype(np.float32),
-        "word": draw(shape.blocks, h, BLOCK) * 0.1,
-        "word_bias": words.copy(),
+    words, tail = logs[1 : shape.head + 1].reshape(shape.blocks, BLOCK), logs[shape.head + 1 :]
+    p = {
+        # of the gate that keeps, of the reset and of the new state
+        "in": draw(3, 1 + shape.head + shape.tail, h),
+        "rec": (rng.standard_normal((3, h, h)) / np.sqrt(h)).astype(np.float32),
+        "bias": np.repeat(np.float32([1, 0, 0]), h).reshape(3, 1, h),  # begins by keeping its state
+        "out": draw(h + 1, shape.classes) * np.float32(0.1),
+        "word": draw(shape.blocks, h + 1, BLOCK) * np.float32(0.1),
+        "tail": draw(h + 1, shape.tail) * np.float32(0.1),
     }
+    p["out"][-1] = np.concatenate([logs[:1], _log_sum(words), [_log_sum(tail)]])
+    p["word"][:, -1], p["tail"][-1] = words, tail
+    return p
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -77,13 +90,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def step(p: dict, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     """One token for each lane; a lane at the start of a text forgets its state."""
-    width = h.shape[1]
     h = h * (x != 0)[:, None].astype(np.float32)
-    given, past = p["in"][x] + p["bias"], h @ p["rec"]
-    gates = _sigmoid(given[:, : 2 * width] + past[:, : 2 * width])
-    keep, reset = gates[:, :width], gates[:, width:]
-    fresh = np.tanh(given[:, 2 * width :] + reset * past[:, 2 * width :])
-    return fresh + keep * (h - fresh), h, keep, reset, fresh, past[:, 2 * width :]
+    given, past = p["in"][:, x] + p["bias"], h @ p["rec"]
+    keep, reset = _sigmoid(given[:2] + past[:2])
+    fresh = np.tanh(given[2] + reset * past[2])
+    return fresh + keep * (h - fresh), h, keep, reset, fresh, past[2]
 
 
 def _row_sums(x: np.ndarray) -> np.ndarray:
@@ -91,47 +102,104 @@ def _row_sums(x: np.ndarray) -> np.ndarray:
     return x @ np.ones(x.shape[1], x.dtype)
 
 
+def _in_range(x: np.ndarray) -> np.ndarray:
+    """Outputs less the top of their row, or as they are if no exponential is near infinite or 0."""
+    if not -80 < x.min(initial=0) <= x.max(initial=0) < 80:
+        x -= x.max(axis=1, keepdims=True)
+    return x
+
+
 def _log_share(x: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log-softmax of each row at its target; `x` is used up."""
-    top = x.max(axis=1, keepdims=True)
-    x -= top
-    hit = x[np.arange(len(x)), target]
+    hit = _in_range(x)[np.arange(len(x)), target]
     np.exp(x, out=x)
     return hit - np.log(_row_sums(x))
 
 
 def log_prob(p: dict, shape: Shape, h: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log-probability of each target id after each state."""
+    return _log_prob(p, shape, np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1), target, Scratch())
+
+
+def _log_prob(p: dict, shape: Shape, flat: np.ndarray, target: np.ndarray, some: Scratch) -> np.ndarray:
+    """As `log_prob`, for states that end in a one."""
     kind, place = shape.split(target)
-    x = h @ p["out"]
-    x += p["out_bias"]
-    out = _log_share(x, kind)
-    for c, rows in _by_block(kind, place):
-        x = h[rows] @ p["word"][c]
-        x += p["word_bias"][c]
-        out[rows] += _log_share(x, place[rows])
+    real = flat.dtype
+    words, parts, rare = _by_block(kind, shape.blocks)
+    out = _log_share(np.matmul(flat, p["out"], out=some("classes", (len(flat), shape.classes), real)), kind)
+    if len(words):
+        inside = np.take(flat, words, axis=0, out=some("inside", (len(words), flat.shape[1]), real), mode="clip")
+        d = some("words", (len(words), BLOCK), real)
+        for c, part in parts:
+            np.matmul(inside[part], p["word"][c], out=d[part])
+        out[words] += _log_share(d, place[words])
+    if len(rare):
+        out[rare] += _log_share(flat[rare] @ p["tail"], place[rare])
     return out
 
 
-def _by_block(kind: np.ndarray, place: np.ndarray):
-    words = np.flatnonzero(place >= 0)
-    words = words[np.argsort(kind[words], kind="stable")]
-    edges = np.flatnonzero(np.diff(kind[words])) + 1
-    for rows in np.split(words, edges):
-        if len(rows):
-            yield int(kind[rows[0]]) - 1, rows
+def _by_block(kind: np.ndarray, blocks: int) -> tuple[np.ndarray, list, np.ndarray]:
+    """(rows of words sorted by block, the slice of each block that has any, rows of rarer words)."""
+    order = np.argsort(kind, kind="stable")
+    at = np.searchsorted(kind[order], np.arange(1, blocks + 2))  # where each block and the rarer words begin
+    parts = [(c, slice(i - at[0], j - at[0])) for c, (i, j) in enumerate(zip(at, at[1:])) if j > i]
+    return order[at[0] : at[-1]], parts, order[at[-1] :]
 
 
 def _softmax_loss(x: np.ndarray, target: np.ndarray, n: float) -> float:
     """The sum of the rows' log losses; `x` becomes their gradient, over `n`."""
     at = np.arange(len(x))
-    x -= x.max(axis=1, keepdims=True)
-    hit = x[at, target].sum()
+    hit = _in_range(x)[at, target].sum()
     np.exp(x, out=x)
-    total = _row_sums(x)[:, None]
-    x /= total * n
+    total = _row_sums(x)
+    loss = float(np.log(total).sum() - hit)
+    x *= (1 / (total * n))[:, None]
     x[at, target] -= 1 / n
-    return float(np.log(total).sum() - hit)
+    return loss
+
+
+def _inputs(p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(weights of each id with the bias, recurrent weights); the reset's are negated, for `_forward`."""
+    given, rec = p["in"] + p["bias"], p["rec"].copy()
+    for x in (given[1], rec[1]):
+        np.negative(x, out=x)
+    return given, rec
+
+
+def _forward(weights: tuple, x: np.ndarray, h: np.ndarray, some: Scratch) -> tuple[np.ndarray, ...]:
+    """As `step`, over all steps of x (steps, lanes): (states before each step, new states, gates,
+    states after each step). Of `gates` the first is 1 less the share that is kept, the second
+    the reset and the last what the past gives. States after a step end in a one."""
+    table, rec = weights
+    (steps, lanes), width, real = x.shape, table.shape[2], table.dtype
+    given = some("given", (3, steps, lanes, width), real)
+    for part, out in zip(table, given):
+        np.take(part, x, axis=0, out=out, mode="clip")
+    before, fresh, after = some("steps", (3, steps, lanes, width), real)
+    gates, states = some("gates", (3, steps, lanes, width), real), some("states", (steps, lanes, width + 1), real)
+    move, one = some("move", (lanes, width), real), real.type(1)
+    live = (x != 0).astype(real)[:, :, None]
+    whole = live.all(axis=(1, 2))
+    with np.errstate(over="ignore"):  # a gate of 1 / inf is closed
+        for t in range(steps):
+            if whole[t]:
+                before[t] = h
+            else:
+                np.multiply(h, live[t], out=before[t])
+            h, new, now = before[t], fresh[t], gates[:2, t]
+            np.matmul(h, rec, out=gates[:, t])
+            now += given[:2, t]
+            np.exp(now, out=now)
+            now += one
+            np.divide(one, now, out=now)
+            np.multiply(now[1], gates[2, t], out=new)
+            new += given[2, t]
+            np.tanh(new, out=new)
+            np.subtract(new, h, out=move)
+            move *= now[0]
+            h = np.add(h, move, out=after[t])
+    states[:, :, :width], states[:, :, width] = after, 1
+    return before, fresh, gates, states
 
 
 def window_gradients(
@@ -145,97 +213,77 @@ def window_gradients(
     if g is None:
         g = {k: np.empty_like(v) for k, v in p.items()}
     some = some or Scratch()
-    # forward, as `step`, with each step's values kept
-    given = np.take(p["in"], x, axis=0, out=some("given", (steps, lanes, 3 * width), real), mode="clip")
-    given += p["bias"]
-    live = (x != 0).astype(real)[:, :, None]
-    whole = live.all(axis=(1, 2))
-    before, states, fresh, pasts = some("steps", (4, steps, lanes, width), real)
-    gates = some("gates", (steps, lanes, 2 * width), real)
-    for t in range(steps):
-        h = h if whole[t] else h * live[t]
-        before[t] = h
-        past = h @ p["rec"]
-        now = gates[t]
-        np.add(given[t, :, : 2 * width], past[:, : 2 * width], out=now)
-        now *= real.type(0.5)
-        np.tanh(now, out=now)
-        now *= real.type(0.5)
-        now += real.type(0.5)
-        pasts[t] = past[:, 2 * width :]
-        new = now[:, width:] * pasts[t]
-        new += given[t, :, 2 * width :]
-        np.tanh(new, out=fresh[t])
-        h = h - fresh[t]
-        h *= now[:, :width]
-        h += fresh[t]
-        states[t] = h
-    # the output: classes of all, then words of each block, sorted by block
-    flat, target = states.reshape(-1, width), y.reshape(-1)
+    before, fresh, gates, states = _forward(_inputs(p), x, h, some)
+    # the output: classes of all, then words of each block, sorted by block, and rarer words
+    flat, target = states.reshape(-1, width + 1), y.reshape(-1)
     kind, place = shape.split(target)
+    words, parts, rare = _by_block(kind, shape.blocks)
     n = real.type(len(target))
     d = np.matmul(flat, p["out"], out=some("classes", (len(flat), shape.classes), real))
-    d += p["out_bias"]
     loss = _softmax_loss(d, kind, n)
     np.matmul(flat.T, d, out=g["out"])
-    np.matmul(np.ones(len(d), real), d, out=g["out_bias"])
-    d_states = np.matmul(d, p["out"].T, out=some("d_states", flat.shape, real))
-    g["word"][:], g["word_bias"][:] = 0, 0
-    blocks = list(_by_block(kind, place))
-    if blocks:
-        rows = np.concatenate([r for _, r in blocks])
-        ends = np.cumsum([0, *[len(r) for _, r in blocks]])
-        parts = [(c, slice(i, j)) for (c, _), i, j in zip(blocks, ends, ends[1:])]
-        inside = np.take(flat, rows, axis=0, out=some("inside", (len(rows), width), real), mode="clip")
-        place = place[rows]
-        d = some("words", (len(rows), BLOCK), real)
+    d_states = np.matmul(d, p["out"][:-1].T, out=some("d_states", (len(flat), width), real))
+    g["word"][:], g["tail"][:] = 0, 0
+    if len(words):
+        inside = np.take(flat, words, axis=0, out=some("inside", (len(words), width + 1), real), mode="clip")
+        d = some("words", (len(words), BLOCK), real)
         for c, part in parts:
             np.matmul(inside[part], p["word"][c], out=d[part])
-            d[part] += p["word_bias"][c]
-        loss += _softmax_loss(d, place, n)
-        back = some("back", inside.shape, real)
+        loss += _softmax_loss(d, place[words], n)
+        back = some("back", (len(words), width), real)
         for c, part in parts:
             np.matmul(inside[part].T, d[part], out=g["word"][c])
-            np.matmul(d[part], p["word"][c].T, out=back[part])
-        g["word_bias"][[c for c, _ in parts]] = np.add.reduceat(d, ends[:-1], axis=0)
-        d_states[rows] += back  # each row once
+            np.matmul(d[part], p["word"][c, :-1].T, out=back[part])
+        d_states[words] += back  # each row once
+    if len(rare):
+        inside = flat[rare]
+        d = inside @ p["tail"]
+        loss += _softmax_loss(d, place[rare], n)
+        np.matmul(inside.T, d, out=g["tail"])
+        d_states[rare] += d @ p["tail"][:-1].T
     # backward: factors that do not depend on the gradient are made for all steps at once
     d_states = d_states.reshape(steps, lanes, width)
-    keep, reset = gates[:, :, :width], gates[:, :, width:]
-    to_fresh, to_keep, to_reset, rest = some("factors", (4, steps, lanes, width), real)
-    np.subtract(1, keep, out=rest)
+    rest, reset, past = gates
+    to_fresh, to_keep, to_reset, keep = some("factors", (4, steps, lanes, width), real)
+    np.subtract(1, rest, out=keep)
     np.multiply(fresh, fresh, out=to_fresh)
     np.subtract(1, to_fresh, out=to_fresh)
     to_fresh *= rest
     np.subtract(before, fresh, out=to_keep)
     to_keep *= keep
     to_keep *= rest
-    np.multiply(pasts, reset, out=to_reset)
-    to_reset *= np.subtract(1, reset, out=rest)
-    d_given, d_past = some("d_given", (2, steps, lanes, 3 * width), real)
-    back, rec = np.zeros((lanes, width), real), np.ascontiguousarray(p["rec"].T)
+    np.subtract(1, reset, out=to_reset)
+    to_reset *= reset
+    to_reset *= past
+    # of the gates, of the past in the new state, and of all of the new state
+    d_given = some("d_given", (4, steps, lanes, width), real)
+    back, rec = np.zeros((lanes, width), real), p["rec"].transpose(0, 2, 1).copy()
+    to_past, live = some("to_past", (3, lanes, width), real), (x != 0).astype(real)[:, :, None]
+    whole = live.all(axis=(1, 2))
     for t in reversed(range(steps)):
         back += d_states[t]
-        one, two = d_given[t], d_past[t]
-        np.multiply(back, to_keep[t], out=one[:, :width])
-        np.multiply(back, to_fresh[t], out=one[:, 2 * width :])
-        np.multiply(one[:, 2 * width :], to_reset[t], out=one[:, width : 2 * width])
-        two[:] = one
-        two[:, 2 * width :] *= reset[t]
+        d_keep, d_reset, d_past, d_new = d_given[:, t]
+        np.multiply(back, to_keep[t], out=d_keep)
+        np.multiply(back, to_fresh[t], out=d_new)
+        np.multiply(d_new, to_reset[t], out=d_reset)
+        np.multiply(d_new, reset[t], out=d_past)
         back *= keep[t]
-        back += two @ rec
+        for more in np.matmul(d_given[:3, t], rec, out=to_past):
+            back += more
         if not whole[t]:
             back *= live[t]
-    d_given = d_given.reshape(-1, 3 * width)
-    np.matmul(before.reshape(-1, width).T, d_past.reshape(-1, 3 * width), out=g["rec"])
-    np.matmul(np.ones(len(d_given), real), d_given, out=g["bias"])
-    order = np.argsort(x.astype(np.uint16 if len(p["in"]) < 1 << 16 else np.int64), axis=None, kind="stable")  # a radix sort if it may
+    d_given = d_given.reshape(4, -1, width)
+    np.matmul(before.reshape(-1, width).T, d_given[:3], out=g["rec"])
+    order = np.argsort(x.astype(np.uint16 if p["in"].shape[1] < 1 << 16 else np.int64), axis=None, kind="stable")  # a radix sort if it may
     seen = x.reshape(-1)[order]
     first = np.flatnonzero(np.diff(seen, prepend=-1))
+    pairs = np.result_type(real, np.complex64) if width % 2 == 0 else real  # two numbers are added at a time, as one complex
     g["in"][:] = 0
-    sorted_d = np.take(d_given, order, axis=0, out=given.reshape(d_given.shape), mode="clip")
-    g["in"][seen[first]] = np.add.reduceat(sorted_d, first, axis=0, out=some("in", (len(first), 3 * width), real))
-    return g, h, float(loss / n)
+    for i, part in enumerate((d_given[0], d_given[1], d_given[3])):
+        np.matmul(np.ones((1, len(part)), real), part, out=g["bias"][i])
+        part = np.take(part, order, axis=0, out=some("sorted", part.shape, real), mode="clip")
+        g["in"][i, seen[first]] = np.add.reduceat(part.view(pairs), first, axis=0).view(real)
+    return g, states[-1, :, :width].copy(), float(loss / n)
 
 
 def _views(flat: np.ndarray, like: dict) -> dict:
@@ -245,17 +293,19 @@ def _views(flat: np.ndarray, like: dict) -> dict:
 
 
 def _adam(p: np.ndarray, m: np.ndarray, v: np.ndarray, d: np.ndarray, some: np.ndarray, clip: float, rate: float, k: int) -> None:
-    d *= clip
+    """Adam's step `k`; `m` and `v` are kept as plain sums, 10 and 100 times the means."""
+    if clip < 1:
+        d *= clip
     m *= np.float32(0.9)
-    m += np.multiply(d, np.float32(0.1), out=some)
+    m += d
     v *= np.float32(0.99)
     d *= d
-    v += np.multiply(d, np.float32(0.01), out=d)
+    v += d
+    scale = 0.1 / np.sqrt(1 - 0.99**k)
     np.sqrt(v, out=some)
-    some *= np.float32(1 / np.sqrt(1 - 0.99**k))
-    some += np.float32(1e-6)
+    some += np.float32(1e-6 / scale)
     np.divide(m, some, out=some)
-    some *= np.float32(rate / (1 - 0.9**k))
+    some *= np.float32(rate * 0.1 / (1 - 0.9**k) / scale)
     p -= some
 
 
@@ -281,52 +331,50 @@ def train(p: dict, shape: Shape, stream: np.ndarray, lanes: int, window: int, ra
     return {k: v.copy() for k, v in p.items()}
 
 
+def _lanes(lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(each text's place, each lane's first place, each lane's length) if texts run in lanes, one after
+    the other, longest texts first to the lane that is shortest by then. Lanes are filled up
+    to whole windows; the longest come first."""
+    loads = [(0, lane) for lane in range(min(SIDE, len(lengths)))]
+    order = np.argsort(-lengths, kind="stable")
+    owner, before = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+    for i, n in zip(order.tolist(), lengths[order].tolist()):
+        load, lane = loads[0]
+        owner[i], before[i] = lane, load
+        heapq.heapreplace(loads, (load + n, lane))
+    size = np.empty(len(loads), np.int64)
+    for load, lane in loads:
+        size[lane] = -(-load // window) * window
+    by_size = np.argsort(-size, kind="stable")
+    first = np.empty(len(size), np.int64)
+    first[by_size] = np.cumsum(size[by_size]) - size[by_size]
+    return first[owner] + before, first[by_size], size[by_size]
+
+
 def score_texts(p: dict, shape: Shape, ids: np.ndarray, offsets: np.ndarray, window: int, held: int = 1 << 14) -> np.ndarray:
-    """Log-probability of each whole text and its end. Texts run side by side,
-    longest first; a text's state goes on from window to window to its end."""
+    """Log-probability of each whole text and its end. Texts run in lanes side by
+    side; a text's state goes on from window to window to its end. Outputs are worked out
+    for `held` tokens at a time."""
     lengths = np.diff(offsets) + 1
-    order = np.argsort(-lengths, kind="stable")
-    width, half = shape.hidden, np.float32(0.5)
-    total, h = np.zeros(len(lengths)), np.zeros((len(lengths), width), np.float32)
-    starts, padded, given = offsets[:-1][order], np.append(ids, 0), p["in"] + p["bias"]
-    states, targets, owners = [], [], []
-
-    def settle() -> None:
-        if states:
-            got = log_prob(p, shape, np.concatenate(states), np.concatenate(targets))
-            total[:] += np.bincount(np.concatenate(owners), got, minlength=len(total))
-            for x in (states, targets, owners):
-                x.clear()
-
-    sorted_lengths = lengths[order]
-    longest = int(sorted_lengths[0]) if len(order) else 0
-    running = np.searchsorted(-sorted_lengths, -np.arange(longest), side="left")  # texts longer than t
-    waiting = 0
-    for t0 in range(0, longest, window):
-        for t in range(t0, min(t0 + window, longest)):
-            n = int(running[t])
-            # one token of each text, as `step`; only the first comes after an end
-            g = given[padded[starts[:n] + t - 1] if t else np.zeros(n, np.int64)]
-            past = h[:n] @ p["rec"]
-            gates = g[:, : 2 * width]
-            gates += past[:, : 2 * width]
-            gates *= half
-            np.tanh(gates, out=gates)
-            gates *= half
-            gates += half
-            new = gates[:, width:] * past[:, 2 * width :]
-            new += g[:, 2 * width :]
-            np.tanh(new, out=new)
-            now = h[:n] - new
-            now *= gates[:, :width]
-            now += new
-            h[:n] = now
-            states.append(now)
-            targets.append(np.where(sorted_lengths[:n] == t + 1, 0, padded[np.minimum(starts[:n] + t, len(ids))]))
-            owners.append(order[:n])
-            waiting += n
-            if waiting > held:
-                settle()
-                waiting = 0
-    settle()
+    if not len(lengths):
+        return np.zeros(0)
+    place, first, size = _lanes(lengths, window)
+    # the ids of all lanes, an end after each text; what fills a lane up is no target of a text
+    target = np.zeros(int(size.sum()), shape.id_type)
+    target[np.repeat(place - offsets[:-1], lengths - 1) + np.arange(len(ids))] = ids
+    logs = np.zeros(len(target), np.float32)
+    weights, some, h = _inputs(p), Scratch(), np.zeros((len(first), shape.hidden), np.float32)
+    for t in range(0, int(size[0]), window):
+        n = int(np.searchsorted(-size, -t, side="left"))  # lanes longer than t
+        at = first[:n] + np.arange(t, t + window)[:, None]
+        # the id before; a lane begins after the end of the one before it
+        states = _forward(weights, target[at - 1], h[:n], some)[3]
+        flat, at = states.reshape(-1, shape.hidden + 1), at.reshape(-1)
+        for i in range(0, len(flat), held):
+            logs[at[i : i + held]] = _log_prob(p, shape, flat[i : i + held], target[at[i : i + held]], some)
+        h = states[-1, :, : shape.hidden].copy()
+    order = np.argsort(place)
+    edges = np.stack([place, place + lengths], axis=1)[order].reshape(-1)
+    total = np.empty(len(lengths))
+    total[order] = np.add.reduceat(np.append(logs, 0), edges, dtype=np.float64)[::2]
     return total

@@ -118,17 +118,13 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shape: gru.
     return model, counts
 
 
-def _id_type(shape: gru.Shape) -> type:
-    return np.uint16 if shape.head + shape.tail < 1 << 16 else np.uint32
-
-
 def _learner(shared, shape: gru.Shape, rate: float):
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One network from all texts of a task, which are those of one learner."""
         found = [b for b in batches if b.num_rows]
         if found:
             texts = pa.Table.from_batches(found).sort_by([("h", "ascending"), ("turn", "ascending")])
-            stream = np.concatenate([[0], *(np.frombuffer(b, _id_type(shape)) for b in texts.column("ids").to_pylist())])
+            stream = np.concatenate([[0], *(np.frombuffer(b, shape.id_type) for b in texts.column("ids").to_pylist())])
             p = gru.train(shared.value, shape, stream.astype(np.int64), LANES, WINDOW, rate)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found[0].column("learner")[:1], pa.int64()), pa.array([len(stream)]), pa.array([pickle.dumps(p)], pa.binary())],
@@ -159,7 +155,7 @@ def _encoded(slim: DataFrame, model: Model, learners: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text"):
             flat, offsets = words(b.column("text"))
-            ids = np.insert(_ids(flat, shared.value, shape)[0], offsets[1:], 0).astype(_id_type(shape))  # an end after each text
+            ids = np.insert(_ids(flat, shared.value, shape)[0], offsets[1:], 0).astype(shape.id_type)  # an end after each text
             ends = offsets + np.arange(len(offsets))
             ids = [ids[i:j].tobytes() for i, j in zip(ends, ends[1:])]
             h = b.column("h").to_numpy()

@@ -195,3 +195,51 @@ def test_windows_share_their_arrays():
         before, kept = kept, dict(some.kept)
         assert turn == 0 or all(kept[k] is before[k] for k in ("given", "steps", "gates", "classes", "d_given"))
         h = new
+
+
+def test_outputs_and_lanes_bound_the_work_of_a_token():
+    """A token is scored by the classes and by one block or the rarer words, and texts that run
+    one after the other in lanes leave few places empty, however unequal they are."""
+    assert LM.SHAPE.classes + max(gru.BLOCK, LM.SHAPE.tail) <= 100  # 161 when each class of rarer words was a class of its own
+    rng = np.random.default_rng(4)
+    lengths = np.concatenate([rng.integers(1, 600, 3_000), [20_000, 7_000, 1, 1]])
+    place, first, size = gru._lanes(lengths, LM.WINDOW)
+    used = np.concatenate([np.arange(i, i + n) for i, n in zip(place, lengths)])
+    assert len(used) == len(set(used.tolist())) and used.max() < size.sum()
+    assert (np.diff(size) <= 0).all() and (size % LM.WINDOW == 0).all() and (first == np.cumsum(size) - size).all()
+    assert size.sum() < lengths.sum() + gru.SIDE * LM.WINDOW and size[0] < 20_000 + LM.WINDOW
+    lane = np.searchsorted(first, place, side="right")
+    assert (lane == np.searchsorted(first, place + lengths - 1, side="right")).all()  # no text is in two lanes
+
+
+@pytest.mark.parametrize("scale", [1, 1000])
+def test_outputs_out_of_range_of_exp(scale):
+    """Outputs whose exponentials would be infinite or 0 give the same as in double precision."""
+    shape = gru.Shape(head=128, tail=5, hidden=6)
+    rng = np.random.default_rng(6)
+    p = gru.start(shape, rng.random(134) + 0.1, 3)
+    for k in ("out", "word", "tail"):
+        p[k] *= scale
+    x, y, h = rng.integers(0, 134, (7, 9)), rng.integers(0, 134, (7, 9)), np.zeros((9, 6), np.float32)
+    wide = {k: v.astype(np.float64) for k, v in p.items()}
+    g, _, loss = gru.window_gradients(p, shape, x, y, h)
+    want, _, other = gru.window_gradients(wide, shape, x, y, h.astype(np.float64))
+    assert abs(loss - other) < 1e-4 * abs(other)
+    assert all(np.allclose(g[k], want[k], rtol=1e-2, atol=1e-3 * np.abs(want[k]).max()) for k in p)
+    states = rng.uniform(-1, 1, (9, 6)).astype(np.float32)
+    assert np.allclose(gru.log_prob(p, shape, states, y[0]), gru.log_prob(wide, shape, states, y[0]), rtol=1e-4)
+
+
+def test_texts_of_one_lane_do_not_meet(monkeypatch):
+    """Each text is scored from an empty state, whatever shares its lane; the texts' order does not matter."""
+    shape = gru.Shape(head=64, tail=3, hidden=4)
+    rng = np.random.default_rng(5)
+    p = gru.start(shape, rng.random(68) + 0.1, 2)
+    texts = [rng.integers(1, 68, n) for n in rng.integers(0, 40, 30)]
+    alone = [gru.score_texts(p, shape, t, np.array([0, len(t)]), 8)[0] for t in texts]
+    monkeypatch.setattr(gru, "SIDE", 3)
+    for order in (range(30), range(29, -1, -1)):
+        chosen = [texts[i] for i in order]
+        got = gru.score_texts(p, shape, np.concatenate(chosen), np.cumsum([0, *map(len, chosen)]), 8)
+        assert np.allclose(got, [alone[i] for i in order], atol=1e-4)
+    assert len(gru.score_texts(p, shape, np.zeros(0, np.int64), np.zeros(1, np.int64), 8)) == 0
