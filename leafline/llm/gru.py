@@ -16,6 +16,7 @@ import numpy as np
 BLOCK = 64  # words that share a class of the output
 PIECE = 1 << 14  # parameters updated at a time, so that they stay in the cache
 SIDE = 256  # texts scored side by side
+FEW = 4  # gradients of an id in a window that are added one by one
 
 
 class Scratch:
@@ -123,27 +124,27 @@ def log_prob(p: dict, shape: Shape, h: np.ndarray, target: np.ndarray) -> np.nda
 
 def _log_prob(p: dict, shape: Shape, flat: np.ndarray, target: np.ndarray, some: Scratch) -> np.ndarray:
     """As `log_prob`, for states that end in a one."""
-    kind, place = shape.split(target)
-    real = flat.dtype
-    words, parts, rare = _by_block(kind, shape.blocks)
-    out = _log_share(np.matmul(flat, p["out"], out=some("classes", (len(flat), shape.classes), real)), kind)
-    if len(words):
-        inside = np.take(flat, words, axis=0, out=some("inside", (len(words), flat.shape[1]), real), mode="clip")
-        d = some("words", (len(words), BLOCK), real)
-        for c, part in parts:
-            np.matmul(inside[part], p["word"][c], out=d[part])
-        out[words] += _log_share(d, place[words])
-    if len(rare):
-        out[rare] += _log_share(flat[rare] @ p["tail"], place[rare])
+    order, kind, place, at = _by_class(shape, target)
+    flat, real = np.take(flat, order, axis=0, out=some("inside", flat.shape, flat.dtype), mode="clip"), flat.dtype
+    got = _log_share(np.matmul(flat, p["out"], out=some("classes", (len(flat), shape.classes), real)), kind)
+    words, rare = slice(at[0], at[-1]), slice(at[-1], len(flat))
+    d = some("words", (at[-1] - at[0], BLOCK), real)
+    for c, (i, j) in enumerate(zip(at, at[1:])):
+        if j > i:
+            np.matmul(flat[i:j], p["word"][c], out=d[i - at[0] : j - at[0]])
+    got[words] += _log_share(d, place[words])
+    got[rare] += _log_share(flat[rare] @ p["tail"], place[rare])
+    out = np.empty_like(got)
+    out[order] = got
     return out
 
 
-def _by_block(kind: np.ndarray, blocks: int) -> tuple[np.ndarray, list, np.ndarray]:
-    """(rows of words sorted by block, the slice of each block that has any, rows of rarer words)."""
+def _by_class(shape: Shape, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+    """(rows sorted by the class of their target, their classes, their places, where each block and the rarer words begin)."""
+    kind, place = shape.split(target)
     order = np.argsort(kind, kind="stable")
-    at = np.searchsorted(kind[order], np.arange(1, blocks + 2))  # where each block and the rarer words begin
-    parts = [(c, slice(i - at[0], j - at[0])) for c, (i, j) in enumerate(zip(at, at[1:])) if j > i]
-    return order[at[0] : at[-1]], parts, order[at[-1] :]
+    kind = kind[order]
+    return order, kind, place[order], np.searchsorted(kind, np.arange(1, shape.blocks + 2)).tolist()
 
 
 def _softmax_loss(x: np.ndarray, target: np.ndarray, n: float) -> float:
@@ -202,6 +203,19 @@ def _forward(weights: tuple, x: np.ndarray, h: np.ndarray, some: Scratch) -> tup
     return before, fresh, gates, states
 
 
+def _by_id(ids: np.ndarray, distinct: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, list]:
+    """(rows sorted by id, those of at most FEW rows first; where each id's rows begin; the ids; how many have
+    few rows; which of these have a second, a third, ... row)."""
+    many = np.bincount(ids, minlength=distinct) > FEW
+    key = (ids + distinct * many[ids]).astype(np.uint16 if 2 * distinct < 1 << 16 else np.int64)  # a radix sort if it may
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=key[:1] + 1))
+    few = int(np.searchsorted(key[first], distinct))
+    size = np.diff(first, append=len(key))[:few]
+    return order, first, key[first] % distinct, few, [np.flatnonzero(size > k) for k in range(1, FEW)]
+
+
 def window_gradients(
     p: dict, shape: Shape, x: np.ndarray, y: np.ndarray, h: np.ndarray, g: dict | None = None, some: Scratch | None = None
 ) -> tuple[dict, np.ndarray, float]:
@@ -214,33 +228,31 @@ def window_gradients(
         g = {k: np.empty_like(v) for k, v in p.items()}
     some = some or Scratch()
     before, fresh, gates, states = _forward(_inputs(p), x, h, some)
-    # the output: classes of all, then words of each block, sorted by block, and rarer words
-    flat, target = states.reshape(-1, width + 1), y.reshape(-1)
-    kind, place = shape.split(target)
-    words, parts, rare = _by_block(kind, shape.blocks)
-    n = real.type(len(target))
+    # the output, in rows sorted by class: classes of all, then words of each block and rarer words
+    flat = states.reshape(-1, width + 1)
+    order, kind, place, at = _by_class(shape, y.reshape(-1))
+    flat = np.take(flat, order, axis=0, out=some("inside", flat.shape, real), mode="clip")
+    words, rare, n = slice(at[0], at[-1]), slice(at[-1], len(flat)), real.type(len(flat))
     d = np.matmul(flat, p["out"], out=some("classes", (len(flat), shape.classes), real))
     loss = _softmax_loss(d, kind, n)
     np.matmul(flat.T, d, out=g["out"])
-    d_states = np.matmul(d, p["out"][:-1].T, out=some("d_states", (len(flat), width), real))
-    g["word"][:], g["tail"][:] = 0, 0
-    if len(words):
-        inside = np.take(flat, words, axis=0, out=some("inside", (len(words), width + 1), real), mode="clip")
-        d = some("words", (len(words), BLOCK), real)
-        for c, part in parts:
-            np.matmul(inside[part], p["word"][c], out=d[part])
-        loss += _softmax_loss(d, place[words], n)
-        back = some("back", (len(words), width), real)
-        for c, part in parts:
-            np.matmul(inside[part].T, d[part], out=g["word"][c])
-            np.matmul(d[part], p["word"][c, :-1].T, out=back[part])
-        d_states[words] += back  # each row once
-    if len(rare):
-        inside = flat[rare]
-        d = inside @ p["tail"]
-        loss += _softmax_loss(d, place[rare], n)
-        np.matmul(inside.T, d, out=g["tail"])
-        d_states[rare] += d @ p["tail"][:-1].T
+    back = np.matmul(d, p["out"][:-1].T, out=some("back", (len(flat), width), real))
+    g["word"][:] = 0
+    d, more = some("words", (at[-1] - at[0], BLOCK), real), some("more", (at[-1] - at[0], width), real)
+    parts = [(c, slice(i, j), slice(i - at[0], j - at[0])) for c, (i, j) in enumerate(zip(at, at[1:])) if j > i]
+    for c, here, part in parts:
+        np.matmul(flat[here], p["word"][c], out=d[part])
+    loss += _softmax_loss(d, place[words], n)
+    for c, here, part in parts:
+        np.matmul(flat[here].T, d[part], out=g["word"][c])
+        np.matmul(d[part], p["word"][c, :-1].T, out=more[part])
+    back[words] += more
+    d = flat[rare] @ p["tail"]
+    loss += _softmax_loss(d, place[rare], n)
+    np.matmul(flat[rare].T, d, out=g["tail"])
+    back[rare] += d @ p["tail"][:-1].T
+    d_states = some("d_states", (len(flat), width), real)
+    d_states[order] = back
     # backward: factors that do not depend on the gradient are made for all steps at once
     d_states = d_states.reshape(steps, lanes, width)
     rest, reset, past = gates
@@ -274,15 +286,18 @@ def window_gradients(
             back *= live[t]
     d_given = d_given.reshape(4, -1, width)
     np.matmul(before.reshape(-1, width).T, d_given[:3], out=g["rec"])
-    order = np.argsort(x.astype(np.uint16 if p["in"].shape[1] < 1 << 16 else np.int64), axis=None, kind="stable")  # a radix sort if it may
-    seen = x.reshape(-1)[order]
-    first = np.flatnonzero(np.diff(seen, prepend=-1))
-    pairs = np.result_type(real, np.complex64) if width % 2 == 0 else real  # two numbers are added at a time, as one complex
     g["in"][:] = 0
+    order, first, seen, few, later = _by_id(x.reshape(-1), p["in"].shape[1])
+    pairs = np.result_type(real, np.complex64) if width % 2 == 0 else real  # two numbers are added at a time, as one complex
     for i, part in enumerate((d_given[0], d_given[1], d_given[3])):
         np.matmul(np.ones((1, len(part)), real), part, out=g["bias"][i])
         part = np.take(part, order, axis=0, out=some("sorted", part.shape, real), mode="clip")
-        g["in"][i, seen[first]] = np.add.reduceat(part.view(pairs), first, axis=0).view(real)
+        total = part[first]
+        for k, rows in enumerate(later, 1):
+            total[rows] += part[first[rows] + k]
+        if few < len(first):
+            total[few:] = np.add.reduceat(part.view(pairs), first[few:], axis=0).view(real)
+        g["in"][i, seen] = total
     return g, states[-1, :, :width].copy(), float(loss / n)
 
 

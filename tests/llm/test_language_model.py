@@ -243,3 +243,21 @@ def test_texts_of_one_lane_do_not_meet(monkeypatch):
         got = gru.score_texts(p, shape, np.concatenate(chosen), np.cumsum([0, *map(len, chosen)]), 8)
         assert np.allclose(got, [alone[i] for i in order], atol=1e-4)
     assert len(gru.score_texts(p, shape, np.zeros(0, np.int64), np.zeros(1, np.int64), 8)) == 0
+
+
+@pytest.mark.parametrize("hidden", [3, 4])
+def test_gradients_of_ids_seen_once_and_often(hidden):
+    shape = gru.Shape(head=64, tail=3, hidden=hidden)
+    rng = np.random.default_rng(8)
+    p = {k: v.astype(np.float64) for k, v in gru.start(shape, rng.random(68) + 0.1, 1).items()}
+    x = np.array([[5, 5, 5, 5], [5, 7, 7, 9], [66, 5, 5, 0], [7, 66, 8, 7], [5, 5, 7, 7]])
+    y = rng.integers(0, 68, x.shape)
+    assert gru._by_id(x.reshape(-1), 68)[2:4][1] == 4  # 0, 8, 9 and 66 are seen once or twice, 5 and 7 often
+    g = gru.window_gradients(p, shape, x, y, np.zeros((4, hidden)))[0]["in"].copy()
+    for i in range(68):
+        for part in range(3):
+            up, down = ({**p, "in": p["in"].copy()} for _ in range(2))
+            up["in"][part, i, 1] += 1e-5
+            down["in"][part, i, 1] -= 1e-5
+            rise = gru.window_gradients(up, shape, x, y, np.zeros((4, hidden)))[2] - gru.window_gradients(down, shape, x, y, np.zeros((4, hidden)))[2]
+            assert abs(rise / 2e-5 - g[part, i, 1]) < 1e-7
